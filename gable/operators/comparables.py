@@ -32,10 +32,12 @@ def build_lookup(
     return out.select(*keys, *[f"{c}__{op}" for c in cols for op in ops], "density_count")
 
 
-def add_lookup(units: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def add_lookup(
+    units: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", max_group_rows: int | None = None
+) -> DataFrame:
     """Join the lookup to units; heavy groups are spread by their ``density_count``."""
     weight = "density_count" if "density_count" in lookup.columns else None
-    return lookup_join(units, lookup, keys, how, weight)
+    return lookup_join(units, lookup, keys, how, weight, max_group_rows=max_group_rows)
 
 
 def minus_features(df: DataFrame, features: Sequence[str], ops: Sequence[str] = OPS) -> DataFrame:
@@ -45,9 +47,14 @@ def minus_features(df: DataFrame, features: Sequence[str], ops: Sequence[str] =
 
 
 def comparables_features(
-    units: DataFrame, lookup: DataFrame, keys: Sequence[str], features: Sequence[str], ops: Sequence[str] = OPS
+    units: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    features: Sequence[str],
+    ops: Sequence[str] = OPS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
-    return minus_features(add_lookup(units, lookup, keys), features, ops)
+    return minus_features(add_lookup(units, lookup, keys, max_group_rows=max_group_rows), features, ops)
 
 
 def merge_train_with_lookup(
@@ -57,12 +64,13 @@ def merge_train_with_lookup(
     features: Sequence[str],
     price: str,
     carried: Sequence[str],
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Inner-join form: every number whose name contains a feature name is subtracted from that feature,
     price aggregates are copied, and the carried columns follow."""
     # The lookup may name its type key with a trailing double underscore.
     lookup = lookup.withColumnsRenamed({f"{k}__": k for k in keys})
-    merged = add_lookup(train, lookup, keys, "inner")
+    merged = add_lookup(train, lookup, keys, "inner", max_group_rows)
     out: list[Column] = []
     numbers = [f.name for f in merged.schema.fields if isinstance(f.dataType, T.NumericType)]
     for base in features:

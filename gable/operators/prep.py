@@ -84,28 +84,36 @@ def prepare(
 
 
 def prepare_and_split(
-    df: DataFrame, target: str = "Price_p", test_size: float = 0.15, index: str = "unit_indx", seed: int = 0, **options
+    df: DataFrame, target: str = "Price_p", test_size: float = 0.15, index: str = "unit_indx", seed: int = 0,
+    max_group_rows: int | None = None, **options,
 ) -> DataFrame:
     """Prepared rows with a ``split`` column: validate, train or test.
 
     A share of every postcode area is set aside as ``validate``; of the rest, rows with price and area whose
     (area, type) key occurs more than five times are split by that key. Other rows are left out.
     """
-    prepared = prepare(df, target=target, index=index, **options)
+    prepared = prepare(df, target=target, index=index, max_group_rows=max_group_rows, **options)
     outer = split_by_key(prepared, index, test_size, ["POSTCODE_AREA"], seed, names=("rest", "validate"))
     aside = outer.filter("split = 'validate'")
     rest = R.drop_nan_target_rows(outer.filter("split = 'rest'"), target).na.drop(subset=["TOTAL_FLOOR_AREA_e"])
     rest = rest.drop("split").withColumn("key", D.composite_key("POSTCODE_AREA", "PROPERTY_TYPE_e"))
-    rest = R.remove_rare_keys(rest, ["key"], 5)
+    rest = R.remove_rare_keys(rest, ["key"], 5, max_group_rows)
     inner = split_by_key(rest, index, test_size, ["key"], seed + 1).drop("key")
     return inner.unionByName(aside)
 
 
-def add_coordinates(rows: DataFrame, postcodes: DataFrame, outcodes: DataFrame, postcode: str = "postcode") -> DataFrame:
+def add_coordinates(
+    rows: DataFrame,
+    postcodes: DataFrame,
+    outcodes: DataFrame,
+    postcode: str = "postcode",
+    max_group_rows: int | None = None,
+) -> DataFrame:
     """Latitude from the postcode table, else from the outcode table (joined on the computed outcode).
 
     ``postcodes`` has (postcode, latitude), ``outcodes`` has (outcode, outcode_latitude).
     """
-    fine = lookup_join(rows, postcodes, [postcode])
-    coarse = lookup_join(fine.withColumn("outcode", D.postcode_outcode(postcode)), outcodes, ["outcode"])
+    fine = lookup_join(rows, postcodes, [postcode], max_group_rows=max_group_rows)
+    fine = fine.withColumn("outcode", D.postcode_outcode(postcode))
+    coarse = lookup_join(fine, outcodes, ["outcode"], max_group_rows=max_group_rows)
     return coarse.withColumn("latitude", D.coordinate_fallback("latitude", "outcode_latitude")).drop("outcode_latitude")

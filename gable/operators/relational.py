@@ -177,7 +177,10 @@ def keep_members(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_semi")
 
 
-def remove_rare_keys(df: DataFrame, keys: Sequence[str], more_than: int = 5) -> DataFrame:
+def remove_rare_keys(
+    df: DataFrame, keys: Sequence[str], more_than: int = 5, max_group_rows: int | None = None
+) -> DataFrame:
     """Rows whose key occurs more than the given number of times."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > more_than)
-    return lookup_join(df, counts, keys, "inner", weight="_n").drop("_n")
+    joined = lookup_join(df, counts, keys, "inner", weight="_n", max_group_rows=max_group_rows)
+    return joined.drop("_n")

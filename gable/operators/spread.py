@@ -199,13 +199,17 @@ def lookup_join(
     how: str = "left",
     weight: str | None = None,
     salts: int = SALTS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Join rows to a lookup that is unique on ``keys``, spreading the heaviest keys over ``salts`` tasks.
 
     The heavy-key list holds at most ``HEAVY_KEYS`` rows, so broadcasting it is bounded. ``weight`` names a
-    row-count column of the lookup; without it the keys are counted on the row side. AQE still turns the
-    join into a broadcast join when the lookup proves small.
+    row-count column of the lookup; without it the keys are counted on the row side. When the caller knows
+    (``max_group_rows``) that every key fits a task, it is a plain join. AQE still turns either form into a
+    broadcast join when the lookup proves small.
     """
+    if max_group_rows is not None and max_group_rows <= GROUP_ROWS_PER_TASK:
+        return rows.join(lookup, list(keys), how)
     source = lookup if weight else rows
     heavy = F.broadcast(heavy_keys(source, keys, weight).withColumn("_heavy", F.lit(True)))
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]

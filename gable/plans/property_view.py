@@ -72,7 +72,9 @@ def valued_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = units(spark, sf_dir)
     keys = ["postcode", "property_type"]
     means = build_lookup(rows, keys, [], "price_p", ops=["mean"])
-    return lookup_join(rows, means, keys, weight="density_count").withColumnRenamed("price_p__mean", "avm")
+    return lookup_join(
+        rows, means, keys, weight="density_count", max_group_rows=row_bound(spark, sf_dir)
+    ).withColumnRenamed("price_p__mean", "avm")
 
 
 PROPERTY_SQL = """property AS (

@@ -62,7 +62,7 @@ _PRICES = ", ".join(f"price_p__{op}" for op in C.OPS)
 )
 def comparables_features(spark, sf_dir):
     rows = units(spark, sf_dir)
-    out = C.comparables_features(rows, _lookup(spark, sf_dir), KEYS, FEATURES)
+    out = C.comparables_features(rows, _lookup(spark, sf_dir), KEYS, FEATURES, max_group_rows=row_bound(spark, sf_dir))
     minus = [F.round(f"{c}_minus_{op}", 4).alias(f"{c}_minus_{op}") for c in FEATURES for op in C.OPS]
     prices = [f"price_p__{op}" for op in C.OPS]
     out = R.rename(out, {"postcode": "POSTCODE"})
@@ -86,7 +86,7 @@ def train_lookup_merge(spark, sf_dir):
     carried = ["unit_indx", "property_type", "postcode", "postcode_area", "density_count", "price_p"]
     columns = ["unit_indx", "property_type", "postcode", "postcode_area", "price_p", *FEATURES]
     merged = C.merge_train_with_lookup(
-        units(spark, sf_dir).select(*columns), lookup, KEYS, FEATURES, "price_p", carried
+        units(spark, sf_dir).select(*columns), lookup, KEYS, FEATURES, "price_p", carried, row_bound(spark, sf_dir)
     )
     return _rounded(merged, 4)
 
@@ -209,9 +209,9 @@ def floor_normalise(spark, sf_dir):
     ),
 )
 def nearest_area_flags(spark, sf_dir):
-    rows = units(spark, sf_dir).select("unit_indx", "area", *KEYS)
-    lookup = C.build_lookup(rows, KEYS, ["area"], max_group_rows=row_bound(spark, sf_dir))
-    joined = C.add_lookup(rows, lookup, KEYS)
+    rows, bound = units(spark, sf_dir).select("unit_indx", "area", *KEYS), row_bound(spark, sf_dir)
+    lookup = C.build_lookup(rows, KEYS, ["area"], max_group_rows=bound)
+    joined = C.add_lookup(rows, lookup, KEYS, max_group_rows=bound)
     flags = D.nearest_area_flags("area", "area__median", "area__min", "area__max")
     return joined.select("unit_indx", *[c.alias(n) for n, c in flags.items()])
 
@@ -453,7 +453,7 @@ def coord_fallback(spark, sf_dir):
     coarse = rows.groupBy(D.postcode_outcode("postcode").alias("outcode")).agg(
         F.count(F.lit(1)).cast("double").alias("outcode_latitude")
     )
-    return P.add_coordinates(rows, fine, coarse).select("unit_indx", "postcode", "latitude")
+    return P.add_coordinates(rows, fine, coarse, max_group_rows=row_bound(spark, sf_dir)).select("unit_indx", "postcode", "latitude")
 
 
 @query(
@@ -500,7 +500,7 @@ def value_counts(spark, sf_dir):
 )
 def rare_key_filter(spark, sf_dir):
     rows = units(spark, sf_dir).select("unit_indx", "postcode", "heated_rooms")
-    return R.remove_rare_keys(rows, ["postcode", "heated_rooms"], 5)
+    return R.remove_rare_keys(rows, ["postcode", "heated_rooms"], 5, row_bound(spark, sf_dir))
 
 
 @query(
