@@ -26,7 +26,7 @@ _ONE_HOT = {
 class OneHotEncoderModel(FittedModel):
     DEFAULTS = with_state(_ONE_HOT)
 
-    def categories(self, feature: str) -> list[str]:
+    def categories_of(self, feature: str) -> list[str]:
         """Categories of a feature, in output order."""
         if feature not in self.learned:
             raise ValueError(f'Feature "{feature}" was not provided to one-hot encoder as a training feature')
@@ -34,7 +34,7 @@ class OneHotEncoderModel(FittedModel):
 
     def kept(self, feature: str) -> list[str]:
         """Categories that get a column, after the ``drop`` option."""
-        found = self.categories(feature)
+        found = self.categories_of(feature)
         if self.opt("drop") == "first" or (self.opt("drop") == "if_binary" and len(found) == 2):
             return found[1:]
         return found
@@ -49,7 +49,7 @@ class OneHotEncoderModel(FittedModel):
             if self.opt("handle_missing") == "as_category":
                 value = F.coalesce(value, F.lit("nan"))
             if self.opt("handle_unknown") == "error":
-                known = value.isNull() | value.isin(self.categories(c))
+                known = value.isNull() | value.isin(self.categories_of(c))
                 value = F.when(known, value).otherwise(F.raise_error(F.concat(F.lit(f"unknown category in {c}: "), value)))
             for v in self.kept(c):
                 made[f"{c}_{v}"] = F.coalesce((value == v).cast("double"), F.lit(0.0))

@@ -73,9 +73,10 @@ class ProjectionModel(FittedModel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         cols, mean, matrix = self.learned["columns"], self.learned["mean"], self.learned["components"]
-        centred = F.array(*[F.col(c).cast("double") - F.lit(m) for c, m in zip(cols, mean)])
-        rows = dataset.withColumn("_centred", centred)
-        made = {f"component_{i}": _dot(F.col("_centred"), weights) for i, weights in enumerate(matrix)}
+        # Built as expression text: one call per component instead of one per matrix element.
+        centred = ", ".join(f"CAST(`{c}` AS DOUBLE) - {m!r}D" for c, m in zip(cols, mean))
+        rows = dataset.withColumn("_centred", F.expr(f"array({centred})"))
+        made = {f"component_{i}": _dot("_centred", weights) for i, weights in enumerate(matrix)}
         return rows.withColumns(made).drop("_centred", *cols)
 
     def provenance(self):
@@ -83,9 +84,9 @@ class ProjectionModel(FittedModel):
         return {c: names for c in self.learned["columns"]}
 
 
-def _dot(values: Column, weights: list[float]) -> Column:
-    terms = F.zip_with(values, F.array(*[F.lit(float(w)) for w in weights]), lambda a, b: a * b)
-    return F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
+def _dot(values: str, weights: list[float]) -> Column:
+    literal = ", ".join(f"{float(w)!r}D" for w in weights)
+    return F.expr(f"aggregate(zip_with({values}, array({literal}), (a, b) -> a * b), 0.0D, (acc, x) -> acc + x)")
 
 
 class PCA(FittedStage):

@@ -60,13 +60,13 @@ def rank_by_hash(
         _STRATUM,
         _BUCKET,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(whole).alias("_size"),
+        F.sum("_n").over(whole).alias("_stratum_size"),
     )
     within = F.row_number().over(Window.partitionBy(_STRATUM, _BUCKET).orderBy(_ORDER, key))
     ranked = marked.join(offsets, [_STRATUM, _BUCKET]).withColumn(rank_col, F.col("_before") + within)
     if size_col:
-        ranked = ranked.withColumn(size_col, F.col("_size"))
-    return ranked.drop(_STRATUM, _BUCKET, _ORDER, "_before", "_size")
+        ranked = ranked.withColumn(size_col, F.col("_stratum_size"))
+    return ranked.drop(_STRATUM, _BUCKET, _ORDER, "_before", "_stratum_size")
 
 
 def _fixed_order(df: DataFrame, order: Sequence[str | Column], strata: Sequence[str]) -> DataFrame:

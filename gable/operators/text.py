@@ -6,17 +6,14 @@ import warnings
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, RegexTokenizer
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gable.functions.domain import clean_text
 from gable.operators.spread import lookup_join
 from gable.operators.stages import ExpressionTransformer, FittedModel, FittedStage, with_state
+from gable.runtime import shared_root
 
 # ---- fixed value: words of the vocabulary, two or more word characters ---------------------------------
 TERM = r"(?U)\b\w\w+\b"
@@ -68,7 +65,7 @@ def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame, max_group_r
     return df.select(key).join(sums, key, "left").withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
 
 
-_LSA = {"text_columns": [], "key": None, "components": 2, "vocabulary_size": 1 << 22}
+_LSA = {"text_columns": [], "key": None, "components": 2, "oversamples": 4, "iterations": 6}
 
 
 class LSAModel(FittedModel):
@@ -83,10 +80,10 @@ class LSAModel(FittedModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, k = self.opt("key"), self.opt("components")
         cols = check_text_columns(dataset, self.opt("text_columns"))
+        n_texts = dataset.count()
         for c in cols:
-            found = F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0))
-            counts = dataset.select(key, F.explode(found).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
-            weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df")
+            counts = dataset.select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+            weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df", max_group_rows=n_texts)
             w = F.col("_tf") * F.col("idf")
             norm = F.sqrt(F.sum(w * w))
             scores = weighted.groupBy(key).agg(*[(F.sum(w * F.col(f"v{i}")) / norm).alias(f"LSA({c})[{i}]") for i in range(k)])
@@ -118,36 +115,79 @@ class _LSAReader(DefaultParamsReader):
         return model
 
 
+def _terms_of(text: Column | str) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
+
+
+def _small_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """cols' * cols over all rows: one row of sums on the driver."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    gram = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+    return gram
+
+
+def _rotate(df: DataFrame, cols: list[str], by: np.ndarray, keep: list[str]) -> DataFrame:
+    """Replace ``cols`` by their products with the columns of a small matrix."""
+    made = [
+        F.expr(" + ".join(f"{c} * {float(w)!r}D" for c, w in zip(cols, by[:, k]))).alias(f"v{k}") for k in range(by.shape[1])
+    ]
+    return df.select(*keep, *made)
+
+
 class LSA(FittedStage):
     """TF-IDF (smooth idf plus one, unit length) of all text columns as one corpus, cut to two singular directions.
 
-    The vocabulary (at most ``vocabulary_size`` terms, most frequent first) and its directions are the only
-    driver-side data; the matrix stays distributed.
+    Randomised subspace iteration on the (text, term, weight) table: terms and texts stay distributed, and only
+    matrices of the width of the subspace reach the driver.
     """
 
     DEFAULTS = _LSA
     MODEL = LSAModel
 
     def _fit(self, dataset):
+        shared_root(dataset.sparkSession)
         cols, k = check_text_columns(dataset, self.opt("text_columns")), self.opt("components")
-        corpus = dataset.select(F.explode(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in cols])).alias("_text"))
-        tokens = RegexTokenizer(inputCol="_text", outputCol="_tokens", pattern=TERM, gaps=False).transform(corpus)
-        vocabulary = CountVectorizer(inputCol="_tokens", outputCol="_tf", vocabSize=self.opt("vocabulary_size")).fit(tokens)
-        counts = vocabulary.transform(tokens).select("_tf")
-        idf = IDF(inputCol="_tf", outputCol="_idf").fit(counts)
-        weight = idf.idf.toArray() + 1
-        scaled = ElementwiseProduct(scalingVec=Vectors.dense(weight), inputCol="_tf", outputCol="_w").transform(counts)
-        unit = Normalizer(inputCol="_w", outputCol="_u").transform(scaled).select("_u")
-        directions = RowMatrix(MLUtils.convertVectorColumnsFromML(unit, "_u")).computeSVD(k, rCond=1e-12).V.toArray()
-        top = np.abs(directions).argmax(axis=0)
-        directions = directions * np.sign(directions[top, range(directions.shape[1])])
-        import pandas as pd
-
-        table = pd.DataFrame({"term": vocabulary.vocabulary, "idf": weight, "df": np.asarray(idf.docFreq, dtype="int64")})
-        for i in range(k):
-            table[f"v{i}"] = directions[:, i] if i < directions.shape[1] else 0.0
-        terms = dataset.sparkSession.createDataFrame(table)
-        return LSAModel(terms=terms, **self.options(), state={"k": k})
+        width = k + self.opt("oversamples")
+        texts = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_text")) for c in cols])
+        corpus = dataset.select(F.col(self.opt("key")).cast("string").alias("_key"), F.inline(texts))
+        corpus = corpus.withColumn("_doc", F.concat_ws("|", "_c", "_key"))
+        counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(
+            F.count(F.lit(1)).alias("_tf")
+        )
+        # A term occurs once per text after counting, which bounds the rows of any term.
+        n_texts = dataset.count() * len(cols)
+        idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
+        terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf).checkpoint()
+        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df", max_group_rows=n_texts).withColumn("_w", F.col("_tf") * F.col("idf"))
+        norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
+        entries = weighted.join(norms, "_doc").select("_doc", "term", (F.col("_w") / F.col("_norm")).alias("_w")).checkpoint()
+
+        names = [f"v{i}" for i in range(width)]
+        # A start that depends on the term only, so every run begins the same way.
+        start = [(F.xxhash64(F.col("term"), F.lit(i)) / F.lit(2.0**63)).alias(f"v{i}") for i in range(width)]
+        basis = terms.select("term", "df", "idf", *start)
+        for step in range(self.opt("iterations") + 1):
+            gram = _small_gram(basis, names)
+            values, vectors = np.linalg.eigh(gram)
+            values = np.where(values > values.max() * 1e-14, values, np.inf)
+            basis = _rotate(basis, names, vectors / np.sqrt(values), ["term", "df", "idf"])
+            joined = lookup_join(entries, basis, ["term"], "inner", weight="df", max_group_rows=n_texts)
+            texts_side = joined.groupBy("_doc").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
+            if step == self.opt("iterations"):
+                break
+            back = entries.join(texts_side, "_doc").groupBy("term").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
+            basis = terms.join(back, "term").select("term", "df", "idf", *names).checkpoint()
+        values, vectors = np.linalg.eigh(_small_gram(texts_side, names))
+        found = _rotate(basis, names, vectors[:, ::-1][:, :k], ["term", "df", "idf"])
+        # The free sign: the largest loading of a direction is positive.
+        heads = found.agg(*[F.max_by(f"v{i}", F.abs(f"v{i}")).alias(f"v{i}") for i in range(k)]).first()
+        signed = [(F.col(f"v{i}") * (1.0 if (heads[f"v{i}"] or 0) >= 0 else -1.0)).alias(f"v{i}") for i in range(k)]
+        terms = found.select("term", "df", "idf", *signed).checkpoint()
+        strength = np.sqrt(values[::-1][:k].clip(min=0)).tolist()
+        return LSAModel(terms=terms, **self.options(), state={"singular_values": strength})
 
 
 class TextFeaturizer(ExpressionTransformer):

@@ -113,7 +113,7 @@ def onehot_topn(spark, sf_dir):
 @query("onehot_categories", "D5", with_sql(_TOP, "SELECT 'p_brand' AS feature, category FROM top"))
 def onehot_categories(spark, sf_dir):
     _, model = _one_hot(spark, sf_dir)
-    return literal_rows(spark, [("p_brand", c) for c in model.categories("p_brand")], ["feature", "category"])
+    return literal_rows(spark, [("p_brand", c) for c in model.categories_of("p_brand")], ["feature", "category"])
 
 
 @query(
@@ -237,7 +237,7 @@ def detrend_inverse(spark, sf_dir):
 
 # ---- text -------------------------------------------------------------------------------------------------
 _PUNCT = D.PUNCTUATION.replace("'", "''")
-_WORDS = f"list_filter(regexp_split_to_array(lower(translate(text, '{_PUNCT}', '')), '\\s+'), x -> length(x) > 0)"
+_WORDS = f"[x for x in regexp_split_to_array(lower(translate(text, '{_PUNCT}', '')), '\\s+') if length(x) > 0]"
 
 
 @query(
@@ -245,7 +245,7 @@ _WORDS = f"list_filter(regexp_split_to_array(lower(translate(text, '{_PUNCT}', '
     "D14 D15 C15",
     f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents)
     SELECT doc_id, round(CASE WHEN len(ws) = 0 THEN 0.0 ELSE CAST(list_unique(ws) AS DOUBLE) / len(ws) END, 9) AS "DIVERSITY_SCORE(text)",
-    round(CASE WHEN len(ws) = 0 THEN 0.0 ELSE CAST(list_sum(list_transform(ws, x -> length(x))) AS DOUBLE) / len(ws) END, 9)
+    round(CASE WHEN len(ws) = 0 THEN 0.0 ELSE CAST(list_sum([length(x) for x in ws]) AS DOUBLE) / len(ws) END, 9)
       AS "MEAN_CHARACTERS_PER_WORD(text)" FROM w""",
 )
 def text_stats(spark, sf_dir):
