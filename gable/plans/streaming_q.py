@@ -1 +1,33 @@
-"""Queries."""
+"""Queries that run as streams over the files of a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gable.operators import models as M
+from gable.plans.property_view import table
+from gable.plans.registry import query
+from gable.runtime import scratch_path
+from gable.streaming import jobs
+
+
+@query(
+    "stream_score",
+    "L1 A11",
+    """SELECT event_id, round((SELECT regr_intercept(value, user_id) FROM events) + (SELECT regr_slope(value, user_id) FROM events) * user_id, 5)
+    AS prediction FROM events""",
+)
+def stream_score(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    fitted = M.linear_regressor(["user_id"], "value").fit(rows)
+    stream = jobs.read_files(spark, f"{sf_dir}/events.parquet", rows.schema)
+    scored = jobs.score_stream(stream, fitted.transform).select("event_id", F.round("prediction", 5).alias("prediction"))
+    return jobs.run_available(scored, scratch_path(spark, "scored"))
+
+
+@query("stream_dedup", "L2 B18", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_dedup(spark, sf_dir):
+    rows = table(spark, sf_dir, "events")
+    stream = jobs.read_files(spark, f"{sf_dir}/events.parquet", rows.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    once = jobs.deduplicate_stream(stream, ["user_id", "event_type"], "ts", "365 days").select("user_id", "event_type")
+    return jobs.run_available(once, scratch_path(spark, "deduplicated"))
