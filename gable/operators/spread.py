@@ -158,8 +158,11 @@ def exact_quantiles(
     if bound <= rows_per_task:
         exact = [F.percentile(F.col(c), F.lit(q)).alias(name) for name, (c, q) in wanted.items()]
         return df.groupBy(*keys).agg(*extra, *exact)
-    base = df.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM)
-    result = base.agg(*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra)
+    counted = [*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra]
+    if keys:
+        result = df.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM).agg(*counted)
+    else:
+        result = df.agg(*counted).withColumn(_STRATUM, stratum_label(keys))
     for column in dict.fromkeys(c for c, _ in wanted.values()):
         values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter("_v IS NOT NULL")
         ranked = rank_by_order(values, ["_v"], keys, "_rank", "_size")
