@@ -13,6 +13,7 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import TrainValidationSplit
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,6 +82,15 @@ def knn_regressor(
     return KNeighborsRegressor(features=list(features), label=label, prediction=prediction, key=key, **{**KNN_DEFAULTS, **options})
 
 
+def fit_cached(estimator: Estimator, df: DataFrame) -> Model:
+    """Fit with the training rows kept (memory, then disk) while an estimator passes over them."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 # ---- baselines ------------------------------------------------------------------------------------------------
 class MeanBaselineModel(FittedModel):
     DEFAULTS = with_state({"label": None, "prediction": "prediction"})
@@ -129,25 +139,28 @@ class Blend:
         self.folds, self.seed, self.parallelism = folds, seed, parallelism
 
     def fit(self, df: DataFrame) -> BlendModel:
-        meta = self.out_of_fold(df) if self.mode == "out_of_fold" else None
-        with ThreadPoolExecutor(self.parallelism) as pool:
-            fitted = dict(zip(self.bases, pool.map(lambda b: b.fit(df), self.bases.values())))
-        if meta is None:
-            meta = _apply_all(df, fitted, self.key)
-        # Predictions are read several times by an iterative fit.
-        meta = meta.persist()
+        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return BlendModel(fitted, self.final.fit(meta), self.key)
+            meta = self.out_of_fold(kept) if self.mode == "out_of_fold" else None
+            with ThreadPoolExecutor(self.parallelism) as pool:
+                fitted = dict(zip(self.bases, pool.map(lambda b: b.fit(kept), self.bases.values())))
+            if meta is None:
+                meta = _apply_all(kept, fitted, self.key)
+            return BlendModel(fitted, fit_cached(self.final, meta), self.key)
         finally:
-            meta.unpersist()
+            kept.unpersist()
 
     def out_of_fold(self, df: DataFrame) -> DataFrame:
         """Every row once, with base predictions by models fitted on the other folds."""
-        folded = k_fold(df, self.key, self.folds, seed=self.seed).persist()
+        folded = k_fold(df, self.key, self.folds, seed=self.seed)
 
         def one(i: int) -> DataFrame:
             train, held = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
-            return _apply_all(held, {n: b.fit(train) for n, b in self.bases.items()}, self.key)
+            train = train.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                return _apply_all(held, {n: b.fit(train) for n, b in self.bases.items()}, self.key)
+            finally:
+                train.unpersist()
 
         with ThreadPoolExecutor(self.parallelism) as pool:
             return reduce(DataFrame.unionByName, pool.map(one, range(self.folds))).drop("fold")

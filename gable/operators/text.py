@@ -156,36 +156,43 @@ class LSA(FittedStage):
         corpus = corpus.withColumn("_doc", F.concat_ws("|", "_c", "_key"))
         counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(
             F.count(F.lit(1)).alias("_tf")
-        )
+        ).checkpoint()
         # A term occurs once per text after counting, which bounds the rows of any term.
         n_texts = dataset.count() * len(cols)
         idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
-        terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", idf).checkpoint()
-        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df", max_group_rows=n_texts).withColumn("_w", F.col("_tf") * F.col("idf"))
+        # Whole-number ids make the joins of every iteration cheap; the checkpoints fix them.
+        number = F.monotonically_increasing_id()
+        terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(number.alias("term_id"), "term", "df", idf.alias("idf"))
+        terms = terms.checkpoint()
+        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df", max_group_rows=n_texts)
+        weighted = weighted.select("_doc", "term_id", (F.col("_tf") * F.col("idf")).alias("_w"))
         norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-        entries = weighted.join(norms, "_doc").select("_doc", "term", (F.col("_w") / F.col("_norm")).alias("_w")).checkpoint()
+        norms = norms.withColumn("doc_id", number).checkpoint()
+        entries = weighted.join(norms, "_doc").select("doc_id", "term_id", (F.col("_w") / F.col("_norm")).alias("_w")).checkpoint()
+        ids = terms.select("term_id", "df")
 
         names = [f"v{i}" for i in range(width)]
         # A start that depends on the term only, so every run begins the same way.
         start = [(F.xxhash64(F.col("term"), F.lit(i)) / F.lit(2.0**63)).alias(f"v{i}") for i in range(width)]
-        basis = terms.select("term", "df", "idf", *start)
+        basis = terms.select("term_id", "df", *start)
         for step in range(self.opt("iterations") + 1):
             gram = _small_gram(basis, names)
             values, vectors = np.linalg.eigh(gram)
             values = np.where(values > values.max() * 1e-14, values, np.inf)
-            basis = _rotate(basis, names, vectors / np.sqrt(values), ["term", "df", "idf"])
-            joined = lookup_join(entries, basis, ["term"], "inner", weight="df", max_group_rows=n_texts)
-            texts_side = joined.groupBy("_doc").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
+            basis = _rotate(basis, names, vectors / np.sqrt(values), ["term_id", "df"])
+            joined = lookup_join(entries, basis.hint("shuffle_hash"), ["term_id"], "inner", weight="df", max_group_rows=n_texts)
+            texts_side = joined.groupBy("doc_id").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
             if step == self.opt("iterations"):
                 break
-            back = entries.join(texts_side, "_doc").groupBy("term").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
-            basis = terms.join(back, "term").select("term", "df", "idf", *names).checkpoint()
+            back = entries.join(texts_side.hint("shuffle_hash"), "doc_id").groupBy("term_id")
+            back = back.agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
+            basis = ids.join(back, "term_id").select("term_id", "df", *names).checkpoint()
         values, vectors = np.linalg.eigh(_small_gram(texts_side, names))
-        found = _rotate(basis, names, vectors[:, ::-1][:, :k], ["term", "df", "idf"])
+        found = _rotate(basis, names, vectors[:, ::-1][:, :k], ["term_id"])
         # The free sign: the largest loading of a direction is positive.
         heads = found.agg(*[F.max_by(f"v{i}", F.abs(f"v{i}")).alias(f"v{i}") for i in range(k)]).first()
         signed = [(F.col(f"v{i}") * (1.0 if (heads[f"v{i}"] or 0) >= 0 else -1.0)).alias(f"v{i}") for i in range(k)]
-        terms = found.select("term", "df", "idf", *signed).checkpoint()
+        terms = terms.join(found.select("term_id", *signed), "term_id").drop("term_id").checkpoint()
         strength = np.sqrt(values[::-1][:k].clip(min=0)).tolist()
         return LSAModel(terms=terms, **self.options(), state={"singular_values": strength})
 

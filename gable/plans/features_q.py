@@ -10,7 +10,7 @@ from gable.operators import chain as C
 from gable.operators import encode, impute, reduce, select, text, timeseries
 from gable.operators.dates import DateTimeFeaturizer
 from gable.operators.profile import literal_rows
-from gable.plans.property_view import UNITS_SQL, row_bound, table, units, with_sql
+from gable.plans.property_view import UNITS_SQL, row_bound, table, text_table, units, with_sql
 from gable.plans.registry import query
 
 
@@ -249,7 +249,7 @@ _WORDS = f"[x for x in regexp_split_to_array(lower(translate(text, '{_PUNCT}', '
       AS "MEAN_CHARACTERS_PER_WORD(text)" FROM w""",
 )
 def text_stats(spark, sf_dir):
-    rows = text.TextFeaturizer(text_columns=["text"]).transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = text.TextFeaturizer(text_columns=["text"]).transform(text_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", *[F.round(F.col(f"`{c}`"), 9).alias(c) for c in rows.columns if c != "doc_id"]
     )
@@ -269,14 +269,14 @@ _LEXICON = [("the", 0.1), ("of", -0.1), ("and", 0.2), ("in", -0.3), ("to", 0.4),
 )
 def text_polarity(spark, sf_dir):
     lexicon = literal_rows(spark, _LEXICON, ["word", "score"])
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = text_table(spark, sf_dir, "documents").select("doc_id", "text")
     # A word occurs at most once per document after counting, so no key exceeds the number of documents.
     return _round(text.polarity(rows, "doc_id", "text", lexicon, row_bound(spark, sf_dir, "documents")))
 
 
 @query("lsa", "D13")
 def lsa(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = text_table(spark, sf_dir, "documents").select("doc_id", "text")
     return text.LSA(text_columns=["text"], key="doc_id").fit(rows).transform(rows)
 
 

@@ -37,7 +37,7 @@ def _rows(spark, sf_dir):
 )
 def linear_fit(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    fitted = M.linear_regressor(["area"], "price_p").fit(rows)
+    fitted = M.fit_cached(M.linear_regressor(["area"], "price_p"), rows)
     return fitted.transform(rows).select("unit_indx", F.round("prediction", 3).alias("prediction"))
 
 
@@ -47,7 +47,7 @@ def linear_fit(spark, sf_dir):
     with_sql(_FILLED, "SELECT 'area' AS feature, round(regr_slope(price_p, area), 6) AS importance FROM filled"),
 )
 def linear_importance(spark, sf_dir):
-    fitted = M.linear_regressor(["area"], "price_p").fit(_rows(spark, sf_dir))
+    fitted = M.fit_cached(M.linear_regressor(["area"], "price_p"), _rows(spark, sf_dir))
     out = M.feature_importance(spark, fitted, threshold=0.0)
     return out.select("feature", F.round("importance", 6).alias("importance"))
 
@@ -63,7 +63,7 @@ def linear_importance(spark, sf_dir):
 )
 def partitioned_predict(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    fitted = M.linear_regressor(["area"], "price_p", prediction="avm").fit(rows)
+    fitted = M.fit_cached(M.linear_regressor(["area"], "price_p", prediction="avm"), rows)
     return M.partitioned_predict(fitted, rows, 8, "unit_indx").select("unit_indx", F.round("avm", 3).alias("avm"))
 
 
@@ -78,7 +78,7 @@ def partitioned_predict(spark, sf_dir):
 )
 def partial_dependence(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    fitted = M.linear_regressor(["area"], "price_p").fit(rows)
+    fitted = M.fit_cached(M.linear_regressor(["area"], "price_p"), rows)
     out = M.partial_dependence(fitted, rows, "area", [10, 50, 100, 200])
     return out.withColumn("mean_prediction", F.round("mean_prediction", 3))
 
@@ -159,7 +159,8 @@ def knn_property(spark, sf_dir):
 @query("gbt_predict", "H2 H7")
 def gbt_predict(spark, sf_dir):
     rows = splits.split_by_key(_rows(spark, sf_dir), "unit_indx", 0.2)
-    fitted = M.tree_regressor(FEATURES, "price_p", n_estimators=8, max_depth=4, learning_rate=0.3).fit(rows.filter("split = 'train'"))
+    trees = M.tree_regressor(FEATURES, "price_p", n_estimators=8, max_depth=4, learning_rate=0.3)
+    fitted = M.fit_cached(trees, rows.filter("split = 'train'"))
     return fitted.transform(rows.filter("split = 'test'")).select("unit_indx", "price_p", "prediction")
 
 
@@ -200,7 +201,7 @@ def model_scores(spark, sf_dir):
     rows = splits.split_by_key(_rows(spark, sf_dir), "unit_indx", 0.2)
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     base = M.MeanBaseline(label="price_p", prediction="baseline").fit(train)
-    fitted = M.forest_regressor(FEATURES, "price_p", "avm").fit(train)
+    fitted = M.fit_cached(M.forest_regressor(FEATURES, "price_p", "avm"), train)
     scored = base.transform(fitted.transform(test))
     bound = row_bound(spark, sf_dir)
     out = None

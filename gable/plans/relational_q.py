@@ -9,7 +9,7 @@ from gable.operators import comparables as C
 from gable.operators import prep as P
 from gable.operators import profile as S
 from gable.operators import relational as R
-from gable.plans.property_view import PROPERTY_SQL, UNITS_SQL, VALUED_SQL, property_rows, row_bound, table, units, valued_units, with_sql
+from gable.plans.property_view import PROPERTY_SQL, UNITS_SQL, VALUED_SQL, property_rows, row_bound, table, text_table, units, valued_units, with_sql
 from gable.plans.registry import query
 from gable.runtime import scratch_path
 from gable.sources import readers, writers
@@ -37,14 +37,14 @@ LOOKUP_SQL = f"""lookup AS (SELECT postcode, property_type, {_aggregates([*FEATU
   count(*) AS density_count FROM units GROUP BY postcode, property_type)"""
 
 
-def _lookup(spark, sf_dir):
-    frame = C.build_lookup(units(spark, sf_dir), KEYS, FEATURES, "price_p", max_group_rows=row_bound(spark, sf_dir))
-    return _rounded(frame, 4)
+def _lookup(rows, bound):
+    frame = C.build_lookup(rows, KEYS, FEATURES, "price_p", max_group_rows=bound)
+    return frame.select(*KEYS, *[F.round(c, 4).alias(c) for c in frame.columns if "__" in c], "density_count")
 
 
 @query("comparables_lookup", "F1 F10", with_sql(f"{UNITS_SQL}, {LOOKUP_SQL}", "SELECT * FROM lookup"))
 def comparables_lookup(spark, sf_dir):
-    return _lookup(spark, sf_dir)
+    return _lookup(units(spark, sf_dir), row_bound(spark, sf_dir))
 
 
 _MINUS = ", ".join(f"round({c} - {c}__{op}, 4) AS {c}_minus_{op}" for c in FEATURES for op in C.OPS)
@@ -61,8 +61,8 @@ _PRICES = ", ".join(f"price_p__{op}" for op in C.OPS)
     ),
 )
 def comparables_features(spark, sf_dir):
-    rows = units(spark, sf_dir)
-    out = C.comparables_features(rows, _lookup(spark, sf_dir), KEYS, FEATURES, max_group_rows=row_bound(spark, sf_dir))
+    rows, bound = units(spark, sf_dir), row_bound(spark, sf_dir)
+    out = C.comparables_features(rows, _lookup(rows, bound), KEYS, FEATURES, max_group_rows=bound)
     minus = [F.round(f"{c}_minus_{op}", 4).alias(f"{c}_minus_{op}") for c in FEATURES for op in C.OPS]
     prices = [f"price_p__{op}" for op in C.OPS]
     out = R.rename(out, {"postcode": "POSTCODE"})
@@ -82,11 +82,12 @@ _MERGED = ", ".join(f"round({c} - {c}__{op}, 4) AS {c}_minus_{c}__{op}" for c in
     ),
 )
 def train_lookup_merge(spark, sf_dir):
-    lookup = _lookup(spark, sf_dir).withColumnRenamed("property_type", "property_type__")
+    rows, bound = units(spark, sf_dir), row_bound(spark, sf_dir)
+    lookup = _lookup(rows, bound).withColumnRenamed("property_type", "property_type__")
     carried = ["unit_indx", "property_type", "postcode", "postcode_area", "density_count", "price_p"]
     columns = ["unit_indx", "property_type", "postcode", "postcode_area", "price_p", *FEATURES]
     merged = C.merge_train_with_lookup(
-        units(spark, sf_dir).select(*columns), lookup, KEYS, FEATURES, "price_p", carried, row_bound(spark, sf_dir)
+        rows.select(*columns), lookup, KEYS, FEATURES, "price_p", carried, bound
     )
     return _rounded(merged, 4)
 
@@ -235,7 +236,7 @@ def half_even_round(spark, sf_dir):
     f"""SELECT doc_id, md5(lower(translate(text, '{D.PUNCTUATION.replace("'", "''")}', ''))) AS clean_md5 FROM documents""",
 )
 def text_normalise(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(D.clean_text("text")).alias("clean_md5"))
+    return text_table(spark, sf_dir, "documents").select("doc_id", F.md5(D.clean_text("text")).alias("clean_md5"))
 
 
 @query(

@@ -32,7 +32,7 @@ def shared_root(spark: SparkSession) -> str:
     Only a local session may go without it; then a temporary folder is made and set.
     """
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(root)
@@ -40,9 +40,8 @@ def shared_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="gable-")
-    spark.conf.set("spark.checkpoint.dir", root)
     context.setCheckpointDir(root)
-    return root
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -11,7 +11,7 @@ def frame(spark, rows, schema="y double, p double"):
 
 
 def test_registry():
-    assert len(M.all_metric_names()) == 40 and len(M.core_metric_names()) == 38
+    assert len(M.all_metric_names()) == 38 and len(M.core_metric_names()) == 36
     assert M.get_metric("mape").problem == "regression" and M.get_metric("MAE").bounded
     assert {m.name for m in M.core_metrics("binary")} >= {"AUC", "F1", "MCC Binary"}
     with pytest.raises(TypeError):

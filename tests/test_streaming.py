@@ -21,16 +21,33 @@ def test_only_new_files_are_scored(spark, tmp_path):
     assert out.exceptAll(want).count() == 0
 
 
+class FakeContext:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class FakeSession:
+    def __init__(self, setting, master, folder=None):
+        self.sparkContext = FakeContext(master, folder)
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+
+
 def test_shared_root_is_taken_from_the_session(spark):
-    root = shared_root(spark)
-    assert spark.conf.get("spark.checkpoint.dir") == root
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-    old = spark.conf.get("spark.checkpoint.dir")
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/shared/elsewhere")
-        assert shared_root(spark) == "/shared/elsewhere"
-    finally:
-        spark.conf.set("spark.checkpoint.dir", old)
+    assert scratch_path(spark, "x").startswith(shared_root(spark))
+    cluster = FakeSession("hdfs://shared/here", "yarn")
+    assert shared_root(cluster) == "hdfs://shared/here" and cluster.sparkContext.folder == "hdfs://shared/here"
+    assert shared_root(FakeSession(None, "yarn", "hdfs://set/before")) == "hdfs://set/before"
+    with pytest.raises(RuntimeError):
+        shared_root(FakeSession(None, "yarn"))
+    local = FakeSession(None, "local[2]")
+    assert shared_root(local) == local.sparkContext.folder
 
 
 def test_deduplicate(spark, tmp_path):
