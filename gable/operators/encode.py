@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from gable.operators.spread import lookup_join
 from gable.operators.stages import FittedModel, FittedStage, columns_of, with_state
-from gable.runtime import shared_root
+from gable.runtime import written
 
 _ONE_HOT = {
     "top_n": 100,
@@ -208,6 +208,5 @@ class TargetEncoder(FittedStage):
         )
         weight = 1 / (1 + F.exp(-(F.col("n") - 1) / F.lit(float(self.opt("smoothing")))))
         encoded = F.when(F.col("n") == 1, F.lit(prior)).otherwise(F.lit(prior) * (1 - weight) + F.col("mean") * weight)
-        shared_root(dataset.sparkSession)
-        mapping = stats.select("column", "value", "n", encoded.alias("encoded")).checkpoint()
+        mapping = stats.select("column", "value", "n", encoded.alias("encoded")).transform(written)
         return TargetEncoderModel(mapping=mapping, **self.options(), state={"cols": cols, "prior": prior})

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gable.operators.spread import hash_order
 from gable.operators.stages import FittedModel, FittedStage, with_state
-from gable.runtime import shared_root
+from gable.runtime import written
 
 CHUNK_ROWS = 20_000
 ROWS_PER_PIVOT = 2_000
@@ -105,9 +105,8 @@ def knn_join(
     """
     vector = F.col(features).cast("array<double>") if isinstance(features, str) else vector_of(features)
     # Both sides are read several times below; writing them once cuts off whatever produced them.
-    shared_root(queries.sparkSession)
-    q = queries.select(F.col(query_key).alias("id"), vector.alias("vector")).checkpoint()
-    t = train.select(F.col(train_key).alias("id"), vector.alias("vector")).checkpoint()
+    q = queries.select(F.col(query_key).alias("id"), vector.alias("vector")).transform(written)
+    t = train.select(F.col(train_key).alias("id"), vector.alias("vector")).transform(written)
     n = t.count()
     n_pivots = int(min(MAX_PIVOTS, max(1, n // rows_per_pivot)))
     # A bounded, reproducible choice: MAX_PIVOTS vectors at most reach the driver.
@@ -119,7 +118,7 @@ def knn_join(
             F.lit(0.0).alias("distance"), F.lit(0).alias("nn"),
         )
     pivots = np.array([r["vector"] for r in chosen], dtype=float)
-    placed = _assign(t, pivots).checkpoint()
+    placed = _assign(t, pivots).transform(written)
 
     radius = placed.groupBy("cell").agg(F.max("gap").alias("radius"))
     ring = F.when(F.col("radius") > 0, F.ceil(F.col("gap") / F.col("radius") * RINGS)).otherwise(0)

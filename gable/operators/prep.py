@@ -9,7 +9,7 @@ from gable.functions import domain as D
 from gable.operators import relational as R
 from gable.operators.spread import lookup_join
 from gable.operators.splits import split_by_key
-from gable.runtime import shared_root
+from gable.runtime import written
 
 # ---- fixed values: columns of a prepared row --------------------------------------------------------
 PREPARED = [
@@ -94,8 +94,7 @@ def prepare_and_split(
     (area, type) key occurs more than five times are split by that key. Other rows are left out.
     """
     # The splits read the prepared rows many times: they are written once.
-    shared_root(df.sparkSession)
-    prepared = prepare(df, target=target, index=index, max_group_rows=max_group_rows, **options).checkpoint()
+    prepared = prepare(df, target=target, index=index, max_group_rows=max_group_rows, **options).transform(written)
     outer = split_by_key(prepared, index, test_size, ["POSTCODE_AREA"], seed, names=("rest", "validate"))
     aside = outer.filter("split = 'validate'")
     rest = R.drop_nan_target_rows(outer.filter("split = 'rest'"), target).na.drop(subset=["TOTAL_FLOOR_AREA_e"])

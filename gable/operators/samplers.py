@@ -15,7 +15,7 @@ from gable.operators.knn import knn_join, vector_of
 from gable.operators.reduce import check_numeric_without_nulls
 from gable.operators.splits import k_fold, split_by_key, training_validation_split
 from gable.operators.spread import rank_by_hash
-from gable.runtime import shared_root
+from gable.runtime import written
 
 
 def class_sizes(df: DataFrame, target: str) -> dict[object, int]:
@@ -125,7 +125,6 @@ class SMOTE:
         wanted: dict[object, int] | None = None,
     ) -> DataFrame:
         """``group`` restricts neighbours further (rows of one class and group); ``wanted`` counts new rows per group."""
-        shared_root(df.sparkSession)
         self.check(df, [c for c in features if c in self.numeric(features)])
         by = group or target
         sizes = class_sizes(df, by)
@@ -167,7 +166,7 @@ class SMOTE:
         space = space.withColumn("_x", F.concat("_x", F.array(_per_class(by, codes, 0.0).cast("double"))))
         near = knn_join(space, space, self.k, key, key, "_x", exclude_self=True)
         # A small class reaches into others, whose distance exceeds any inside a class.
-        return near.filter(F.col("distance") <= span * (1 + 1e-9)).checkpoint()
+        return near.filter(F.col("distance") <= span * (1 + 1e-9)).transform(written)
 
 
 class SMOTENC(SMOTE):
@@ -228,7 +227,7 @@ class SMOTETomek:
         self.smote = SMOTE(k_neighbors, seed)
 
     def fit_resample(self, df: DataFrame, target: str, key: str, features: Sequence[str]) -> DataFrame:
-        grown = self.smote.fit_resample(df, target, key, features).checkpoint()
+        grown = self.smote.fit_resample(df, target, key, features).transform(written)
         return grown.join(tomek_links(grown, target, key, features), key, "left_anti")
 
 

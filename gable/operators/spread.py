@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gable.runtime import shared_root
+from gable.runtime import written
 
 # Groups up to this many rows are left to Spark's own exact `percentile`.
 GROUP_ROWS_PER_TASK = 2_000_000
@@ -74,7 +74,6 @@ def _fixed_order(df: DataFrame, order: Sequence[str | Column], strata: Sequence[
 
     Range bounds come from sampling, so positions are only stable once they are materialised.
     """
-    shared_root(df.sparkSession)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = (
         df.withColumn(_STRATUM, stratum_label(strata))
@@ -83,7 +82,7 @@ def _fixed_order(df: DataFrame, order: Sequence[str | Column], strata: Sequence[
         .withColumn(_ROW, F.monotonically_increasing_id())
     )
     # The partition number sits above bit 33 of the generated id.
-    return ranged.withColumn(_BUCKET, F.shiftright(_ROW, 33)).checkpoint()
+    return ranged.withColumn(_BUCKET, F.shiftright(_ROW, 33)).transform(written)
 
 
 def _with_offsets(fixed: DataFrame, aggs: dict[str, Column], strata: Sequence[str]) -> DataFrame:

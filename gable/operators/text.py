@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from gable.functions.domain import clean_text
 from gable.operators.spread import lookup_join
 from gable.operators.stages import ExpressionTransformer, FittedModel, FittedStage, with_state
-from gable.runtime import shared_root
+from gable.runtime import written
 
 # ---- fixed value: words of the vocabulary, two or more word characters ---------------------------------
-TERM = r"(?U)\b\w\w+\b"
+TERM = r"(?U)\w{2,}"
 # --------------------------------------------------------------------------------------------------------
 
 
@@ -65,7 +65,7 @@ def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame, max_group_r
     return df.select(key).join(sums, key, "left").withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
 
 
-_LSA = {"text_columns": [], "key": None, "components": 2, "oversamples": 4, "iterations": 6}
+_LSA = {"text_columns": [], "key": None, "components": 2, "oversamples": 4, "iterations": 5}
 
 
 class LSAModel(FittedModel):
@@ -129,6 +129,14 @@ def _small_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
     return gram
 
 
+# A side of an iteration's join is broadcast up to this estimated size, and shuffled beyond it.
+BROADCAST_BYTES = 64 << 20
+
+
+def _join_hint(rows: int, width: int) -> str:
+    return "broadcast" if rows * (width + 2) * 8 <= BROADCAST_BYTES else "shuffle_hash"
+
+
 def _rotate(df: DataFrame, cols: list[str], by: np.ndarray, keep: list[str]) -> DataFrame:
     """Replace ``cols`` by their products with the columns of a small matrix."""
     made = [
@@ -148,7 +156,6 @@ class LSA(FittedStage):
     MODEL = LSAModel
 
     def _fit(self, dataset):
-        shared_root(dataset.sparkSession)
         cols, k = check_text_columns(dataset, self.opt("text_columns")), self.opt("components")
         width = k + self.opt("oversamples")
         texts = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_text")) for c in cols])
@@ -156,20 +163,21 @@ class LSA(FittedStage):
         corpus = corpus.withColumn("_doc", F.concat_ws("|", "_c", "_key"))
         counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(
             F.count(F.lit(1)).alias("_tf")
-        ).checkpoint()
+        ).transform(written)
         # A term occurs once per text after counting, which bounds the rows of any term.
         n_texts = dataset.count() * len(cols)
         idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
         # Whole-number ids make the joins of every iteration cheap; the checkpoints fix them.
         number = F.monotonically_increasing_id()
         terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(number.alias("term_id"), "term", "df", idf.alias("idf"))
-        terms = terms.checkpoint()
+        terms = terms.transform(written)
         weighted = lookup_join(counts, terms, ["term"], "inner", weight="df", max_group_rows=n_texts)
         weighted = weighted.select("_doc", "term_id", (F.col("_tf") * F.col("idf")).alias("_w"))
         norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-        norms = norms.withColumn("doc_id", number).checkpoint()
-        entries = weighted.join(norms, "_doc").select("doc_id", "term_id", (F.col("_w") / F.col("_norm")).alias("_w")).checkpoint()
+        norms = norms.withColumn("doc_id", number).transform(written)
+        entries = weighted.join(norms, "_doc").select("doc_id", "term_id", (F.col("_w") / F.col("_norm")).alias("_w")).transform(written)
         ids = terms.select("term_id", "df")
+        term_hint, text_hint = _join_hint(terms.count(), width), _join_hint(n_texts, width)
 
         names = [f"v{i}" for i in range(width)]
         # A start that depends on the term only, so every run begins the same way.
@@ -180,19 +188,19 @@ class LSA(FittedStage):
             values, vectors = np.linalg.eigh(gram)
             values = np.where(values > values.max() * 1e-14, values, np.inf)
             basis = _rotate(basis, names, vectors / np.sqrt(values), ["term_id", "df"])
-            joined = lookup_join(entries, basis.hint("shuffle_hash"), ["term_id"], "inner", weight="df", max_group_rows=n_texts)
+            joined = lookup_join(entries, basis.hint(term_hint), ["term_id"], "inner", weight="df", max_group_rows=n_texts)
             texts_side = joined.groupBy("doc_id").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
             if step == self.opt("iterations"):
                 break
-            back = entries.join(texts_side.hint("shuffle_hash"), "doc_id").groupBy("term_id")
+            back = entries.join(texts_side.hint(text_hint), "doc_id").groupBy("term_id")
             back = back.agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
-            basis = ids.join(back, "term_id").select("term_id", "df", *names).checkpoint()
+            basis = ids.join(back, "term_id").select("term_id", "df", *names).transform(written)
         values, vectors = np.linalg.eigh(_small_gram(texts_side, names))
         found = _rotate(basis, names, vectors[:, ::-1][:, :k], ["term_id"])
         # The free sign: the largest loading of a direction is positive.
         heads = found.agg(*[F.max_by(f"v{i}", F.abs(f"v{i}")).alias(f"v{i}") for i in range(k)]).first()
         signed = [(F.col(f"v{i}") * (1.0 if (heads[f"v{i}"] or 0) >= 0 else -1.0)).alias(f"v{i}") for i in range(k)]
-        terms = terms.join(found.select("term_id", *signed), "term_id").drop("term_id").checkpoint()
+        terms = terms.join(found.select("term_id", *signed), "term_id").drop("term_id").transform(written)
         strength = np.sqrt(values[::-1][:k].clip(min=0)).tolist()
         return LSAModel(terms=terms, **self.options(), state={"singular_values": strength})
 
