@@ -54,8 +54,8 @@ def _assign(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
             cell = d.argmin(axis=1)
             yield b.assign(cell=cell.astype("int32"), gap=d[np.arange(len(b)), cell])
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(nearest, f"id {id_type}, vector array<double>, cell int, gap double")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInPandas(nearest, f"{kept}, cell int, gap double")
 
 
 def _visits(queries: DataFrame, pivots: np.ndarray, rings: pd.DataFrame, k: int, loose: int) -> DataFrame:
@@ -98,15 +98,18 @@ def knn_join(
     exclude_self: bool = False,
     chunk_rows: int = CHUNK_ROWS,
     rows_per_pivot: int = ROWS_PER_PIVOT,
+    carry: str | None = None,
 ) -> DataFrame:
     """(query_key, neighbour, distance, nn): the k nearest train rows, ties to the smaller key.
 
-    ``features`` is a list of numeric columns or the name of one array column. Keys must be unique.
+    ``features`` is a list of numeric columns or the name of one array column. Keys must be unique. ``carry``
+    names a numeric train column that comes along as ``carried``, so that no join has to fetch it.
     """
     vector = F.col(features).cast("array<double>") if isinstance(features, str) else vector_of(features)
     # Both sides are read several times below; writing them once cuts off whatever produced them.
     q = queries.select(F.col(query_key).alias("id"), vector.alias("vector")).transform(written)
-    t = train.select(F.col(train_key).alias("id"), vector.alias("vector")).transform(written)
+    payload = F.col(carry).cast("double") if carry else F.lit(0.0)
+    t = train.select(F.col(train_key).alias("id"), vector.alias("vector"), payload.alias("carried")).transform(written)
     n = t.count()
     n_pivots = int(min(MAX_PIVOTS, max(1, n // rows_per_pivot)))
     # A bounded, reproducible choice: MAX_PIVOTS vectors at most reach the driver.
@@ -115,7 +118,7 @@ def knn_join(
     if not chosen:
         return q.limit(0).select(
             F.col("id").alias(query_key), F.col("id").cast(id_type).alias("neighbour"),
-            F.lit(0.0).alias("distance"), F.lit(0).alias("nn"),
+            F.lit(0.0).alias("distance"), F.lit(0.0).alias("carried"), F.lit(0).alias("nn"),
         )
     pivots = np.array([r["vector"] for r in chosen], dtype=float)
     placed = _assign(t, pivots).transform(written)
@@ -149,7 +152,7 @@ def knn_join(
 
     def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": []})
+            return pd.DataFrame({"id": [], "neighbour": [], "distance": [], "carried": []})
         b = b.sort_values("id")
         ids = b["id"].to_numpy()
         d = _distances(_matrix(a["vector"]), _matrix(b["vector"]))
@@ -159,12 +162,13 @@ def knn_join(
         best = d.argsort(axis=1, kind="stable")[:, :k]
         dist = np.take_along_axis(d, best, axis=1).ravel()
         out = pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), best.shape[1]), "neighbour": ids[best].ravel(), "distance": dist})
+        out["carried"] = b["carried"].to_numpy()[best].ravel()
         return out[np.isfinite(out["distance"])]
 
     pairs = (
         left.groupBy("cell", "tc", "qc")
         .cogroup(right.groupBy("cell", "tc", "qc"))
-        .applyInPandas(closest, f"id {q.schema['id'].dataType.simpleString()}, neighbour {id_type}, distance double")
+        .applyInPandas(closest, f"id {q.schema['id'].dataType.simpleString()}, neighbour {id_type}, distance double, carried double")
     )
     nn = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
     return pairs.withColumn("nn", nn).filter(F.col("nn") <= k).withColumnRenamed("id", query_key)
@@ -193,10 +197,8 @@ class KNeighborsRegressorModel(FittedModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, k = self.opt("key"), self.opt("n_neighbors")
         near = knn_join(
-            dataset, self.train, k, key, key, self.opt("features"), chunk_rows=self.opt("chunk_rows")
-        )
-        labels = self.train.select(F.col(key).alias("neighbour"), F.col(self.opt("label")).cast("double").alias("_y"))
-        near = near.join(labels, "neighbour")
+            dataset, self.train, k, key, key, self.opt("features"), chunk_rows=self.opt("chunk_rows"), carry=self.opt("label")
+        ).withColumnRenamed("carried", "_y")
         if self.opt("weights") == "uniform":
             value = F.avg("_y")
         else:

@@ -375,7 +375,9 @@ def auc_multiclass(df: DataFrame, y: str, probs: str) -> DataFrame:
         (F.sum(F.col("auc") * F.col("n_positive")) / F.sum("n_positive")).alias("auc_weighted"),
     )
     micro = auc(long, "_hit", "_score").select(F.col("auc").alias("auc_micro"))
-    return each.crossJoin(F.broadcast(micro))  # one row each
+    names = ["auc_macro", "auc_weighted", "auc_micro"]
+    # Two single rows with different columns, folded into one.
+    return each.unionByName(micro, allowMissingColumns=True).agg(*[F.max(n).alias(n) for n in names])
 
 
 # ---- comparison and reports ---------------------------------------------------------------------------------

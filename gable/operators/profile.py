@@ -29,10 +29,9 @@ def value_counts(df: DataFrame, *cols: str, name: str = "n") -> DataFrame:
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Share of each non-null value as text such as ``12.34%`` (of all rows, null rows included)."""
-    counts = df.groupBy(F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.broadcast(df.agg(F.count(F.lit(1)).alias("total")))  # one row
-    share = F.col("n") / F.col("total") * 100
-    return counts.crossJoin(total).filter("target IS NOT NULL").select("target", F.format_string("%.2f%%", share).alias("share"))
+    total = df.count()
+    counts = df.groupBy(F.col(target).alias("target")).agg(F.count(F.lit(1)).alias("n")).filter("target IS NOT NULL")
+    return counts.select("target", F.format_string("%.2f%%", F.col("n") / F.lit(total) * 100).alias("share"))
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
@@ -120,7 +119,7 @@ def extremes(df: DataFrame, col: str) -> DataFrame:
 def detect_problem_type(df: DataFrame, target: str) -> str:
     """``binary``, ``multiclass`` or ``regression`` from the non-null target values.
 
-    Eleven distinct values decide every case, so the scan of distinct values stops there.
+    Eleven distinct values decide every case, so no more are counted.
     """
     values = df.select(target).filter(F.col(target).isNotNull()).distinct()
     n = values.limit(11).count()

@@ -166,7 +166,7 @@ class SMOTE:
         space = space.withColumn("_x", F.concat("_x", F.array(_per_class(by, codes, 0.0).cast("double"))))
         near = knn_join(space, space, self.k, key, key, "_x", exclude_self=True)
         # A small class reaches into others, whose distance exceeds any inside a class.
-        return near.filter(F.col("distance") <= span * (1 + 1e-9)).transform(written)
+        return near.filter(F.col("distance") <= span * (1 + 1e-9)).drop("carried").transform(written)
 
 
 class SMOTENC(SMOTE):

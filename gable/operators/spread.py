@@ -17,6 +17,8 @@ from gable.runtime import written
 
 # Groups up to this many rows are left to Spark's own exact `percentile`.
 GROUP_ROWS_PER_TASK = 2_000_000
+# Accuracy of the sketch that brackets the quantiles of a whole table.
+SKETCH = 10_000
 # Number of heaviest join keys that are salted, and salts given to each.
 HEAVY_KEYS = 1000
 SALTS = 64
@@ -140,6 +142,50 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return counted.first()["n"] or 0
 
 
+def _global_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], rows_per_task: int) -> dict[str, float | None]:
+    """Exact quantiles of whole columns from two scans and a ranking of the few rows around each.
+
+    A mergeable sketch gives a bracket of about 4 / SKETCH of the rows; counting the rows below and inside proves
+    that it holds the wanted positions. A bracket that does not (or cannot) is widened to the whole column.
+    """
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    slack = 2.0 / SKETCH
+    aggs = [F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)]
+    for name, (c, q) in wanted.items():
+        ends = [max(0.0, q - slack), min(1.0, q + slack)]
+        aggs.append(F.percentile_approx(F.col(c).cast("double"), ends, SKETCH).alias(f"ends_{name}"))
+    sketch = df.agg(*aggs).first()
+    sizes = {c: sketch[f"n_{i}"] for i, c in enumerate(columns)}
+    ends = {n: sketch[f"ends_{n}"] for n, (c, _) in wanted.items() if sizes[c]}
+    if not ends:
+        return {n: None for n in wanted}
+    counts = []
+    for name, (low, high) in ends.items():
+        v = F.col(wanted[name][0]).cast("double")
+        counts.append(F.sum((v < low).cast("long")).alias(f"below_{name}"))
+        counts.append(F.sum(v.between(low, high).cast("long")).alias(f"inside_{name}"))
+    seen = df.agg(*counts).first()
+    out: dict[str, float | None] = {n: None for n in wanted}
+    for name, (low, high) in ends.items():
+        c, q = wanted[name]
+        position = q * (sizes[c] - 1)
+        first, last = int(position), min(int(position) + 1, sizes[c] - 1)
+        below, inside = seen[f"below_{name}"], seen[f"inside_{name}"]
+        near = df.select(F.col(c).cast("double").alias("_v")).filter("_v IS NOT NULL")
+        if below <= first and last < below + inside:
+            near = near.filter(F.col("_v").between(low, high))
+        else:
+            below = 0
+        # Equal values are one row with their count, whatever their number.
+        ties = near.groupBy("_v").agg(F.count(F.lit(1)).alias("_k"))
+        run = running_totals(ties, ["_v"], ["_k"])
+        start, end = F.col("_k_before") + below, F.col("_k_before") + F.col("_k") + below
+        at = {p: (start <= p) & (end > p) for p in {first, last}}
+        values = run.agg(*[F.max(F.when(hit, F.col("_v"))).alias(f"p{p}") for p, hit in at.items()]).first()
+        out[name] = values[f"p{first}"] + (values[f"p{last}"] - values[f"p{first}"]) * (position - first)
+    return out
+
+
 def exact_quantiles(
     df: DataFrame,
     wanted: dict[str, tuple[str, float]],
@@ -151,17 +197,18 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles ``{name: (column, q)}`` per group, next to ``extra`` aggregates.
 
     ``max_group_rows`` is a known upper bound of the group size; without it the size is counted. Groups that
-    fit a task use the built-in `percentile`; otherwise positions are read from a distributed ranking.
+    fit a task use the built-in `percentile`; otherwise positions are read from a distributed ranking. Quantiles
+    of a whole large table are bracketed by a sketch first, so that only the rows near them are ranked.
     """
     bound = max_group_rows if max_group_rows is not None else largest_group(df, keys)
     if bound <= rows_per_task:
         exact = [F.percentile(F.col(c), F.lit(q)).alias(name) for name, (c, q) in wanted.items()]
         return df.groupBy(*keys).agg(*extra, *exact)
+    if not keys:
+        values = _global_quantiles(df, wanted, rows_per_task)
+        return df.agg(F.count(F.lit(1)).alias("_rows"), *extra, *[F.lit(v).cast("double").alias(n) for n, v in values.items()]).drop("_rows")
     counted = [*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra]
-    if keys:
-        result = df.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM).agg(*counted)
-    else:
-        result = df.agg(*counted).withColumn(_STRATUM, stratum_label(keys))
+    result = df.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM).agg(*counted)
     for column in dict.fromkeys(c for c, _ in wanted.values()):
         values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter("_v IS NOT NULL")
         ranked = rank_by_order(values, ["_v"], keys, "_rank", "_size")
@@ -212,6 +259,9 @@ def lookup_join(
     """
     if max_group_rows is not None and max_group_rows <= GROUP_ROWS_PER_TASK:
         return rows.join(lookup, list(keys), how)
+    if weight:
+        # Read twice below (heavy keys, join): an aggregate should not be computed twice.
+        lookup = lookup.transform(written)
     source = lookup if weight else rows
     heavy = F.broadcast(heavy_keys(source, keys, weight).withColumn("_heavy", F.lit(True)))
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gable.operators.spread import GROUP_ROWS_PER_TASK, largest_group, rank_by_order
+from gable.operators.spread import GROUP_ROWS_PER_TASK, largest_group, lookup_join, rank_by_order
 from gable.operators.stages import ExpressionTransformer, FittedModel, FittedStage, with_state
 
 CHUNK_ROWS = 1_000_000
@@ -94,7 +94,7 @@ class DelayedFeatureTransformer(ExpressionTransformer):
         for c in dict.fromkeys(c for c, _ in shifts.values()):
             if isinstance(dataset.schema[c].dataType, T.StringType):
                 codes = ordinal_codes(dataset, c).select(F.col("value").alias(c), F.col("code").alias(f"_code_{c}"))
-                rows = rows.join(codes, c, "left")
+                rows = lookup_join(rows, codes, [c], max_group_rows=self.opt("max_group_rows"))
                 coded[c] = f"_code_{c}"
         plan = {n: (coded.get(c, c), t) for n, (c, t) in shifts.items()}
         out = shifted(rows, self.opt("order"), plan, self.opt("series"), self.opt("max_group_rows"))

@@ -153,7 +153,8 @@ def standard_scale(spark, sf_dir):
 @query(
     "date_parts",
     "D8",
-    """SELECT event_id, year(ts) AS ts_year, month(ts) - 1 AS ts_month, dayofweek(ts) AS ts_day_of_week, hour(ts) AS ts_hour
+    """SELECT event_id, year(ts)::INTEGER AS ts_year, (month(ts) - 1)::INTEGER AS ts_month,
+    dayofweek(ts)::INTEGER AS ts_day_of_week, hour(ts)::INTEGER AS ts_hour
     FROM events""",
 )
 def date_parts(spark, sf_dir):
@@ -283,8 +284,8 @@ def lsa(spark, sf_dir):
 @query(
     "auto_features",
     "D16",
-    """SELECT event_id, user_id, value, day(ts) AS "DAY(ts)", month(ts) AS "MONTH(ts)", isodow(ts) - 1 AS "WEEKDAY(ts)",
-    year(ts) AS "YEAR(ts)", length(props) AS "NUM_CHARACTERS(props)", len(string_split(props, ' ')) AS "NUM_WORDS(props)",
+    """SELECT event_id, user_id, value, day(ts)::INTEGER AS "DAY(ts)", month(ts)::INTEGER AS "MONTH(ts)", (isodow(ts) - 1)::INTEGER AS "WEEKDAY(ts)",
+    year(ts)::INTEGER AS "YEAR(ts)", length(props)::INTEGER AS "NUM_CHARACTERS(props)", len(string_split(props, ' '))::INTEGER AS "NUM_WORDS(props)",
     round(2 * 3958.7613 * asin(sqrt(pow(sin(radians(51.5 - lat) / 2), 2)
       + cos(radians(lat)) * cos(radians(51.5)) * pow(sin(radians(-0.12 - lon) / 2), 2))), 6) AS "HAVERSINE(lat, home_lat)"
     FROM (SELECT *, 51.0 + user_id / 100.0::DOUBLE AS lat, -0.5 + user_id / 200.0::DOUBLE AS lon FROM events)""",
@@ -362,8 +363,8 @@ _SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
         UNITS_SQL,
         "SELECT unit_indx, price_p, round(coalesce(area, (SELECT avg(area) FROM units)), 6) AS area, "
         "round(coalesce(floor_level, (SELECT avg(floor_level) FROM units)), 6) AS floor_level, "
-        "year(sold_at) AS sold_at_year, month(sold_at) - 1 AS sold_at_month, dayofweek(sold_at) AS sold_at_day_of_week, "
-        "hour(sold_at) AS sold_at_hour, "
+        "year(sold_at)::INTEGER AS sold_at_year, (month(sold_at) - 1)::INTEGER AS sold_at_month, "
+        "dayofweek(sold_at)::INTEGER AS sold_at_day_of_week, hour(sold_at)::INTEGER AS sold_at_hour, "
         + ", ".join(f"CASE WHEN property_type = '{s}' THEN 1.0::DOUBLE ELSE 0.0 END AS property_type_{s}" for s in _SEGMENTS)
         + " FROM units",
     ),

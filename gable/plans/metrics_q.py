@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gable.operators import metrics as M
+from gable.operators.models import MeanBaseline
 from gable.plans.property_view import VALUED_SQL, row_bound, table, valued_units, with_sql
 from gable.plans.registry import query
 
@@ -86,12 +87,10 @@ def _diff(s, b, worse, bounded):
 )
 def percent_difference(spark, sf_dir):
     rows = valued_units(spark, sf_dir)
-    base = F.broadcast(rows.agg(F.avg("price_p").alias("base")))  # one row
-    names = ["MAPE", "MAE"]
-    both = M.regression_scores(rows, "price_p", "avm", names).crossJoin(
-        F.broadcast(
-            M.regression_scores(rows.crossJoin(base), "price_p", "base", names).toDF("mape_base", "mae_base")  # one row
-        )
+    rows = MeanBaseline(label="price_p", prediction="base").fit(rows).transform(rows)
+    ours, theirs = (M.regression_aggregates("price_p", p) for p in ("avm", "base"))
+    both = rows.agg(
+        *[ours[m].alias(m) for m in ("mape", "mae")], *[theirs[m].alias(f"{m}_base") for m in ("mape", "mae")]
     )
     return both.select(
         F.round(M.percent_difference("MAPE", F.col("mape"), F.col("mape_base")), 6).alias("mape_change"),

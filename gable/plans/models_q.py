@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -15,6 +15,7 @@ from gable.operators.relational import fill_nulls
 from gable.operators.select import importance_table
 from gable.plans.property_view import UNITS_SQL, row_bound, table, units, with_sql
 from gable.plans.registry import query
+from gable.runtime import scratch_path
 
 FILL = {"area": -1.0, "floor_level": 0.0}
 FEATURES = ["area", "heated_rooms", "floor_level"]
@@ -67,6 +68,22 @@ def partitioned_predict(spark, sf_dir):
     return M.partitioned_predict(fitted, rows, 8, "unit_indx").select("unit_indx", F.round("avm", 3).alias("avm"))
 
 
+@query(
+    "model_round_trip",
+    "A12 H6 B15",
+    with_sql(
+        _FILLED,
+        """SELECT unit_indx, round((SELECT regr_intercept(price_p, area) FROM filled) + (SELECT regr_slope(price_p, area) FROM filled) * area, 3)
+        AS prediction FROM filled""",
+    ),
+)
+def model_round_trip(spark, sf_dir):
+    rows = _rows(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    M.fit_cached(M.linear_regressor(["area"], "price_p"), rows).write().save(path)
+    return PipelineModel.load(path).transform(rows).select("unit_indx", F.round("prediction", 3).alias("prediction"))
+
+
 @query(
     "partial_dependence",
     "H12",

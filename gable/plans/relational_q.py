@@ -474,7 +474,7 @@ def row_concat(spark, sf_dir):
 @query(
     "index_join",
     "E10",
-    """SELECT o_orderkey, o_totalprice, year(o_orderdate) AS sold_year, month(o_orderdate) - 1 AS sold_month FROM orders""",
+    """SELECT o_orderkey, o_totalprice, year(o_orderdate)::INTEGER AS sold_year, (month(o_orderdate) - 1)::INTEGER AS sold_month FROM orders""",
 )
 def index_join(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
