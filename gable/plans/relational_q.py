@@ -93,7 +93,7 @@ def train_lookup_merge(spark, sf_dir):
 
 
 # Suppliers get coordinates from their keys, so that many share a spot.
-_SPOTS_SQL = """spots AS (SELECT s_suppkey, s_acctbal, radians(51.5 + (s_suppkey % 37) * 0.0007) AS lat,
+_SPOTS_SQL = """spots AS (SELECT s_suppkey, CAST(round(s_acctbal * 100) AS BIGINT) AS pence, radians(51.5 + (s_suppkey % 37) * 0.0007) AS lat,
   radians(-0.12 + (s_nationkey % 11) * 0.0009) AS lon FROM supplier)"""
 _HALF = D.HALF_SIDE_METRES
 _RADIUS = (
@@ -105,7 +105,7 @@ _RADIUS = (
 def _spots(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select(
         "s_suppkey",
-        "s_acctbal",
+        F.round(F.col("s_acctbal") * 100).cast("long").alias("pence"),
         D.deg2rad(51.5 + (F.col("s_suppkey") % 37) * 0.0007).alias("lat"),
         D.deg2rad(-0.12 + (F.col("s_nationkey") % 11) * 0.0009).alias("lon"),
     )
@@ -140,23 +140,23 @@ def geo_bbox(spark, sf_dir):
     "E9",
     with_sql(
         _SPOTS_SQL
-        + f""", places AS (SELECT lat, lon, count(*) AS n, sum(s_acctbal) AS total FROM spots GROUP BY lat, lon),
+        + f""", places AS (SELECT lat, lon, count(*) AS n, sum(pence) AS total FROM spots GROUP BY lat, lon),
         box AS (SELECT lat, lon, lat - {_HALF}/{_RADIUS} AS lat0, lat + {_HALF}/{_RADIUS} AS lat1,
           lon - {_HALF}/({_RADIUS}*cos(lat)) AS lon0, lon + {_HALF}/({_RADIUS}*cos(lat)) AS lon1
           FROM places)""",
         """SELECT round(degrees(b.lat), 7) AS lat, round(degrees(b.lon), 7) AS lon,
-        CAST(sum(p.n) AS BIGINT) AS n_nearby, round(sum(p.total)/sum(p.n), 4) AS mean_nearby
+        CAST(sum(p.n) AS BIGINT) AS n_nearby, CAST(sum(p.total) AS DOUBLE) / CAST(sum(p.n) AS DOUBLE) AS mean_nearby
         FROM box b JOIN places p ON p.lat BETWEEN lat0 AND lat1 AND p.lon BETWEEN lon0 AND lon1
         GROUP BY b.lat, b.lon""",
     ),
 )
 def neighbourhood_prices(spark, sf_dir):
-    near = C.neighbourhood_stats(_spots(spark, sf_dir), "lat", "lon", "s_acctbal")
+    near = C.neighbourhood_stats(_spots(spark, sf_dir), "lat", "lon", "pence")
     return near.select(
         F.round(F.degrees("lat"), 7).alias("lat"),
         F.round(F.degrees("lon"), 7).alias("lon"),
         "n_nearby",
-        F.round("mean_nearby", 4).alias("mean_nearby"),
+        "mean_nearby",
     )
 
 
