@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gable.llm import packing, pii, quality
+from gable.llm import chat, licenses, packing, pii, quality, rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,3 +41,19 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", *quality.FIGURES, "base_failed", "kept", "score")
+
+
+@query("op2_license_scan", licenses.SQL)
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op1_perspective_rotation", chat.SQL)
+def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mask = F.array_join(F.transform("mask", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("mask", mask)
+
+
+@query("op9_token_rollup", rollups.SQL)
+def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.replayed(table(spark, sf_dir, "documents"))
