@@ -49,9 +49,9 @@ def _grams(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return buckets, np.concatenate((owner, owner[:-1][same] if len(owner) > 1 else owner[:0]))
 
 
-def measures(chunk: Chunk, counts: np.ndarray | None = None, good: np.ndarray | None = None) -> dict[str, np.ndarray]:
-    """The rules' figures of each text of a chunk and, given the counts (raw, target) and which texts are in the target,
-    the mean log ratio."""
+def measures(chunk: Chunk, counts: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The rules' figures of each text of a chunk and, given the counts (raw, target), the mean log ratio, both for the
+    case that the text is in the target (score_in) and that it is not (score_out)."""
     n = chunk.n
     words, owner, prefix = _words(chunk)
     out = {"n_words": np.bincount(owner, minlength=n)}
@@ -85,71 +85,64 @@ def measures(chunk: Chunk, counts: np.ndarray | None = None, good: np.ndarray |
         buckets, of = _grams(words, owner)
         keys, own = np.unique(of * BUCKETS + buckets, return_counts=True)
         of, bucket = keys // BUCKETS, keys % BUCKETS
-        raw, target = counts[0][bucket] - own, counts[1][bucket] - own * good[of]
         share = counts[1].sum() / max(1, counts[0].sum())
-        ratio = np.log((target + ALPHA) / (raw * share + ALPHA)) if share else np.zeros(len(keys))
-        total, size = np.bincount(of, weights=own * ratio, minlength=n), np.bincount(of, weights=own, minlength=n)
-        out["score"] = np.divide(total, size, out=np.zeros(n), where=size > 0)
+        below = np.log((counts[0][bucket] - own) * share + ALPHA)
+        size = np.bincount(of, weights=own, minlength=n)
+        for name, target in (("score_in", np.maximum(counts[1][bucket] - own, 0)), ("score_out", counts[1][bucket])):
+            total = np.bincount(of, weights=own * (np.log(target + ALPHA) - below), minlength=n) if share else np.zeros(n)
+            out[name] = np.divide(total, size, out=np.zeros(n), where=size > 0)
     return out
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and good (1, 0 or null for no label) of every row of docs."""
-    flags = (
-        labels.select(labels["doc_id"].cast("long").alias("id"), labels["quality"].cast("int").alias("q"))
-        .where("id is not null and q is not null")
-        .groupBy("id")
-        .agg(F.min("q").alias("good"))
-    )
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.join(flags, rows["doc_id"] == flags["id"], "left").select("doc_id", "text", "good")
+def good_labels(labels: DataFrame) -> DataFrame:
+    """id and good (1 or 0) of every labelled id."""
+    flags = labels.select(labels["doc_id"].cast("long").alias("id"), labels["quality"].cast("int").alias("q"))
+    return flags.where("id is not null and q is not null").groupBy("id").agg(F.min("q").alias("good"))
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """bucket, n_raw and n_target over all rows of (text, good): each task adds up its own table, then buckets are summed."""
+    """bucket and n over all texts: each task adds up its own table, then buckets are summed."""
 
     def run(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            good = np.array([g == 1 for g in batch.column("good").to_pylist()], dtype=bool)
             for chunk in chunks(texts_of(batch.column("text"))):
                 words, owner, _ = _words(chunk)
-                buckets, of = _grams(words, owner)
-                raw += np.bincount(buckets, minlength=BUCKETS)
-                target += np.bincount(buckets[good[chunk.first : chunk.last][of]], minlength=BUCKETS)
-        used = np.flatnonzero(raw)
-        arrays = [pa.array(used), pa.array(raw[used]), pa.array(target[used])]
-        yield pa.RecordBatch.from_arrays(arrays, ["bucket", "n_raw", "n_target"])
-
-    return rows.select("text", "good").mapInArrow(run, "bucket long, n_raw long, n_target long").groupBy("bucket").agg(
-        F.sum("n_raw").alias("n_raw"), F.sum("n_target").alias("n_target")
-    )
+                total += np.bincount(_grams(words, owner)[0], minlength=BUCKETS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
+
+    return rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def collected(counts: DataFrame) -> np.ndarray:
-    """The counts as two rows, raw and target. At most BUCKETS rows reach the driver."""
-    out = np.zeros((2, BUCKETS), np.int64)
-    for bucket, n_raw, n_target in counts.select("bucket", "n_raw", "n_target").collect():
-        out[:, bucket] = n_raw, n_target
+def collected(*counts: DataFrame) -> np.ndarray:
+    """One row of counts per table. At most BUCKETS rows of each reach the driver."""
+    out = np.zeros((len(counts), BUCKETS), np.int64)
+    for place, one in enumerate(counts):
+        for bucket, n in one.collect():
+            out[place, bucket] = n
     return out
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+SCORES = ("score_in", "score_out")
+
+
 def measure(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, good, the rules' figures and the score of each row of (doc_id, text, good)."""
+    """doc_id, the rules' figures and both scores of each row of (doc_id, text)."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         for batch in batches:
-            good = np.array([g == 1 for g in batch.column("good").to_pylist()], dtype=bool)
-            parts = [measures(c, shared.value, good[c.first : c.last]) for c in chunks(texts_of(batch.column("text")))]
-            columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0)) for k in (*FIGURES, "score")]
-            columns = [c.cast(pa.int64()) for c in columns[:-1]] + [columns[-1].cast(pa.float64())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("good"), *columns], ["doc_id", "good", *FIGURES, "score"])
+            parts = [measures(c, shared.value) for c in chunks(texts_of(batch.column("text")))]
+            kinds = [(k, pa.int64()) for k in FIGURES] + [(k, pa.float64()) for k in SCORES]
+            columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0)).cast(kind) for k, kind in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *FIGURES, *SCORES])
 
-    return rows.mapInArrow(run, "doc_id long, good int, " + ", ".join(f"{k} long" for k in FIGURES) + ", score double")
+    schema = "doc_id long, " + ", ".join(f"{k} long" for k in FIGURES) + ", " + ", ".join(f"{k} double" for k in SCORES)
+    return rows.mapInArrow(run, schema)
 
 
 def fit_threshold(scored: DataFrame) -> float | None:
@@ -168,9 +161,14 @@ def fit_threshold(scored: DataFrame) -> float | None:
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row per row of docs: its figures, base_failed, score, threshold and kept."""
-    rows = labelled(docs, labels)
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    flags = good_labels(labels)
+    target = rows.join(flags.where("good = 1").select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    counts = collected(gram_counts(rows), gram_counts(target))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = written(measure(rows, collected(gram_counts(rows))))
+    # Figures and scores are joined with the labels after the texts are gone.
+    scored = written(measure(rows, counts).join(flags, F.col("doc_id") == F.col("id"), "left"))
+    scored = scored.withColumn("score", F.when(F.col("good") == 1, F.col("score_in")).otherwise(F.col("score_out")))
     limit = fit_threshold(scored.where(~failed)) if threshold is None else threshold
     verdict = F.lit(True) if limit is None else F.col("score") >= limit
     return scored.select(

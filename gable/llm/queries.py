@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.llm import chat, licenses, packing, pii, quality, rollups
+from gable.llm import chat, decontamination, licenses, packing, pii, quality, rollups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op1_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_token_rollup", rollups.SQL)
 def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.replayed(table(spark, sf_dir, "documents"))
+
+
+@query("op8_template_leaks")
+def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")

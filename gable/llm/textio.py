@@ -29,15 +29,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _codes(lower: bool) -> np.ndarray:
-    codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-    if lower:
-        codes[ord("A") : ord("Z") + 1] = codes[ord("a") : ord("z") + 1]
-    return codes
-
-
-CODES = _codes(False)
-LOWER_CODES = _codes(True)
+#: A random code for each byte.
+CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
@@ -73,6 +66,15 @@ def runs_of_texts(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tupl
         yield first, len(texts)
 
 
+def _lower(text: bytes) -> bytes:
+    return text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
+
+
+def _same_length(text: bytes) -> bytes:
+    low = _lower(text)
+    return low if len(low) == len(text) else text.lower()
+
+
 @dataclass
 class Chunk:
     """Texts first..last of a batch as one byte array; text i begins at begins[i] and ends before ends[i]."""
@@ -91,6 +93,14 @@ class Chunk:
         """Index (from 0 in this chunk) of the text that holds each position."""
         return np.searchsorted(self.begins, positions, side="right") - 1
 
+    def lowered(self) -> np.ndarray:
+        """The bytes in lower case. A text whose length in bytes would change has only its ASCII letters lowered."""
+        whole = self.data.tobytes()
+        low = _lower(whole)
+        if len(low) != len(whole):
+            low = b"".join(_same_length(whole[a : b + 1]) for a, b in zip(self.begins, self.ends))
+        return np.frombuffer(low, dtype=np.uint8)
+
     def count(self, flags: np.ndarray) -> np.ndarray:
         """True flags (one per byte) in each text."""
         total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
@@ -129,9 +139,9 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return kept[:n]
 
 
-def prefix_hash(data: np.ndarray, codes: np.ndarray = CODES) -> np.ndarray:
+def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Sums of code * base**position before each position; differences identify spans."""
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes[data] * powers(len(data)))))
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(CODES[data] * powers(len(data)))))
 
 
 def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
