@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.llm import chat, decontamination, licenses, packing, pii, quality, rollups
+from gable.llm import chat, decontamination, licenses, packing, pii, quality, rollups, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,3 +62,10 @@ def op9_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_template_leaks")
 def op8_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+@query("op10_string_kernel_toxicity")
+def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.digest(toxicity.score_texts(docs, model))
