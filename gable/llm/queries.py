@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.llm import chat, decontamination, licenses, packing, pii, quality, rollups, toxicity
+from gable.llm import chat, decontamination, licenses, neardup, packing, pii, quality, rollups, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -69,3 +69,8 @@ def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.digest(toxicity.score_texts(docs, model))
+
+
+@query("op4_bagminhash_classes", neardup.SQL)
+def op4_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents")).drop("hash")
