@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.llm import chat, decontamination, licenses, neardup, packing, pii, quality, rollups, toxicity
+from gable.llm import chat, decontamination, licenses, neardup, packing, pii, quality, repeats, rollups, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,9 @@ def op10_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_bagminhash_classes", neardup.SQL)
 def op4_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).drop("hash")
+
+
+@query("op7_suffix_repeats")
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
