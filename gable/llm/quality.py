@@ -163,7 +163,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None =
     """One row per row of docs: its figures, base_failed, score, threshold and kept."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     flags = good_labels(labels)
-    target = rows.join(flags.where("good = 1").select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    # The same join at every size: texts are shuffled once, whether or not the labels would fit a broadcast.
+    good = flags.where("good = 1").select(F.col("id").alias("doc_id")).hint("merge")
+    target = rows.join(good, "doc_id", "left_semi")
     counts = collected(gram_counts(rows), gram_counts(target))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     # Figures and scores are joined with the labels after the texts are gone.
