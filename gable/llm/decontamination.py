@@ -85,19 +85,19 @@ def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(kind > 0, PLACEHOLDERS[kind], hashes[kept]), np.where(kind > 0, values | np.uint64(1), np.uint64(0)), owner[kept]
 
 
-def windows(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, position in its text, value of the slot that opens it (or 0) and owner of each window of a chunk."""
+def windows(chunk: Chunk) -> tuple[np.ndarray, ...]:
+    """Hash, position in its text, value of the slot that opens it and that closes it (or 0) and owner of each window."""
     words, slots, owner = template(chunk)
     grams = gram_hashes(words, WINDOW)
     n = len(grams)
     plain = np.concatenate(([0], np.cumsum(slots == 0)))
     good = np.flatnonzero((owner[:n] == owner[WINDOW - 1 :][:n]) & (plain[WINDOW : WINDOW + n] - plain[:n] >= MIN_WORDS)) if n else np.zeros(0, np.int64)
     begin = np.searchsorted(owner, np.arange(chunk.n))
-    return grams[good], good - begin[owner[good]], slots[good], owner[good]
+    return grams[good], good - begin[owner[good]], slots[good], slots[good + WINDOW - 1], owner[good]
 
 
 def _window_rows(rows: DataFrame, keys: dict[str, str], table: np.ndarray | None) -> DataFrame:
-    """keys, place, gram and slot of the windows of each row of (keys, text); only those in the bit table, if there is one."""
+    """keys, place, gram, slot and last of the windows of each row of (keys, text); only those in the bit table, if there is one."""
     shared = None if table is None else rows.sparkSession.sparkContext.broadcast(table)
     names = list(keys)
     shift = np.uint64(64 - (FILTER_BITS.bit_length() - 1))
@@ -105,16 +105,17 @@ def _window_rows(rows: DataFrame, keys: dict[str, str], table: np.ndarray | None
     def run(batches):
         for batch in batches:
             for chunk in chunks(texts_of(batch.column("text"))):
-                grams, places, slots, owner = windows(chunk)
+                grams, places, slots, last, owner = windows(chunk)
                 if shared is not None:
                     bits = grams >> shift
                     found = np.flatnonzero((shared.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1))
-                    grams, places, slots, owner = grams[found], places[found], slots[found], owner[found]
+                    grams, places, slots, last, owner = grams[found], places[found], slots[found], last[found], owner[found]
                 of = pa.array(owner + chunk.first)
                 arrays = [batch.column(k).take(of) for k in names]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(places), pa.array(grams.view(np.int64)), pa.array(slots.view(np.int64))], [*names, "place", "gram", "slot"])
+                arrays += [pa.array(places), *(pa.array(x.view(np.int64)) for x in (grams, slots, last))]
+                yield pa.RecordBatch.from_arrays(arrays, [*names, "place", "gram", "slot", "last"])
 
-    schema = ", ".join(f"{k} {t}" for k, t in keys.items()) + ", place long, gram long, slot long"
+    schema = ", ".join(f"{k} {t}" for k, t in keys.items()) + ", place long, gram long, slot long, last long"
     return rows.select(*names, "text").mapInArrow(run, schema)
 
 
@@ -132,13 +133,14 @@ def bit_table(grams: DataFrame) -> np.ndarray:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, key (identity of the row), item_id, n_windows, item_windows, coverage, n_slots and consistency of each leak."""
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), text_of(benchmark).alias("text"))
-    known = written(_window_rows(items, {"item_id": "long"}, None).select("item_id", F.col("place").alias("ipos"), "gram", F.col("slot").alias("islot")))
+    known = written(_window_rows(items, {"item_id": "long"}, None).select("item_id", F.col("place").alias("ipos"), "gram", F.col("slot").alias("islot"), F.col("last").alias("ilast")))
     rows = docs.select(row_key(docs).alias("key"), text_of(docs).alias("text")).select("key.id", "key.hash", "text")
     found = _window_rows(rows, {"id": "long", "hash": "long"}, bit_table(known))
     both = found.join(known, "gram")
     slot = F.when(F.col("islot") != 0, F.struct("islot", "slot"))
+    last = F.when(F.col("ilast") != 0, F.struct(F.col("ilast").alias("islot"), F.col("last").alias("slot")))
     aligned = both.groupBy("id", "hash", "item_id", (F.col("place") - F.col("ipos")).alias("diagonal")).agg(
-        F.collect_set("ipos").alias("at"), F.collect_set(slot).alias("slots")
+        F.collect_set("ipos").alias("at"), F.array_union(F.collect_set(slot), F.collect_set(last)).alias("slots")
     )
     values = F.size(F.array_distinct(F.transform("slots", lambda s: s["islot"])))
     share = F.when(F.size("slots") > 0, values / F.size("slots")).otherwise(1.0)

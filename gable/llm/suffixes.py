@@ -85,7 +85,7 @@ def _before(sa: np.ndarray, part: np.ndarray, s: np.ndarray, t: np.ndarray, tail
 
 def _doubled(names: np.ndarray) -> np.ndarray:
     """Order of the suffixes of a string of names by doubling ranks."""
-    n, rank, k = len(names), names.astype(np.int64), 1
+    n, rank, k = len(names), np.unique(names, return_inverse=True)[1].astype(np.int64), 1
     while True:
         second = np.zeros(n, np.int64)
         second[: max(0, n - k)] = rank[k:] + 1
