@@ -11,12 +11,14 @@ earliest point; a shingle is left as soon as its points come later than all regi
 with their weighted Jaccard similarity as probability.
 
 1. Equal multisets are one node (an aggregation with map-side combine; exact copies end here).
-2. Nodes that share a band of ROWS registers meet in a bucket. Each is compared with the smallest node of the bucket: no
-   pairs within a bucket are made, so large groups of copies cost one pair per member. Overlaps are verified exactly on
-   the multisets of the texts that have a partner. Components of the verified links follow.
-3. Buckets that still hold several components are searched for further links between them. The join looks at pairs of
-   different components and like size, and lets through those whose one-bit sketches agree as texts of SIMILARITY do
-   (but for one in a million); they are verified likewise. So no link is lost behind the first comparison.
+2. Nodes that share a band of ROWS registers meet in a bucket. Each is compared with the hub of the bucket, the node that
+   meets the most others in all its buckets (of a group of copies, the least edited one): large groups of copies cost one
+   pair per member. Overlaps are verified exactly on the multisets of the texts that have a partner. Components of the
+   verified links follow.
+3. Members that are not in the component of their bucket's hub are compared with the bucket's next HUBS hubs.
+4. Buckets that still hold several components are searched for further links between them. The join looks at pairs of
+   different components and like size, and lets through, in the first bucket they share, those whose sketches agree as
+   texts of SIMILARITY do (but for one in 100,000); they are verified likewise. So no link is lost behind a hub.
 
 With BANDS bands of ROWS registers a pair at the limit meets with probability 1 - 5e-6.
 
@@ -31,6 +33,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gable.llm.components import components
@@ -41,10 +44,12 @@ from gable.runtime import written
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 40
 REGISTERS = ROWS * BANDS
-SKETCH_WORDS = -(-REGISTERS // 64)
-#: One-bit sketches of texts at the limit agree in (1 + SIMILARITY) / 2 of the bits; five standard deviations are allowed.
-_AGREE = (1 + SIMILARITY) / 2
-MOST_APART = int(REGISTERS * (1 - _AGREE) + 5 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
+HUBS = 8
+#: A sketch keeps four bits of each register. Those of texts at the limit agree in SIMILARITY of the registers and by
+#: chance in a sixteenth of the others; 4.3 standard deviations are allowed.
+SKETCH_WORDS = REGISTERS // 16
+_AGREE = SIMILARITY + (1 - SIMILARITY) / 16
+MOST_APART = int(REGISTERS * (1 - _AGREE) + 4.3 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
 _GOLD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -110,14 +115,13 @@ def signatures(n: int, owner: np.ndarray, grams: np.ndarray, counts: np.ndarray,
 
 
 def _sketch(chunk: Chunk, texts: list[bytes]):
-    """Per text: key, size, band hashes and one-bit sketch."""
+    """Per text: key, size, band hashes and sketch."""
     owner, grams, counts = multisets(chunk)
     table = signatures(chunk.n, owner, grams, counts)
     winners = mix(table.view(np.uint64))
     bands = gram_fold(winners.reshape(chunk.n, BANDS, ROWS)) + np.arange(BANDS, dtype=np.uint64) * _OTHER
-    padded = np.zeros((chunk.n, SKETCH_WORDS * 64), np.uint8)
-    padded[:, :REGISTERS] = winners & np.uint64(1)
-    bits = np.packbits(padded, axis=1).view(np.int64)
+    four = (winners & np.uint64(15)).astype(np.uint8)
+    bits = np.ascontiguousarray(four[:, 0::2] << 4 | four[:, 1::2]).view(np.int64)
     begin = np.searchsorted(owner, np.arange(chunk.n + 1))
     for i in range(chunk.n):
         a, b = begin[i], begin[i + 1]
@@ -203,15 +207,27 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _alike(a: str, b: str):
     """Whether sizes and sketches of two nodes allow a link."""
-    apart = sum((F.bit_count(F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+
+    def apart(i: int):
+        x = F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
     sizes = (F.col(f"{a}_size") >= SIMILARITY * F.col(f"{b}_size")) & (F.col(f"{b}_size") >= SIMILARITY * F.col(f"{a}_size"))
-    return sizes & (apart <= MOST_APART)
+    return sizes & (sum((apart(i) for i in range(SKETCH_WORDS)), F.lit(0)) <= MOST_APART)
 
 
 def _facts(nodes: DataFrame, name: str) -> DataFrame:
     return nodes.select(F.col("key").alias(name), F.col("size").alias(f"{name}_size"), F.col("bits").alias(f"{name}_bits"))
 
 
+def _possible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of (hub, key) whose sizes and sketches allow a link."""
+    pairs = pairs.select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct()
+    return pairs.join(_facts(facts, "a"), "a").join(_facts(facts, "b"), "b").where(_alike("a", "b")).select("a", "b")
+
+
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (id, hash, key), verified links between nodes (a, b, similarity), and labels (node, label) of linked nodes."""
     rows = written(sketch(docs))
@@ -220,29 +236,41 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
     nodes = written(grouped)
     banded = nodes.select("key", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("key").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "pivot")
-    members = written(banded.join(shared, "bucket"))
-    wanted = nodes.join(members.select("key").distinct(), "key", "left_semi")
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(banded.join(shared, "bucket"))
+    met_by = met.groupBy("key").agg(F.sum("n").alias("meets"))
+    wanted = nodes.join(met_by, "key")
     sets = written(_multiset_table(docs, wanted.select("key", "rep")))
-    facts = written(wanted.select("key", "size", "bits"))
+    facts = written(wanted.select("key", "size", "bits", "bands", "meets"))
+    members = met.select("bucket", "key")
+    rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("meets"), "key"))
+    hubs = members.join(facts.select("key", "meets"), "key").withColumn("rank", rank).where(F.col("rank") <= HUBS + 1)
+    hubs = written(hubs.select("bucket", F.col("key").alias("hub"), "rank"))
+
+    first = members.join(hubs.where("rank = 1"), "bucket").where("key <> hub")
+    links = written(_verified(_possible(first, facts), sets))
+    labels = components(links)
 
-    first = members.where("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    first = first.join(_facts(facts, "a"), "a").join(_facts(facts, "b"), "b").where(_alike("a", "b")).select("a", "b")
-    links = written(_verified(first, sets))
+    # A node without a link is a component of its own.
+    named = lambda rows, of, name: rows.join(labels.select(F.col("node").alias(of), F.col("label").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
+    main = named(hubs.where("rank = 1"), "hub", "main").select("bucket", "main")
+    outside = named(members, "key", "label").join(main, "bucket").where("label <> main").select("bucket", "key", "label")
+    second = outside.join(named(hubs.where("rank > 1"), "hub", "hub_label"), "bucket").where("label <> hub_label")
+    links = links.unionByName(written(_verified(_possible(second, facts), sets)))
     labels = components(links)
 
-    # Buckets with members of several components; a node without a link is a component of its own.
-    placed = members.join(labels, members["key"] == labels["node"], "left").select("bucket", "key", F.coalesce("label", "key").alias("label"))
+    placed = named(members, "key", "label")
     open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
     # Texts of like size are in the same or in neighbouring classes.
     step = F.floor(F.log("size") / F.log(F.lit(1 / SIMILARITY))).cast("int")
-    rest = written(placed.join(open_, "bucket").join(facts, "key").select("bucket", "key", "label", "size", "bits", step.alias("step")))
-    a = rest.select("bucket", "step", F.col("key").alias("a"), F.col("label").alias("a_label"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"))
-    b = rest.select("bucket", F.explode(F.array("step", F.col("step") - 1)).alias("step"), F.col("key").alias("b"), F.col("label").alias("b_label"), F.col("size").alias("b_size"), F.col("bits").alias("b_bits"))
+    rest = written(placed.join(open_, "bucket").join(facts, "key").select("bucket", "key", "label", "size", "bits", "bands", step.alias("step")))
+    side = lambda x: [F.col("key").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("label", "size", "bits", "bands"))]
+    a = rest.select("bucket", "step", *side("a"))
+    b = rest.select("bucket", F.explode(F.array("step", F.col("step") - 1)).alias("step"), *side("b"))
     ordered = F.struct("a_size", "a") < F.struct("b_size", "b")
-    on = (a["bucket"] == b["bucket"]) & (a["step"] == b["step"]) & (F.col("a_label") != F.col("b_label")) & ordered & _alike("a", "b")
-    second = a.join(b, on).select("a", "b").distinct()
-    more = written(_verified(second, sets))
+    once = F.element_at(F.array_intersect("a_bands", "b_bands"), 1) == a["bucket"]
+    on = (a["bucket"] == b["bucket"]) & (a["step"] == b["step"]) & (F.col("a_label") != F.col("b_label")) & ordered & _alike("a", "b") & once
+    more = written(_verified(a.join(b, on).select("a", "b"), sets))
     if not more.isEmpty():
         links = links.unionByName(more)
         labels = components(links)
