@@ -18,7 +18,7 @@ with their weighted Jaccard similarity as probability.
 3. Members that are not in the component of their bucket's hub are compared with the bucket's next HUBS hubs.
 4. Buckets that still hold several components are searched for further links between them. The join looks at pairs of
    different components and like size, and lets through, in the first bucket they share, those whose sketches agree as
-   texts of SIMILARITY do (but for one in 100,000); they are verified likewise. So no link is lost behind a hub.
+   texts of SIMILARITY do (but for one in 30,000); they are verified likewise. So no link is lost behind a hub.
 
 With BANDS bands of ROWS registers a pair at the limit meets with probability 1 - 5e-6.
 
@@ -45,11 +45,12 @@ SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 40
 REGISTERS = ROWS * BANDS
 HUBS = 8
-#: A sketch keeps four bits of each register. Those of texts at the limit agree in SIMILARITY of the registers and by
-#: chance in a sixteenth of the others; 4.3 standard deviations are allowed.
-SKETCH_WORDS = REGISTERS // 16
+#: A sketch keeps four bits of each of SKETCHED registers; the bands take the first of these. Sketches of texts at the
+#: limit agree in SIMILARITY of the registers and by chance in a sixteenth of the others; 4 standard deviations are allowed.
+SKETCHED = 512
+SKETCH_WORDS = SKETCHED // 16
 _AGREE = SIMILARITY + (1 - SIMILARITY) / 16
-MOST_APART = int(REGISTERS * (1 - _AGREE) + 4.3 * (REGISTERS * _AGREE * (1 - _AGREE)) ** 0.5)
+MOST_APART = int(SKETCHED * (1 - _AGREE) + 4 * (SKETCHED * _AGREE * (1 - _AGREE)) ** 0.5)
 _GOLD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -80,7 +81,7 @@ def multisets(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return of[new], grams[new], np.diff(np.concatenate((new, [len(grams)])))
 
 
-def signatures(n: int, owner: np.ndarray, grams: np.ndarray, counts: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
+def signatures(n: int, owner: np.ndarray, grams: np.ndarray, counts: np.ndarray, registers: int = SKETCHED) -> np.ndarray:
     """Earliest points per text and register; infinite for texts without shingles."""
     table = np.full((n, registers), np.inf)
     flat = table.reshape(-1)
@@ -119,7 +120,7 @@ def _sketch(chunk: Chunk, texts: list[bytes]):
     owner, grams, counts = multisets(chunk)
     table = signatures(chunk.n, owner, grams, counts)
     winners = mix(table.view(np.uint64))
-    bands = gram_fold(winners.reshape(chunk.n, BANDS, ROWS)) + np.arange(BANDS, dtype=np.uint64) * _OTHER
+    bands = gram_fold(winners[:, :REGISTERS].reshape(chunk.n, BANDS, ROWS)) + np.arange(BANDS, dtype=np.uint64) * _OTHER
     four = (winners & np.uint64(15)).astype(np.uint8)
     bits = np.ascontiguousarray(four[:, 0::2] << 4 | four[:, 1::2]).view(np.int64)
     begin = np.searchsorted(owner, np.arange(chunk.n + 1))
@@ -259,17 +260,19 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     links = links.unionByName(written(_verified(_possible(second, facts), sets)))
     labels = components(links)
 
-    placed = named(members, "key", "label")
-    open_ = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket")
+    main = named(hubs.where("rank = 1"), "hub", "main").select("bucket", "main")
+    placed = named(members, "key", "label").join(main, "bucket").withColumn("out", F.col("label") != F.col("main"))
+    open_ = placed.where("out").select("bucket").distinct()
     # Texts of like size are in the same or in neighbouring classes.
     step = F.floor(F.log("size") / F.log(F.lit(1 / SIMILARITY))).cast("int")
-    rest = written(placed.join(open_, "bucket").join(facts, "key").select("bucket", "key", "label", "size", "bits", "bands", step.alias("step")))
-    side = lambda x: [F.col("key").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("label", "size", "bits", "bands"))]
-    a = rest.select("bucket", "step", *side("a"))
-    b = rest.select("bucket", F.explode(F.array("step", F.col("step") - 1)).alias("step"), *side("b"))
-    ordered = F.struct("a_size", "a") < F.struct("b_size", "b")
+    rest = written(placed.join(open_, "bucket").join(facts, "key").select("bucket", "key", "label", "out", "size", "bits", "bands", step.alias("step")))
+    side = lambda x: [F.col("key").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("label", "out", "size", "bits", "bands"))]
+    a = rest.where("out").select("bucket", "step", *side("a"))
+    b = rest.select("bucket", F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1)).alias("step"), *side("b"))
+    # One of two members in different components is outside the hub's; if both are, the smaller one asks.
+    asks = (F.col("a_label") != F.col("b_label")) & (~F.col("b_out") | (F.col("a") < F.col("b")))
     once = F.element_at(F.array_intersect("a_bands", "b_bands"), 1) == a["bucket"]
-    on = (a["bucket"] == b["bucket"]) & (a["step"] == b["step"]) & (F.col("a_label") != F.col("b_label")) & ordered & _alike("a", "b") & once
+    on = (a["bucket"] == b["bucket"]) & (a["step"] == b["step"]) & asks & _alike("a", "b") & once
     more = written(_verified(a.join(b, on).select("a", "b"), sets))
     if not more.isEmpty():
         links = links.unionByName(more)

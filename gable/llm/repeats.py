@@ -32,7 +32,7 @@ from gable.llm.textio import Chunk, chunks, mix, powers, prefix_hash, span_hashe
 from gable.runtime import written
 
 WIDTH, K = 200, 24
-SHARD_BYTES, MAX_RECORDS = 1 << 20, 16_384
+SHARD_BYTES, MAX_RECORDS = 1 << 19, 16_384
 PIECE = 1 << 22
 #: Low bits of a gram's hash that give way to its place in a chunk.
 _PLACE = 24

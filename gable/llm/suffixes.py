@@ -19,7 +19,8 @@ def _types(t: np.ndarray) -> np.ndarray:
     """True for S suffixes. The last one, the sentinel, is S."""
     n = len(t)
     differs = np.append(t[:-1] != t[1:], True)
-    at = np.where(differs, np.arange(n), n)
+    at = np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))
+    del differs
     following = np.minimum.accumulate(at[::-1])[::-1]
     s = np.ones(n, bool)
     s[:-1] = t[following[:-1]] < t[np.minimum(following[:-1] + 1, n - 1)]
@@ -43,7 +44,8 @@ def _induce(t: np.ndarray, s: np.ndarray, sizes: np.ndarray, lms: np.ndarray) ->
     n = len(t)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    sa = np.full(n, -1, np.int64)
+    # Positions take 32 bits: shards are far below 2**31 bytes.
+    sa = np.full(n, -1, np.int32)
     order = np.argsort(t[lms], kind="stable")
     sorted_lms = lms[order]
     bounds = np.concatenate(([0], np.cumsum(np.bincount(t[lms], minlength=len(sizes)))))
@@ -103,17 +105,17 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     n = len(t)
     if n <= 2:
         return np.arange(n)[::-1].copy()
-    t = t.astype(np.int64)
+    t = t.astype(np.int32, copy=False)
     s = _types(t)
     sizes = np.bincount(t)
-    lms = np.flatnonzero(s[1:] & ~s[:-1]) + 1
+    lms = (np.flatnonzero(s[1:] & ~s[:-1]) + 1).astype(np.int32)
     sa = _induce(t, s, sizes, lms)
     if len(lms) < 2:
         return sa
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = sa[is_lms[sa]]
-    after = np.full(n, n - 1)
+    after = np.full(n, n - 1, np.int32)
     after[lms[:-1]] = lms[1:]
     length = after[order] - order + 1
     same = length[1:] == length[:-1]
@@ -126,9 +128,10 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
         left = left[~differ & (length[left] > k)]
     names = np.concatenate(([0], np.cumsum(~same)))
     if names[-1] + 1 < len(lms):
-        place = np.empty(n, np.int64)
+        place = np.empty(n, np.int32)
         place[order] = names
         reduced = place[lms]
+        del place, same, length, is_lms
         # The sentinel is the last and the smallest name.
         again = suffix_array(reduced) if names[-1] < LARGE_ALPHABET else _doubled(reduced)
         order = lms[again]
@@ -142,13 +145,13 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, begins: np.ndarray, longest:
     starts of records, are compared byte by byte, in steps over all of them at once.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
     starts = np.zeros(n, bool)
     starts[begins] = True
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     own = starts | (before <= 0) | (at == 0) | (t[at - 1] != t[before - 1])
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     left = np.flatnonzero(own & (before >= 0))
     k = 0
     while len(left) and k < longest:
@@ -157,7 +160,7 @@ def common_prefixes(t: np.ndarray, sa: np.ndarray, begins: np.ndarray, longest:
         left = left[t[left + k] == t[before[left] + k]]
         k += 1
         out[left] = k
-    anchor = np.maximum.accumulate(np.where(own, at, 0))
+    anchor = np.maximum.accumulate(np.where(own, at, np.int32(0)))
     return np.where(own, out, np.maximum(out[anchor] - (at - anchor), 0))
 
 
@@ -168,13 +171,13 @@ def repeated_windows(records: list[bytes], width: int) -> list[np.ndarray]:
     ends = np.cumsum(lengths + 1) - 1
     begins = ends - lengths
     # Bytes from 2, ends of records 1, the sentinel 0; equal windows never reach an end.
-    t = joined.astype(np.int64) + 2
+    t = joined.astype(np.int32) + 2
     t[ends] = 1
-    t = np.append(t, 0)
+    t = np.append(t, np.int32(0))
     sa = suffix_array(t)
     prefixes = common_prefixes(t, sa, begins, 2 * width + int(lengths.max(initial=0)))
     hit = prefixes >= width
-    before = np.full(len(t), -1, np.int64)
+    before = np.full(len(t), -1, np.int32)
     before[sa[1:]] = sa[:-1]
     again = np.zeros(len(t), bool)
     again[hit] = True

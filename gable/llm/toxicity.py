@@ -37,11 +37,12 @@ from gable.llm.rows import text_of
 ORDER, DECAY = 3, 0.6
 ALPHABET = 64
 LONGEST = 14
-MAX_TEXTS = 1500
+MAX_TEXTS = 1000
 LANDMARKS = 96
 MIN_TEXTS = 3
 ROUNDS = 4
 PENALTY = 10.0
+BLOCK = 10_000
 SLOPE = 4.0
 MEMO = 1_000_000
 
@@ -106,14 +107,15 @@ def _keys(words: list[str], length: int) -> np.ndarray:
 
 def features(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Kernel values of words (at most LONGEST letters) to landmarks."""
-    table = np.zeros((SIZE, len(landmarks)), np.float32)
-    for j, z in enumerate(landmarks):
-        if len(z) >= ORDER:
-            np.add.at(table[:, j], _keys([z], len(z))[0], (_SHAPES[len(z)][1] / _REACH[len(z)]).astype(np.float32))
-    used = np.flatnonzero(table.any(axis=1))
-    place = np.zeros(SIZE, np.int64)
+    keys = {j: _keys([z], len(z))[0] for j, z in enumerate(landmarks) if len(z) >= ORDER}
+    used = np.unique(np.concatenate([np.zeros(0, np.int64), *keys.values()]))
+    place = np.zeros(SIZE, np.int32)
     place[used] = np.arange(1, len(used) + 1)
-    dense = np.vstack([np.zeros((1, len(landmarks)), np.float32), table[used]])
+    # Row 0 stands for all subsequences that no landmark has.
+    dense = np.zeros((len(used) + 1, len(landmarks)), np.float32)
+    for j, key in keys.items():
+        length = len(landmarks[j])
+        np.add.at(dense[:, j], place[key], (_SHAPES[length][1] / _REACH[length]).astype(np.float32))
     out = np.zeros((len(words), len(landmarks)), np.float32)
     for length, at in _by_length(words):
         if length < ORDER:
@@ -159,14 +161,20 @@ class Model:
 
 
 def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear machine with squared hinge loss, by Newton steps."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(x1.shape[1]), np.eye(x1.shape[1])
+    """Weights and bias of a linear machine with squared hinge loss, by Newton steps over blocks of rows."""
+    size = x.shape[1] + 1
+    w, ridge = np.zeros(size), np.eye(size)
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (x1 @ w) < 1
-        a, c = x1[active], weight[active][:, None]
-        new = np.linalg.solve(ridge + PENALTY * a.T @ (c * a), PENALTY * a.T @ (c[:, 0] * y[active]))
+        left, right = ridge.copy(), np.zeros(size)
+        for first in range(0, len(x), BLOCK):
+            rows = np.hstack([x[first : first + BLOCK], np.ones((min(BLOCK, len(x) - first), 1))])
+            label, heavy = y[first : first + BLOCK], weight[first : first + BLOCK]
+            active = label * (rows @ w) < 1
+            part = rows[active]
+            left += PENALTY * part.T @ (heavy[active][:, None] * part)
+            right += PENALTY * part.T @ (heavy[active] * label[active])
+        new = np.linalg.solve(left, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -212,7 +220,9 @@ def train(texts: list[str], toxic: list[int]) -> Model | None:
 
     vocabulary = sorted({w for bag in bags for w in bag})
     place = {w: i for i, w in enumerate(vocabulary)}
-    phi = features(vocabulary, landmarks) @ whiten
+    phi = features(vocabulary, landmarks)
+    for first in range(0, len(phi), BLOCK):
+        phi[first : first + BLOCK] = phi[first : first + BLOCK] @ whiten
     members = [np.array([place[w] for w in bag], np.int64) for bag in bags]
     clean = np.zeros(len(vocabulary), bool)
     for m, label in zip(members, y):
@@ -229,7 +239,7 @@ def train(texts: list[str], toxic: list[int]) -> Model | None:
         if not len(positive):
             return None
         more = features(stretched([vocabulary[i] for i in positive]), landmarks) @ whiten
-        x = np.concatenate((phi[positive], more, phi[negative]))
+        x = np.concatenate((phi[positive], more.astype(np.float32), phi[negative]))
         labels = np.concatenate((np.ones(len(positive) + len(more)), -np.ones(len(negative))))
         heavy = max(1.0, 0.02 * len(negative) / len(positive))
         weight = np.concatenate((np.full(len(positive), heavy), np.full(len(more), heavy / 20), np.ones(len(negative))))
