@@ -18,7 +18,7 @@ with their weighted Jaccard similarity as probability.
 3. Members that are not in the component of their bucket's hub are compared with the bucket's next HUBS hubs.
 4. Buckets that still hold several components are searched for further links between them. The join looks at pairs of
    different components and like size, and lets through, in the first bucket they share, those whose sketches agree as
-   texts of SIMILARITY do (but for one in 30,000); they are verified likewise. So no link is lost behind a hub.
+   texts of SIMILARITY do (but for one in 15,000); they are verified likewise. So no link is lost behind a hub.
 
 With BANDS bands of ROWS registers a pair at the limit meets with probability 1 - 5e-6.
 
@@ -50,7 +50,13 @@ HUBS = 8
 SKETCHED = 512
 SKETCH_WORDS = SKETCHED // 16
 _AGREE = SIMILARITY + (1 - SIMILARITY) / 16
-MOST_APART = int(SKETCHED * (1 - _AGREE) + 4 * (SKETCHED * _AGREE * (1 - _AGREE)) ** 0.5)
+FIRST_WORDS = SKETCH_WORDS // 4
+
+
+def most_apart(registers: int) -> int:
+    return int(registers * (1 - _AGREE) + 4 * (registers * _AGREE * (1 - _AGREE)) ** 0.5)
+
+
 _GOLD, _OTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -216,7 +222,9 @@ def _alike(a: str, b: str):
         return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
 
     sizes = (F.col(f"{a}_size") >= SIMILARITY * F.col(f"{b}_size")) & (F.col(f"{b}_size") >= SIMILARITY * F.col(f"{a}_size"))
-    return sizes & (sum((apart(i) for i in range(SKETCH_WORDS)), F.lit(0)) <= MOST_APART)
+    # A quarter of the sketch decides most pairs.
+    near = lambda words: sum((apart(i) for i in range(words)), F.lit(0)) <= most_apart(16 * words)
+    return sizes & near(FIRST_WORDS) & near(SKETCH_WORDS)
 
 
 def _facts(nodes: DataFrame, name: str) -> DataFrame:
