@@ -15,10 +15,9 @@ with their weighted Jaccard similarity as probability.
    meets the most others in all its buckets (of a group of copies, the least edited one): large groups of copies cost one
    pair per member. Overlaps are verified exactly on the multisets of the texts that have a partner. Components of the
    verified links follow.
-3. Members that are not in the component of their bucket's hub are compared with the bucket's next HUBS hubs.
-4. Buckets that still hold several components are searched for further links between them. The join looks at pairs of
-   different components and like size, and lets through, in the first bucket they share, those whose sketches agree as
-   texts of SIMILARITY do (but for one in 15,000); they are verified likewise. So no link is lost behind a hub.
+3. Members outside the component of their bucket's hub are compared with all others of the bucket. The join looks at
+   pairs of different components and like size, and lets through, in the first bucket they share, those whose sketches
+   agree as texts of SIMILARITY do (but for one in 15,000); they are verified likewise. So no link is lost behind a hub.
 
 With BANDS bands of ROWS registers a pair at the limit meets with probability 1 - 5e-6.
 
@@ -33,7 +32,6 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gable.llm.components import components
@@ -44,7 +42,6 @@ from gable.runtime import written
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 40
 REGISTERS = ROWS * BANDS
-HUBS = 8
 #: A sketch keeps four bits of each of SKETCHED registers; the bands take the first of these. Sketches of texts at the
 #: limit agree in SIMILARITY of the registers and by chance in a sixteenth of the others; 4 standard deviations are allowed.
 SKETCHED = 512
@@ -252,23 +249,16 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     sets = written(_multiset_table(docs, wanted.select("key", "rep")))
     facts = written(wanted.select("key", "size", "bits", "bands", "meets"))
     members = met.select("bucket", "key")
-    rank = F.row_number().over(W.partitionBy("bucket").orderBy(F.desc("meets"), "key"))
-    hubs = members.join(facts.select("key", "meets"), "key").withColumn("rank", rank).where(F.col("rank") <= HUBS + 1)
-    hubs = written(hubs.select("bucket", F.col("key").alias("hub"), "rank"))
+    most = F.max(F.struct("meets", "key"))
+    hubs = written(members.join(facts.select("key", "meets"), "key").groupBy("bucket").agg(most.alias("most")).select("bucket", F.col("most.key").alias("hub")))
 
-    first = members.join(hubs.where("rank = 1"), "bucket").where("key <> hub")
+    first = members.join(hubs, "bucket").where("key <> hub")
     links = written(_verified(_possible(first, facts), sets))
     labels = components(links)
 
     # A node without a link is a component of its own.
     named = lambda rows, of, name: rows.join(labels.select(F.col("node").alias(of), F.col("label").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
-    main = named(hubs.where("rank = 1"), "hub", "main").select("bucket", "main")
-    outside = named(members, "key", "label").join(main, "bucket").where("label <> main").select("bucket", "key", "label")
-    second = outside.join(named(hubs.where("rank > 1"), "hub", "hub_label"), "bucket").where("label <> hub_label")
-    links = links.unionByName(written(_verified(_possible(second, facts), sets)))
-    labels = components(links)
-
-    main = named(hubs.where("rank = 1"), "hub", "main").select("bucket", "main")
+    main = named(hubs, "hub", "main").select("bucket", "main")
     placed = named(members, "key", "label").join(main, "bucket").withColumn("out", F.col("label") != F.col("main"))
     open_ = placed.where("out").select("bucket").distinct()
     # Texts of like size are in the same or in neighbouring classes.
