@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from itertools import chain
 
@@ -147,8 +148,14 @@ def clean_text(c: Column | str) -> Column:
 
 
 def parse_timestamp(c: Column | str, formats: Sequence[str] = ("M/d/yy H:mm", "M/d/yy")) -> Column:
-    """First format that parses; null when none does."""
-    return F.coalesce(*[F.try_to_timestamp(_col(c), F.lit(f)) for f in formats])
+    """First format that parses; null when none does. Two-digit years 69 to 99 are 1969 to 1999, others 2000 to 2068."""
+    parsed = []
+    for f in formats:
+        found = F.try_to_timestamp(_col(c), F.lit(f))
+        if re.search(r"(?<!y)yy(?!y)", f):
+            found = F.when(F.year(found) >= 2069, found - F.expr("INTERVAL 100 YEARS")).otherwise(found)
+        parsed.append(found)
+    return F.coalesce(*parsed)
 
 
 def try_double(c: Column | str) -> Column:

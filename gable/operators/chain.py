@@ -44,7 +44,6 @@ def recommended_stages(
     index: str = "unit_indx",
     order: list[str] | None = None,
     options: dict[str, dict] | None = None,
-    max_group_rows: int | None = None,
 ) -> list:
     """Stages that the schema calls for, in the usual order; ``options`` adds arguments by stage name."""
     options = options or {}
@@ -60,7 +59,7 @@ def recommended_stages(
     live = features.drop(*empty)
     if columns_of(live, T.NumericType, T.StringType, T.BooleanType):
         ignored = [index, target, *text]
-        stages.append(make(Imputer, ignore=ignored, max_group_rows=max_group_rows))
+        stages.append(make(Imputer, ignore=ignored))
     if text:
         stages.append(make(TextFeaturizer, text_columns=list(text)))
     dates = time_columns(live)

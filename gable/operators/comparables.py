@@ -20,7 +20,6 @@ def build_lookup(
     features: Sequence[str],
     price: str | None = None,
     ops: Sequence[str] = OPS,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Per key: ``<col>__<op>`` for each feature and price, and ``density_count`` (rows in the group)."""
     plain = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
@@ -28,16 +27,16 @@ def build_lookup(
     extra = [F.count(F.lit(1)).alias("density_count")]
     extra += [plain[op](c).alias(f"{c}__{op}") for c in cols for op in ops if op in plain]
     medians = {f"{c}__median": (c, 0.5) for c in cols} if "median" in ops else {}
-    out = exact_quantiles(df, medians, keys, extra, max_group_rows) if medians else df.groupBy(*keys).agg(*extra)
+    out = exact_quantiles(df, medians, keys, extra) if medians else df.groupBy(*keys).agg(*extra)
     return out.select(*keys, *[f"{c}__{op}" for c in cols for op in ops], "density_count")
 
 
 def add_lookup(
-    units: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", max_group_rows: int | None = None
+    units: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join the lookup to units; heavy groups are spread by their ``density_count``."""
     weight = "density_count" if "density_count" in lookup.columns else None
-    return lookup_join(units, lookup, keys, how, weight, max_group_rows=max_group_rows)
+    return lookup_join(units, lookup, keys, how, weight)
 
 
 def minus_features(df: DataFrame, features: Sequence[str], ops: Sequence[str] = OPS) -> DataFrame:
@@ -52,9 +51,8 @@ def comparables_features(
     keys: Sequence[str],
     features: Sequence[str],
     ops: Sequence[str] = OPS,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
-    return minus_features(add_lookup(units, lookup, keys, max_group_rows=max_group_rows), features, ops)
+    return minus_features(add_lookup(units, lookup, keys), features, ops)
 
 
 def merge_train_with_lookup(
@@ -64,13 +62,12 @@ def merge_train_with_lookup(
     features: Sequence[str],
     price: str,
     carried: Sequence[str],
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Inner-join form: every number whose name contains a feature name is subtracted from that feature,
     price aggregates are copied, and the carried columns follow."""
     # The lookup may name its type key with a trailing double underscore.
     lookup = lookup.withColumnsRenamed({f"{k}__": k for k in keys})
-    merged = add_lookup(train, lookup, keys, "inner", max_group_rows)
+    merged = add_lookup(train, lookup, keys, "inner")
     out: list[Column] = []
     numbers = [f.name for f in merged.schema.fields if isinstance(f.dataType, T.NumericType)]
     for base in features:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gable.operators.spread import lookup_join
-from gable.operators.stages import FittedModel, FittedStage, columns_of, with_state
+from gable.operators.stages import FittedModel, FittedStage, columns_of, one_of, with_state
 from gable.runtime import written
 
 _ONE_HOT = {
@@ -23,13 +23,17 @@ _ONE_HOT = {
 }
 
 
+# Most indicator columns that a feature may add when top_n is None.
+MAX_CATEGORIES = 10_000
+
+
 class OneHotEncoderModel(FittedModel):
     DEFAULTS = with_state(_ONE_HOT)
 
     def categories_of(self, feature: str) -> list[str]:
         """Categories of a feature, in output order."""
         if feature not in self.learned:
-            raise ValueError(f'Feature "{feature}" was not provided to one-hot encoder as a training feature')
+            raise ValueError(f"no categories were learned for {feature}")
         return list(self.learned[feature])
 
     def kept(self, feature: str) -> list[str]:
@@ -69,27 +73,20 @@ class OneHotEncoder(FittedStage):
     MODEL = OneHotEncoderModel
 
     def __init__(self, **options):
-        if options.get("categories") is not None and "top_n" in options and options["top_n"] is not None:
-            raise ValueError("Cannot use categories and top_n arguments simultaneously")
-        if options.get("categories") is not None:
-            options["top_n"] = None
-        super().__init__(**options)
-        if self.opt("handle_unknown") not in ("ignore", "error"):
-            raise ValueError(f"Invalid input {self.opt('handle_unknown')} for handle_unknown")
-        if self.opt("handle_missing") not in ("as_category", "error"):
-            raise ValueError(f"Invalid input {self.opt('handle_missing')} for handle_missing")
-        if self.opt("drop") not in (None, "first", "if_binary"):
-            raise ValueError(f"Invalid input {self.opt('drop')} for drop")
+        listed = options.get("categories") is not None
+        if listed and options.get("top_n") is not None:
+            raise ValueError("give either the categories or how many to keep")
+        super().__init__(**options, **({"top_n": None} if listed and "top_n" not in options else {}))
+        one_of(self, handle_unknown=("ignore", "error"), handle_missing=("as_category", "error"), drop=(None, "first", "if_binary"))
 
     def learn(self, df):
         cols = self.opt("features_to_encode") or columns_of(df, T.StringType)
-        missing = [c for c in cols if c not in df.columns]
-        if missing:
-            raise ValueError(f"Could not find and encode {missing}")
+        if not set(cols) <= set(df.columns):
+            raise ValueError(f"columns to encode that are not there: {sorted(set(cols) - set(df.columns))}")
         given = self.opt("categories")
         if given is not None:
             if len(given) != len(cols):
-                raise ValueError("Categories argument must contain a list of categories for each categorical feature")
+                raise ValueError(f"{len(cols)} columns need as many lists of categories, not {len(given)}")
             return {c: [str(v) for v in values] for c, values in zip(cols, given)}
         if not cols:
             return {}
@@ -99,12 +96,14 @@ class OneHotEncoder(FittedStage):
             if self.opt("handle_missing") == "as_category":
                 value = F.coalesce(value, F.lit("nan"))
             counts = df.select(value.alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-            if self.opt("top_n") is not None:
-                counts = counts.orderBy(F.desc("n"), "v").limit(self.opt("top_n"))
+            # Without top_n every category counts, as long as there are no more than MAX_CATEGORIES.
+            counts = counts.orderBy(F.desc("n"), "v").limit(MAX_CATEGORIES + 1 if self.opt("top_n") is None else self.opt("top_n"))
             tops.append(counts.select(F.lit(c).alias("c"), "v"))
         state: dict[str, list[str]] = {c: [] for c in cols}
         for r in reduce(DataFrame.unionByName, tops).collect():
             state[r["c"]].append(r["v"])
+        if self.opt("top_n") is None and any(len(v) > MAX_CATEGORIES for v in state.values()):
+            raise ValueError(f"more than {MAX_CATEGORIES} categories in one column: choose top_n")
         return {c: sorted(v) for c, v in state.items()}
 
 
@@ -114,7 +113,6 @@ _TARGET = {
     "smoothing": 1.0,
     "handle_unknown": "value",
     "handle_missing": "value",
-    "max_group_rows": None,
 }
 _HANDLING = ("value", "error", "return_nan")
 
@@ -135,7 +133,7 @@ class TargetEncoderModel(FittedModel):
                 F.col("value").alias("_value"), F.col("encoded").alias("_encoded"), F.col("n").alias("_n")
             )
             rows = dataset.withColumn("_value", F.col(c).cast("string"))
-            joined = lookup_join(rows, table, ["_value"], weight="_n", max_group_rows=self.opt("max_group_rows"))
+            joined = lookup_join(rows, table, ["_value"], weight="_n")
             encoded = (
                 F.when(F.col("_encoded").isNotNull(), F.col("_encoded"))
                 .when(F.col("_value").isNull(), self._otherwise("handle_missing", c, prior))
@@ -187,11 +185,9 @@ class TargetEncoder(FittedStage):
 
     def __init__(self, **options):
         super().__init__(**options)
-        if self.opt("smoothing") <= 0:
-            raise ValueError("Smoothing value needs to be strictly larger than 0")
-        for name in ("handle_unknown", "handle_missing"):
-            if self.opt(name) not in _HANDLING:
-                raise ValueError(f"Invalid input {self.opt(name)} for {name}")
+        one_of(self, handle_unknown=_HANDLING, handle_missing=_HANDLING)
+        if not self.opt("smoothing") > 0:
+            raise ValueError("smoothing must be positive")
 
     def _fit(self, dataset):
         cols = self.opt("cols") or [c for c in columns_of(dataset, T.StringType) if c != self.opt("target")]

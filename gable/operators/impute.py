@@ -36,13 +36,13 @@ def column_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
 
 
 def learn_fills(
-    df: DataFrame, plan: dict[str, tuple[str, object]], max_group_rows: int | None = None
+    df: DataFrame, plan: dict[str, tuple[str, object]]
 ) -> dict[str, object]:
     """Fill value per column of ``{column: (strategy, constant)}``; columns without any value are left out."""
     extra = [F.count(c).alias(f"n__{c}") for c in plan]
     extra += [F.avg(c).alias(f"mean__{c}") for c, (s, _) in plan.items() if s == "mean"]
     medians = {f"median__{c}": (c, 0.5) for c, (s, _) in plan.items() if s == "median"}
-    one = exact_quantiles(df, medians, (), extra, max_group_rows) if medians else df.agg(*extra)
+    one = exact_quantiles(df, medians, (), extra) if medians else df.agg(*extra)
     row = one.first()
     present = {c: p for c, p in plan.items() if row[f"n__{c}"]}
     modes = column_modes(df, [c for c, (s, _) in present.items() if s == "most_frequent"])
@@ -86,7 +86,7 @@ class _ImputerStage(FittedStage):
 
     def _fit(self, dataset: DataFrame) -> ImputerModel:
         plan = self.plan(dataset)
-        fills = learn_fills(dataset, plan, self.opt("max_group_rows")) if plan else {}
+        fills = learn_fills(dataset, plan) if plan else {}
         return ImputerModel(state={"fills": fills, "dropped": [c for c in plan if c not in fills]})
 
 
@@ -99,7 +99,6 @@ class Imputer(_ImputerStage):
         "categorical_fill_value": None,
         "numeric_fill_value": None,
         "ignore": ["unit_indx"],
-        "max_group_rows": None,
     }
 
     def __init__(self, **options):
@@ -124,7 +123,6 @@ class SimpleImputer(_ImputerStage):
         "strategy": "most_frequent",
         "fill_value": None,
         "ignore": ["unit_indx"],
-        "max_group_rows": None,
     }
 
     def plan(self, df):
@@ -145,7 +143,6 @@ class PerColumnImputer(_ImputerStage):
         "impute_strategies": {},
         "default_strategy": "most_frequent",
         "ignore": ["unit_indx"],
-        "max_group_rows": None,
     }
 
     def plan(self, df):

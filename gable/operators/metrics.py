@@ -116,13 +116,13 @@ def validate(df: DataFrame, y: str, pred: str, proba: bool = False) -> dict[str,
     """Raise for empty, missing, infinite or out-of-range inputs; return the counts."""
     found = violations(df, y, pred, proba).first().asDict()
     if found["n_rows"] == 0:
-        raise ValueError("Length of inputs is 0")
+        raise ValueError("there are no rows to score")
     if found["bad_truth"]:
-        raise ValueError("truth contains NaN or infinity")
+        raise ValueError("the true values hold NaN, infinity or nulls")
     if found["bad_prediction"]:
-        raise ValueError("prediction contains NaN or infinity")
+        raise ValueError("the predictions hold NaN, infinity or nulls")
     if found["outside_unit"]:
-        raise ValueError("prediction contains probability estimates not within [0, 1]")
+        raise ValueError("probabilities must lie between 0 and 1")
     return found
 
 
@@ -152,7 +152,6 @@ def regression_scores(
     pred: str,
     metrics: Sequence[str] | None = None,
     keys: Sequence[str] = (),
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """One row (per key) with every asked regression metric, in a single pass."""
     names = [column_name(m) for m in (metrics or [m.name for m in core_metrics("time series regression")])]
@@ -162,14 +161,14 @@ def regression_scores(
     medians = {n: (c, 0.5) for n, c in (("mdape", "_ape"), ("medianae", "_ae")) if n in names}
     extra = [plain[n].alias(n) for n in names if n in plain]
     if medians:
-        out = exact_quantiles(rows, medians, keys, extra, max_group_rows)
+        out = exact_quantiles(rows, medians, keys, extra)
     else:
         out = rows.groupBy(*keys).agg(*extra)
     return out.select(*keys, *names)
 
 
 def score(
-    df: DataFrame, y: str, pred: str, metrics: Sequence[str], max_group_rows: int | None = None
+    df: DataFrame, y: str, pred: str, metrics: Sequence[str]
 ) -> tuple[DataFrame, dict[str, str]]:
     """Several regression metrics at once; those the data rule out are returned with the reason instead."""
     found = validate(df, y, pred)
@@ -180,7 +179,7 @@ def score(
             failed[m] = "target contains 0, so a percentage error is undefined"
         if name.endswith("log_error") and found["negative"]:
             failed[m] = "a log error needs non-negative values"
-    return regression_scores(df, y, pred, [m for m in metrics if m not in failed], (), max_group_rows), failed
+    return regression_scores(df, y, pred, [m for m in metrics if m not in failed], ()), failed
 
 
 # ---- binary --------------------------------------------------------------------------------------------

@@ -111,10 +111,10 @@ class MeanBaseline(FittedStage):
 
 def last_value_baseline(
     df: DataFrame, order: Sequence[str], target: str, series: Sequence[str] = (), gap: int = 1,
-    prediction: str = "prediction", max_group_rows: int | None = None,
+    prediction: str = "prediction",
 ) -> DataFrame:
     """Predicts the value ``gap`` rows earlier (the value itself for gap 0 refers to the row before)."""
-    return shifted(df, order, {prediction: (target, max(gap, 1))}, series, max_group_rows)
+    return shifted(df, order, {prediction: (target, max(gap, 1))}, series)
 
 
 # ---- blending and stacking ----------------------------------------------------------------------------------------
@@ -130,7 +130,7 @@ class Blend:
         seed: int = 0, parallelism: int = 3,
     ):
         if not bases:
-            raise ValueError("`bases` must not be None or an empty list.")
+            raise ValueError("a blend needs at least one base model")
         if mode not in ("in_sample", "out_of_fold"):
             raise ValueError("mode must be 'in_sample' or 'out_of_fold'")
         if any(isinstance(b, (MeanBaseline, Blend)) for b in bases.values()):
@@ -224,12 +224,12 @@ def quantile_grid(df: DataFrame, feature: str, points: int = 20) -> list[float]:
 class RegressionEvaluator(Evaluator):
     """Any regression metric of the registry as a Spark ML evaluator."""
 
-    def __init__(self, metric: str, label: str, prediction: str = "prediction", max_group_rows: int | None = None):
+    def __init__(self, metric: str, label: str, prediction: str = "prediction"):
         super().__init__()
-        self.metric, self.label, self.prediction, self.max_group_rows = metric, label, prediction, max_group_rows
+        self.metric, self.label, self.prediction = metric, label, prediction
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        row = regression_scores(dataset, self.label, self.prediction, [self.metric], (), self.max_group_rows).first()
+        row = regression_scores(dataset, self.label, self.prediction, [self.metric], ()).first()
         return float(row[column_name(self.metric)])
 
     def isLargerBetter(self) -> bool:
@@ -252,10 +252,10 @@ def random_grid(space: dict, trials: int, seed: int = 0) -> list[dict]:
 
 def search(
     df: DataFrame, estimator: Estimator, points: list[dict], metric: str, label: str, prediction: str = "prediction",
-    train_ratio: float = 0.8, parallelism: int = 3, seed: int = 0, max_group_rows: int | None = None,
+    train_ratio: float = 0.8, parallelism: int = 3, seed: int = 0,
 ) -> tuple[Model, DataFrame]:
     """Best model by a metric and the trials as (trial, parameters, metric), best first."""
-    evaluator = RegressionEvaluator(metric, label, prediction, max_group_rows)
+    evaluator = RegressionEvaluator(metric, label, prediction)
     tuner = TrainValidationSplit(
         estimator=estimator, estimatorParamMaps=points, evaluator=evaluator,
         trainRatio=train_ratio, parallelism=parallelism, seed=seed,
@@ -279,14 +279,13 @@ class TimeSeriesRegressor:
 
     def __init__(
         self, make_estimator, order: Sequence[str], target: str, features: Sequence[str] = (), series: Sequence[str] = (),
-        gap: int = 1, max_delay: int = 2, max_group_rows: int | None = None,
+        gap: int = 1, max_delay: int = 2,
     ):
         self.make_estimator = make_estimator
         self.order, self.target, self.features, self.series = list(order), target, list(features), list(series)
-        self.gap, self.max_delay, self.max_group_rows = gap, max_delay, max_group_rows
+        self.gap, self.max_delay = gap, max_delay
         self.delays = DelayedFeatureTransformer(
             order=self.order, series=self.series, features=self.features, target=target, gap=gap, max_delay=max_delay,
-            max_group_rows=max_group_rows,
         )
 
     def design(self, df: DataFrame) -> DataFrame:
@@ -296,7 +295,7 @@ class TimeSeriesRegressor:
         return list(self.delays.shifts())
 
     def fit(self, df: DataFrame) -> TimeSeriesRegressor:
-        rows = shifted(self.design(df), self.order, {"_future": (self.target, -self.gap)}, self.series, self.max_group_rows)
+        rows = shifted(self.design(df), self.order, {"_future": (self.target, -self.gap)}, self.series)
         self.model = self.make_estimator(self.input_columns(), "_future").fit(rows.na.drop(subset=[*self.input_columns(), "_future"]))
         return self
 

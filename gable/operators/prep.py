@@ -53,11 +53,10 @@ def prepare(
     target: str = "Price_p",
     index: str = "unit_indx",
     order: list[str] | None = None,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Raw merged rows to prepared rows. ``order`` gives the row order used when there is no index yet."""
     if drop_outlier:
-        df = R.drop_outliers(df, target, max_group_rows=max_group_rows)
+        df = R.drop_outliers(df, target)
     df = R.filter_match_types(df)
     if "POSTCODE_AREA" not in df.columns:
         df = df.withColumns(
@@ -85,8 +84,7 @@ def prepare(
 
 
 def prepare_and_split(
-    df: DataFrame, target: str = "Price_p", test_size: float = 0.15, index: str = "unit_indx", seed: int = 0,
-    max_group_rows: int | None = None, **options,
+    df: DataFrame, target: str = "Price_p", test_size: float = 0.15, index: str = "unit_indx", seed: int = 0, **options,
 ) -> DataFrame:
     """Prepared rows with a ``split`` column: validate, train or test.
 
@@ -94,12 +92,12 @@ def prepare_and_split(
     (area, type) key occurs more than five times are split by that key. Other rows are left out.
     """
     # The splits read the prepared rows many times: they are written once.
-    prepared = prepare(df, target=target, index=index, max_group_rows=max_group_rows, **options).transform(written)
+    prepared = prepare(df, target=target, index=index, **options).transform(written)
     outer = split_by_key(prepared, index, test_size, ["POSTCODE_AREA"], seed, names=("rest", "validate"))
     aside = outer.filter("split = 'validate'")
     rest = R.drop_nan_target_rows(outer.filter("split = 'rest'"), target).na.drop(subset=["TOTAL_FLOOR_AREA_e"])
     rest = rest.drop("split").withColumn("key", D.composite_key("POSTCODE_AREA", "PROPERTY_TYPE_e"))
-    rest = R.remove_rare_keys(rest, ["key"], 5, max_group_rows)
+    rest = R.remove_rare_keys(rest, ["key"], 5)
     inner = split_by_key(rest, index, test_size, ["key"], seed + 1).drop("key")
     return inner.unionByName(aside)
 
@@ -109,13 +107,12 @@ def add_coordinates(
     postcodes: DataFrame,
     outcodes: DataFrame,
     postcode: str = "postcode",
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Latitude from the postcode table, else from the outcode table (joined on the computed outcode).
 
     ``postcodes`` has (postcode, latitude), ``outcodes`` has (outcode, outcode_latitude).
     """
-    fine = lookup_join(rows, postcodes, [postcode], max_group_rows=max_group_rows)
+    fine = lookup_join(rows, postcodes, [postcode])
     fine = fine.withColumn("outcode", D.postcode_outcode(postcode))
-    coarse = lookup_join(fine, outcodes, ["outcode"], max_group_rows=max_group_rows)
+    coarse = lookup_join(fine, outcodes, ["outcode"])
     return coarse.withColumn("latitude", D.coordinate_fallback("latitude", "outcode_latitude")).drop("outcode_latitude")

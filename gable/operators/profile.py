@@ -67,9 +67,9 @@ def null_shares(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, f
     return {c: row[c] for c in cols if row[c] is not None}
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], max_group_rows: int | None = None) -> DataFrame:
+def quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles in long form (q, value)."""
-    wide = exact_quantiles(df, {f"q{i}": (col, q) for i, q in enumerate(probs)}, max_group_rows=max_group_rows)
+    wide = exact_quantiles(df, {f"q{i}": (col, q) for i, q in enumerate(probs)})
     pairs = [F.struct(F.lit(float(q)).alias("q"), F.col(f"q{i}").alias("value")) for i, q in enumerate(probs)]
     return wide.select(F.inline(F.array(*pairs)))
 
@@ -84,7 +84,7 @@ def distinct_count(df: DataFrame, *cols: str) -> DataFrame:
     return seen.groupBy("column").agg(F.count("value").alias("n_distinct"))
 
 
-def profile(df: DataFrame, cols: Sequence[str], max_group_rows: int | None = None) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Long-format report of numeric columns: count, nulls, distinct, mean, std, extremes and quartiles."""
     stats = {
         "n": lambda c: F.count(c),
@@ -99,7 +99,6 @@ def profile(df: DataFrame, cols: Sequence[str], max_group_rows: int | None = Non
         df,
         {f"{s}__{c}": (c, q) for c in cols for s, q in quartiles.items()},
         extra=[f(c).alias(f"{s}__{c}") for c in cols for s, f in stats.items()],
-        max_group_rows=max_group_rows,
     )
     names = [*stats, *quartiles]
     long = one.select(
@@ -124,7 +123,7 @@ def detect_problem_type(df: DataFrame, target: str) -> str:
     values = df.select(target).filter(F.col(target).isNotNull()).distinct()
     n = values.limit(11).count()
     if n < 2:
-        raise ValueError("Less than 2 classes detected! Target unusable for modeling")
+        raise ValueError("the target has fewer than two distinct values")
     if n == 2:
         return "binary"
     numeric = isinstance(df.schema[target].dataType, T.NumericType)

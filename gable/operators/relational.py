@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,7 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def drop_null_columns(df: DataFrame, pct_null_threshold: float = 1.0) -> DataFrame:
     """Drop columns whose null share reaches the threshold (any null at all for threshold 0)."""
     if not 0 <= pct_null_threshold <= 1:
-        raise ValueError("pct_null_threshold must be a float between 0 and 1, inclusive.")
+        raise ValueError("the share of nulls is a number from 0 to 1")
     shares = null_shares(df)
     if pct_null_threshold == 0:
         return df.drop(*[c for c, s in shares.items() if s > 0])
@@ -59,19 +60,18 @@ def drop_outliers(
     rooms: str = "NUMBER_HABITABLE_ROOMS_e",
     storeys: str = "FLAT_STOREY_COUNT_e",
     area: str = "TOTAL_FLOOR_AREA_e",
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Trim the price tails twice, then bound rooms, storeys and area; nulls in rooms or area drop the row.
 
     Only three scalars (the cut-offs) reach the driver, so both price filters can be pushed to the scan.
     """
     cut = exact_quantiles(
-        df, {"lo": (price, 0.01), "hi": (price, 0.99)}, max_group_rows=max_group_rows
+        df, {"lo": (price, 0.01), "hi": (price, 0.99)}
     ).first()
     if cut is None or cut["lo"] is None:
         return df.limit(0)
     kept = df.filter(F.col(price).between(cut["lo"], cut["hi"]))
-    again = exact_quantiles(kept, {"hi": (price, 0.99)}, max_group_rows=max_group_rows).first()["hi"]
+    again = exact_quantiles(kept, {"hi": (price, 0.99)}).first()["hi"]
     return kept.filter(
         F.col(price).between(10000, again)
         & (F.col(rooms).try_cast("double") < 10)
@@ -137,13 +137,32 @@ def choose(*cases: tuple[Column, object], otherwise: object = None) -> Column:
     return out.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
 
 
-def sample_fraction(df: DataFrame, fraction: float, replace: bool = False, seed: int = 0) -> DataFrame:
-    return df.sample(withReplacement=replace, fraction=fraction, seed=seed)
+def poisson_steps(mean: float) -> list[float]:
+    """Cumulated Poisson probabilities, as far as a double tells them from 1."""
+    steps, term, total = [], math.exp(-mean), 0.0
+    while total + term > total and total < 1 - 1e-15:
+        total += term
+        steps.append(total)
+        term *= mean / len(steps)
+    return steps
+
+
+def sample_fraction(df: DataFrame, fraction: float, key: str, replace: bool = False, seed: int = 0) -> DataFrame:
+    """About a share of the rows, chosen by the md5 of the key, so that it is the same on any cluster.
+
+    With replacement each row is repeated a Poisson number of times, read off the same hash.
+    """
+    # 52 bits of the hash are a number from 0 to 1 that a double holds exactly.
+    draw = F.conv(F.substring(hash_order(key, seed), 1, 13), 16, 10).cast("long") / F.lit(2.0**52)
+    if not replace:
+        return df.filter(draw < fraction)
+    times = sum(((draw >= p).cast("int") for p in poisson_steps(fraction)), F.lit(0))
+    return df.withColumn("_times", F.array_repeat(F.lit(0), times)).withColumn("_times", F.explode("_times")).drop("_times")
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows (or all), the first in md5 order of the key."""
-    return rank_by_hash(df, key, seed, rank_col="_pick").filter(F.col("_pick") <= n).drop("_pick")
+    return df.orderBy(hash_order(key, seed), key).limit(n)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], cols: Sequence[str] | None = None) -> DataFrame:
@@ -178,9 +197,9 @@ def keep_members(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 def remove_rare_keys(
-    df: DataFrame, keys: Sequence[str], more_than: int = 5, max_group_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], more_than: int = 5
 ) -> DataFrame:
     """Rows whose key occurs more than the given number of times."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > more_than)
-    joined = lookup_join(df, counts, keys, "inner", weight="_n", max_group_rows=max_group_rows)
+    joined = lookup_join(df, counts, keys, "inner", weight="_n")
     return joined.drop("_n")

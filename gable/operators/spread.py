@@ -9,18 +9,14 @@ per-range counts is accumulated per group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gable.runtime import written
 
-# Groups up to this many rows are left to Spark's own exact `percentile`.
-GROUP_ROWS_PER_TASK = 2_000_000
-# Accuracy of the sketch that brackets the quantiles of a whole table.
-SKETCH = 10_000
-# Number of heaviest join keys that are salted, and salts given to each.
-HEAVY_KEYS = 1000
+# Salts given to a heavy join key.
 SALTS = 64
 
 _STRATUM, _BUCKET, _ORDER, _ROW = "_stratum", "_bucket", "_order", "_row"
@@ -136,134 +132,73 @@ def running_totals(
     return placed.withColumns(added).select(*names, *added)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Row count of the biggest group (one scalar reaches the driver)."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-    return counted.first()["n"] or 0
-
-
-def _global_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], rows_per_task: int) -> dict[str, float | None]:
-    """Exact quantiles of whole columns from two scans and a ranking of the few rows around each.
-
-    A mergeable sketch gives a bracket of about 4 / SKETCH of the rows; counting the rows below and inside proves
-    that it holds the wanted positions. A bracket that does not (or cannot) is widened to the whole column.
-    """
-    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
-    slack = 2.0 / SKETCH
-    aggs = [F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)]
-    for name, (c, q) in wanted.items():
-        ends = [max(0.0, q - slack), min(1.0, q + slack)]
-        aggs.append(F.percentile_approx(F.col(c).cast("double"), ends, SKETCH).alias(f"ends_{name}"))
-    sketch = df.agg(*aggs).first()
-    sizes = {c: sketch[f"n_{i}"] for i, c in enumerate(columns)}
-    ends = {n: sketch[f"ends_{n}"] for n, (c, _) in wanted.items() if sizes[c]}
-    if not ends:
-        return {n: None for n in wanted}
-    counts = []
-    for name, (low, high) in ends.items():
-        v = F.col(wanted[name][0]).cast("double")
-        counts.append(F.sum((v < low).cast("long")).alias(f"below_{name}"))
-        counts.append(F.sum(v.between(low, high).cast("long")).alias(f"inside_{name}"))
-    seen = df.agg(*counts).first()
-    out: dict[str, float | None] = {n: None for n in wanted}
-    for name, (low, high) in ends.items():
-        c, q = wanted[name]
-        position = q * (sizes[c] - 1)
-        first, last = int(position), min(int(position) + 1, sizes[c] - 1)
-        below, inside = seen[f"below_{name}"], seen[f"inside_{name}"]
-        near = df.select(F.col(c).cast("double").alias("_v")).filter("_v IS NOT NULL")
-        if below <= first and last < below + inside:
-            near = near.filter(F.col("_v").between(low, high))
-        else:
-            below = 0
-        # Equal values are one row with their count, whatever their number.
-        ties = near.groupBy("_v").agg(F.count(F.lit(1)).alias("_k"))
-        run = running_totals(ties, ["_v"], ["_k"])
-        start, end = F.col("_k_before") + below, F.col("_k_before") + F.col("_k") + below
-        at = {p: (start <= p) & (end > p) for p in {first, last}}
-        values = run.agg(*[F.max(F.when(hit, F.col("_v"))).alias(f"p{p}") for p, hit in at.items()]).first()
-        out[name] = values[f"p{first}"] + (values[f"p{last}"] - values[f"p{first}"]) * (position - first)
-    return out
+def value_bucket(value: Column) -> Column:
+    """A coarse bucket that never falls as the value rises: 370 buckets per factor of e, so at most a few hundred thousand."""
+    size = F.when(value == 0, 0.0).otherwise(F.floor(F.ln(F.least(F.abs(value), F.lit(1.7e308))) * 370) + 400_000)
+    return F.when(F.isnan(value), 1_000_000.0).otherwise(F.signum(value) * size).cast("int")
 
 
 def exact_quantiles(
-    df: DataFrame,
-    wanted: dict[str, tuple[str, float]],
-    keys: Sequence[str] = (),
-    extra: Sequence[Column] = (),
-    max_group_rows: int | None = None,
-    rows_per_task: int = GROUP_ROWS_PER_TASK,
+    df: DataFrame, wanted: dict[str, tuple[str, float]], keys: Sequence[str] = (), extra: Sequence[Column] = ()
 ) -> DataFrame:
     """Exact linear-interpolated quantiles ``{name: (column, q)}`` per group, next to ``extra`` aggregates.
 
-    ``max_group_rows`` is a known upper bound of the group size; without it the size is counted. Groups that
-    fit a task use the built-in `percentile`; otherwise positions are read from a distributed ranking. Quantiles
-    of a whole large table are bracketed by a sketch first, so that only the rows near them are ranked.
+    One plan for all sizes and all columns. Equal values of a group are one row with their number (map-side combine).
+    These rows fall into value buckets whose number is bounded. Running totals over the buckets of a group tell which
+    buckets hold a wanted position; only those are ordered value by value. So neither a large group nor a frequent
+    value gathers rows in one task, and no step needs to know how large groups are.
     """
-    bound = max_group_rows if max_group_rows is not None else largest_group(df, keys)
-    if bound <= rows_per_task:
-        exact = [F.percentile(F.col(c), F.lit(q)).alias(name) for name, (c, q) in wanted.items()]
-        return df.groupBy(*keys).agg(*extra, *exact)
-    if not keys:
-        values = _global_quantiles(df, wanted, rows_per_task)
-        return df.agg(F.count(F.lit(1)).alias("_rows"), *extra, *[F.lit(v).cast("double").alias(n) for n, v in values.items()]).drop("_rows")
-    counted = [*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra]
-    result = df.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM).agg(*counted)
-    for column in dict.fromkeys(c for c, _ in wanted.values()):
-        values = df.select(*keys, F.col(column).cast("double").alias("_v")).filter("_v IS NOT NULL")
-        ranked = rank_by_order(values, ["_v"], keys, "_rank", "_size")
-        at = {n: F.lit(q) * (F.col("_size") - 1) for n, (c, q) in wanted.items() if c == column}
-        picked = ranked.withColumn(_STRATUM, stratum_label(keys)).groupBy(_STRATUM).agg(
-            *[F.max(F.when(F.col("_rank") - 1 == F.floor(p), F.col("_v"))).alias(f"_lo_{n}") for n, p in at.items()],
-            *[F.max(F.when(F.col("_rank") - 1 == F.ceil(p), F.col("_v"))).alias(f"_hi_{n}") for n, p in at.items()],
-            *[F.max(p - F.floor(p)).alias(f"_part_{n}") for n, p in at.items()],
-        )
-        result = result.join(
-            picked.select(
-                _STRATUM,
-                *[
-                    (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n)
-                    for n in at
-                ],
-            ),
-            _STRATUM,
-            "left",
-        )
-    return result.drop(_STRATUM, "_rows")
-
-
-def heavy_keys(df: DataFrame, keys: Sequence[str], weight: str | None = None, top: int = HEAVY_KEYS) -> DataFrame:
-    """The ``top`` most frequent key combinations (at most that many rows)."""
-    if weight:
-        counted = df.select(*keys, F.col(weight).alias("_n"))
-    else:
-        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.orderBy(F.desc("_n"), *keys).limit(top).select(*keys)
+    columns = list(dict.fromkeys(c for c, _ in wanted.values()))
+    marked = df.withColumn(_STRATUM, stratum_label(keys))
+    group = [*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra]
+    result = marked.groupBy(_STRATUM).agg(*group) if keys else df.agg(*group).withColumn(_STRATUM, F.lit(""))
+    pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
+    ties = marked.select(_STRATUM, F.inline(pairs)).filter("_v IS NOT NULL").groupBy(_STRATUM, "_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    ties = ties.withColumn("_b", value_bucket(F.col("_v")))
+    of = Window.partitionBy(_STRATUM, "_c")
+    earlier = of.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = ties.groupBy(_STRATUM, "_c", "_b").agg(F.sum("_k").alias("_n"))
+    buckets = buckets.withColumns({"_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_size": F.sum("_n").over(of)})
+    # Positions from 0, of the values below and above each quantile.
+    at = {n: F.lit(float(q)) * (F.col("_size") - 1) for n, (_, q) in wanted.items()}
+    mine = {n: F.col("_c") == columns.index(c) for n, (c, _) in wanted.items()}
+    inside = lambda position, start, number: (position >= start) & (position < start + number)
+    holds = [mine[n] & (inside(F.floor(p), F.col("_before"), F.col("_n")) | inside(F.ceil(p), F.col("_before"), F.col("_n"))) for n, p in at.items()]
+    near = ties.join(buckets.filter(reduce(Column.__or__, holds)), [_STRATUM, "_c", "_b"])
+    below = Window.partitionBy(_STRATUM, "_c", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    near = near.withColumn("_start", F.col("_before") + F.coalesce(F.sum("_k").over(below), F.lit(0)))
+    value = lambda n, position: F.max(F.when(mine[n] & inside(position, F.col("_start"), F.col("_k")), F.col("_v")))
+    picked = near.groupBy(_STRATUM).agg(
+        *[value(n, F.floor(p)).alias(f"_lo_{n}") for n, p in at.items()],
+        *[value(n, F.ceil(p)).alias(f"_hi_{n}") for n, p in at.items()],
+        *[F.max(F.when(mine[n], p - F.floor(p))).alias(f"_part_{n}") for n, p in at.items()],
+    )
+    between = [(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_part_{n}")).alias(n) for n in wanted]
+    return result.join(picked.select(_STRATUM, *between), _STRATUM, "left").drop(_STRATUM, "_rows")
+
+
+def heavy_keys(counted: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+    """Keys with more than a partition's fair share of all rows. There are fewer of them than shuffle partitions."""
+    partitions = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counted.agg(F.sum(weight)).scalar()
+    return counted.filter(F.col(weight) * partitions > total).select(*keys)
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    weight: str | None = None,
-    salts: int = SALTS,
-    max_group_rows: int | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", weight: str | None = None, salts: int = SALTS
 ) -> DataFrame:
-    """Join rows to a lookup that is unique on ``keys``, spreading the heaviest keys over ``salts`` tasks.
+    """Join rows to a lookup that is unique on ``keys``, spreading heavy keys over ``salts`` tasks.
 
-    The heavy-key list holds at most ``HEAVY_KEYS`` rows, so broadcasting it is bounded. ``weight`` names a
-    row-count column of the lookup; without it the keys are counted on the row side. When the caller knows
-    (``max_group_rows``) that every key fits a task, it is a plain join. AQE still turns either form into a
-    broadcast join when the lookup proves small.
+    A key is heavy if it has more rows than a shuffle partition should get, so the broadcast list of heavy keys has
+    fewer rows than there are partitions. ``weight`` names a row-count column of the lookup; without it the keys are
+    counted on the row side. The form is the same at every size; AQE turns it into a broadcast join when the lookup
+    proves small.
     """
-    if max_group_rows is not None and max_group_rows <= GROUP_ROWS_PER_TASK:
-        return rows.join(lookup, list(keys), how)
     if weight:
-        # Read twice below (heavy keys, join): an aggregate should not be computed twice.
-        lookup = lookup.transform(written)
-    source = lookup if weight else rows
-    heavy = F.broadcast(heavy_keys(source, keys, weight).withColumn("_heavy", F.lit(True)))
+        counted = lookup.select(*keys, F.col(weight).alias("_n"))
+    else:
+        counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    heavy = F.broadcast(heavy_keys(counted, keys, "_n").withColumn("_heavy", F.lit(True)))
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     spread = F.pmod(F.xxhash64(*plain), F.lit(salts))
     no_match = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()

@@ -62,6 +62,15 @@ class FittedStage(Options, Estimator):
         return self.MODEL(**self.options(), state=self.learn(dataset))
 
 
+def one_of(stage, **allowed) -> None:
+    """Check options of a stage (or any dict of options) against the values they may take."""
+    for option, values in allowed.items():
+        chosen = stage.opt(option)
+        for value in chosen if isinstance(chosen, (list, tuple)) else [chosen]:
+            if value not in values:
+                raise ValueError(f"option {option} of {type(stage).__name__}: {value!r} is none of {list(values)}")
+
+
 def with_state(defaults: dict[str, object]) -> dict[str, object]:
     return {**defaults, "state": {}}
 

@@ -26,9 +26,9 @@ def check_text_columns(df: DataFrame, wanted: Sequence[str]) -> list[str]:
         raise ValueError("no text columns were given")
     missing = [c for c in wanted if c not in df.columns]
     if len(missing) == len(wanted):
-        raise AttributeError("None of the provided text column names match the columns in the given DataFrame")
+        raise AttributeError("none of the text columns is in the table")
     if missing:
-        warnings.warn(f"Columns {missing} were not found in the given DataFrame, ignoring", RuntimeWarning)
+        warnings.warn(f"text columns that are not in the table are left out: {missing}", RuntimeWarning)
     return [c for c in wanted if c in df.columns]
 
 
@@ -57,10 +57,10 @@ def add_text_stats(df: DataFrame, cols: Sequence[str], keep: bool = False) -> Da
     return df.withColumns(made).drop(*[f"_words_{c}" for c in cols], *([] if keep else cols))
 
 
-def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame, max_group_rows: int | None = None) -> DataFrame:
+def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean lexicon score of the words of each text that the lexicon (word, score) knows; 0 without any."""
     counts = df.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
-    known = lookup_join(counts, lexicon.select("word", "score"), ["word"], "inner", max_group_rows=max_group_rows)
+    known = lookup_join(counts, lexicon.select("word", "score"), ["word"], "inner")
     sums = known.groupBy(key).agg((F.sum(F.col("score") * F.col("_n")) / F.sum("_n")).alias("polarity"))
     return df.select(key).join(sums, key, "left").withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
 
@@ -83,7 +83,7 @@ class LSAModel(FittedModel):
         n_texts = dataset.count()
         for c in cols:
             counts = dataset.select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
-            weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df", max_group_rows=n_texts)
+            weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df")
             w = F.col("_tf") * F.col("idf")
             norm = F.sqrt(F.sum(w * w))
             scores = weighted.groupBy(key).agg(*[(F.sum(w * F.col(f"v{i}")) / norm).alias(f"LSA({c})[{i}]") for i in range(k)])
@@ -129,14 +129,6 @@ def _small_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
     return gram
 
 
-# A side of an iteration's join is broadcast up to this estimated size, and shuffled beyond it.
-BROADCAST_BYTES = 64 << 20
-
-
-def _join_hint(rows: int, width: int) -> str:
-    return "broadcast" if rows * (width + 2) * 8 <= BROADCAST_BYTES else "shuffle_hash"
-
-
 def _rotate(df: DataFrame, cols: list[str], by: np.ndarray, keep: list[str]) -> DataFrame:
     """Replace ``cols`` by their products with the columns of a small matrix."""
     made = [
@@ -164,20 +156,18 @@ class LSA(FittedStage):
         counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(
             F.count(F.lit(1)).alias("_tf")
         ).transform(written)
-        # A term occurs once per text after counting, which bounds the rows of any term.
         n_texts = dataset.count() * len(cols)
         idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
         # Whole-number ids make the joins of every iteration cheap; the checkpoints fix them.
         number = F.monotonically_increasing_id()
         terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(number.alias("term_id"), "term", "df", idf.alias("idf"))
         terms = terms.transform(written)
-        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df", max_group_rows=n_texts)
+        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df")
         weighted = weighted.select("_doc", "term_id", (F.col("_tf") * F.col("idf")).alias("_w"))
         norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
         norms = norms.withColumn("doc_id", number).transform(written)
         entries = weighted.join(norms, "_doc").select("doc_id", "term_id", (F.col("_w") / F.col("_norm")).alias("_w")).transform(written)
         ids = terms.select("term_id", "df")
-        term_hint, text_hint = _join_hint(terms.count(), width), _join_hint(n_texts, width)
 
         names = [f"v{i}" for i in range(width)]
         # A start that depends on the term only, so every run begins the same way.
@@ -188,11 +178,11 @@ class LSA(FittedStage):
             values, vectors = np.linalg.eigh(gram)
             values = np.where(values > values.max() * 1e-14, values, np.inf)
             basis = _rotate(basis, names, vectors / np.sqrt(values), ["term_id", "df"])
-            joined = lookup_join(entries, basis.hint(term_hint), ["term_id"], "inner", weight="df", max_group_rows=n_texts)
+            joined = lookup_join(entries, basis, ["term_id"], "inner", weight="df")
             texts_side = joined.groupBy("doc_id").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
             if step == self.opt("iterations"):
                 break
-            back = entries.join(texts_side.hint(text_hint), "doc_id").groupBy("term_id")
+            back = entries.join(texts_side, "doc_id").groupBy("term_id")
             back = back.agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
             basis = ids.join(back, "term_id").select("term_id", "df", *names).transform(written)
         values, vectors = np.linalg.eigh(_small_gram(texts_side, names))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gable.operators.spread import GROUP_ROWS_PER_TASK, largest_group, lookup_join, rank_by_order
+from gable.operators.spread import lookup_join, rank_by_order
 from gable.operators.stages import ExpressionTransformer, FittedModel, FittedStage, with_state
 
 CHUNK_ROWS = 1_000_000
@@ -20,18 +20,13 @@ def shifted(
     order: Sequence[str],
     shifts: dict[str, tuple[str, int]],
     series: Sequence[str] = (),
-    max_group_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Add ``{name: (column, k)}``: the value k rows earlier (later for negative k) in the series.
 
-    A series that fits a task is one window group. Longer ones are cut into chunks of positions; rows near a
-    chunk edge are copied to the neighbour chunk, so that every window sees its full reach.
+    Every series is cut into chunks of positions; rows near a chunk edge are copied to the neighbour chunk, so that
+    every window sees its full reach.
     """
-    bound = max_group_rows if max_group_rows is not None else largest_group(df, series)
-    if bound <= GROUP_ROWS_PER_TASK and chunk_rows >= CHUNK_ROWS:
-        w = Window.partitionBy(*series).orderBy(*order)
-        return df.withColumns({n: F.lag(c, k).over(w) for n, (c, k) in shifts.items()})
     back = max([k for _, k in shifts.values() if k > 0], default=0)
     ahead = max([-k for _, k in shifts.values() if k < 0], default=0)
     if chunk_rows <= max(back, ahead):
@@ -71,15 +66,15 @@ class DelayedFeatureTransformer(ExpressionTransformer):
         "gap": 1,
         "delay_features": True,
         "delay_target": True,
-        "max_group_rows": None,
     }
 
-    def shifts(self) -> dict[str, tuple[str, int]]:
+    def shifts(self, columns: Sequence[str] | None = None) -> dict[str, tuple[str, int]]:
+        """Delayed columns; without a target column (at scoring time) there are none of the target."""
         out = {}
         if self.opt("delay_features"):
             for c in self.opt("features"):
                 out |= {f"{c}_delay_{t}": (c, t) for t in range(1, self.opt("max_delay") + 1)}
-        if self.opt("delay_target") and self.opt("target"):
+        if self.opt("delay_target") and self.opt("target") and (columns is None or self.opt("target") in columns):
             start = 1 if self.opt("gap") == 0 else 0
             c = self.opt("target")
             out |= {f"{c}_delay_{t}": (c, t) for t in range(start, self.opt("max_delay") + 1)}
@@ -88,16 +83,16 @@ class DelayedFeatureTransformer(ExpressionTransformer):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         if not self.opt("order"):
             raise ValueError("delays need an order column")
-        shifts = self.shifts()
+        shifts = self.shifts(dataset.columns)
         rows = dataset
         coded = {}
         for c in dict.fromkeys(c for c, _ in shifts.values()):
             if isinstance(dataset.schema[c].dataType, T.StringType):
                 codes = ordinal_codes(dataset, c).select(F.col("value").alias(c), F.col("code").alias(f"_code_{c}"))
-                rows = lookup_join(rows, codes, [c], max_group_rows=self.opt("max_group_rows"))
+                rows = lookup_join(rows, codes, [c])
                 coded[c] = f"_code_{c}"
         plan = {n: (coded.get(c, c), t) for n, (c, t) in shifts.items()}
-        out = shifted(rows, self.opt("order"), plan, self.opt("series"), self.opt("max_group_rows"))
+        out = shifted(rows, self.opt("order"), plan, self.opt("series"))
         return out.drop(*coded.values()).select(*dataset.columns, *shifts)
 
     def provenance(self):
@@ -139,11 +134,11 @@ class PolynomialDetrender(FittedStage):
     def __init__(self, **options):
         super().__init__(**options)
         if not isinstance(self.opt("degree"), int) or isinstance(self.opt("degree"), bool):
-            raise TypeError("Parameter Degree must be an integer")
+            raise TypeError("the degree of the trend is a whole number")
 
     def learn(self, df):
         if not self.opt("target"):
-            raise ValueError("y cannot be None for PolynomialDetrender")
+            raise ValueError("a trend needs a target column")
         d, y = self.opt("degree"), F.col(self.opt("target")).cast("double")
         ranked = rank_by_order(df.select(*self.opt("order"), self.opt("target")), self.opt("order"), (), "_pos", "_n")
         # Positions are scaled to [0, 1], which keeps the power sums well conditioned.

@@ -30,7 +30,6 @@ def interval_by_key(
     batch_sample_sets: int = 1,
     unit: str | None = None,
     seed: int = 0,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Per key: number of comparables and the relative error percentiles, null when the key is too small or when
     they do not enclose zero.
@@ -42,7 +41,7 @@ def interval_by_key(
     rows = comparables.withColumn("_e", relative_error(y, pred))
     counted = [F.count(F.lit(1)).alias("n_comparables")]
     if frac == 1.0 and max_sample_sz is None:
-        out = exact_quantiles(rows.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key], counted, max_group_rows)
+        out = exact_quantiles(rows.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key], counted)
     else:
         if unit is None:
             raise ValueError("sampling needs the unit column")
@@ -55,8 +54,7 @@ def interval_by_key(
         at = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_draw")), F.col("n_comparables")) + 1
         ranked = rank_by_hash(rows.select(key, unit, "_e"), unit, seed, [key], "_rank")
         sampled = picks.withColumn("_rank", at).join(ranked, [key, "_rank"])
-        bound = max_sample_sz * batch_sample_sets if max_sample_sz else None
-        errors = exact_quantiles(sampled.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key], (), bound)
+        errors = exact_quantiles(sampled.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key])
         out = sizes.join(errors, key, "left")
     usable = (F.col("n_comparables") >= min_sample_sz) & (F.col("lo") < 0) & (F.col("hi") > 0)
     return out.select(key, "n_comparables", F.when(usable, F.col("lo")).alias("lo"), F.when(usable, F.col("hi")).alias("hi"))
@@ -129,12 +127,11 @@ def avm(
     y: str,
     pred: str,
     conf_min: float = 0.5,
-    max_group_rows: int | None = None,
     **interval,
 ) -> DataFrame:
     """Valuation with interval for every unit: errors once per key, one join, then bounds and clean-up."""
-    errors = interval_by_key(comparables, key, y, pred, max_group_rows=max_group_rows, **interval)
-    joined = lookup_join(units, errors, [key], weight="n_comparables", max_group_rows=max_group_rows)
+    errors = interval_by_key(comparables, key, y, pred, **interval)
+    joined = lookup_join(units, errors, [key], weight="n_comparables")
     return clean_bounds(add_bounds(joined.withColumn("avm", F.col(pred))), conf_min)
 
 
@@ -148,14 +145,13 @@ def batch_confidence(
     conf_min: float = 0.5,
     bounds: str = "relative",
     seed: int = 0,
-    max_group_rows: int | None = None,
     **interval,
 ) -> DataFrame:
     """Batch valuation. ``bounds='relative'`` applies the error percentiles of a key to each unit's own value;
     ``'absolute'`` gives every unit of a key the bounds of its representative unit."""
     if bounds not in ("relative", "absolute"):
         raise ValueError("bounds must be 'relative' or 'absolute'")
-    errors = interval_by_key(comparables, key, y, pred, max_group_rows=max_group_rows, **interval)
+    errors = interval_by_key(comparables, key, y, pred, **interval)
     if bounds == "absolute":
         chosen = representatives(units.select(key, unit, F.col(pred).alias("_of")), [key], unit, seed)
         fixed = chosen.join(errors, key)
@@ -166,7 +162,7 @@ def batch_confidence(
             F.bround(value + value * F.col("lo"), 0).alias("_lower"),
             F.bround(value + value * F.col("hi"), 0).alias("_upper"),
         )
-    out = lookup_join(units, errors, [key], weight="n_comparables", max_group_rows=max_group_rows).withColumn("avm", F.col(pred))
+    out = lookup_join(units, errors, [key], weight="n_comparables").withColumn("avm", F.col(pred))
     if bounds == "absolute":
         out = out.withColumns({"lo": F.col("_lower") / F.col("avm") - 1, "hi": F.col("_upper") / F.col("avm") - 1})
     out = correct_bounds(add_bounds(out), conf_min)

@@ -10,7 +10,7 @@ from gable.operators import chain as C
 from gable.operators import encode, impute, reduce, select, text, timeseries
 from gable.operators.dates import DateTimeFeaturizer
 from gable.operators.profile import literal_rows
-from gable.plans.property_view import UNITS_SQL, row_bound, table, text_table, units, with_sql
+from gable.plans.property_view import UNITS_SQL, table, units, with_sql
 from gable.plans.registry import query
 
 
@@ -52,7 +52,7 @@ def impute_mean(spark, sf_dir):
 @query("impute_median", "D1", _impute_sql("median", "constant"))
 def impute_median(spark, sf_dir):
     stage = impute.Imputer(
-        numeric_strategy="median", categorical_strategy="constant", max_group_rows=row_bound(spark, sf_dir)
+        numeric_strategy="median", categorical_strategy="constant"
     )
     return _imputed(spark, sf_dir, stage)
 
@@ -83,7 +83,7 @@ def impute_per_column(spark, sf_dir):
         "rooms": {"impute_strategy": "constant", "fill_value": 7},
         "floor_label": {"impute_strategy": "constant", "fill_value": "none"},
     }
-    stage = impute.PerColumnImputer(impute_strategies=strategies, max_group_rows=row_bound(spark, sf_dir))
+    stage = impute.PerColumnImputer(impute_strategies=strategies)
     return _imputed(spark, sf_dir, stage)
 
 
@@ -131,7 +131,7 @@ def onehot_categories(spark, sf_dir):
 def target_encode(spark, sf_dir):
     rows = units(spark, sf_dir).select("unit_indx", "postcode", "price_p")
     stage = encode.TargetEncoder(
-        cols=["postcode"], target="price_p", smoothing=10.0, max_group_rows=row_bound(spark, sf_dir)
+        cols=["postcode"], target="price_p", smoothing=10.0
     )
     return stage.fit(rows).transform(rows).select("unit_indx", F.round("postcode", 4).alias("postcode"))
 
@@ -178,7 +178,6 @@ def lag_features(spark, sf_dir):
         order=["ts", "event_id"],
         series=["user_id"],
         features=["value", "event_type"],
-        max_group_rows=row_bound(spark, sf_dir, "events"),
     )
     return stage.transform(rows)
 
@@ -250,7 +249,7 @@ _WORDS = f"[x for x in regexp_split_to_array(lower(translate(text, '{_PUNCT}', '
       AS "MEAN_CHARACTERS_PER_WORD(text)" FROM w""",
 )
 def text_stats(spark, sf_dir):
-    rows = text.TextFeaturizer(text_columns=["text"]).transform(text_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = text.TextFeaturizer(text_columns=["text"]).transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
         "doc_id", *[F.round(F.col(f"`{c}`"), 9).alias(c) for c in rows.columns if c != "doc_id"]
     )
@@ -270,14 +269,14 @@ _LEXICON = [("the", 1), ("of", -1), ("and", 2), ("in", -3), ("to", 4), ("le", -5
 )
 def text_polarity(spark, sf_dir):
     lexicon = literal_rows(spark, _LEXICON, ["word", "score"])
-    rows = text_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     # A word occurs at most once per document after counting, so no key exceeds the number of documents.
-    return text.polarity(rows, "doc_id", "text", lexicon, row_bound(spark, sf_dir, "documents"))
+    return text.polarity(rows, "doc_id", "text", lexicon)
 
 
 @query("lsa", "D13")
 def lsa(spark, sf_dir):
-    rows = text_table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
     return text.LSA(text_columns=["text"], key="doc_id").fit(rows).transform(rows)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gable.operators import metrics as M
 from gable.operators.models import MeanBaseline
-from gable.plans.property_view import VALUED_SQL, row_bound, table, valued_units, with_sql
+from gable.plans.property_view import VALUED_SQL, table, valued_units, with_sql
 from gable.plans.registry import query
 
 _APE = "abs((price_p - avm) / price_p)"
@@ -34,7 +34,7 @@ _REGRESSION_SQL = f"""SELECT round(avg({_APE}) * 100, 6) AS mape, round(median({
 )
 def metric_regression_all(spark, sf_dir):
     names = [m.name for m in M.core_metrics("time series regression")]
-    scores, _ = M.score(valued_units(spark, sf_dir), "price_p", "avm", names, row_bound(spark, sf_dir))
+    scores, _ = M.score(valued_units(spark, sf_dir), "price_p", "avm", names)
     return _round(scores, {"mae": 4, "mse": 0, "root_mean_squared_error": 4, "medianae": 4, "maxerror": 4})
 
 
@@ -46,7 +46,7 @@ def metric_regression_all(spark, sf_dir):
 )
 def metric_regression_by_key(spark, sf_dir):
     rows = valued_units(spark, sf_dir)
-    scores = M.regression_scores(rows, "price_p", "avm", ["MAPE", "MdAPE", "MAE"], ["key"], row_bound(spark, sf_dir))
+    scores = M.regression_scores(rows, "price_p", "avm", ["MAPE", "MdAPE", "MAE"], ["key"])
     return _round(scores, {"mae": 4})
 
 
@@ -320,5 +320,5 @@ def metric_auc_multiclass(spark, sf_dir):
 )
 def best_row(spark, sf_dir):
     rows = valued_units(spark, sf_dir)
-    scores = M.regression_scores(rows, "price_p", "avm", ["MdAPE"], ["key"], row_bound(spark, sf_dir))
+    scores = M.regression_scores(rows, "price_p", "avm", ["MdAPE"], ["key"])
     return _round(scores, {}).orderBy("mdape", "key").limit(1)

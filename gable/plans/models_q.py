@@ -13,7 +13,7 @@ from gable.operators import splits
 from gable.operators.metrics import regression_scores
 from gable.operators.relational import fill_nulls
 from gable.operators.select import importance_table
-from gable.plans.property_view import UNITS_SQL, row_bound, table, units, with_sql
+from gable.plans.property_view import UNITS_SQL, table, units, with_sql
 from gable.plans.registry import query
 from gable.runtime import scratch_path
 
@@ -115,7 +115,7 @@ def mean_baseline(spark, sf_dir):
 def last_value_baseline(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     out = M.last_value_baseline(
-        rows, ["ts", "event_id"], "value", ["user_id"], max_group_rows=row_bound(spark, sf_dir, "events")
+        rows, ["ts", "event_id"], "value", ["user_id"]
     )
     return out.select("event_id", "value", "prediction")
 
@@ -127,8 +127,7 @@ def last_value_baseline(spark, sf_dir):
 )
 def lead_target(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    bound = row_bound(spark, sf_dir, "events")
-    return M.shifted(rows, ["ts", "event_id"], {"future": ("value", -2)}, ["user_id"], bound).select("event_id", "future")
+    return M.shifted(rows, ["ts", "event_id"], {"future": ("value", -2)}, ["user_id"]).select("event_id", "future")
 
 
 @query(
@@ -142,7 +141,7 @@ def ts_regression(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     model = M.TimeSeriesRegressor(
         lambda cols, label: M.linear_regressor(cols, label), ["ts", "event_id"], "value", series=["user_id"],
-        gap=1, max_delay=0, max_group_rows=row_bound(spark, sf_dir, "events"),
+        gap=1, max_delay=0,
     )
     out = model.fit(rows).transform(rows)
     return out.select("event_id", F.round("prediction", 5).alias("prediction"))
@@ -209,7 +208,7 @@ def search_best(spark, sf_dir):
     forest = M.RandomForestRegressor(featuresCol="features", labelCol="price_p", seed=0)
     chain = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest])
     points = M.random_grid({forest.maxDepth: [2, 4, 6], forest.numTrees: [4, 8]}, trials=3, seed=1)
-    _, trials = M.search(_rows(spark, sf_dir), chain, points, "MdAPE", "price_p", max_group_rows=row_bound(spark, sf_dir))
+    _, trials = M.search(_rows(spark, sf_dir), chain, points, "MdAPE", "price_p")
     return trials
 
 
@@ -220,10 +219,9 @@ def model_scores(spark, sf_dir):
     base = M.MeanBaseline(label="price_p", prediction="baseline").fit(train)
     fitted = M.fit_cached(M.forest_regressor(FEATURES, "price_p", "avm"), train)
     scored = base.transform(fitted.transform(test))
-    bound = row_bound(spark, sf_dir)
     out = None
     for name in ("avm", "baseline"):
-        one = regression_scores(scored, "price_p", name, ["MAPE", "MdAPE", "MAE", "R2"], (), bound)
+        one = regression_scores(scored, "price_p", name, ["MAPE", "MdAPE", "MAE", "R2"])
         one = one.select(F.lit(name).alias("model"), "*")
         out = one if out is None else out.unionByName(one)
     return out

@@ -23,18 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table with heavy work per row: rows of a few large files are spread over the free cores."""
-    rows = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
-def row_bound(spark: SparkSession, sf_dir: str, name: str = "orders") -> int:
-    """Number of rows of a table, read from the parquet footers: an upper bound of any group of its rows."""
-    return table(spark, sf_dir, name).count()
-
-
 def property_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     floor = F.col("last_line")
@@ -80,7 +68,7 @@ def valued_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["postcode", "property_type"]
     means = build_lookup(rows, keys, [], "price_p", ops=["mean"])
     return lookup_join(
-        rows, means, keys, weight="density_count", max_group_rows=row_bound(spark, sf_dir)
+        rows, means, keys, weight="density_count"
     ).withColumnRenamed("price_p__mean", "avm")
 
 

@@ -9,7 +9,7 @@ from gable.operators import comparables as C
 from gable.operators import prep as P
 from gable.operators import profile as S
 from gable.operators import relational as R
-from gable.plans.property_view import PROPERTY_SQL, UNITS_SQL, VALUED_SQL, property_rows, row_bound, table, text_table, units, valued_units, with_sql
+from gable.plans.property_view import PROPERTY_SQL, UNITS_SQL, VALUED_SQL, property_rows, table, units, valued_units, with_sql
 from gable.plans.registry import query
 from gable.runtime import scratch_path
 from gable.sources import readers, writers
@@ -37,14 +37,14 @@ LOOKUP_SQL = f"""lookup AS (SELECT postcode, property_type, {_aggregates([*FEATU
   count(*) AS density_count FROM units GROUP BY postcode, property_type)"""
 
 
-def _lookup(rows, bound):
-    frame = C.build_lookup(rows, KEYS, FEATURES, "price_p", max_group_rows=bound)
+def _lookup(rows):
+    frame = C.build_lookup(rows, KEYS, FEATURES, "price_p")
     return frame.select(*KEYS, *[F.round(c, 4).alias(c) for c in frame.columns if "__" in c], "density_count")
 
 
 @query("comparables_lookup", "F1 F10", with_sql(f"{UNITS_SQL}, {LOOKUP_SQL}", "SELECT * FROM lookup"))
 def comparables_lookup(spark, sf_dir):
-    return _lookup(units(spark, sf_dir), row_bound(spark, sf_dir))
+    return _lookup(units(spark, sf_dir))
 
 
 _MINUS = ", ".join(f"round({c} - {c}__{op}, 4) AS {c}_minus_{op}" for c in FEATURES for op in C.OPS)
@@ -61,8 +61,8 @@ _PRICES = ", ".join(f"price_p__{op}" for op in C.OPS)
     ),
 )
 def comparables_features(spark, sf_dir):
-    rows, bound = units(spark, sf_dir), row_bound(spark, sf_dir)
-    out = C.comparables_features(rows, _lookup(rows, bound), KEYS, FEATURES, max_group_rows=bound)
+    rows = units(spark, sf_dir)
+    out = C.comparables_features(rows, _lookup(rows), KEYS, FEATURES)
     minus = [F.round(f"{c}_minus_{op}", 4).alias(f"{c}_minus_{op}") for c in FEATURES for op in C.OPS]
     prices = [f"price_p__{op}" for op in C.OPS]
     out = R.rename(out, {"postcode": "POSTCODE"})
@@ -82,12 +82,12 @@ _MERGED = ", ".join(f"round({c} - {c}__{op}, 4) AS {c}_minus_{c}__{op}" for c in
     ),
 )
 def train_lookup_merge(spark, sf_dir):
-    rows, bound = units(spark, sf_dir), row_bound(spark, sf_dir)
-    lookup = _lookup(rows, bound).withColumnRenamed("property_type", "property_type__")
+    rows = units(spark, sf_dir)
+    lookup = _lookup(rows).withColumnRenamed("property_type", "property_type__")
     carried = ["unit_indx", "property_type", "postcode", "postcode_area", "density_count", "price_p"]
     columns = ["unit_indx", "property_type", "postcode", "postcode_area", "price_p", *FEATURES]
     merged = C.merge_train_with_lookup(
-        rows.select(*columns), lookup, KEYS, FEATURES, "price_p", carried, bound
+        rows.select(*columns), lookup, KEYS, FEATURES, "price_p", carried
     )
     return _rounded(merged, 4)
 
@@ -210,9 +210,9 @@ def floor_normalise(spark, sf_dir):
     ),
 )
 def nearest_area_flags(spark, sf_dir):
-    rows, bound = units(spark, sf_dir).select("unit_indx", "area", *KEYS), row_bound(spark, sf_dir)
-    lookup = C.build_lookup(rows, KEYS, ["area"], max_group_rows=bound)
-    joined = C.add_lookup(rows, lookup, KEYS, max_group_rows=bound)
+    rows = units(spark, sf_dir).select("unit_indx", "area", *KEYS)
+    lookup = C.build_lookup(rows, KEYS, ["area"])
+    joined = C.add_lookup(rows, lookup, KEYS)
     flags = D.nearest_area_flags("area", "area__median", "area__min", "area__max")
     return joined.select("unit_indx", *[c.alias(n) for n, c in flags.items()])
 
@@ -236,7 +236,7 @@ def half_even_round(spark, sf_dir):
     f"""SELECT doc_id, md5(lower(translate(text, '{D.PUNCTUATION.replace("'", "''")}', ''))) AS clean_md5 FROM documents""",
 )
 def text_normalise(spark, sf_dir):
-    return text_table(spark, sf_dir, "documents").select("doc_id", F.md5(D.clean_text("text")).alias("clean_md5"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(D.clean_text("text")).alias("clean_md5"))
 
 
 @query(
@@ -249,10 +249,7 @@ def parse_dates(spark, sf_dir):
     long_form = F.date_format("o_orderdate", "M/d/yy H:mm")
     short_form = F.date_format("o_orderdate", "M/d/yy")
     text = F.when(F.col("o_orderkey") % 2 == 0, long_form).otherwise(short_form)
-    parsed = D.parse_timestamp(text)
-    # Two-digit years fall in 2000-2099; sales before 2000 move back a century.
-    moved = F.when(F.year("o_orderdate") < 2000, F.add_months(parsed.cast("date"), -1200).cast("timestamp")).otherwise(parsed)
-    return table(spark, sf_dir, "orders").select("o_orderkey", moved.cast("timestamp_ntz").alias("parsed"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", D.parse_timestamp(text).cast("timestamp_ntz").alias("parsed"))
 
 
 # ---- relational basics -----------------------------------------------------------------------------
@@ -302,7 +299,7 @@ def match_type_filter(spark, sf_dir):
 )
 def drop_outliers(spark, sf_dir):
     rows = units(spark, sf_dir).select("unit_indx", "price_p", "area", "rooms", "floor_level")
-    return R.drop_outliers(rows, "price_p", "rooms", "floor_level", "area", row_bound(spark, sf_dir))
+    return R.drop_outliers(rows, "price_p", "rooms", "floor_level", "area")
 
 
 @query("dropna_target", "B7 B10", with_sql(PROPERTY_SQL, "SELECT unit_indx, area FROM property WHERE area IS NOT NULL"))
@@ -398,9 +395,22 @@ def sample_exact(spark, sf_dir):
     return R.sample_rows(rows, 500, "o_orderkey", seed=7)
 
 
-@query("sample_fraction", "B17")
+def _poisson_sql(u, mean):
+    """Number of draws whose cumulated Poisson probability lies below u."""
+    return " + ".join(f"CASE WHEN {u} >= {p!r} THEN 1 ELSE 0 END" for p in R.poisson_steps(mean))
+
+
+_DRAW = "('0x' || substr(md5('7|' || CAST(o_orderkey AS VARCHAR)), 1, 13))::BIGINT / 4503599627370496.0"
+
+
+@query("sample_share", "B17", f"SELECT o_orderkey FROM orders WHERE {_DRAW} < 0.25")
+def sample_share(spark, sf_dir):
+    return R.sample_fraction(table(spark, sf_dir, "orders").select("o_orderkey"), 0.25, "o_orderkey", seed=7)
+
+
+@query("sample_fraction", "B17", f"SELECT o_orderkey FROM (SELECT o_orderkey, unnest(range(0, {_poisson_sql(_DRAW, 0.5)})) FROM orders)")
 def sample_fraction(spark, sf_dir):
-    return R.sample_fraction(table(spark, sf_dir, "orders").select("o_orderkey"), 0.5, replace=True, seed=7)
+    return R.sample_fraction(table(spark, sf_dir, "orders").select("o_orderkey"), 0.5, "o_orderkey", replace=True, seed=7)
 
 
 @query(
@@ -454,7 +464,7 @@ def coord_fallback(spark, sf_dir):
     coarse = rows.groupBy(D.postcode_outcode("postcode").alias("outcode")).agg(
         F.count(F.lit(1)).cast("double").alias("outcode_latitude")
     )
-    return P.add_coordinates(rows, fine, coarse, max_group_rows=row_bound(spark, sf_dir)).select("unit_indx", "postcode", "latitude")
+    return P.add_coordinates(rows, fine, coarse).select("unit_indx", "postcode", "latitude")
 
 
 @query(
@@ -501,7 +511,7 @@ def value_counts(spark, sf_dir):
 )
 def rare_key_filter(spark, sf_dir):
     rows = units(spark, sf_dir).select("unit_indx", "postcode", "heated_rooms")
-    return R.remove_rare_keys(rows, ["postcode", "heated_rooms"], 5, row_bound(spark, sf_dir))
+    return R.remove_rare_keys(rows, ["postcode", "heated_rooms"], 5)
 
 
 @query(
@@ -591,7 +601,7 @@ def _profile_sql(c):
 
 @query("profile", "F13", with_sql(UNITS_SQL, " UNION ALL ".join(_profile_sql(c) for c in ("price_p", "area", "floor_level"))))
 def profile(spark, sf_dir):
-    return _rounded(S.profile(units(spark, sf_dir), ["price_p", "area", "floor_level"], row_bound(spark, sf_dir)), 4)
+    return _rounded(S.profile(units(spark, sf_dir), ["price_p", "area", "floor_level"]), 4)
 
 
 @query(
@@ -655,7 +665,7 @@ def top_categories(spark, sf_dir):
     ),
 )
 def prepare_units(spark, sf_dir):
-    return P.prepare(P.raw_rows(property_rows(spark, sf_dir)), max_group_rows=row_bound(spark, sf_dir))
+    return P.prepare(P.raw_rows(property_rows(spark, sf_dir)))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gable.functions import domain as D
 from gable.operators import prep as P
 from gable.operators import reduce, samplers, splits
-from gable.plans.property_view import UNITS_SQL, property_rows, row_bound, table, units, with_sql
+from gable.plans.property_view import UNITS_SQL, property_rows, table, units, with_sql
 from gable.plans.registry import query
 
 
@@ -99,7 +99,7 @@ def kfold_plain(spark, sf_dir):
     ),
 )
 def split_prepared(spark, sf_dir):
-    rows = P.prepare_and_split(P.raw_rows(property_rows(spark, sf_dir)), max_group_rows=row_bound(spark, sf_dir))
+    rows = P.prepare_and_split(P.raw_rows(property_rows(spark, sf_dir)))
     return rows.select("unit_indx", "split")
 
 

@@ -25,9 +25,14 @@ def stream_score(spark, sf_dir):
     return jobs.run_available(scored, scratch_path(spark, "scored"))
 
 
-@query("stream_dedup", "L2 B18", "SELECT DISTINCT user_id, event_type FROM events")
+@query(
+    "stream_dedup",
+    "L2 B18",
+    """SELECT user_id, event_type, event_id, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1""",
+)
 def stream_dedup(spark, sf_dir):
     rows = table(spark, sf_dir, "events")
-    stream = jobs.read_files(spark, f"{sf_dir}/events.parquet", rows.schema).withColumn("ts", F.col("ts").cast("timestamp"))
-    once = jobs.deduplicate_stream(stream, ["user_id", "event_type"], "ts", "365 days").select("user_id", "event_type")
-    return jobs.run_available(once, scratch_path(spark, "deduplicated"))
+    stream = jobs.read_files(spark, f"{sf_dir}/events.parquet", rows.schema)
+    found = jobs.append_new(stream, ["user_id", "event_type"], [F.col("ts"), F.col("event_id")], scratch_path(spark, "deduplicated"))
+    return found.select("user_id", "event_type", "event_id", "value")

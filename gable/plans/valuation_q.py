@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gable.operators import valuation as V
-from gable.plans.property_view import VALUED_SQL, row_bound, valued_units, with_sql
+from gable.plans.property_view import VALUED_SQL, valued_units, with_sql
 from gable.plans.registry import query
 
 _ERR = f"""{VALUED_SQL}, errors AS (SELECT key, count(*) AS n_comparables, quantile_cont((avm - price_p) / price_p, (1 - 0.68) / 2) AS lo,
@@ -25,7 +25,7 @@ def _rows(spark, sf_dir):
 
 @query("interval_by_key", "K1 K2 F10 E5", with_sql(_ERR, "SELECT key, n_comparables, round(lo, 9) AS lo, round(hi, 9) AS hi FROM intervals"))
 def interval_by_key(spark, sf_dir):
-    out = V.interval_by_key(_rows(spark, sf_dir), "key", "price_p", "avm", max_group_rows=row_bound(spark, sf_dir))
+    out = V.interval_by_key(_rows(spark, sf_dir), "key", "price_p", "avm")
     return out.withColumns({"lo": F.round("lo", 9), "hi": F.round("hi", 9)})
 
 
@@ -45,9 +45,9 @@ def interval_sampled(spark, sf_dir):
     ),
 )
 def avm_bounds(spark, sf_dir):
-    rows, bound = _rows(spark, sf_dir), row_bound(spark, sf_dir)
-    errors = V.interval_by_key(rows, "key", "price_p", "avm", max_group_rows=bound)
-    joined = V.lookup_join(rows, errors, ["key"], weight="n_comparables", max_group_rows=bound)
+    rows = _rows(spark, sf_dir)
+    errors = V.interval_by_key(rows, "key", "price_p", "avm")
+    joined = V.lookup_join(rows, errors, ["key"], weight="n_comparables")
     out = V.add_bounds(joined)
     return out.select(
         "unit_indx", F.round("avm", 4).alias("avm"), "avm_lower", "avm_upper", F.round("fsd", 4).alias("fsd"), F.round("conf", 6).alias("conf")
@@ -67,7 +67,7 @@ def avm_bounds(spark, sf_dir):
 )
 def avm_cleanup(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    out = V.avm(rows, rows, "key", "price_p", "avm", conf_min=0.4, max_group_rows=row_bound(spark, sf_dir))
+    out = V.avm(rows, rows, "key", "price_p", "avm", conf_min=0.4)
     out = V.add_run_metadata(out, production="1", at=dt.datetime(2021, 2, 7))
     return out.select(
         "unit_indx", "avm", "avm_lower", "avm_upper", F.round("conf", 6).alias("conf"),
@@ -88,7 +88,7 @@ _OUT = ["unit_indx", "key", "avm", "avm_lower", "avm_upper", "fsd", "conf_label"
 @query("batch_confidence", "K5 K6 E3 F11", f"WITH {_BOUNDS}{_BATCH}")
 def batch_confidence(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    return V.batch_confidence(rows, rows, "key", "price_p", "avm", max_group_rows=row_bound(spark, sf_dir)).select(*_OUT)
+    return V.batch_confidence(rows, rows, "key", "price_p", "avm").select(*_OUT)
 
 
 _ABSOLUTE = f"""{_ERR}, reps AS (SELECT key, avm AS of_rep FROM valued QUALIFY row_number() OVER (PARTITION BY key
@@ -102,5 +102,5 @@ bounds AS (SELECT *, CASE WHEN avm - avm_lower > avm_upper - avm THEN avm - avm_
 @query("batch_confidence_absolute", "K5 F11", f"WITH {_ABSOLUTE}{_BATCH}")
 def batch_confidence_absolute(spark, sf_dir):
     rows = _rows(spark, sf_dir)
-    out = V.batch_confidence(rows, rows, "key", "price_p", "avm", bounds="absolute", max_group_rows=row_bound(spark, sf_dir))
+    out = V.batch_confidence(rows, rows, "key", "price_p", "avm", bounds="absolute")
     return out.select(*_OUT)

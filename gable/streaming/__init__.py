@@ -1,2 +1,2 @@
 """Incremental scoring and deduplication with Structured Streaming."""
-from gable.streaming.jobs import deduplicate_stream, read_files, run_available, score_stream  # noqa: F401
+from gable.streaming.jobs import append_new, deduplicate_stream, read_files, run_available, score_stream  # noqa: F401

@@ -51,22 +51,35 @@ def test_running_totals(skewed, strata):
 
 
 @pytest.mark.parametrize("keys", [(), ("g",)])
-def test_exact_quantiles_of_large_groups(skewed, keys):
-    wanted = {"lo": ("v", 0.16), "mid": ("v", 0.5), "hi": ("v", 0.99)}
-    args = (skewed, wanted, keys, [F.count(F.lit(1)).alias("n")])
-    small = {tuple(r[k] for k in keys): r for r in spread.exact_quantiles(*args, max_group_rows=2000).collect()}
-    large = {tuple(r[k] for k in keys): r for r in spread.exact_quantiles(*args, rows_per_task=10).collect()}
-    assert small.keys() == large.keys()
-    for k, r in small.items():
-        assert r["n"] == large[k]["n"]
+def test_exact_quantiles_are_percentiles(skewed, keys):
+    wanted = {"lo": ("v", 0.16), "mid": ("v", 0.5), "hi": ("v", 0.99), "ends": ("id", 1.0)}
+    got = {tuple(r[k] for k in keys): r for r in spread.exact_quantiles(skewed, wanted, keys, [F.count(F.lit(1)).alias("n")]).collect()}
+    exact = [F.percentile(F.col(c), F.lit(q)).alias(n) for n, (c, q) in wanted.items()]
+    want = {tuple(r[k] for k in keys): r for r in skewed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *exact).collect()}
+    assert got.keys() == want.keys()
+    for k, r in want.items():
+        assert got[k]["n"] == r["n"]
         for c in wanted:
-            assert large[k][c] == pytest.approx(r[c], abs=1e-9)
+            assert got[k][c] == pytest.approx(r[c], abs=1e-9)
 
 
-def test_exact_quantiles_match_numpy(skewed):
-    values = [r[0] for r in skewed.select("v").filter("v IS NOT NULL").collect()]
-    row = spread.exact_quantiles(skewed, {"q": ("v", 0.37)}, rows_per_task=10).first()
-    assert row["q"] == pytest.approx(np.quantile(values, 0.37))
+def test_exact_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(1)
+    values = np.concatenate([rng.normal(0, 1e6, 500), rng.normal(0, 1e-6, 500), [0.0, -0.0, 1e308, -1e308] * 3]).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    wanted = {f"q{i}": ("v", q) for i, q in enumerate((0, 0.1, 0.37, 0.5, 0.93, 1))}
+    row = spread.exact_quantiles(df, wanted).first()
+    for name, (_, q) in wanted.items():
+        assert row[name] == pytest.approx(np.quantile(values, q))
+
+
+def test_a_frequent_value_is_one_row_before_any_window(spark):
+    """90 % equal values in one group: they are summed before the shuffle, so no task gets them all."""
+    df = spark.range(0, 50_000, 1, 8).select(F.lit("g").alias("g"), F.when(F.col("id") % 10 < 9, 7.0).otherwise(F.col("id").cast("double")).alias("v"))
+    row = spread.exact_quantiles(df, {"m": ("v", 0.5), "h": ("v", 0.95)}, ["g"]).first()
+    assert row["m"] == 7.0 and row["h"] == pytest.approx(np.quantile([7.0 if i % 10 < 9 else i for i in range(50_000)], 0.95))
+    plan = spread.exact_quantiles(df, {"m": ("v", 0.5)}, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -90,15 +103,16 @@ def test_salting_spreads_the_hot_key(skewed):
     lookup = skewed.groupBy("g").agg(F.count("*").alias("n"))
     plan = spread.lookup_join(skewed, lookup, ["g"], "left", "n")._jdf.queryExecution().toString()
     assert "_salt" in plan
-    plain = spread.lookup_join(skewed, lookup, ["g"], "left", "n", max_group_rows=2000)._jdf.queryExecution().toString()
-    assert "_salt" not in plain
+    # Only keys above a partition's share are heavy: here the one with two thirds of the rows.
+    assert [r["g"] for r in spread.heavy_keys(lookup, ["g"], "n").collect()] == ["hot"]
 
 
 @pytest.mark.parametrize("series", [(), ("g",)])
 def test_shift_over_chunks_is_the_window_shift(skewed, series):
     plan = {"a": ("v", 1), "b": ("v", 4), "c": ("v", -3)}
     got = shifted(skewed, ["v", "id"], plan, series, chunk_rows=37)
-    want = shifted(skewed, ["v", "id"], plan, series, max_group_rows=2000)
+    w = Window.partitionBy(*series).orderBy("v", "id")
+    want = skewed.withColumns({n: F.lag(c, k).over(w) for n, (c, k) in plan.items()})
     cols = ["id", *plan]
     assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
 
@@ -112,6 +126,6 @@ def test_empty_and_single_row(spark, skewed):
     empty = skewed.limit(0)
     assert spread.rank_by_order(empty, ["id"]).count() == 0
     assert spread.rank_by_hash(empty, "id").count() == 0
-    assert spread.exact_quantiles(empty, {"q": ("v", 0.5)}, rows_per_task=-1).first()["q"] is None
+    assert spread.exact_quantiles(empty, {"q": ("v", 0.5)}).first()["q"] is None
     one = spark.range(1).withColumn("v", F.lit(4.0))
-    assert spread.exact_quantiles(one, {"q": ("v", 0.9)}, rows_per_task=0).first()["q"] == 4.0
+    assert spread.exact_quantiles(one, {"q": ("v", 0.9)}).first()["q"] == 4.0

@@ -50,6 +50,24 @@ def test_shared_root_is_taken_from_the_session(spark):
     assert shared_root(local) == local.sparkContext.folder
 
 
+def test_one_row_per_key_over_files_and_runs(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in.parquet", "out", "state"))
+    schema = "k string, t long, v long"
+    waves = [[("a", 5, 1), ("a", 3, 2), (None, 1, 3)], [("a", 1, 4), ("b", 9, 5)], [("b", 1, 6), ("c", 2, 7), (None, 0, 8)]]
+    for rows in waves:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = jobs.read_files(spark, source, spark.createDataFrame([], schema).schema, max_files=1)
+        found = jobs.append_new(stream, ["k"], [F.col("t")], sink, state)
+    assert sorted((str(r["k"]), r["v"]) for r in found.collect()) == [("None", 3), ("a", 2), ("b", 5), ("c", 7)]
+
+
+def test_a_folder_named_like_a_file_is_read_whole(spark, tmp_path):
+    source = str(tmp_path / "events.parquet")
+    spark.range(50).repartition(3).write.parquet(source)
+    stream = jobs.read_files(spark, f"file://{source}", spark.range(1).schema)
+    assert jobs.run_available(stream, str(tmp_path / "out")).count() == 50
+
+
 def test_deduplicate(spark, tmp_path):
     df = spark.createDataFrame([(1, 0), (1, 5), (2, 9)], "unit_indx long, s int").withColumn("ts", F.timestamp_seconds("s"))
     df.write.parquet(str(tmp_path / "in"))
