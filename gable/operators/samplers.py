@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gable.operators.knn import knn_join, vector_of
 from gable.operators.reduce import check_numeric_without_nulls
 from gable.operators.splits import k_fold, split_by_key, training_validation_split
-from gable.operators.spread import rank_by_hash
+from gable.operators.spread import hash_number, rank_by_hash
 from gable.runtime import written
 
 
@@ -84,7 +84,7 @@ class RandomUnderSampler:
 
 def _uniform(*what) -> Column:
     """Reproducible number in [0, 1) from a hash of the arguments."""
-    return F.pmod(F.xxhash64(*what), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    return hash_number(*what) / F.lit(float(1 << 52))
 
 
 def _draws(df: DataFrame, wanted: dict[object, tuple[int, int]], target: str, seed: int) -> DataFrame:

@@ -35,6 +35,12 @@ def hash_order(key: str, seed: int = 0) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
 
 
+def hash_number(*parts: Column) -> Column:
+    """A reproducible whole number from 0 to 2**52 - 1: the first digits of the md5 of the parts, joined by ``|``."""
+    text = F.concat_ws("|", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
 def rank_by_hash(
     df: DataFrame,
     key: str,

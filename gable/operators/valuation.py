@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gable.operators.relational import representatives
-from gable.operators.spread import exact_quantiles, lookup_join, rank_by_hash
+from gable.operators.spread import exact_quantiles, hash_number, lookup_join, rank_by_hash
 
 LOW_CONFIDENCE = "< 0.5"
 
@@ -51,7 +51,7 @@ def interval_by_key(
         picks = sizes.filter(draws > 0).select(
             key, "n_comparables", F.explode(F.sequence(F.lit(1), draws * batch_sample_sets)).alias("_draw")
         )
-        at = F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_draw")), F.col("n_comparables")) + 1
+        at = F.pmod(hash_number(F.lit(seed), F.col(key), F.col("_draw")), F.col("n_comparables")) + 1
         ranked = rank_by_hash(rows.select(key, unit, "_e"), unit, seed, [key], "_rank")
         sampled = picks.withColumn("_rank", at).join(ranked, [key, "_rank"])
         errors = exact_quantiles(sampled.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key])

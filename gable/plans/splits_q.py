@@ -165,7 +165,15 @@ def under_sampler(spark, sf_dir):
     return samplers.RandomUnderSampler().fit_resample(rows, "quality", "doc_id")
 
 
-@query("under_sampler_replace", "I9")
+@query(
+    "under_sampler_replace",
+    "I9",
+    """WITH sizes AS (SELECT quality, count(*) AS n, min(count(*)) OVER () AS least FROM labels GROUP BY quality),
+  draws AS (SELECT quality, n, unnest(range(0, least)) AS draw FROM sizes),
+  picks AS (SELECT quality, floor(('0x' || substr(md5('4|' || quality || '|' || draw), 1, 13))::BIGINT / 4503599627370496.0 * n) + 1 AS rank FROM draws),
+  ranked AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('4|' || doc_id), doc_id) AS rank FROM labels)
+  SELECT doc_id, quality FROM picks JOIN ranked USING (quality, rank)""",
+)
 def under_sampler_replace(spark, sf_dir):
     rows = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return samplers.RandomUnderSampler(replacement=True, seed=4).fit_resample(rows, "quality", "doc_id")

@@ -29,11 +29,22 @@ def interval_by_key(spark, sf_dir):
     return out.withColumns({"lo": F.round("lo", 9), "hi": F.round("hi", 9)})
 
 
-@query("interval_sampled", "K2 B17")
+@query(
+    "interval_sampled",
+    "K2 B17",
+    f"""WITH {VALUED_SQL}, sizes AS (SELECT key, count(*) AS n_comparables FROM valued GROUP BY key),
+  draws AS (SELECT key, n_comparables, unnest(range(1, 3 * least(round(n_comparables * 0.5), 100)::BIGINT + 1)) AS draw FROM sizes),
+  picks AS (SELECT key, ('0x' || substr(md5('1|' || key || '|' || draw), 1, 13))::BIGINT % n_comparables + 1 AS rank FROM draws),
+  ranked AS (SELECT key, (avm - price_p) / price_p AS e, row_number() OVER (PARTITION BY key ORDER BY md5('1|' || unit_indx), unit_indx) AS rank FROM valued),
+  errors AS (SELECT key, quantile_cont(e, (1 - 0.68) / 2) AS lo, quantile_cont(e, 0.68 + (1 - 0.68) / 2) AS hi FROM picks JOIN ranked USING (key, rank) GROUP BY key)
+  SELECT key, n_comparables, round(CASE WHEN n_comparables >= 15 AND lo < 0 AND hi > 0 THEN lo END, 9) AS lo,
+    round(CASE WHEN n_comparables >= 15 AND lo < 0 AND hi > 0 THEN hi END, 9) AS hi FROM sizes LEFT JOIN errors USING (key)""",
+)
 def interval_sampled(spark, sf_dir):
-    return V.interval_by_key(
+    out = V.interval_by_key(
         _rows(spark, sf_dir), "key", "price_p", "avm", frac=0.5, max_sample_sz=100, batch_sample_sets=3, unit="unit_indx", seed=1
     )
+    return out.withColumns({"lo": F.round("lo", 9), "hi": F.round("hi", 9)})
 
 
 @query(
