@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -209,6 +210,28 @@ class KNeighborsRegressorModel(FittedModel):
         predicted = near.groupBy(key).agg(value.alias(self.opt("prediction")))
         return dataset.join(predicted, key, "left")
 
+    def write(self) -> MLWriter:
+        return _TrainWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _TrainReader(cls)
+
+
+class _TrainWriter(DefaultParamsWriter):
+    """Saves the training rows next to the stage."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.train.write.parquet(f"{path}/train")
+
+
+class _TrainReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        model.train = self.sparkSession.read.parquet(f"{path}/train")
+        return model
+
 
 class KNeighborsRegressor(FittedStage):
     """Inverse-distance (or plain) mean of the k nearest training rows."""

@@ -165,11 +165,29 @@ def knn_predict(spark, sf_dir):
     return out.select("vec_id", F.round("prediction", 6).alias("prediction"))
 
 
-@query("knn_property", "H3")
+@query(
+    "knn_property",
+    "H3",
+    with_sql(
+        UNITS_SQL,
+        """SELECT unit_indx, price_p, round(CASE WHEN min(dist) = 0 THEN avg(CASE WHEN dist = 0 THEN y END)
+      ELSE sum(y / dist) / sum(1 / dist) END, 4) AS prediction
+    FROM (
+      SELECT q.unit_indx, q.price_p, t.price_p AS y, sqrt((q.a - t.a) * (q.a - t.a) + (q.r - t.r) * (q.r - t.r) + (q.f - t.f) * (q.f - t.f)) AS dist
+      FROM split_rows q JOIN split_rows t ON NOT q.train AND t.train
+      QUALIFY row_number() OVER (PARTITION BY q.unit_indx ORDER BY dist, t.unit_indx) <= 5
+    ) GROUP BY unit_indx, price_p""".replace(
+            "split_rows",
+            """(SELECT unit_indx, price_p, coalesce(area, -1.0) AS a, heated_rooms AS r, coalesce(floor_level, 0.0) AS f,
+          row_number() OVER (ORDER BY md5('0|' || unit_indx), unit_indx) > ceil(0.2 * count(*) OVER ()) AS train FROM units)""",
+        ),
+    ),
+)
 def knn_property(spark, sf_dir):
     rows = splits.split_by_key(_rows(spark, sf_dir), "unit_indx", 0.2)
     model = M.knn_regressor(FEATURES, "price_p").fit(rows.filter("split = 'train'"))
-    return model.transform(rows.filter("split = 'test'")).select("unit_indx", "price_p", "prediction")
+    out = model.transform(rows.filter("split = 'test'"))
+    return out.select("unit_indx", "price_p", F.round("prediction", 4).alias("prediction"))
 
 
 @query("gbt_predict", "H2 H7")

@@ -116,3 +116,12 @@ def test_time_series(spark):
     assert out[0] is None and out[1] is None and out[30] == pytest.approx(62.0, abs=1e-3)
     last = {r["t"]: r["prediction"] for r in M.last_value_baseline(df, ["t"], "y").collect()}
     assert last[0] is None and last[10] == 18.0
+
+
+def test_knn_saves_and_loads_with_its_rows(spark, tmp_path):
+    df = spark.range(60).selectExpr("id", "id % 7 * 1.0 AS x", "id * 0.5 AS z", "id * 3.0 AS y")
+    model = M.KNeighborsRegressor(features=["x", "z"], label="y", key="id", n_neighbors=3).fit(df.filter("id >= 10"))
+    model.write().overwrite().save(str(tmp_path / "knn"))
+    again = type(model).load(str(tmp_path / "knn"))
+    rows = df.filter("id < 10")
+    assert sorted(map(tuple, again.transform(rows).collect())) == sorted(map(tuple, model.transform(rows).collect()))
