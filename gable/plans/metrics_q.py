@@ -239,10 +239,11 @@ def threshold_sweep(spark, sf_dir):
     return best.select(F.round("threshold", 9).alias("threshold"), F.round("value", 6).alias("value"))
 
 
-# ---- multiclass: label of a vector, scored by its first ten elements -------------------------------------------
-_E = [f"CAST(embedding[{i}] AS DOUBLE)" for i in range(1, 11)]
-_TOTAL = "(" + " + ".join(f"({e} + 1)" for e in _E) + ")"
-_MULTI_SQL = f"""scored AS (SELECT vec_id, label AS y, [{', '.join(f'({e} + 1) / {_TOTAL}' for e in _E)}] AS probs FROM embeddings),
+# ---- multiclass: label of a vector, scored by ten sums over its elements ----------------------------------------
+# Ten class scores from the whole vector: every tenth element, whatever its length.
+_E = [f"list_sum(list_transform(embedding[{i}:len(embedding):10], lambda x: CAST(x AS DOUBLE) + 1))" for i in range(1, 11)]
+_TOTAL = "(" + " + ".join(_E) + ")"
+_MULTI_SQL = f"""scored AS (SELECT vec_id, label AS y, [{', '.join(f'{e} / {_TOTAL}' for e in _E)}] AS probs FROM embeddings),
 decided AS (SELECT vec_id, y, CAST(list_position(probs, list_max(probs)) - 1 AS INTEGER) AS d, probs FROM scored),
 classes AS (SELECT label, sum(hit) AS hit, sum(support) AS support, sum(predicted) AS predicted FROM (
   SELECT y AS label, CASE WHEN y = d THEN 1.0::DOUBLE ELSE 0 END AS hit, 1.0::DOUBLE AS support, 0.0::DOUBLE AS predicted FROM decided
@@ -252,7 +253,8 @@ per AS (SELECT *, CASE WHEN predicted = 0 THEN 0 ELSE hit / predicted END AS p,
 
 
 def _classified(spark, sf_dir):
-    e = [F.col("embedding")[i].cast("double") + 1 for i in range(10)]
+    every = lambda i: F.filter("embedding", lambda x, place: place % 10 == i)
+    e = [F.aggregate(every(i), F.lit(0.0), lambda total, x: total + (x.cast("double") + 1)) for i in range(10)]
     total = sum(e[1:], e[0])
     rows = table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("label").alias("y"), F.array(*[x / total for x in e]).alias("probs")
