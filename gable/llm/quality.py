@@ -1,7 +1,7 @@
-"""Quality rules, and a hashed n-gram likelihood ratio between a trusted target and the raw corpus.
+"""Quality rules, and an n-gram likelihood ratio between a trusted target and the raw corpus.
 
-Words are runs of bytes other than ASCII white space. Unigrams and bigrams of every text fall into BUCKETS hash buckets.
-Two multinomials are estimated: one from all documents, one from the documents whose label says good quality. A text's
+Words are runs of bytes other than ASCII white space. Unigrams and bigrams are told apart by 64-bit hashes, each with
+counts of its own. Two multinomials are estimated: one from all documents, one from the documents whose label says good quality. A text's
 score is the mean, over its n-grams, of log p_target - log p_raw, so length does not matter. Its own n-grams are left
 out of both counts, so that labelled and unlabelled texts are judged alike. Smoothing adds ALPHA to the target's counts
 and as much, in proportion, to the raw ones: n-grams never seen elsewhere weigh nothing.
@@ -10,11 +10,17 @@ is the one with the fewest errors on labelled texts that pass the rules (over SC
 
 Null texts count as empty: no words, which fails the rules. Rows are treated one by one: repeated rows are counted and
 returned as often as they stand; labels that are null or contradict each other for one id count as good only if all of
-them are good. Extra columns are ignored. The tables of counts are bounded by BUCKETS, not by the data.
+them are good. Extra columns are ignored.
+
+The counts stay distributed. Every text's n-grams go, by the leading bits of their hash, to one of a number of shares that
+grows with the corpus (PART_GRAMS n-grams each); a share is counted and weighed where it lies, and only sums per text leave
+it. An n-gram's counts are in memory while its share is worked on, its places are in a local file.
 """
 
 from __future__ import annotations
 
+import tempfile
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +30,9 @@ from gable.llm.rows import text_of
 from gable.llm.textio import SPACE, Chunk, byte_class, chunks, gram_hashes, mix, prefix_hash, span_hashes, texts_of
 from gable.runtime import written
 
-BUCKETS = 1 << 17
+PART_GRAMS, MIN_PARTS, MAX_PARTS = 4_000_000, 8, 1 << 16
+#: Sums of log ratios are whole multiples of 1 / UNIT, so that their order does not matter.
+UNIT = float(1 << 28)
 ALPHA = 2.0
 SCORE_RANGE, SCORE_BINS = 8.0, 4096
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -40,18 +48,19 @@ def _words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return span_hashes(prefix, starts, ends), chunk.owner(starts), prefix
 
 
-def _grams(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and owner of every unigram and bigram."""
+def _grams(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, owner and number in it of every distinct unigram and bigram of each text, in the order of hashes."""
     same = owner[1:] == owner[:-1] if len(owner) > 1 else np.zeros(0, bool)
     pairs = gram_hashes(words, 2)[same] if len(owner) > 1 else np.zeros(0, np.uint64)
-    shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
-    buckets = np.concatenate((mix(words) >> shift, mix(pairs) >> shift)).astype(np.int64)
-    return buckets, np.concatenate((owner, owner[:-1][same] if len(owner) > 1 else owner[:0]))
+    hashes, of = np.concatenate((mix(words), mix(pairs))), np.concatenate((owner, owner[:-1][same] if len(owner) > 1 else owner[:0]))
+    order = np.lexsort((of, hashes))
+    hashes, of = hashes[order], of[order]
+    first = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])))[: len(hashes)])
+    return hashes[first], of[first], np.diff(np.append(first, len(hashes)))
 
 
-def measures(chunk: Chunk, counts: np.ndarray | None = None) -> dict[str, np.ndarray]:
-    """The rules' figures of each text of a chunk and, given the counts (raw, target), the mean log ratio, both for the
-    case that the text is in the target (score_in) and that it is not (score_out)."""
+def measures(chunk: Chunk) -> dict[str, np.ndarray]:
+    """The rules' figures of each text of a chunk."""
     n = chunk.n
     words, owner, prefix = _words(chunk)
     out = {"n_words": np.bincount(owner, minlength=n)}
@@ -80,17 +89,6 @@ def measures(chunk: Chunk, counts: np.ndarray | None = None) -> dict[str, np.nda
         np.add.at(covered, whole[twice], 1)
         np.add.at(covered, whole[twice] + WINDOW, -1)
     out["n_repeat_words"] = np.bincount(owner, weights=np.cumsum(covered)[: len(words)] > 0, minlength=n).astype(np.int64)
-
-    if counts is not None:
-        buckets, of = _grams(words, owner)
-        keys, own = np.unique(of * BUCKETS + buckets, return_counts=True)
-        of, bucket = keys // BUCKETS, keys % BUCKETS
-        share = counts[1].sum() / max(1, counts[0].sum())
-        below = np.log((counts[0][bucket] - own) * share + ALPHA)
-        size = np.bincount(of, weights=own, minlength=n)
-        for name, target in (("score_in", np.maximum(counts[1][bucket] - own, 0)), ("score_out", counts[1][bucket])):
-            total = np.bincount(of, weights=own * (np.log(target + ALPHA) - below), minlength=n) if share else np.zeros(n)
-            out[name] = np.divide(total, size, out=np.zeros(n), where=size > 0)
     return out
 
 
@@ -100,49 +98,133 @@ def good_labels(labels: DataFrame) -> DataFrame:
     return flags.where("id is not null and q is not null").groupBy("id").agg(F.min("q").alias("good"))
 
 
-def gram_counts(rows: DataFrame) -> DataFrame:
-    """bucket and n over all texts: each task adds up its own table, then buckets are summed."""
+def _planes(values: np.ndarray) -> bytes:
+    """Little-endian integers, byte by byte: first the lowest bytes of all, then the next (long runs of zeros compress)."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _from_planes(data: memoryview, n: int, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
+
+
+def _encode(hashes: np.ndarray, of: np.ndarray, own: np.ndarray, keys: np.ndarray, good: np.ndarray) -> bytes:
+    """A chunk's n-grams of one share, with the keys and labels of the texts that hold them."""
+    docs, of = np.unique(of, return_inverse=True)
+    head = np.array([len(hashes), len(docs)], np.int64).tobytes() + keys[docs].tobytes() + good[docs].astype(np.uint8).tobytes()
+    return head + b"".join(map(_planes, (np.diff(hashes, prepend=np.uint64(0)), of.astype(np.uint32), own.astype(np.uint32))))
+
+
+def _decode(blob: bytes) -> tuple[np.ndarray, ...]:
+    n, docs = np.frombuffer(blob, np.int64, 2).tolist()
+    view, at, out = memoryview(blob), 16 + 9 * docs, []
+    keys, good = np.frombuffer(blob, np.int64, docs, 16), np.frombuffer(blob, np.uint8, docs, 16 + 8 * docs)
+    for kind in (np.uint64, np.uint32, np.uint32):
+        size = n * np.dtype(kind).itemsize
+        out.append(_from_planes(view[at : at + size], n, kind))
+        at += size
+    return np.cumsum(out[0]), out[1].astype(np.int64), out[2].astype(np.int64), keys, good.astype(np.int64)
+
+
+def gram_rows(rows: DataFrame, parts: int) -> DataFrame:
+    """part and data: the n-grams of each row of (key, text, good) by share, a chunk's texts together."""
+    shift = np.uint64(64 - (parts.bit_length() - 1))
 
     def run(batches):
-        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
+            keys, good = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("key", "good"))
             for chunk in chunks(texts_of(batch.column("text"))):
                 words, owner, _ = _words(chunk)
-                total += np.bincount(_grams(words, owner)[0], minlength=BUCKETS)
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["bucket", "n"])
-
-    return rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+                hashes, of, own = _grams(words, owner)
+                part = (hashes >> shift).astype(np.int64)
+                found = np.unique(part)
+                edges = np.append(np.searchsorted(part, found), len(part)).tolist()
+                at = slice(chunk.first, chunk.last)
+                data = [_encode(hashes[a:b], of[a:b], own[a:b], keys[at], good[at]) for a, b in zip(edges, edges[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(data, pa.binary())], ["part", "data"])
+
+    return rows.select("key", "text", "good").mapInArrow(run, "part int, data binary")
+
+
+def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and the sums of their rows of counts."""
+    order = np.argsort(hashes, kind="stable")
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))[: len(hashes)])
+    return hashes[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+class _Share:
+    """The n-grams of one share: counts in memory, places in a local file."""
+
+    def __init__(self) -> None:
+        self.file, self.sizes = tempfile.TemporaryFile(), []
+        self.hashes, self.counts, self.waiting, self.n = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), [], 0
+
+    def add(self, blob: bytes) -> None:
+        self.file.write(blob)
+        self.sizes.append(len(blob))
+        hashes, of, own, _, good = _decode(blob)
+        self.waiting.append(_added(hashes, np.stack((own, own * good[of]), 1)))
+        self.n += len(self.waiting[-1][0])
+        if self.n > max(1_000_000, len(self.hashes)):
+            self.merge()
+
+    def merge(self) -> None:
+        all_of = [(self.hashes, self.counts), *self.waiting]
+        self.hashes, self.counts = _added(np.concatenate([h for h, _ in all_of]), np.concatenate([c for _, c in all_of]))
+        self.waiting, self.n = [], 0
+
+    def sums(self, share: float):
+        """Batches of key, total and size: for each text, the sum of its n-grams' log ratios here, and their number."""
+        self.merge()
+        self.file.seek(0)
+        for size in self.sizes:
+            hashes, of, own, keys, good = _decode(self.file.read(size))
+            raw, target = self.counts[np.searchsorted(self.hashes, hashes)].T
+            ratio = np.log(target - own * good[of] + ALPHA) - np.log((raw - own) * share + ALPHA)
+            total = np.rint(np.bincount(of, weights=own * ratio, minlength=len(keys)) * UNIT).astype(np.int64)
+            number = np.bincount(of, weights=own, minlength=len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total), pa.array(number)], ["key", "total", "size"])
+        self.file.close()
+
+
+def mean_ratios(rows: DataFrame, n_raw: int, n_target: int) -> DataFrame:
+    """key and score of each key of rows (key, text, good), given the numbers of n-grams of all texts and of the good ones.
+    The score of a good text is computed without its own n-grams in the target, too."""
+    parts = max(MIN_PARTS, min(MAX_PARTS, 1 << (n_raw // PART_GRAMS).bit_length()))
+    ratio = n_target / n_raw
 
+    def run(batches):
+        part, share = None, None
+        for batch in batches:
+            for number, blob in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
+                if number != part:
+                    if share is not None:
+                        yield from share.sums(ratio)
+                    part, share = number, _Share()
+                share.add(blob)
+        if share is not None:
+            yield from share.sums(ratio)
 
-def collected(*counts: DataFrame) -> np.ndarray:
-    """One row of counts per table. At most BUCKETS rows of each reach the driver."""
-    out = np.zeros((len(counts), BUCKETS), np.int64)
-    for place, one in enumerate(counts):
-        for bucket, n in one.collect():
-            out[place, bucket] = n
-    return out
+    # As many tasks as shares: the number of both follows from the corpus.
+    by_part = gram_rows(rows, parts).repartition(parts, "part").sortWithinPartitions("part")
+    found = by_part.mapInArrow(run, "key long, total long, size long")
+    return found.groupBy("key").agg((F.sum("total") / F.lit(UNIT) / F.sum("size")).alias("score"))
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-SCORES = ("score_in", "score_out")
-
-
-def measure(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, the rules' figures and both scores of each row of (doc_id, text)."""
-    shared = rows.sparkSession.sparkContext.broadcast(counts)
+def measure(rows: DataFrame) -> DataFrame:
+    """doc_id, key and the rules' figures of each row of (doc_id, key, text)."""
 
     def run(batches):
         for batch in batches:
-            parts = [measures(c, shared.value) for c in chunks(texts_of(batch.column("text")))]
-            kinds = [(k, pa.int64()) for k in FIGURES] + [(k, pa.float64()) for k in SCORES]
-            columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0)).cast(kind) for k, kind in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *FIGURES, *SCORES])
+            parts = [measures(c) for c in chunks(texts_of(batch.column("text")))]
+            columns = [pa.array(np.concatenate([p[k] for p in parts]) if parts else np.zeros(0)).cast(pa.int64()) for k in FIGURES]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), *columns], ["doc_id", "key", *FIGURES])
 
-    schema = "doc_id long, " + ", ".join(f"{k} long" for k in FIGURES) + ", " + ", ".join(f"{k} double" for k in SCORES)
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, "doc_id long, key long, " + ", ".join(f"{k} long" for k in FIGURES))
 
 
 def fit_threshold(scored: DataFrame) -> float | None:
@@ -162,15 +244,21 @@ def fit_threshold(scored: DataFrame) -> float | None:
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None = None) -> DataFrame:
     """One row per row of docs: its figures, base_failed, score, threshold and kept."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "text")
     flags = good_labels(labels)
-    # The same join at every size: texts are shuffled once, whether or not the labels would fit a broadcast.
-    good = flags.where("good = 1").select(F.col("id").alias("doc_id")).hint("merge")
-    target = rows.join(good, "doc_id", "left_semi")
-    counts = collected(gram_counts(rows), gram_counts(target))
+    # Figures are joined with the labels without the texts.
+    figures = written(measure(rows).join(flags, F.col("doc_id") == F.col("id"), "left").drop("id"))
+    n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
+    n_raw, n_target = figures.agg(F.sum(n_grams), F.sum(F.when(F.col("good") == 1, n_grams))).first()
+    if n_target:
+        # The same join at every size: texts are shuffled once, whether or not the labels would fit a broadcast.
+        good = flags.where("good = 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("good")).hint("merge")
+        marked = rows.join(good, "doc_id", "left").select("key", "text", F.coalesce("good", F.lit(0)).alias("good"))
+        scores = mean_ratios(marked, n_raw, n_target)
+        scored = written(figures.join(scores, "key", "left").withColumn("score", F.coalesce("score", F.lit(0.0))))
+    else:
+        scored = figures.withColumn("score", F.lit(0.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    # Figures and scores are joined with the labels after the texts are gone.
-    scored = written(measure(rows, counts).join(flags, F.col("doc_id") == F.col("id"), "left"))
-    scored = scored.withColumn("score", F.when(F.col("good") == 1, F.col("score_in")).otherwise(F.col("score_out")))
     limit = fit_threshold(scored.where(~failed)) if threshold is None else threshold
     verdict = F.lit(True) if limit is None else F.col("score") >= limit
     return scored.select(

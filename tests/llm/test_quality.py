@@ -64,3 +64,26 @@ def test_awkward_rows(spark):
     assert len(found) == 5 and not any(r["kept"] for r in found) and all(r["score"] == 0 for r in found)
     assert quality.quality_rules(documents(spark, []), none).collect() == []
     assert quality.quality_rules(documents(spark, ["a b c " * 2 + "d e f g h i j k l m n o p q r s t"]), none).collect()[0]["kept"]
+
+
+def test_each_ngram_has_counts_of_its_own(spark):
+    rng = random.Random(14)
+    # About 300,000 distinct n-grams; each text shares its rare words with one other.
+    lines = [[f"w{rng.randrange(40_000)}" for _ in range(150)] for _ in range(1500)]
+    texts = [" ".join(w) for w in lines] + [" ".join(w[:100]) for w in lines]
+    marks = [(i, int(i % 3 > 0), 0) for i in range(1500)]
+    rows = documents(spark, [*texts, texts[1], texts[1600]], [*range(3000), 1, 1600]).repartition(3)
+    found = {(r["doc_id"], r["score"]) for r in quality.quality_rules(rows, spark.createDataFrame(marks, LABELS)).collect()}
+    assert len(found) == 3000
+    found = dict(found)
+    grams = [Counter(w) + Counter(zip(w, w[1:])) for w in (t.split() for t in texts)]
+    good = {i for i, q, _ in marks if q == 1}
+    raw, target = Counter(grams[1]) + grams[1600], Counter(grams[1])
+    for g in grams:
+        raw.update(g)
+    for i in good:
+        target.update(grams[i])
+    share = sum(target.values()) / sum(raw.values())
+    for i in (0, 1, 2, 3, 1500, 1501, 1600, 2999):
+        terms = [n * math.log((target[g] - n * (i in good) + quality.ALPHA) / ((raw[g] - n) * share + quality.ALPHA)) for g, n in grams[i].items()]
+        assert abs(found[i] - sum(terms) / sum(grams[i].values())) < 1e-6
