@@ -2,8 +2,10 @@
 
 Texts become templates: numbers (digits, number words), units after a number, and names (capitalised words inside a
 sentence; runs count once) turn into typed placeholders, all else into lower-case words. Runs of WINDOW template words of
-documents and benchmark items are joined on their hash. A document leaks an item if its windows cover at least
-MIN_WINDOWS windows of the item (all, for shorter items). Alignments count only if their slots are consistent: the same
+documents and benchmark items are joined on their hash. So are, whatever they are made of, runs of WINDOW plain words (lower
+case, nothing typed), since names are known by their capital only: a copy in other case is found by these. A document leaks
+an item if its template windows, or those and the plain ones together, cover at least MIN_WINDOWS windows of the item (all, for
+shorter items). Alignments count only if their slots are consistent: the same
 value in the item must mostly stand for the same value in the document, so that re-parameterised questions are caught
 while texts that only share their form are not.
 
@@ -11,20 +13,22 @@ Document windows are first tested against a bit table of the benchmark's windows
 the size of the benchmark, and lets no match go; what passes is joined by Spark. Sets that are collected per document
 and item are bounded by that item and that document.
 
-Null texts count as empty and, like items of fewer than WINDOW template words or windows with fewer than MIN_WORDS plain
-words, match nothing. Repeated rows of a document are one result, repeated items keep their ids apart (null is an id).
+Null texts count as empty and, like items of fewer than WINDOW words, match nothing. Template windows need MIN_WORDS plain
+words. Repeated rows of a document are one result, repeated items keep their ids apart (null is an id).
 Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gable.llm.rows import row_key, text_of
-from gable.llm.textio import NOT_ALNUM, Chunk, byte_class, chunks, gram_hashes, prefix_hash, span_hashes, texts_of
+from gable.llm.textio import NOT_ALNUM, Chunk, byte_class, chunks, gram_hashes, mix, prefix_hash, span_hashes, texts_of
 from gable.runtime import written
 
 WINDOW = 8
@@ -37,6 +41,7 @@ FILTER_BITS = 1 << 23
 NUMBER_WORDS = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split()
 UNITS = "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ton tons ounce ounces pound pounds ml l liter liters litre litres gallon gallons s ms second seconds minute minutes hour hours day days week weeks month months year years dollar dollars cent cents euro euros percent degree degrees meter meters metre metres kilometer kilometers".split()
 WORD, NUMBER, UNIT, NAME = 0, 1, 2, 3
+TEMPLATE, PLAIN = 0, 1
 PLACEHOLDERS = np.array([0, 0x1234567890ABCDE1, 0x1234567890ABCDE2, 0x1234567890ABCDE3], np.uint64)
 
 _DIGIT = byte_class((0x30, 0x39))
@@ -58,12 +63,25 @@ def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
-def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, slot value (0 for plain words) and owner of each template word of a chunk."""
+@dataclass
+class Words:
+    """Hash, owner and begin of a sentence or line of each plain word, and which of them begin a template word; hash and slot
+    value (0 for plain words) of each template word."""
+
+    plain: np.ndarray
+    owner: np.ndarray
+    opens: np.ndarray
+    kept: np.ndarray
+    words: np.ndarray
+    slots: np.ndarray
+
+
+def read_words(chunk: Chunk) -> Words:
     data = chunk.data
     starts, ends = chunk.spans(NOT_ALNUM)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        hashes, places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return Words(hashes, places, np.zeros(0, bool), places, hashes, hashes)
     prefix, owner = prefix_hash(chunk.lowered()), chunk.owner(starts)
     hashes = span_hashes(prefix, starts, ends)
     kind = np.zeros(len(starts), np.int8)
@@ -82,22 +100,50 @@ def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     last = np.concatenate((kept[1:], [len(starts)])) - 1
     values = span_hashes(prefix, starts[kept], ends[last])
     kind = kind[kept]
-    return np.where(kind > 0, PLACEHOLDERS[kind], hashes[kept]), np.where(kind > 0, values | np.uint64(1), np.uint64(0)), owner[kept]
+    words, slots = np.where(kind > 0, PLACEHOLDERS[kind], hashes[kept]), np.where(kind > 0, values | np.uint64(1), np.uint64(0))
+    return Words(hashes, owner, opens, kept, words, slots)
+
+
+def template(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, slot value (0 for plain words) and owner of each template word of a chunk."""
+    found = read_words(chunk)
+    return found.words, found.slots, found.owner[found.kept]
+
+
+def _inside(owner: np.ndarray, k: int) -> np.ndarray:
+    """Where k consecutive words of one text begin."""
+    n = len(owner) - k + 1
+    return np.flatnonzero(owner[k - 1 :] == owner[:n]) if n > 0 else np.zeros(0, np.int64)
 
 
 def windows(chunk: Chunk) -> tuple[np.ndarray, ...]:
-    """Hash, position in its text, value of the slot that opens it and that closes it (or 0) and owner of each window."""
-    words, slots, owner = template(chunk)
-    grams = gram_hashes(words, WINDOW)
-    n = len(grams)
-    plain = np.concatenate(([0], np.cumsum(slots == 0)))
-    good = np.flatnonzero((owner[:n] == owner[WINDOW - 1 :][:n]) & (plain[WINDOW : WINDOW + n] - plain[:n] >= MIN_WORDS)) if n else np.zeros(0, np.int64)
-    begin = np.searchsorted(owner, np.arange(chunk.n))
-    return grams[good], good - begin[owner[good]], slots[good], slots[good + WINDOW - 1], owner[good]
+    """Kind, hash, position in its text, the same in plain words, value of the slot that opens it and that closes it (or 0) and
+    owner of each window."""
+    w = read_words(chunk)
+    texts = np.arange(chunk.n + 1)
+    begin = np.searchsorted(w.owner, texts)
+    of = w.owner[w.kept]
+    t_begin = np.searchsorted(of, texts)
+    good = _inside(of, WINDOW)
+    n_plain = np.concatenate(([0], np.cumsum(w.slots == 0)))
+    good = good[n_plain[good + WINDOW] - n_plain[good] >= MIN_WORDS]
+    owner, last = of[good], w.slots[good + WINDOW - 1]
+    grams = gram_hashes(w.words, WINDOW)
+    out = [(np.full(len(good), TEMPLATE), grams[good], good - t_begin[owner], w.kept[good] - begin[owner], w.slots[good], last, owner)]
+
+    def add(kind: int, k: int, at: np.ndarray) -> None:
+        owner, none = w.owner[at], np.zeros(len(at), np.uint64)
+        # Another hash than that of a template.
+        hashes = mix(gram_hashes(w.plain, k)[at] + np.uint64(k))
+        out.append((np.full(len(at), kind), hashes, at - begin[owner], at - begin[owner], none, none, owner))
+
+    add(PLAIN, WINDOW, _inside(w.owner, WINDOW))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _window_rows(rows: DataFrame, keys: dict[str, str], table: np.ndarray | None) -> DataFrame:
-    """keys, place, gram, slot and last of the windows of each row of (keys, text); only those in the bit table, if there is one."""
+    """keys, kind, place, raw, gram, slot and last of the windows of each row of (keys, text); given a bit
+    table, only those in it."""
     shared = None if table is None else rows.sparkSession.sparkContext.broadcast(table)
     names = list(keys)
     shift = np.uint64(64 - (FILTER_BITS.bit_length() - 1))
@@ -105,17 +151,18 @@ def _window_rows(rows: DataFrame, keys: dict[str, str], table: np.ndarray | None
     def run(batches):
         for batch in batches:
             for chunk in chunks(texts_of(batch.column("text"))):
-                grams, places, slots, last, owner = windows(chunk)
+                found = windows(chunk)
                 if shared is not None:
-                    bits = grams >> shift
-                    found = np.flatnonzero((shared.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1))
-                    grams, places, slots, last, owner = grams[found], places[found], slots[found], last[found], owner[found]
+                    bits = found[1] >> shift
+                    hit = np.flatnonzero((shared.value[(bits >> np.uint64(6)).astype(np.int64)] >> (bits & np.uint64(63))) & np.uint64(1))
+                    found = [x[hit] for x in found]
+                kind, grams, places, raw, slots, last, owner = found
                 of = pa.array(owner + chunk.first)
                 arrays = [batch.column(k).take(of) for k in names]
-                arrays += [pa.array(places), *(pa.array(x.view(np.int64)) for x in (grams, slots, last))]
-                yield pa.RecordBatch.from_arrays(arrays, [*names, "place", "gram", "slot", "last"])
+                arrays += [pa.array(kind.astype(np.int32)), pa.array(places), pa.array(raw), *(pa.array(x.view(np.int64)) for x in (grams, slots, last))]
+                yield pa.RecordBatch.from_arrays(arrays, [*names, "kind", "place", "raw", "gram", "slot", "last"])
 
-    schema = ", ".join(f"{k} {t}" for k, t in keys.items()) + ", place long, gram long, slot long, last long"
+    schema = ", ".join(f"{k} {t}" for k, t in keys.items()) + ", kind int, place long, raw long, gram long, slot long, last long"
     return rows.select(*names, "text").mapInArrow(run, schema)
 
 
@@ -133,26 +180,44 @@ def bit_table(grams: DataFrame) -> np.ndarray:
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, key (identity of the row), item_id, n_windows, item_windows, coverage, n_slots and consistency of each leak."""
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), text_of(benchmark).alias("text"))
-    known = written(_window_rows(items, {"item_id": "long"}, None).select("item_id", F.col("place").alias("ipos"), "gram", F.col("slot").alias("islot"), F.col("last").alias("ilast")))
+    columns = {"place": "ipos", "raw": "iraw", "slot": "islot", "last": "ilast"}
+    known = written(_window_rows(items, {"item_id": "long"}, None).withColumnsRenamed(columns))
     rows = docs.select(row_key(docs).alias("key"), text_of(docs).alias("text")).select("key.id", "key.hash", "text")
-    found = _window_rows(rows, {"id": "long", "hash": "long"}, bit_table(known))
+    found = _window_rows(rows, {"id": "long", "hash": "long"}, bit_table(known)).drop("kind", "raw")
     both = found.join(known, "gram")
     slot = F.when(F.col("islot") != 0, F.struct("islot", "slot"))
     last = F.when(F.col("ilast") != 0, F.struct(F.col("ilast").alias("islot"), F.col("last").alias("slot")))
-    aligned = both.groupBy("id", "hash", "item_id", (F.col("place") - F.col("ipos")).alias("diagonal")).agg(
-        F.collect_set("ipos").alias("at"), F.array_union(F.collect_set(slot), F.collect_set(last)).alias("slots")
+    aligned = both.groupBy("id", "hash", "item_id", "kind", (F.col("place") - F.col("ipos")).alias("diagonal")).agg(
+        F.collect_set("iraw").alias("at"), F.array_union(F.collect_set(slot), F.collect_set(last)).alias("slots")
     )
     values = F.size(F.array_distinct(F.transform("slots", lambda s: s["islot"])))
     share = F.when(F.size("slots") > 0, values / F.size("slots")).otherwise(1.0)
     kept = aligned.withColumns({"n_slots": F.size("slots"), "consistency": share}).where(F.col("consistency") >= MIN_CONSISTENT)
-    sizes = known.groupBy("item_id").agg(F.countDistinct("ipos").alias("item_windows"))
+    template, plain = (F.col("kind") == k for k in (TEMPLATE, PLAIN))
+
+    def number(flag) -> Column:
+        return F.coalesce(F.count_if(flag), F.lit(0))
+
+    def distinct(at: str, flag=None) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(at if flag is None else F.when(flag, F.col(at)))))).cast("long")
+
+    sizes = known.groupBy("item_id").agg(
+        F.countDistinct("iraw").alias("item_windows"),
+        number(template).alias("t_windows"),
+        number(plain).alias("p_windows"),
+    )
     merged = kept.groupBy("id", "hash", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_windows"),
+        distinct("at").alias("n_windows"),
+        distinct("at", template).alias("t_n"),
         F.max("n_slots").cast("long").alias("n_slots"),
         F.min("consistency").alias("consistency"),
-    )
+    )
     sized = merged.join(sizes.withColumnRenamed("item_id", "of"), F.col("item_id").eqNullSafe(F.col("of")))
-    enough = F.col("n_windows") >= F.least(F.lit(MIN_WINDOWS), F.col("item_windows"))
+
+    def covered(n: str, windows: str) -> Column:
+        return (F.col(windows) > 0) & (F.col(n) >= F.least(F.lit(MIN_WINDOWS), F.col(windows)))
+
+    enough = covered("t_n", "t_windows") | covered("n_windows", "p_windows")
     return sized.where(enough).select(
         F.col("id").alias("doc_id"), F.struct("id", "hash").alias("key"), "item_id", "n_windows", "item_windows",
         F.round(F.col("n_windows") / F.col("item_windows"), 6).alias("coverage"), "n_slots", "consistency",

@@ -58,3 +58,16 @@ def test_empty_tables(spark):
     docs, none = documents(spark, ["a b c"]), spark.createDataFrame([], ITEMS)
     assert D.leaks(docs, none).collect() == [] and D.clean(docs, none).count() == 1
     assert D.leaks(documents(spark, []), spark.createDataFrame([(1, "x y " * 10)], ITEMS)).collect() == []
+
+
+def pairs(found):
+    return {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+def test_copies_in_other_case_leak(spark):
+    items = [
+        (1, "A farmer named Alice has 12 sheep and buys 30 sheep from a man named Bob while Alice sells 12 of the old ones to nobody"),
+        (2, "Der Bauer hat auf dem Markt in der Stadt seine Schafe und Ziegen an den alten Freund des Vaters verkauft"),
+    ]
+    texts = [f"well then {change(t)} and so on" for _, t in items for change in (str, str.lower, str.upper, str.title)]
+    assert pairs(D.leaks(documents(spark, texts), spark.createDataFrame(items, ITEMS))) == {(i, 1 + i // 4) for i in range(8)}
