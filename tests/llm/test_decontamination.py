@@ -71,3 +71,19 @@ def test_copies_in_other_case_leak(spark):
     ]
     texts = [f"well then {change(t)} and so on" for _, t in items for change in (str, str.lower, str.upper, str.title)]
     assert pairs(D.leaks(documents(spark, texts), spark.createDataFrame(items, ITEMS))) == {(i, 1 + i // 4) for i in range(8)}
+
+
+def test_short_and_slot_dense_items_and_typed_edges(spark):
+    items = [
+        (1, "What is the capital of France?"),
+        (2, "Add 12 kg 30 cm 7 hours 4 days 9 km 5 miles 3 pounds 8 liters to 2 tons"),
+        (3, "Yes."),
+        (4, "Cats and 4 dogs run over the old bridge with 3 bags"),
+        (5, "日本"),
+    ]
+    texts = [
+        "so I asked what is the capital of France and left", "WHAT IS THE CAPITAL OF FRANCE", "what is the capital of all France",
+        f"please {items[1][1]} now", "he said yes to all", "Well.\nYes\nNo", "then Cats and 7 dogs run over the old bridge with 9 bags went", "日本",
+    ]
+    want = {(0, 1), (1, 1), (3, 2), (5, 3), (6, 4), (7, 5)}
+    assert pairs(D.leaks(documents(spark, texts), spark.createDataFrame(items, ITEMS))) == want
