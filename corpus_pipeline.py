@@ -35,8 +35,8 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document, placed in sequences."""
-    return packing.pack(docs, with_ids=False)
+    """The pieces of every document with their ids, placed in sequences."""
+    return packing.pack(docs)
 
 
 STAGES = [

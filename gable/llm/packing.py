@@ -26,6 +26,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,6 +36,8 @@ from gable.llm.rows import text_of
 CAPACITY = 2048
 END_ID = 1
 MEMO = 1_000_000
+#: Ids that one batch of pieces holds before it is handed over.
+BATCH_IDS = 1 << 21
 #: Sequences that one task may number.
 IDS_PER_TASK = 1 << 40
 
@@ -190,27 +193,46 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *(["ids"] if with_ids else []), "sequence_id", "offset"]
     kinds = [pa.int64()] * 5 + [pa.list_(pa.int32())] * with_ids + [pa.int64()] * 2
 
+    def listed(parts: tuple[bytes, ...]) -> pa.ListArray:
+        ends = np.cumsum([0, *(len(p) // 4 for p in parts)], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), "<i4")))
+
     def table(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        return pa.RecordBatch.from_arrays([listed(c) if n == "ids" else pa.array(c, k) for n, c, k in zip(names, columns, kinds)], names)
 
     def run(batches):
         encoder, bins = encoder_for(path), Bins(capacity, TaskContext.get().partitionId() * IDS_PER_TASK)
         for batch in batches:
-            out = []
+            out, held = [], 0
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encoder.encode(text) + end
                 total = len(ids) // 4
                 for start, length in cut(total, capacity):
                     part = ids[4 * start : 4 * (start + length)]
-                    listed = (array("I", part).tolist(),) if with_ids else ()
-                    out += bins.add(length, (doc_id, start, length, zlib.crc32(part), total, *listed))
-                if len(out) >= 20_000:
-                    yield table(out)
-                    out = []
+                    full = bins.add(length, (doc_id, start, length, zlib.crc32(part), total, *((part,) if with_ids else ())))
+                    out += full
+                    held += capacity if full else 0
+                    if len(out) >= 20_000 or held >= BATCH_IDS:
+                        yield table(out)
+                        out, held = [], 0
             yield table(out)
         yield table(bins.rest())
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, " + "ids array<int>, " * with_ids + "sequence_id long, offset long"
     return rows.mapInArrow(run, schema)
+
+
+def digest(pieces: DataFrame) -> DataFrame:
+    """The pieces with ids_crc32 taken from their ids (little-endian, 32 bits each) in place of these."""
+    names = [c for c in pieces.columns if c != "ids"]
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("ids")
+            values, ends = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_numpy().tolist()
+            sums = pa.array([zlib.crc32(values[a:b]) for a, b in zip(ends, ends[1:])], pa.int64())
+            yield pa.RecordBatch.from_arrays([sums if c == "ids_crc32" else batch.column(c) for c in names], names)
+
+    return pieces.mapInArrow(run, ", ".join(f"{c} long" for c in names))

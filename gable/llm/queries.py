@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op3_harmonic_packing")
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
 @query("op5_pii_spans")

@@ -3,8 +3,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from gable.llm.packing import Bins, cut, default_tokenizer, encoder_for, pack
+import corpus_pipeline
+from gable.llm import packing
+from gable.llm.packing import Bins, cut, default_tokenizer, digest, encoder_for, pack
+from gable.llm.queries import QUERIES
 from tests.llm.helpers import documents, with_clashes
 
 TEXTS = [
@@ -59,3 +63,20 @@ def test_cut_and_bins():
 
 def test_empty_table(spark):
     assert pack(documents(spark, [])).collect() == []
+
+
+def test_the_last_stage_gives_the_ids(spark, sf_dir):
+    pieces = corpus_pipeline.packing_stage(spark, documents(spark, TEXTS), sf_dir).collect()
+    for i, text in enumerate(TEXTS):
+        parts = sorted((p for p in pieces if p["doc_id"] == i), key=lambda p: p["start"])
+        assert [x for p in parts for x in p["ids"]] == [*whole_ids(text), 1]
+
+
+def test_digest_is_of_the_ids(spark, sf_dir, monkeypatch):
+    pieces = pack(documents(spark, TEXTS))
+    plain = pieces.drop("ids")
+    found = digest(pieces.withColumn("ids_crc32", F.lit(0).cast("long")))
+    assert found.columns == plain.columns and sorted(found.collect()) == sorted(plain.collect())
+    asked = []
+    monkeypatch.setattr(packing, "pack", lambda docs, *a, **k: asked.append(k.get("with_ids", True)) or pack(docs, *a, **k))
+    assert "ids" not in QUERIES["op3_harmonic_packing"](spark, sf_dir).columns and asked == [True]
