@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gable.llm import chat, decontamination, licenses, neardup, packing, pii, quality, repeats, rollups, toxicity
+from gable.llm import chat, decontamination, lexical, licenses, mixing, neardup, packing, pii, quality, repeats, rollups, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,18 @@ def op4_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@query("op11_budget_mix")
+def op11_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
+@query("op12_cholesky_whitening")
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_lexical_tiles", lexical.SQL)
+def op13_lexical_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -11,6 +11,9 @@ BOUNDED = {
     "bit_table": "the number of words of the bit table",
     "fit_threshold": "the number of score bins",
     "fit": "the texts of the training sample",
+    "statistics": "the terms of a block of items",
+    "blocks": "a partition of the items, and a block",
+    "_summed": "the cells of a matrix of dimension x dimension",
     "_folded": "the number of committed batches",
 }
 

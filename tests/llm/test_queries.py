@@ -13,7 +13,7 @@ def test_query_equals_sql(spark, sf_dir, name):
     assert difference(rows_of_spark(QUERIES[name](spark, sf_dir)), rows_of_sql(connect(sf_dir), SQL[name])) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op3_harmonic_packing", "op8_template_leaks"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"op3_harmonic_packing", "op8_template_leaks", "op12_cholesky_whitening"}))
 def test_one_row_per_document(spark, sf_dir, name):
     ids = [r["doc_id"] for r in QUERIES[name](spark, sf_dir).select("doc_id").collect()]
     assert sorted(ids) == sorted(r["doc_id"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect())
