@@ -11,14 +11,17 @@ earliest point; a shingle is left as soon as its points come later than all regi
 with their weighted Jaccard similarity as probability.
 
 1. Equal multisets are one node (an aggregation with map-side combine; exact copies end here).
-2. Nodes that share a band of ROWS registers meet in a bucket. Each is compared with the hub of the bucket, the node that
-   meets the most others in all its buckets (of a group of copies, the least edited one): large groups of copies cost one
-   pair per member. Overlaps are verified exactly on the multisets of the texts that have a partner. Components of the
-   verified links follow.
-3. Members outside the component of their bucket's hub are compared with all others of the bucket. The join looks at
+2. Nodes that share a band of ROWS registers meet in a bucket, whose hub is the node that meets the most others in all its
+   buckets (of a group of copies, the least edited one). Each node is compared with the best hub of its buckets: large
+   groups of copies cost one pair per member. Overlaps are verified exactly on the multisets of the texts that have a
+   partner. Components of the verified links follow.
+3. Nodes outside the component of a bucket's hub are compared with that hub, too, and components are merged.
+4. Members still outside the component of their bucket's hub are compared with all others of the bucket. The join looks at
    pairs of different components and like size, and lets through, in the first bucket they share, those whose sketches
    agree as texts of SIMILARITY do (but for one in 15,000); they are verified likewise. So no link is lost behind a hub.
 
+Later rounds merge components: they see pairs of labels, not the links that made them.
+
 With BANDS bands of ROWS registers a pair at the limit meets with probability 1 - 5e-6.
 
 Null texts count as empty. Repeated rows get their class each. The class id is the smallest doc_id of the class, null if
@@ -234,33 +237,55 @@ def _possible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return pairs.join(_facts(facts, "a"), "a").join(_facts(facts, "b"), "b").where(_alike("a", "b")).select("a", "b")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, label) after further links (a, b)."""
+    of = lambda name: labels.select(F.col("node").alias(name), F.col("label").alias(f"{name}_label"))
+    apart = links.join(of("a"), "a").join(of("b"), "b").where("a_label <> b_label")
+    found = components(apart.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct())
+    found = found.select(F.col("node").alias("label"), F.col("label").alias("lower"))
+    return written(labels.join(found, "label", "left").select("node", F.coalesce("lower", "label").alias("label")))
+
+
+def _placed(members: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, key and hub of every member, its label, and whether it is outside the hub's component."""
+    main = hubs.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("main")), "hub").select("bucket", "hub", "main")
+    named = members.join(labels.select(F.col("node").alias("key"), "label"), "key")
+    return named.join(main, "bucket").select("bucket", "key", "hub", "label", (F.col("label") != F.col("main")).alias("out"))
+
+
 def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (id, hash, key), verified links between nodes (a, b, similarity), and labels (node, label) of linked nodes."""
+    """Rows (id, hash, key), verified links between nodes (a, b, similarity), and labels (node, label) of nodes that meet."""
     rows = written(sketch(docs))
     grouped = rows.groupBy("key").agg(
         F.min(F.struct("id", "hash")).alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("bits").alias("bits")
     )
     nodes = written(grouped)
     banded = nodes.select("key", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join can split a hot bucket.
+    shared = written(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = written(banded.join(shared, "bucket"))
     met_by = met.groupBy("key").agg(F.sum("n").alias("meets"))
     wanted = nodes.join(met_by, "key")
     sets = written(_multiset_table(docs, wanted.select("key", "rep")))
     facts = written(wanted.select("key", "size", "bits", "bands", "meets"))
     members = met.select("bucket", "key")
-    most = F.max(F.struct("meets", "key"))
-    hubs = written(members.join(facts.select("key", "meets"), "key").groupBy("bucket").agg(most.alias("most")).select("bucket", F.col("most.key").alias("hub")))
+    most = members.join(facts.select("key", "meets"), "key").groupBy("bucket").agg(F.max(F.struct("meets", "key")).alias("most"))
+    hubs = written(most.select("bucket", F.col("most.key").alias("hub"), F.col("most.meets").alias("meets")))
 
-    first = members.join(hubs, "bucket").where("key <> hub")
+    best = members.join(hubs, "bucket").where("key <> hub").groupBy("key").agg(F.max(F.struct("meets", "hub")).alias("best"))
+    first = written(best.select("key", F.col("best.hub").alias("hub")))
     links = written(_verified(_possible(first, facts), sets))
-    labels = components(links)
-
+    found = components(links).select(F.col("node").alias("key"), "label")
     # A node without a link is a component of its own.
-    named = lambda rows, of, name: rows.join(labels.select(F.col("node").alias(of), F.col("label").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
-    main = named(hubs, "hub", "main").select("bucket", "main")
-    placed = named(members, "key", "label").join(main, "bucket").withColumn("out", F.col("label") != F.col("main"))
-    open_ = placed.where("out").select("bucket").distinct()
+    labels = written(facts.select("key").join(found, "key", "left").select(F.col("key").alias("node"), F.coalesce("label", "key").alias("label")))
+
+    asked = _placed(members, hubs, labels).where("out").select("hub", "key").distinct().join(first, ["hub", "key"], "left_anti")
+    further = written(_verified(_possible(asked, facts), sets))
+    if not further.isEmpty():
+        links, labels = links.unionByName(further), _merged(labels, further)
+
+    placed = _placed(members, hubs, labels)
+    open_ = written(placed.where("out").select("bucket").distinct())
     # Texts of like size are in the same or in neighbouring classes.
     step = F.floor(F.log("size") / F.log(F.lit(1 / SIMILARITY))).cast("int")
     rest = written(placed.join(open_, "bucket").join(facts, "key").select("bucket", "key", "label", "out", "size", "bits", "bands", step.alias("step")))
@@ -273,8 +298,7 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     on = (a["bucket"] == b["bucket"]) & (a["step"] == b["step"]) & asks & _alike("a", "b") & once
     more = written(_verified(a.join(b, on).select("a", "b"), sets))
     if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = components(links)
+        links, labels = links.unionByName(more), _merged(labels, more)
     return rows.select("id", "hash", "key"), links, labels
 
 
@@ -284,7 +308,8 @@ def classes(docs: DataFrame) -> DataFrame:
     # A hot key has many rows and one label; the join can split it.
     labelled = rows.join(labels, rows["key"] == labels["node"], "left").select("id", "hash", F.coalesce("label", "key").alias("label"))
     labelled = written(labelled)
-    sizes = labelled.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # Written, so that the join can split a hot label.
+    sizes = written(labelled.groupBy("label").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return labelled.join(sizes, "label").select(F.col("id").alias("doc_id"), "class_id", "class_size", "hash")
 
 
