@@ -1,10 +1,10 @@
 """Exact k-nearest-neighbour join without comparing all pairs.
 
-Rows are assigned to the nearest of a bounded set of pivots (Voronoi cells). Counts by distance ring around each
-pivot give every query an upper bound of its k-th distance; only cells that can hold a closer row are visited
-(triangle inequality and bisector bounds, as in pivot-based kNN joins from the literature). Cells are cut into
-chunks of bounded size on both sides, so neither a hot cell nor many identical rows reach one task whole, and
-each chunk pair emits at most k rows per query.
+Training rows lie in the cells of a space partition (``kdtree``), a bounded number in each. A query is first compared with
+the rows around it, its own cell or, if that has too few rows, the smallest subtree that has enough. Their k-th distance
+limits the search: in the second step it visits just those other cells that come as near as that. Cells that cannot be halved
+(equal rows) and crowds of queries for one cell are cut into chunks, so no task gets a hot cell whole; a task computes
+distances in blocks of bounded memory, and each chunk pair emits at most k rows per query.
 """
 
 from __future__ import annotations
@@ -17,76 +17,87 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReader,
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gable.operators.spread import hash_order
+from gable.operators.kdtree import grow, matrix, placed
 from gable.operators.stages import FittedModel, FittedStage, with_state
 from gable.runtime import written
 
-CHUNK_ROWS = 20_000
-ROWS_PER_PIVOT = 2_000
-MAX_PIVOTS = 256
-RINGS = 8
-_BLOCK_CELLS = 4_000_000
+#: Rows of a cell, and of a chunk of queries or of a cell that cannot be halved.
+CELL_ROWS, CHUNK_ROWS = 2_000, 20_000
+_BLOCK_CELLS = 2_000_000
 
 
 def vector_of(cols: Sequence[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(float) if len(column) else np.empty((0, 0))
-
-
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Euclidean distances by direct differences, in blocks of bounded memory."""
-    out = np.empty((len(a), len(b)))
+def nearest_rows(a: np.ndarray, b: np.ndarray, k: int, a_codes, b_codes, mismatch: float, a_ids=None, b_ids=None):
+    """(query, row, distance) of the k nearest rows of b for each of a, ties to the earlier row; where ids are given,
+    equal ids are left out."""
+    out = []
     step = max(1, _BLOCK_CELLS // max(1, b.size))
     for i in range(0, len(a), step):
         gap = a[i : i + step, None, :] - b[None, :, :]
-        out[i : i + step] = np.sqrt(np.einsum("qtd,qtd->qt", gap, gap))
-    return out
+        square = np.einsum("qtd,qtd->qt", gap, gap)
+        if a_codes.size:
+            square += mismatch * (a_codes[i : i + step, None, :] != b_codes[None, :, :]).sum(axis=2)
+        if a_ids is not None:
+            square[a_ids[i : i + step, None] == b_ids[None, :]] = np.inf
+        distance = np.sqrt(square)
+        last = np.partition(distance, k - 1, axis=1)[:, k - 1] if k < len(b) else np.full(len(distance), np.inf)
+        query, row = np.nonzero((distance <= last[:, None]) & np.isfinite(distance))
+        found = distance[query, row]
+        order = np.lexsort((row, found, query))
+        query, row, found = query[order], row[order], found[order]
+        kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+        out.append((query[kept] + i, row[kept], found[kept]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+
+
+def _visits(queries: DataFrame, find) -> DataFrame:
+    """queries, a row per cell that ``find`` (of a batch: rows and cells) names."""
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, len(whole), 2000):
+                b = whole.iloc[start : start + 2000]
+                row, cell = find(b)
+                yield b.iloc[row].assign(cell=cell)
 
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema.fields)
+    return queries.mapInPandas(run, f"{kept}, cell long")
 
-def _assign(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """(id, vector) -> plus the nearest pivot and the distance to it."""
 
-    def nearest(batches):
-        for b in batches:
-            d = _distances(_matrix(b["vector"]), pivots) if len(b) else np.empty((0, 1))
-            cell = d.argmin(axis=1)
-            yield b.assign(cell=cell.astype("int32"), gap=d[np.arange(len(b)), cell])
+def _chunked(sizes: dict[int, int], rows: int) -> Column:
+    """Chunks of a cell: 1 but for those with more than ``rows``, which are few (all rows / rows at most)."""
+    many = {c: -(-n // rows) for c, n in sizes.items() if n > rows}
+    if not many:
+        return F.lit(1)
+    known = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, F.col("cell").cast("int")), F.lit(1))
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInPandas(nearest, f"{kept}, cell int, gap double")
 
+def _searched(visits: DataFrame, train: DataFrame, sizes: dict[int, int], k: int, exclude_self: bool, chunk_rows: int, mismatch: float) -> DataFrame:
+    """(id, neighbour, distance, carried): of every visit the k nearest rows of each chunk of the cell."""
+    visits = written(visits)
+    visited = {r[0]: r[1] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > chunk_rows).collect()}
+    of_cell, of_visits = _chunked(sizes, chunk_rows), _chunked(visited, chunk_rows)
+    here = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = visits.withColumn("tc", every(of_cell)).withColumn("qc", here % of_visits)
+    right = train.withColumn("qc", every(of_visits)).withColumn("tc", here % of_cell)
 
-def _visits(queries: DataFrame, pivots: np.ndarray, rings: pd.DataFrame, k: int, loose: int) -> DataFrame:
-    """(id, vector) -> one row per cell that may hold one of the k nearest."""
-    reach = rings.groupby("cell")["edge"].max()
-    live, radius = reach.index.to_numpy(), reach.to_numpy()
-    ring_cell = np.searchsorted(live, rings["cell"].to_numpy())
-    edge, count = rings["edge"].to_numpy(), rings["n"].to_numpy()
-    centres = pivots[live]
+    def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id": [], "neighbour": [], "distance": [], "carried": []})
+        b = b.sort_values("id")
+        own, ids = a["id"].to_numpy(), b["id"].to_numpy()
+        same = (own, ids) if exclude_self else (None, None)
+        query, row, distance = nearest_rows(matrix(a["vector"]), matrix(b["vector"]), k, matrix(a["codes"]), matrix(b["codes"]), mismatch, *same)
+        return pd.DataFrame({"id": own[query], "neighbour": ids[row], "distance": distance, "carried": b["carried"].to_numpy()[row]})
 
-    def visit(batches):
-        for whole in batches:
-            for start in range(0, len(whole), 1000):
-                b = whole.iloc[start : start + 1000]
-                to = _distances(_matrix(b["vector"]), centres)
-                # Every row of a ring lies within (distance to the pivot + outer edge).
-                upper = to[:, ring_cell] + edge[None, :]
-                order = upper.argsort(axis=1)
-                enough = (count[order].cumsum(axis=1) >= k + loose).argmax(axis=1)
-                covered = count.sum() >= k + loose
-                limit = upper[np.arange(len(b)), order[np.arange(len(b)), enough]] if covered else np.full(len(b), np.inf)
-                limit = limit * (1 + 1e-9) + 1e-12
-                lower = np.maximum(to - radius[None, :], (to - to.min(axis=1, keepdims=True)) / 2)
-                row, cell = np.nonzero(lower <= limit[:, None])
-                yield pd.DataFrame(
-                    {"id": b["id"].to_numpy()[row], "vector": b["vector"].to_numpy()[row], "cell": live[cell].astype("int32")}
-                )
-
-    id_type = queries.schema["id"].dataType.simpleString()
-    return queries.mapInPandas(visit, f"id {id_type}, vector array<double>, cell int")
+    kinds = f"id {visits.schema['id'].dataType.simpleString()}, neighbour {train.schema['id'].dataType.simpleString()}"
+    pairs = left.groupBy("cell", "tc", "qc").cogroup(right.groupBy("cell", "tc", "qc"))
+    return pairs.applyInPandas(closest, f"{kinds}, distance double, carried double")
 
 
 def knn_join(
@@ -98,81 +109,50 @@ def knn_join(
     features: Sequence[str] | str,
     exclude_self: bool = False,
     chunk_rows: int = CHUNK_ROWS,
-    rows_per_pivot: int = ROWS_PER_PIVOT,
+    cell_rows: int = CELL_ROWS,
     carry: str | None = None,
+    codes: str | None = None,
+    mismatch: float = 0.0,
 ) -> DataFrame:
-    """(query_key, neighbour, distance, nn): the k nearest train rows, ties to the smaller key.
+    """(query_key, neighbour, distance, carried, nn): the k nearest train rows, ties to the smaller key.
 
     ``features`` is a list of numeric columns or the name of one array column. Keys must be unique. ``carry``
-    names a numeric train column that comes along as ``carried``, so that no join has to fetch it.
+    names a numeric train column that comes along as ``carried``, so that no join has to fetch it. ``codes`` names a
+    column with an array of whole numbers that are compared for equality: each that differs adds ``mismatch`` to the square
+    of the distance.
     """
     vector = F.col(features).cast("array<double>") if isinstance(features, str) else vector_of(features)
+    code = F.col(codes).cast("array<long>") if codes else F.array().cast("array<long>")
     # Both sides are read several times below; writing them once cuts off whatever produced them.
-    q = queries.select(F.col(query_key).alias("id"), vector.alias("vector")).transform(written)
+    q = queries.select(F.col(query_key).alias("id"), vector.alias("vector"), code.alias("codes")).transform(written)
     payload = F.col(carry).cast("double") if carry else F.lit(0.0)
-    t = train.select(F.col(train_key).alias("id"), vector.alias("vector"), payload.alias("carried")).transform(written)
-    n = t.count()
-    n_pivots = int(min(MAX_PIVOTS, max(1, n // rows_per_pivot)))
-    # A bounded, reproducible choice: MAX_PIVOTS vectors at most reach the driver.
-    chosen = t.orderBy(hash_order("id", 17), "id").limit(n_pivots).collect()
-    id_type = t.schema["id"].dataType.simpleString()
-    if not chosen:
-        return q.limit(0).select(
-            F.col("id").alias(query_key), F.col("id").cast(id_type).alias("neighbour"),
-            F.lit(0.0).alias("distance"), F.lit(0.0).alias("carried"), F.lit(0).alias("nn"),
-        )
-    pivots = np.array([r["vector"] for r in chosen], dtype=float)
-    placed = _assign(t, pivots).transform(written)
-
-    radius = placed.groupBy("cell").agg(F.max("gap").alias("radius"))
-    ring = F.when(F.col("radius") > 0, F.ceil(F.col("gap") / F.col("radius") * RINGS)).otherwise(0)
-    # At most MAX_PIVOTS x (RINGS + 1) rows.
-    rings = (
-        placed.join(F.broadcast(radius), "cell")
-        .groupBy("cell", ring.alias("ring"))
-        .agg(F.count(F.lit(1)).alias("n"), F.max("gap").alias("edge"))
-        .toPandas()
-    )
-    visits = _visits(q, pivots, rings, k, int(exclude_self))
-
-    cells = rings.groupby("cell")["n"].sum()
-    visited = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = [
-        (int(c), int(-(-n_c // chunk_rows)), int(max(1, -(-visited.get(int(c), 0) // chunk_rows)))
-        ) for c, n_c in cells.items()
-    ]
-    t_chunks = F.create_map(*[F.lit(x) for c, a, _ in sizes for x in (c, a)])
-    q_chunks = F.create_map(*[F.lit(x) for c, _, b in sizes for x in (c, b)])
-    here = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("int")
-
-    def every(chunks):
-        return F.explode(F.sequence(F.lit(0), chunks[F.col("cell")] - 1))
-
-    left = visits.withColumn("tc", every(t_chunks)).withColumn("qc", here % q_chunks[F.col("cell")])
-    right = placed.drop("gap").withColumn("qc", every(q_chunks)).withColumn("tc", here % t_chunks[F.col("cell")])
-
-    def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "neighbour": [], "distance": [], "carried": []})
-        b = b.sort_values("id")
-        ids = b["id"].to_numpy()
-        d = _distances(_matrix(a["vector"]), _matrix(b["vector"]))
-        if exclude_self:
-            d[a["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        # Stable sort of rows in key order: equal distances keep the smaller key.
-        best = d.argsort(axis=1, kind="stable")[:, :k]
-        dist = np.take_along_axis(d, best, axis=1).ravel()
-        out = pd.DataFrame({"id": np.repeat(a["id"].to_numpy(), best.shape[1]), "neighbour": ids[best].ravel(), "distance": dist})
-        out["carried"] = b["carried"].to_numpy()[best].ravel()
-        return out[np.isfinite(out["distance"])]
-
-    pairs = (
-        left.groupBy("cell", "tc", "qc")
-        .cogroup(right.groupBy("cell", "tc", "qc"))
-        .applyInPandas(closest, f"id {q.schema['id'].dataType.simpleString()}, neighbour {id_type}, distance double, carried double")
-    )
+    t = train.select(F.col(train_key).alias("id"), vector.alias("vector"), code.alias("codes"), payload.alias("carried")).transform(written)
+    tree, sizes = grow(t, cell_rows)
+    rows = placed(t, tree).transform(written)
+    homes = tree.homes(sizes, k + int(exclude_self))
+
+    def around(b):
+        home = [homes[c] for c in tree.place(matrix(b["vector"])).tolist()] if len(b) else []
+        return np.repeat(np.arange(len(b)), [len(h) for h in home]), np.array([c for h in home for c in h], np.int64)
+
+    def beyond(b):
+        x, limit = matrix(b["vector"]), b["limit"].to_numpy(float)
+        limit = np.where(np.isnan(limit), np.inf, limit * (1 + 1e-9) + 1e-12)
+        row, cell = tree.within(x, limit) if len(b) else (np.zeros(0, int), np.zeros(0, int))
+        home = tree.place(x).tolist() if len(b) else []
+        seen = [set(homes[c]) for c in home]
+        new = np.array([sizes.get(c, 0) > 0 and c not in seen[i] for i, c in zip(row.tolist(), cell.tolist())], bool)
+        return row[new], cell[new]
+
+    search = lambda visits: _searched(visits, rows, sizes, k, exclude_self, chunk_rows, mismatch)
+    first = written(search(_visits(q, around)))
+    # The home of a query has few cells, so its list of distances is short.
+    nth = F.get(F.sort_array(F.collect_list("distance")), F.lit(k - 1))
+    limits = first.groupBy("id").agg(nth.alias("limit"))
+    second = search(_visits(q.join(limits, "id", "left"), beyond))
     nn = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbour"))
-    return pairs.withColumn("nn", nn).filter(F.col("nn") <= k).withColumnRenamed("id", query_key)
+    found = first.unionByName(second).withColumn("nn", nn).filter(F.col("nn") <= k)
+    return found.withColumnRenamed("id", query_key)
 
 
 _KNN = {

@@ -134,7 +134,7 @@ class LinearDiscriminantAnalysis(FittedStage):
         most = min(len(groups) - 1, len(cols))
         k = self.opt("n_components")
         if k is not None and k > min(len(groups), len(cols)):
-            raise ValueError(f"n_components value {k} is too large")
+            raise ValueError(f"{k} components asked for, but only {min(len(groups), len(cols))} can exist")
         k = min(k or most, most)
         n, mean, cov = _covariance(dataset, cols)
         means = np.array([g["mean"] for g in groups])

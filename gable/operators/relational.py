@@ -18,6 +18,7 @@ from gable.operators.spread import (
     rank_by_hash,
     rank_by_order,
 )
+from gable.runtime import written
 
 
 def _require(df: DataFrame, cols: Sequence[str]) -> None:
@@ -63,15 +64,16 @@ def drop_outliers(
 ) -> DataFrame:
     """Trim the price tails twice, then bound rooms, storeys and area; nulls in rooms or area drop the row.
 
-    Only three scalars (the cut-offs) reach the driver, so both price filters can be pushed to the scan.
+    The cut-offs come from one pass, which counts equal prices; only these three scalars reach the driver, so both price
+    filters can be pushed to the scan.
     """
-    cut = exact_quantiles(
-        df, {"lo": (price, 0.01), "hi": (price, 0.99)}
-    ).first()
+    prices = df.groupBy(F.col(price).cast("double").alias("_price")).agg(F.count(F.lit(1)).alias("_n")).transform(written)
+    cut = exact_quantiles(prices, {"lo": ("_price", 0.01), "hi": ("_price", 0.99)}, weight="_n").first()
     if cut is None or cut["lo"] is None:
         return df.limit(0)
+    inside = prices.filter(F.col("_price").between(cut["lo"], cut["hi"]))
+    again = exact_quantiles(inside, {"hi": ("_price", 0.99)}, weight="_n").first()["hi"]
     kept = df.filter(F.col(price).between(cut["lo"], cut["hi"]))
-    again = exact_quantiles(kept, {"hi": (price, 0.99)}).first()["hi"]
     return kept.filter(
         F.col(price).between(10000, again)
         & (F.col(rooms).try_cast("double") < 10)
@@ -177,10 +179,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], c
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], time: str, tie: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """The latest row per key, the smallest ``tie`` value winning among equal times."""
-    kept = list(cols or [c for c in df.columns if c not in keys])
-    newest = F.max(F.struct(F.col(time).alias("_t"), (-F.col(tie)).alias("_i"), F.struct(*kept).alias("_row"))).alias("_best")
-    return df.groupBy(*keys).agg(newest).select(*keys, "_best._row.*")
+    """The latest row per key, the smallest ``tie`` value winning among equal times (null last)."""
+    kept = F.struct(*(cols or [c for c in df.columns if c not in keys])).alias("_row")
+    if isinstance(df.schema[tie].dataType, T.NumericType):
+        newest = F.max(F.struct(F.col(time).alias("_t"), (-F.col(tie)).alias("_i"), kept)).alias("_best")
+        return df.groupBy(*keys).agg(newest).select(*keys, "_best._row.*")
+    # Other kinds have no opposite to take the largest of: first the smallest of each time, then the latest time.
+    at = df.groupBy(*keys, F.col(time).alias("_t")).agg(F.min(F.struct(F.col(tie).isNull().alias("_none"), F.col(tie).alias("_i"), kept)).alias("_first"))
+    return at.groupBy(*keys).agg(F.max(F.struct("_t", "_first._row")).alias("_best")).select(*keys, "_best._row.*")
 
 
 def drop_duplicates(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:

@@ -43,12 +43,14 @@ class BalancedClassificationSampler:
     """
 
     def __init__(self, balanced_ratio: float = 4, min_samples: int = 100, min_percentage: float = 0.1, seed: int = 0):
-        if balanced_ratio <= 0:
-            raise ValueError(f"balanced_ratio must be above 0, got {balanced_ratio}")
-        if min_samples <= 0:
-            raise ValueError(f"min_samples must be greater than 0, got {min_samples}")
-        if not 0 < min_percentage <= 0.5:
-            raise ValueError(f"min_percentage must be between 0 and 0.5, inclusive, got {min_percentage}")
+        allowed = {
+            "balanced_ratio": (balanced_ratio, balanced_ratio >= 1, "1 or more"),
+            "min_samples": (min_samples, min_samples > 0, "positive"),
+            "min_percentage": (min_percentage, 0 < min_percentage <= 0.5, "above 0 and up to one half"),
+        }
+        for name, (given, good, rule) in allowed.items():
+            if not good:
+                raise ValueError(f"{name} has to be {rule}: {given}")
         self.balanced_ratio, self.min_samples, self.min_percentage, self.seed = balanced_ratio, min_samples, min_percentage, seed
 
     def goals(self, sizes: dict[object, int]) -> dict[object, int]:
@@ -113,9 +115,10 @@ class SMOTE:
         most = max(sizes.values(), default=0)
         return {c: most - n for c, n in sizes.items() if n < most}
 
-    def _search_space(self, df: DataFrame, features: Sequence[str], target: str, group: str | None) -> DataFrame:
-        """Rows with ``_x``, the vector that neighbours are searched in."""
-        return df.withColumn("_x", vector_of(features))
+    def _search_space(self, df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, float]:
+        """Rows with ``_x``, the vector that neighbours are searched in, and ``_codes``, whole numbers that cost the
+        returned square distance each where they differ."""
+        return df.withColumns({"_x": vector_of(features), "_codes": F.array().cast("array<long>")}), 0.0
 
     def _made(self, features: Sequence[str], u: Column) -> dict[str, Column]:
         return {c: F.col(c) + u * (F.col(f"_nb_{c}") - F.col(c)) for c in features}
@@ -159,12 +162,14 @@ class SMOTE:
 
     def _neighbours(self, rows: DataFrame, by: str, key: str, features: Sequence[str]) -> DataFrame:
         """k nearest within the same class: one search, with classes moved apart along an extra axis."""
-        space = self._search_space(rows, features, by, None)
+        space, mismatch = self._search_space(rows, features)
         edge = space.select(F.posexplode("_x").alias("_d", "_v")).groupBy("_d").agg((F.max("_v") - F.min("_v")).alias("_w"))
-        span = edge.agg(F.sqrt(F.sum(F.col("_w") * F.col("_w")))).first()[0] or 0.0
+        most = edge.agg(F.sum(F.col("_w") * F.col("_w"))).first()[0] or 0.0
+        span = math.sqrt(most + mismatch * (len(features) - len(self.numeric(features))))
+        # Apart by more than any distance inside a class, even if nothing varies.
         codes = {c: i * (2 * span + 1) for i, c in enumerate(class_sizes(rows, by))}
         space = space.withColumn("_x", F.concat("_x", F.array(_per_class(by, codes, 0.0).cast("double"))))
-        near = knn_join(space, space, self.k, key, key, "_x", exclude_self=True)
+        near = knn_join(space, space, self.k, key, key, "_x", exclude_self=True, codes="_codes", mismatch=mismatch)
         # A small class reaches into others, whose distance exceeds any inside a class.
         return near.filter(F.col("distance") <= span * (1 + 1e-9)).drop("carried").transform(written)
 
@@ -187,16 +192,14 @@ class SMOTENC(SMOTE):
             raise ValueError("SMOTENC needs at least one continuous feature")
         return found
 
-    def _search_space(self, df, features, target, group):
+    def _search_space(self, df, features):
         numbers = self.numeric(features)
         row = df.agg(*[F.stddev_pop(c).alias(c) for c in numbers]).first()
         spread = sorted(row[c] or 0.0 for c in numbers)
         half = (spread[len(spread) // 2] + spread[(len(spread) - 1) // 2]) / 4
-        parts = [vector_of(numbers)]
-        for c in self.categorical:
-            levels = [r[0] for r in df.select(c).distinct().orderBy(c).collect()]
-            parts.append(F.array(*[F.when(F.col(c) == F.lit(v), half).otherwise(0.0) for v in levels]))
-        return df.withColumn("_x", F.concat(*parts))
+        # Levels are compared by hash: two one-hot coordinates of height ``half`` would differ.
+        codes = F.array(*[F.xxhash64(F.col(c).isNull(), F.col(c)) for c in self.categorical])
+        return df.withColumns({"_x": vector_of(numbers), "_codes": codes}), 2 * half * half
 
     def _neighbours(self, rows, by, key, features):
         near = super()._neighbours(rows, by, key, features)

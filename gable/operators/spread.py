@@ -145,10 +145,18 @@ def value_bucket(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], keys: Sequence[str] = (), extra: Sequence[Column] = ()
+    df: DataFrame,
+    wanted: dict[str, tuple[str, float]],
+    keys: Sequence[str] = (),
+    extra: Sequence[Column] = (),
+    size_col: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles ``{name: (column, q)}`` per group, next to ``extra`` aggregates.
 
+    ``size_col`` adds the number of rows of the group; ``weight`` names a column of whole numbers that say how often a row
+    counts (rows of weight 0 or null do not). The input is evaluated once, and once more if there are ``extra`` aggregates.
+
     One plan for all sizes and all columns. Equal values of a group are one row with their number (map-side combine).
     These rows fall into value buckets whose number is bounded. Running totals over the buckets of a group tell which
     buckets hold a wanted position; only those are ordered value by value. So neither a large group nor a frequent
@@ -156,11 +164,22 @@ def exact_quantiles(
     """
     columns = list(dict.fromkeys(c for c, _ in wanted.values()))
     marked = df.withColumn(_STRATUM, stratum_label(keys))
-    group = [*[F.first(k).alias(k) for k in keys], F.count(F.lit(1)).alias("_rows"), *extra]
-    result = marked.groupBy(_STRATUM).agg(*group) if keys else df.agg(*group).withColumn(_STRATUM, F.lit(""))
+    times = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     pairs = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
-    ties = marked.select(_STRATUM, F.inline(pairs)).filter("_v IS NOT NULL").groupBy(_STRATUM, "_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
-    ties = ties.withColumn("_b", value_bucket(F.col("_v")))
+    named = [F.first(k).alias(k) for k in keys]
+    rows = marked.select(_STRATUM, *keys, times.alias("_times"), F.inline(pairs)).filter("_times > 0")
+    # Nulls are kept: a group without any value is still a group.
+    counted = written(rows.groupBy(_STRATUM, "_c", "_v").agg(*named, F.sum("_times").alias("_k")).withColumn("_b", value_bucket(F.col("_v"))))
+    size = [F.sum(F.when(F.col("_c") == 0, F.col("_k"))).alias(size_col)] if size_col else []
+    if not keys and not extra:
+        result = counted.agg(F.count(F.lit(1)).alias("_rows"), *size).withColumn(_STRATUM, F.lit(""))
+    elif not extra:
+        result = counted.groupBy(_STRATUM).agg(*named, *size)
+    else:
+        all_rows = [F.sum(times).alias(size_col)] if size_col else []
+        group = [*named, F.count(F.lit(1)).alias("_rows"), *all_rows, *extra]
+        result = marked.groupBy(_STRATUM).agg(*group) if keys else df.agg(*group).withColumn(_STRATUM, F.lit(""))
+    ties = counted.filter("_v IS NOT NULL").drop(*keys)
     of = Window.partitionBy(_STRATUM, "_c")
     earlier = of.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     buckets = ties.groupBy(_STRATUM, "_c", "_b").agg(F.sum("_k").alias("_n"))
@@ -197,13 +216,14 @@ def lookup_join(
 
     A key is heavy if it has more rows than a shuffle partition should get, so the broadcast list of heavy keys has
     fewer rows than there are partitions. ``weight`` names a row-count column of the lookup; without it the keys are
-    counted on the row side. The form is the same at every size; AQE turns it into a broadcast join when the lookup
-    proves small.
+    counted on the row side. The lookup and the counts are written, since each is read several times. The form is the same
+    at every size; AQE turns it into a broadcast join when the lookup proves small.
     """
+    lookup = written(lookup)
     if weight:
         counted = lookup.select(*keys, F.col(weight).alias("_n"))
     else:
-        counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        counted = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
     heavy = F.broadcast(heavy_keys(counted, keys, "_n").withColumn("_heavy", F.lit(True)))
     plain = [f.name for f in rows.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     spread = F.pmod(F.xxhash64(*plain), F.lit(salts))

@@ -60,7 +60,7 @@ def add_text_stats(df: DataFrame, cols: Sequence[str], keep: bool = False) -> Da
 def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean lexicon score of the words of each text that the lexicon (word, score) knows; 0 without any."""
     counts = df.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
-    known = lookup_join(counts, lexicon.select("word", "score"), ["word"], "inner")
+    known = lookup_join(written(counts), lexicon.select("word", "score"), ["word"], "inner")
     sums = known.groupBy(key).agg((F.sum(F.col("score") * F.col("_n")) / F.sum("_n")).alias("polarity"))
     return df.select(key).join(sums, key, "left").withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
 
@@ -80,7 +80,6 @@ class LSAModel(FittedModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, k = self.opt("key"), self.opt("components")
         cols = check_text_columns(dataset, self.opt("text_columns"))
-        n_texts = dataset.count()
         for c in cols:
             counts = dataset.select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
             weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gable.operators.relational import representatives
 from gable.operators.spread import exact_quantiles, hash_number, lookup_join, rank_by_hash
+from gable.runtime import written
 
 LOW_CONFIDENCE = "< 0.5"
 
@@ -39,13 +40,12 @@ def interval_by_key(
     """
     lo, hi = (1 - pred_interval) / 2, pred_interval + (1 - pred_interval) / 2
     rows = comparables.withColumn("_e", relative_error(y, pred))
-    counted = [F.count(F.lit(1)).alias("n_comparables")]
     if frac == 1.0 and max_sample_sz is None:
-        out = exact_quantiles(rows.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key], counted)
+        out = exact_quantiles(rows.select(key, "_e"), {"lo": ("_e", lo), "hi": ("_e", hi)}, [key], size_col="n_comparables")
     else:
         if unit is None:
             raise ValueError("sampling needs the unit column")
-        sizes = rows.groupBy(key).agg(*counted)
+        sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_comparables"))
         share = F.round(F.col("n_comparables") * frac).cast("int")
         draws = F.least(share, F.lit(max_sample_sz)) if max_sample_sz else share
         picks = sizes.filter(draws > 0).select(
@@ -153,6 +153,7 @@ def batch_confidence(
         raise ValueError("bounds must be 'relative' or 'absolute'")
     errors = interval_by_key(comparables, key, y, pred, **interval)
     if bounds == "absolute":
+        units = written(units)
         chosen = representatives(units.select(key, unit, F.col(pred).alias("_of")), [key], unit, seed)
         fixed = chosen.join(errors, key)
         value = F.col("_of")

@@ -14,9 +14,10 @@ BOUNDED = {
     "column_modes": "one row per column",
     "learn": "top_n categories per column",
     "class_sizes": "one row per class",
-    "knn_join": "pivots and cells",
+    "cell_counts": "one row per cell of a space partition, whose number follows the rows",
+    "grow": "the new nodes of a space partition",
+    "_searched": "crowded cells",
     "_fit": "one row per class",
-    "_search_space": "levels of a categorical column",
     "fit_resample": "classes x clusters",
 }
 

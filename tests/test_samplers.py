@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gable.operators import samplers as S
 from gable.operators import splits
+from gable.operators import kdtree
 from gable.operators.knn import knn_join
 
 
@@ -21,7 +22,7 @@ def clustered(n, seed=0):
     return {i: [float(v) for v in centres[i % 5] + rng.normal(size=3)] for i in range(n)}
 
 
-@pytest.mark.parametrize("options", [{}, {"chunk_rows": 40, "rows_per_pivot": 20}, {"chunk_rows": 7, "rows_per_pivot": 400}])
+@pytest.mark.parametrize("options", [{}, {"chunk_rows": 40, "cell_rows": 20}, {"chunk_rows": 7, "cell_rows": 400}])
 def test_knn_join_is_exact(spark, options):
     t, q = clustered(400), {1000 + i: x for i, x in clustered(60, 1).items()}
     t.update({400 + i: t[0] for i in range(50)})  # a hot spot of identical rows
@@ -36,7 +37,7 @@ def test_knn_join_is_exact(spark, options):
 def test_knn_join_excludes_the_row_itself(spark):
     t = clustered(150)
     df = spark.createDataFrame([(i, x) for i, x in t.items()], "id long, v array<double>")
-    rows = knn_join(df, df, 3, "id", "id", "v", exclude_self=True, chunk_rows=30, rows_per_pivot=20).orderBy("id", "nn").collect()
+    rows = knn_join(df, df, 3, "id", "id", "v", exclude_self=True, chunk_rows=30, cell_rows=20).orderBy("id", "nn").collect()
     got = {}
     for r in rows:
         got.setdefault(r["id"], []).append(r["neighbour"])
@@ -148,3 +149,32 @@ def test_splits(spark):
         with pytest.raises(ValueError):
             call()
     assert splits.training_validation_split(df, "id", train_size=0.9).filter("split = 'test'").count() == 11
+
+
+def test_tree_cells_hold_few_rows_and_every_near_cell_is_found():
+    rng = np.random.default_rng(3)
+    x = np.concatenate((rng.normal(size=(3000, 3)) ** 3, np.repeat([[1.0, 2.0, 3.0]], 500, axis=0)))
+    tree = kdtree.Tree()
+    tree.extend(0, kdtree.grown(x, len(x), 50))
+    cell = tree.place(x)
+    sizes = dict(zip(*np.unique(cell, return_counts=True)))
+    assert sorted(n for n in sizes.values())[-2] <= 50  # but for the equal rows
+    q, limit = rng.normal(size=(40, 3)) * 2, rng.uniform(0, 3, 40)
+    row, near = tree.within(q, limit)
+    found = set(zip(row.tolist(), near.tolist()))
+    distance = np.sqrt(((q[:, None] - x[None]) ** 2).sum(axis=2))
+    assert {(i, int(cell[j])) for i, j in zip(*np.nonzero(distance <= limit[:, None]))} <= found
+    homes = tree.homes(sizes, 120)
+    assert all(c in homes[c] and sum(sizes[x] for x in homes[c]) >= 120 for c in sizes)
+
+
+def test_codes_that_differ_add_to_the_distance(spark):
+    rng = np.random.default_rng(4)
+    data = [(i, [float(rng.integers(0, 9)) / 2, float(rng.normal())], [int(rng.integers(0, 3)), int(rng.integers(0, 2))]) for i in range(300)]
+    df = spark.createDataFrame(data, "id long, v array<double>, c array<long>")
+    got = {}
+    for r in knn_join(df, df, 4, "id", "id", "v", exclude_self=True, cell_rows=25, codes="c", mismatch=0.3).orderBy("id", "nn").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    for i, v, c in data[::7]:
+        far = lambda j: np.sqrt(np.square(np.subtract(v, data[j][1])).sum() + 0.3 * sum(a != b for a, b in zip(c, data[j][2])))
+        assert got[i] == sorted((j for j in range(300) if j != i), key=lambda j: (far(j), j))[:4]
