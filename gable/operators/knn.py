@@ -22,7 +22,7 @@ from gable.operators.stages import FittedModel, FittedStage, with_state
 from gable.runtime import written
 
 #: Rows of a cell, and of a chunk of queries or of a cell that cannot be halved.
-CELL_ROWS, CHUNK_ROWS = 2_000, 20_000
+CELL_ROWS, CHUNK_ROWS = 4_000, 20_000
 _BLOCK_CELLS = 2_000_000
 
 
@@ -34,12 +34,15 @@ def nearest_rows(a: np.ndarray, b: np.ndarray, k: int, a_codes, b_codes, mismatc
     """(query, row, distance) of the k nearest rows of b for each of a, ties to the earlier row; where ids are given,
     equal ids are left out."""
     out = []
-    step = max(1, _BLOCK_CELLS // max(1, b.size))
+    step = max(1, _BLOCK_CELLS // max(1, len(b)))
     for i in range(0, len(a), step):
-        gap = a[i : i + step, None, :] - b[None, :, :]
-        square = np.einsum("qtd,qtd->qt", gap, gap)
+        square = np.zeros((len(a[i : i + step]), len(b)))
+        for x, y in zip(a[i : i + step].T, b.T):
+            gap = x[:, None] - y
+            square += gap * gap
         if a_codes.size:
-            square += mismatch * (a_codes[i : i + step, None, :] != b_codes[None, :, :]).sum(axis=2)
+            differ = sum((x[:, None] != y).astype(np.int64) for x, y in zip(a_codes[i : i + step].T, b_codes.T))
+            square += mismatch * differ
         if a_ids is not None:
             square[a_ids[i : i + step, None] == b_ids[None, :]] = np.inf
         distance = np.sqrt(square)

@@ -6,8 +6,10 @@ import warnings
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gable.functions.domain import clean_text
@@ -59,7 +61,9 @@ def add_text_stats(df: DataFrame, cols: Sequence[str], keep: bool = False) -> Da
 
 def polarity(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """Mean lexicon score of the words of each text that the lexicon (word, score) knows; 0 without any."""
-    counts = df.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
+    # Splitting into words costs more than moving a text: it is dealt out, however few files hold the texts.
+    texts = df.select(key, text).repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+    counts = texts.select(key, F.explode(words(text)).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
     known = lookup_join(written(counts), lexicon.select("word", "score"), ["word"], "inner")
     sums = known.groupBy(key).agg((F.sum(F.col("score") * F.col("_n")) / F.sum("_n")).alias("polarity"))
     return df.select(key).join(sums, key, "left").withColumn("polarity", F.coalesce("polarity", F.lit(0.0)))
@@ -80,8 +84,9 @@ class LSAModel(FittedModel):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, k = self.opt("key"), self.opt("components")
         cols = check_text_columns(dataset, self.opt("text_columns"))
+        tasks = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         for c in cols:
-            counts = dataset.select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
+            counts = dataset.select(key, c).repartition(tasks, key).select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
             weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df")
             w = F.col("_tf") * F.col("idf")
             norm = F.sqrt(F.sum(w * w))
@@ -118,29 +123,137 @@ def _terms_of(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def _small_gram(df: DataFrame, cols: list[str]) -> np.ndarray:
-    """cols' * cols over all rows: one row of sums on the driver."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    gram = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
-    return gram
+#: Texts of a chunk and terms of a block: a dense piece of either side has so many rows of the subspace's width. The terms' side
+#: is sent to every chunk, so chunks must not be small.
+CHUNK_TEXTS, BLOCK_TERMS = 4_096, 1 << 16
+#: Tasks that share a block of frequent terms.
+BLOCK_SALTS = 16
 
 
-def _rotate(df: DataFrame, cols: list[str], by: np.ndarray, keep: list[str]) -> DataFrame:
-    """Replace ``cols`` by their products with the columns of a small matrix."""
-    made = [
-        F.expr(" + ".join(f"{c} * {float(w)!r}D" for c, w in zip(cols, by[:, k]))).alias(f"v{k}") for k in range(by.shape[1])
-    ]
-    return df.select(*keep, *made)
+def _flat(column: pa.Array, width: int) -> list[np.ndarray]:
+    return [np.frombuffer(x).reshape(-1, width) for x in column.to_pylist()]
+
+
+def _summed(pieces: DataFrame, by: str) -> DataFrame:
+    """Sums of dense pieces ``m`` of one size."""
+
+    def run(of: pd.DataFrame) -> pd.DataFrame:
+        total = np.frombuffer(of["m"].iloc[0]).copy()
+        for m in of["m"].iloc[1:]:
+            total += np.frombuffer(m)
+        return pd.DataFrame({by: of[by].iloc[:1], "m": [total.tobytes()]})
+
+    return pieces.groupBy(by).applyInPandas(run, f"{by} int, m binary")
+
+
+def _started(rows: DataFrame) -> DataFrame:
+    """(block, x: a row of numbers per term) as dense pieces."""
+
+    def run(batches):
+        for batch in batches:
+            data = [np.asarray(x.values.flatten()).tobytes() for x in batch.column("x")]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(data, pa.binary())], ["block", "m"])
+
+    return rows.mapInArrow(run, "block int, m binary")
+
+
+def _packed(of: pd.DataFrame) -> pd.DataFrame:
+    """The pieces of one chunk's entries (doc, chunk, block, terms, t, w), with the weights of each text at unit length."""
+    _, d = np.unique(of["doc"].to_numpy(), return_inverse=True)
+    w, t, block = of["w"].to_numpy(), of["t"].to_numpy(np.int32), of["block"].to_numpy()
+    w = w / np.sqrt(np.bincount(d, w * w))[d]
+    order = np.argsort(block, kind="stable")
+    first = np.flatnonzero(np.diff(block[order], prepend=-1))
+    rows = []
+    for a, b in zip(first, np.append(first[1:], len(order))):
+        at = order[a:b]
+        numbers = (of["chunk"].iloc[0], block[at[0]], d.max() + 1, of["terms"].iloc[at[0]])
+        rows.append((*numbers, d[at].astype(np.int32).tobytes(), t[at].tobytes(), w[at].tobytes()))
+    return pd.DataFrame(rows, columns=["chunk", "block", "texts", "terms", "d", "t", "w"])
+
+
+def _pieces(batch: pa.RecordBatch, width: int, turn: np.ndarray | None = None):
+    """(place of the row, text numbers, term numbers, weights, dense side) of each piece."""
+    dense = _flat(batch.column("m"), width)
+    d, t, w = (batch.column(c).to_pylist() for c in ("d", "t", "w"))
+    for i, side in enumerate(dense):
+        side = side if turn is None else side @ turn
+        yield i, np.frombuffer(d[i], np.int32), np.frombuffer(t[i], np.int32), np.frombuffer(w[i]), side
+
+
+class _Sparse:
+    """Texts by terms as packed pieces: chunk, block, and the entries' text numbers, term numbers and weights (d, t, w).
+
+    ``texts`` and ``terms`` tell how many rows a chunk and a block have. Dense sides are tables (chunk or block, m), m the
+    doubles of rows by width.
+    """
+
+    def __init__(self, pieces: DataFrame, width: int) -> None:
+        self.pieces, self.width = pieces, width
+
+    def texts_side(self, terms_side: DataFrame, turn: np.ndarray) -> DataFrame:
+        """The product with the terms' side, after that is multiplied by a small matrix: a table (chunk, m)."""
+        width = self.width
+
+        def run(batches):
+            for batch in batches:
+                out = []
+                sizes = batch.column("texts").to_pylist()
+                for i, d, t, w, v in _pieces(batch, width, turn):
+                    y = v[t] * w[:, None]
+                    out.append(np.stack([np.bincount(d, y[:, j], sizes[i]) for j in range(width)], 1).tobytes())
+                yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(out, pa.binary())], ["chunk", "m"])
+
+        pieces = self.pieces.join(terms_side, "block").select("chunk", "texts", "d", "t", "w", "m")
+        return _summed(pieces.mapInArrow(run, "chunk int, m binary"), "chunk")
+
+    def terms_side(self, texts_side: DataFrame) -> DataFrame:
+        """The transposed product: a table (block, m). A block's pieces are added in a few tasks before they meet."""
+        width = self.width
+
+        def run(batches):
+            block, total = None, None
+            made = lambda: pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "m"])
+            for batch in batches:
+                blocks, sizes = batch.column("block").to_pylist(), batch.column("terms").to_pylist()
+                for i, d, t, w, y in _pieces(batch, width):
+                    if blocks[i] != block:
+                        if total is not None:
+                            yield made()
+                        block, total = blocks[i], np.zeros((sizes[i], width))
+                    x = y[d] * w[:, None]
+                    total += np.stack([np.bincount(t, x[:, j], len(total)) for j in range(width)], 1)
+            if total is not None:
+                yield made()
+
+        pieces = self.pieces.join(texts_side, "chunk").select("block", "terms", "d", "t", "w", "m", (F.col("chunk") % BLOCK_SALTS).alias("salt"))
+        dealt = pieces.repartition("block", "salt").sortWithinPartitions("block")
+        return written(_summed(dealt.mapInArrow(run, "block int, m binary"), "block"))
+
+
+def _gram(side: DataFrame, width: int) -> np.ndarray:
+    """m' m over all pieces of a dense side: a small matrix per task reaches the driver."""
+
+    def run(batches):
+        total = np.zeros((width, width))
+        for batch in batches:
+            for m in _flat(batch.column("m"), width):
+                total += m.T @ m
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], ["cell", "x"])
+
+    found = side.select("m").mapInArrow(run, "cell long, x double").groupBy("cell").agg(F.sum("x")).collect()
+    out = np.zeros(width * width)
+    for cell, x in found:
+        out[cell] = x
+    return out.reshape(width, width)
 
 
 class LSA(FittedStage):
     """TF-IDF (smooth idf plus one, unit length) of all text columns as one corpus, cut to two singular directions.
 
-    Randomised subspace iteration on the (text, term, weight) table: terms and texts stay distributed, and only
-    matrices of the width of the subspace reach the driver.
+    Randomised subspace iteration. Texts and terms are numbered inside chunks and blocks, and their weights packed by (chunk,
+    block); a product joins these pieces with the dense pieces of the other side, so neither side is ever whole in a task,
+    and only matrices of the width of the subspace reach the driver.
     """
 
     DEFAULTS = _LSA
@@ -152,44 +265,57 @@ class LSA(FittedStage):
         texts = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_text")) for c in cols])
         corpus = dataset.select(F.col(self.opt("key")).cast("string").alias("_key"), F.inline(texts))
         corpus = corpus.withColumn("_doc", F.concat_ws("|", "_c", "_key"))
-        counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(
-            F.count(F.lit(1)).alias("_tf")
-        ).transform(written)
+        # Splitting into words costs more than moving a text: it is dealt out, however few files hold the texts.
+        tasks = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        corpus = corpus.repartition(tasks, "_doc")
+        counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(F.count(F.lit(1)).alias("_tf"))
+        counts = counts.transform(written)
         n_texts = dataset.count() * len(cols)
         idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
-        # Whole-number ids make the joins of every iteration cheap; the checkpoints fix them.
-        number = F.monotonically_increasing_id()
-        terms = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(number.alias("term_id"), "term", "df", idf.alias("idf"))
-        terms = terms.transform(written)
-        weighted = lookup_join(counts, terms, ["term"], "inner", weight="df")
-        weighted = weighted.select("_doc", "term_id", (F.col("_tf") * F.col("idf")).alias("_w"))
-        norms = weighted.groupBy("_doc").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-        norms = norms.withColumn("doc_id", number).transform(written)
-        entries = weighted.join(norms, "_doc").select("doc_id", "term_id", (F.col("_w") / F.col("_norm")).alias("_w")).transform(written)
-        ids = terms.select("term_id", "df")
-
-        names = [f"v{i}" for i in range(width)]
+        found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).transform(written)
+        if found.isEmpty():
+            empty = found.withColumn("idf", F.lit(0.0)).withColumns({f"v{i}": F.lit(0.0) for i in range(k)})
+            return LSAModel(terms=empty, **self.options(), state={"singular_values": [0.0] * k})
+        number = lambda of, pieces: F.pmod(F.xxhash64(of), F.lit(pieces)).cast("int")
+        terms = found.withColumns({"idf": idf, "block": number("term", -(-found.count() // BLOCK_TERMS))})
+        at = Window.partitionBy("block")
+        terms = terms.withColumns({"t": F.row_number().over(at.orderBy("term")) - 1, "terms": F.count(F.lit(1)).over(at).cast("int")}).transform(written)
+
+        chunk = number("_doc", -(-n_texts // CHUNK_TEXTS))
+        entries = lookup_join(counts, terms.select("term", "df", "idf", "block", "terms", "t"), ["term"], "inner", weight="df")
+        weight = (F.col("_tf") * F.col("idf")).alias("w")
+        entries = entries.select(F.xxhash64("_doc").alias("doc"), chunk.alias("chunk"), "block", "terms", "t", weight)
+        kind = "chunk int, block int, texts int, terms int, d binary, t binary, w binary"
+        sparse = _Sparse(written(entries.groupBy("chunk").applyInPandas(_packed, kind).repartition(tasks, "block")), width)
+
         # A start that depends on the term only, so every run begins the same way.
-        start = [(F.xxhash64(F.col("term"), F.lit(i)) / F.lit(2.0**63)).alias(f"v{i}") for i in range(width)]
-        basis = terms.select("term_id", "df", *start)
+        start = F.array(*[F.xxhash64(F.col("term"), F.lit(i)) / F.lit(2.0**63) for i in range(width)])
+        rows = F.sort_array(F.collect_list(F.struct("t", start.alias("x"))))
+        basis = _started(terms.groupBy("block").agg(F.transform(rows, lambda r: r["x"]).alias("x"))).transform(written)
         for step in range(self.opt("iterations") + 1):
-            gram = _small_gram(basis, names)
-            values, vectors = np.linalg.eigh(gram)
+            values, vectors = np.linalg.eigh(_gram(basis, width))
             values = np.where(values > values.max() * 1e-14, values, np.inf)
-            basis = _rotate(basis, names, vectors / np.sqrt(values), ["term_id", "df"])
-            joined = lookup_join(entries, basis, ["term_id"], "inner", weight="df")
-            texts_side = joined.groupBy("doc_id").agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
-            if step == self.opt("iterations"):
-                break
-            back = entries.join(texts_side, "doc_id").groupBy("term_id")
-            back = back.agg(*[F.sum(F.col("_w") * F.col(v)).alias(v) for v in names])
-            basis = ids.join(back, "term_id").select("term_id", "df", *names).transform(written)
-        values, vectors = np.linalg.eigh(_small_gram(texts_side, names))
-        found = _rotate(basis, names, vectors[:, ::-1][:, :k], ["term_id"])
+            turn = vectors / np.sqrt(values)
+            # Read once inside the loop; the last one is read by its Gram matrix alone.
+            texts_side = sparse.texts_side(basis, turn)
+            if step < self.opt("iterations"):
+                basis = sparse.terms_side(texts_side)
+        values, vectors = np.linalg.eigh(_gram(texts_side, width))
+        turn = turn @ vectors[:, ::-1][:, :k]
+
+        def unpacked(batches):
+            for batch in batches:
+                for block, m in zip(batch.column("block").to_pylist(), _flat(batch.column("m"), width)):
+                    v = (m @ turn).T
+                    columns = [pa.array(np.full(v.shape[1], block, np.int32)), pa.array(np.arange(v.shape[1], dtype=np.int32)), *map(pa.array, v)]
+                    yield pa.RecordBatch.from_arrays(columns, ["block", "t", *[f"v{i}" for i in range(k)]])
+
+        found = basis.mapInArrow(unpacked, "block int, t int, " + ", ".join(f"v{i} double" for i in range(k)))
+        found = terms.join(found, ["block", "t"]).transform(written)
         # The free sign: the largest loading of a direction is positive.
         heads = found.agg(*[F.max_by(f"v{i}", F.abs(f"v{i}")).alias(f"v{i}") for i in range(k)]).first()
         signed = [(F.col(f"v{i}") * (1.0 if (heads[f"v{i}"] or 0) >= 0 else -1.0)).alias(f"v{i}") for i in range(k)]
-        terms = terms.join(found.select("term_id", *signed), "term_id").drop("term_id").transform(written)
+        terms = found.select("term", "df", "idf", *signed).transform(written)
         strength = np.sqrt(values[::-1][:k].clip(min=0)).tolist()
         return LSAModel(terms=terms, **self.options(), state={"singular_values": strength})
 

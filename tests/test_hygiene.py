@@ -14,6 +14,7 @@ BOUNDED = {
     "column_modes": "one row per column",
     "learn": "top_n categories per column",
     "class_sizes": "one row per class",
+    "_gram": "the cells of a matrix of the subspace's width",
     "cell_counts": "one row per cell of a space partition, whose number follows the rows",
     "grow": "the new nodes of a space partition",
     "_searched": "crowded cells",
