@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from gable.functions import domain as D
 from gable.operators.spread import exact_quantiles, lookup_join
+from gable.operators.stages import FittedModel, FittedStage, WithTable, one_of, with_state
+from gable.runtime import written
 
 OPS = ("mean", "std", "min", "median", "max")
 
@@ -116,3 +118,40 @@ def neighbourhood_stats(
     return inside.groupBy(lat, lon).agg(
         F.sum("_n").alias("n_nearby"), F.try_divide(F.sum("_sum"), F.sum("_k")).alias("mean_nearby")
     )
+
+
+_COMPARABLES = {"keys": [], "features": [], "price": None, "ops": list(OPS)}
+
+
+class ComparablesModel(WithTable, FittedModel):
+    """Joins the lookup of the training rows and turns feature aggregates into differences."""
+
+    DEFAULTS = with_state(_COMPARABLES)
+
+    def __init__(self, table: DataFrame | None = None, **options):
+        super().__init__(**options)
+        self.table = table
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return comparables_features(dataset, self.table, self.opt("keys"), self.opt("features"), self.opt("ops"))
+
+    def provenance(self):
+        return {c: [f"{c}_minus_{op}" for op in self.opt("ops")] for c in self.opt("features")}
+
+
+class Comparables(FittedStage):
+    """Aggregates of the training rows per key as features: what a unit has above its group, and the group's prices.
+
+    The lookup stays a distributed table. Units of a key that training has not seen get nulls.
+    """
+
+    DEFAULTS = _COMPARABLES
+    MODEL = ComparablesModel
+
+    def __init__(self, **options):
+        super().__init__(**options)
+        one_of(self, ops=OPS)
+
+    def _fit(self, dataset: DataFrame) -> ComparablesModel:
+        lookup = build_lookup(dataset, self.opt("keys"), self.opt("features"), self.opt("price"), self.opt("ops"))
+        return ComparablesModel(table=written(lookup), **self.options(), state={"fitted": True})

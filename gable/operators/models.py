@@ -22,7 +22,7 @@ from gable.operators.metrics import column_name, get_metric, regression_scores
 from gable.operators.profile import literal_rows
 from gable.operators.select import importance_table
 from gable.operators.splits import k_fold
-from gable.operators.stages import FittedModel, FittedStage, with_state
+from gable.operators.stages import FittedModel, FittedStage, WithParts, one_of, with_state
 from gable.operators.timeseries import DelayedFeatureTransformer, shifted
 
 # ---- fixed values: default settings of the valuation models ------------------------------------------------
@@ -118,76 +118,89 @@ def last_value_baseline(
 
 
 # ---- blending and stacking ----------------------------------------------------------------------------------------
-class Blend:
+_BLEND = {"names": [], "key": None}
+
+
+class BlendModel(WithParts, FittedModel):
+    """The fitted base models and, last of its parts, the fitted final model."""
+
+    DEFAULTS = with_state(_BLEND)
+
+    def __init__(self, parts: Sequence[Model] = (), **options):
+        super().__init__(**options)
+        self.parts = list(parts)
+
+    def n_parts(self) -> int:
+        return len(self.opt("names")) + 1
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.parts[-1].transform(_apply_all(dataset, self.parts[:-1]))
+        return out.drop(*[c for c in out.columns if c.startswith("_") and c.endswith("_features")])
+
+
+class Blend(WithParts, FittedStage):
     """Base models whose predictions, as columns named after them, feed a final model.
 
     ``in_sample`` trains the final model on predictions for the rows the base models were fitted on;
-    ``out_of_fold`` on predictions by models that did not see the row (k folds by key).
+    ``out_of_fold`` on predictions by models that did not see the row (k folds by key). A stage like any other: it can stand
+    in a pipeline, be searched, saved and loaded, before and after it is fitted.
     """
 
-    def __init__(
-        self, bases: dict[str, object], final, key: str, mode: str = "in_sample", folds: int = STACKING_FOLDS,
-        seed: int = 0, parallelism: int = 3,
-    ):
-        if not bases:
+    DEFAULTS = _BLEND | {"mode": "in_sample", "folds": STACKING_FOLDS, "seed": 0, "parallelism": 3}
+
+    def __init__(self, bases: dict[str, Estimator] | None = None, final: Estimator | None = None, key: str | None = None, mode: str = "in_sample", **options):
+        if bases is not None and not bases:
             raise ValueError("a blend needs at least one base model")
-        if mode not in ("in_sample", "out_of_fold"):
-            raise ValueError("mode must be 'in_sample' or 'out_of_fold'")
+        bases = bases or {}
         if any(isinstance(b, (MeanBaseline, Blend)) for b in bases.values()):
             raise ValueError("baselines and stacked models cannot be stacked")
-        self.bases, self.final, self.key, self.mode = bases, final, key, mode
-        self.folds, self.seed, self.parallelism = folds, seed, parallelism
+        super().__init__(names=list(bases), key=key, mode=mode, **options)
+        one_of(self, mode=("in_sample", "out_of_fold"))
+        self.parts = [*bases.values(), final]
+
+    def n_parts(self) -> int:
+        return len(self.opt("names")) + 1
 
-    def fit(self, df: DataFrame) -> BlendModel:
-        kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    def _fit(self, dataset: DataFrame) -> BlendModel:
+        kept = dataset.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            meta = self.out_of_fold(kept) if self.mode == "out_of_fold" else None
-            with ThreadPoolExecutor(self.parallelism) as pool:
-                fitted = dict(zip(self.bases, pool.map(lambda b: b.fit(kept), self.bases.values())))
-            if meta is None:
-                meta = _apply_all(kept, fitted, self.key)
-            return BlendModel(fitted, fit_cached(self.final, meta), self.key)
+            meta = self.out_of_fold(kept) if self.opt("mode") == "out_of_fold" else None
+            with ThreadPoolExecutor(self.opt("parallelism")) as pool:
+                fitted = list(pool.map(lambda b: b.fit(kept), self.parts[:-1]))
+            final = fit_cached(self.parts[-1], _apply_all(kept, fitted) if meta is None else meta)
+            return BlendModel([*fitted, final], names=self.opt("names"), key=self.opt("key"), state={"fitted": True})
         finally:
             kept.unpersist()
 
     def out_of_fold(self, df: DataFrame) -> DataFrame:
         """Every row once, with base predictions by models fitted on the other folds."""
-        folded = k_fold(df, self.key, self.folds, seed=self.seed)
+        folded = k_fold(df, self.opt("key"), self.opt("folds"), seed=self.opt("seed"))
 
         def one(i: int) -> DataFrame:
             train, held = folded.filter(F.col("fold") != i), folded.filter(F.col("fold") == i)
             train = train.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                return _apply_all(held, {n: b.fit(train) for n, b in self.bases.items()}, self.key)
+                return _apply_all(held, [b.fit(train) for b in self.parts[:-1]])
             finally:
                 train.unpersist()
 
-        with ThreadPoolExecutor(self.parallelism) as pool:
-            return reduce(DataFrame.unionByName, pool.map(one, range(self.folds))).drop("fold")
+        with ThreadPoolExecutor(self.opt("parallelism")) as pool:
+            return reduce(DataFrame.unionByName, pool.map(one, range(self.opt("folds")))).drop("fold")
 
 
-def _apply_all(df: DataFrame, fitted: dict[str, Model], key: str) -> DataFrame:
+def _apply_all(df: DataFrame, fitted: Sequence[Model]) -> DataFrame:
     """Add every model's prediction column in place, so that nothing is aligned by position."""
-    for model in fitted.values():
+    for model in fitted:
         df = model.transform(df)
     return df.drop(*[c for c in df.columns if c.startswith("_") and c.endswith("_features")])
 
 
-class BlendModel:
-    def __init__(self, fitted: dict[str, Model], final: Model, key: str):
-        self.fitted, self.final, self.key = fitted, final, key
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = self.final.transform(_apply_all(df, self.fitted, self.key))
-        return out.drop(*[c for c in out.columns if c.startswith("_") and c.endswith("_features")])
-
-
 def stacked_regressor(
     bases: dict[str, object], label: str, key: str, final=None, prediction: str = "stacked", folds: int = STACKING_FOLDS, seed: int = 0
 ) -> Blend:
     """Out-of-fold stacking with a linear final model unless another is given."""
     final = final or linear_regressor(list(bases), label, prediction)
-    return Blend(bases, final, key, "out_of_fold", folds, seed)
+    return Blend(bases, final, key, "out_of_fold", folds=folds, seed=seed)
 
 
 # ---- importance and prediction tables ---------------------------------------------------------------------------------
@@ -271,36 +284,52 @@ def search(
 
 
 # ---- time series -------------------------------------------------------------------------------------------------------------
-class TimeSeriesRegressor:
-    """Delayed features at a row predict the target ``gap`` rows later.
+_SERIES = {"order": [], "target": None, "features": [], "series": [], "gap": 1, "max_delay": 2}
 
-    Fit drops rows that lack a delay or a future target; predict returns every row, null where it has no features.
-    """
 
-    def __init__(
-        self, make_estimator, order: Sequence[str], target: str, features: Sequence[str] = (), series: Sequence[str] = (),
-        gap: int = 1, max_delay: int = 2,
-    ):
-        self.make_estimator = make_estimator
-        self.order, self.target, self.features, self.series = list(order), target, list(features), list(series)
-        self.gap, self.max_delay = gap, max_delay
-        self.delays = DelayedFeatureTransformer(
-            order=self.order, series=self.series, features=self.features, target=target, gap=gap, max_delay=max_delay,
-        )
+class _Delayed(WithParts):
+    """Delayed features by the stage's options; its one part works on them."""
+
+    def n_parts(self) -> int:
+        return 1
 
-    def design(self, df: DataFrame) -> DataFrame:
-        return self.delays.transform(df)
+    @property
+    def delays(self) -> DelayedFeatureTransformer:
+        return DelayedFeatureTransformer(**{n: self.opt(n) for n in _SERIES})
 
     def input_columns(self) -> list[str]:
         return list(self.delays.shifts())
 
-    def fit(self, df: DataFrame) -> TimeSeriesRegressor:
-        rows = shifted(self.design(df), self.order, {"_future": (self.target, -self.gap)}, self.series)
-        self.model = self.make_estimator(self.input_columns(), "_future").fit(rows.na.drop(subset=[*self.input_columns(), "_future"]))
-        return self
 
-    def transform(self, df: DataFrame) -> DataFrame:
+class TimeSeriesModel(_Delayed, FittedModel):
+    DEFAULTS = with_state(_SERIES)
+
+    def __init__(self, parts: Sequence[Model] = (), **options):
+        super().__init__(**options)
+        self.parts = list(parts)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
         known: Column = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in self.input_columns()])
-        out = self.model.transform(self.design(df))
+        out = self.parts[0].transform(self.delays.transform(dataset))
         # A row with a missing delay has a NaN in its assembled vector.
-        return out.withColumn("prediction", F.when(known, F.col("prediction"))).select(*df.columns, "prediction")
+        return out.withColumn("prediction", F.when(known, F.col("prediction"))).select(*dataset.columns, "prediction")
+
+
+class TimeSeriesRegressor(_Delayed, FittedStage):
+    """Delayed features at a row predict the target ``gap`` rows later.
+
+    Fit drops rows that lack a delay or a future target; the model returns every row, null where it has no features.
+    ``make_estimator(inputs, label)`` gives the regressor; both stages save and load with it.
+    """
+
+    DEFAULTS = _SERIES
+
+    def __init__(self, make_estimator=None, order: Sequence[str] = (), target: str | None = None, **options):
+        super().__init__(order=list(order), target=target, **options)
+        self.parts = [make_estimator(self.input_columns(), "_future")] if make_estimator else []
+
+    def _fit(self, dataset: DataFrame) -> TimeSeriesModel:
+        future = {"_future": (self.opt("target"), -self.opt("gap"))}
+        rows = shifted(self.delays.transform(dataset), self.opt("order"), future, self.opt("series"))
+        model = self.parts[0].fit(rows.na.drop(subset=[*self.input_columns(), "_future"]))
+        return TimeSeriesModel([model], **self.options(), state={"fitted": True})

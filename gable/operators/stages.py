@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -62,6 +62,67 @@ class FittedStage(Options, Estimator):
         return self.MODEL(**self.options(), state=self.learn(dataset))
 
 
+class _PartsWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for i, part in enumerate(self.instance.parts):
+            part.write().save(f"{path}/parts/{i}")
+
+
+class _PartsReader(DefaultParamsReader):
+    def load(self, path: str):
+        found = super().load(path)
+        found.parts = [DefaultParamsReader.loadParamsInstance(f"{path}/parts/{i}", self.sparkSession) for i in range(found.n_parts())]
+        return found
+
+
+class WithParts:
+    """Stages inside a stage: ``parts`` are saved below it, loaded, and copied with it. ``n_parts`` tells their number from the options."""
+
+    parts: list = []
+
+    def n_parts(self) -> int:
+        raise NotImplementedError
+
+    def copy(self, extra=None):
+        that = super().copy(extra)
+        that.parts = [part.copy(extra) for part in self.parts]
+        return that
+
+    def write(self) -> DefaultParamsWriter:
+        return _PartsWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _PartsReader(cls)
+
+
+class _TableWriter(DefaultParamsWriter):
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.instance.table.write.parquet(f"{path}/table")
+
+
+class _TableReader(DefaultParamsReader):
+    def load(self, path: str):
+        found = super().load(path)
+        found.table = self.sparkSession.read.parquet(f"{path}/table")
+        return found
+
+
+class WithTable:
+    """A fitted stage whose state is a distributed ``table``, saved as parquet next to its options."""
+
+    table: DataFrame | None = None
+
+    def write(self) -> DefaultParamsWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _TableReader(cls)
+
+
 def one_of(stage, **allowed) -> None:
     """Check options of a stage (or any dict of options) against the values they may take."""
     for option, values in allowed.items():

@@ -147,6 +147,25 @@ def ts_regression(spark, sf_dir):
     return out.select("event_id", F.round("prediction", 5).alias("prediction"))
 
 
+@query(
+    "ts_regression_delays",
+    "H9 A12",
+    """WITH f AS (SELECT event_id, value AS a, lag(value) OVER w AS b, lead(value) OVER w AS y FROM events
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    c AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay,
+      covar_pop(b, y) AS byy FROM f WHERE a IS NOT NULL AND b IS NOT NULL AND y IS NOT NULL),
+    m AS (SELECT (ay * bb - byy * ab) / (aa * bb - ab * ab) AS p, (byy * aa - ay * ab) / (aa * bb - ab * ab) AS q, ma, mb, my FROM c)
+    SELECT event_id, round(my + p * (a - ma) + q * (b - mb), 5) AS prediction FROM f, m""",
+)
+def ts_regression_delays(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    model = M.TimeSeriesRegressor(M.linear_regressor, ["ts", "event_id"], "value", series=["user_id"], gap=1, max_delay=1).fit(rows)
+    path = scratch_path(spark, "series")
+    model.write().save(path)
+    out = M.TimeSeriesModel.load(path).transform(rows)
+    return out.select("event_id", F.round("prediction", 5).alias("prediction"))
+
+
 @query(
     "knn_predict",
     "H3",

@@ -10,7 +10,7 @@ from gable.operators import prep as P
 from gable.operators import profile as S
 from gable.operators import relational as R
 from gable.plans.property_view import PROPERTY_SQL, UNITS_SQL, VALUED_SQL, property_rows, table, units, valued_units, with_sql
-from gable.plans.registry import query
+from gable.plans.registry import SQL, query
 from gable.runtime import scratch_path
 from gable.sources import readers, writers
 
@@ -69,6 +69,20 @@ def comparables_features(spark, sf_dir):
     return out.select("unit_indx", "POSTCODE", "property_type", "key", *minus, *prices, "density_count")
 
 
+@query("comparables_stage", "D20 A12 F1 F2 F3", SQL["comparables_features"])
+def comparables_stage(spark, sf_dir):
+    """The fitted stage after it was saved and loaded."""
+    rows = units(spark, sf_dir)
+    path = scratch_path(spark, "comparables")
+    C.Comparables(keys=KEYS, features=FEATURES, price="price_p").fit(rows).write().save(path)
+    model = C.ComparablesModel.load(path)
+    model.table = model.table.select(*KEYS, *[F.round(c, 4).alias(c) for c in model.table.columns if "__" in c], "density_count")
+    out = model.transform(rows)
+    minus = [F.round(f"{c}_minus_{op}", 4).alias(f"{c}_minus_{op}") for c in FEATURES for op in C.OPS]
+    out = R.rename(out, {"postcode": "POSTCODE"})
+    return out.select("unit_indx", "POSTCODE", "property_type", "key", *minus, *[f"price_p__{op}" for op in C.OPS], "density_count")
+
+
 _MERGED = ", ".join(f"round({c} - {c}__{op}, 4) AS {c}_minus_{c}__{op}" for c in FEATURES for op in C.OPS)
 
 

@@ -125,3 +125,38 @@ def test_knn_saves_and_loads_with_its_rows(spark, tmp_path):
     again = type(model).load(str(tmp_path / "knn"))
     rows = df.filter("id < 10")
     assert sorted(map(tuple, again.transform(rows).collect())) == sorted(map(tuple, model.transform(rows).collect()))
+
+
+def test_a_chain_of_comparables_and_blend_is_saved_and_loaded(homes, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from gable.operators.comparables import Comparables
+
+    train, test = parts(homes)
+    train, test = (df.withColumn("town", F.pmod("unit_indx", F.lit(7)).cast("string")) for df in (train, test))
+    columns = [*X, *[f"{X[0]}_minus_{op}" for op in ("mean", "median")], "price__mean"]
+    bases = {
+        "trees": M.tree_regressor(columns, "price", "trees", n_estimators=2, max_depth=2, learning_rate=0.5),
+        "near": M.knn_regressor(X, "price", "near"),
+        "linear": M.linear_regressor(columns, "price", "linear"),
+    }
+    blend = M.Blend(bases, M.linear_regressor(list(bases), "price", "avm"), "unit_indx", mode="out_of_fold", folds=2)
+    chain = Pipeline(stages=[Comparables(keys=["town"], features=X[:1], price="price", ops=["mean", "median"]), blend])
+    chain.write().save(str(tmp_path / "chain"))
+    fitted = Pipeline.load(str(tmp_path / "chain")).fit(train)
+    fitted.write().save(str(tmp_path / "fitted"))
+    again = PipelineModel.load(str(tmp_path / "fitted"))
+    score = lambda m: {r["unit_indx"]: r["avm"] for r in m.transform(test).collect()}
+    assert score(again) == score(fitted) and len(score(again)) == test.count()
+    copied = fitted.copy()
+    assert copied.stages[1].parts is not fitted.stages[1].parts and score(copied) == score(fitted)
+    with pytest.raises(ValueError):
+        Comparables(ops=["mode"])
+
+
+def test_a_time_series_regressor_is_saved_unfitted(spark, tmp_path):
+    df = spark.createDataFrame([(t, float(t % 5), float(3 * ((t - 1) % 5) + 1)) for t in range(60)], "t int, x double, y double")
+    stage = M.TimeSeriesRegressor(M.linear_regressor, ["t"], "y", features=["x"], gap=1, max_delay=2)
+    stage.write().save(str(tmp_path / "series"))
+    loaded = M.TimeSeriesRegressor.load(str(tmp_path / "series"))
+    assert loaded.fit(df).transform(df).orderBy("t").collect() == stage.fit(df).transform(df).orderBy("t").collect()
