@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gable.llm.rows import text_of
-from gable.runtime import scratch_path
+from gable.runtime import scratch_path, written
 
 KEYS = ("source", "lang", "tokenizer")
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -73,20 +73,26 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs and n_tokens."""
+        return self._summed(self._list("batches"))
+
+    def _summed(self, batches: list[str]) -> DataFrame:
+        """The latest snapshot with those of the batches that it does not hold."""
         snapshot, folded = self._folded()
-        paths = [f"{self.path}/batches/{b}" for b in self._list("batches") if b not in folded]
+        paths = [f"{self.path}/batches/{b}" for b in batches if b not in folded]
         paths += [f"{self.path}/snapshots/{snapshot}"] if snapshot else []
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
         summed = rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
         return summed.where("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> None:
-        """Fold all committed batches into a new snapshot. The list of ids is written first, the totals last."""
+        """Fold all committed batches into a new snapshot. The list of ids is written first, the totals last; batches that
+        are committed meanwhile are in neither."""
         latest, folded = self._folded()
-        ids = sorted({*folded, *self._list("batches")})
+        batches = self._list("batches")
+        ids = sorted({*folded, *batches})
         name = f"{int(latest or 0) + 1:08d}"
         self.spark.createDataFrame([(i,) for i in ids], "batch string").write.mode("overwrite").parquet(f"{self.path}/folded/{name}")
-        self.totals().write.mode("overwrite").parquet(f"{self.path}/snapshots/{name}")
+        self._summed(batches).write.mode("overwrite").parquet(f"{self.path}/snapshots/{name}")
 
 
 def replayed(docs: DataFrame) -> DataFrame:
@@ -106,7 +112,8 @@ def replayed(docs: DataFrame) -> DataFrame:
     )
     rows.write.parquet(f"{path}/counts")
     rows = spark.read.schema(rows.schema).parquet(f"{path}/counts")
-    kept = rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join can split a hot text.
+    kept = written(rows.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     copies = rows.join(kept.select("digest", "first"), "digest").where("doc_id > first")
     change = lambda df, kind, version, new, old=None: df.select(
         F.lit(kind).alias("kind"), "source", "lang", F.lit(version).alias("tokenizer"), F.col(new).alias("n_tokens"), (F.col(old) if old else F.lit(0)).alias("old_tokens")
