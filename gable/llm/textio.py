@@ -70,9 +70,19 @@ def _lower(text: bytes) -> bytes:
     return text.decode("utf-8", "surrogateescape").lower().encode("utf-8", "surrogateescape")
 
 
-def _same_length(text: bytes) -> bytes:
-    low = _lower(text)
-    return low if len(low) == len(text) else text.lower()
+def _in_place(text: bytes) -> bytes:
+    """In lower case, but for the characters whose length in bytes would change."""
+    out = []
+    for c in text.decode("utf-8", "surrogateescape"):
+        low = c.lower()
+        same = len(low.encode("utf-8", "surrogateescape")) == len(c.encode("utf-8", "surrogateescape"))
+        out.append(low if same else c)
+    return "".join(out).encode("utf-8", "surrogateescape")
+
+
+def _starts(data: bytes) -> np.ndarray:
+    """Which bytes begin a character."""
+    return (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
 
 
 @dataclass
@@ -94,13 +104,18 @@ class Chunk:
         return np.searchsorted(self.begins, positions, side="right") - 1
 
     def lowered(self) -> np.ndarray:
-        """The bytes in lower case. A text whose length in bytes would change has only its ASCII letters lowered."""
+        """The bytes in lower case, each character at its place: those whose length in bytes would change stay as they are."""
         whole = self.data.tobytes()
         low = _lower(whole)
-        if len(low) != len(whole):
-            low = b"".join(_same_length(whole[a : b + 1]) for a, b in zip(self.begins, self.ends))
+        # Changes that cancel each other out leave the length, but not the places.
+        if len(low) != len(whole) or not np.array_equal(_starts(low), _starts(whole)):
+            low = b"".join(t if len(t := _lower(x)) == len(x) and np.array_equal(_starts(t), _starts(x)) else _in_place(x) for x in self._texts(whole))
         return np.frombuffer(low, dtype=np.uint8)
 
+    def _texts(self, whole: bytes) -> list[bytes]:
+        """The texts, each with the newline behind it."""
+        return [whole[a : b + 1] for a, b in zip(self.begins, self.ends)]
+
     def count(self, flags: np.ndarray) -> np.ndarray:
         """True flags (one per byte) in each text."""
         total = np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))
