@@ -12,7 +12,6 @@ from pyspark.ml.base import Estimator, Model
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -263,24 +262,49 @@ def random_grid(space: dict, trials: int, seed: int = 0) -> list[dict]:
     return points
 
 
+def _held_out(df: DataFrame, key: str | None, train_ratio: float, seed: int) -> Column:
+    """Whether a row is held out: by the hash of its key, or of its plain columns, so partitioning does not matter."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant", "udt")]
+    parts = 1 << 20
+    return F.pmod(F.xxhash64(F.lit(seed), *([key] if key else plain)), F.lit(parts)) >= int(train_ratio * parts)
+
+
 def search(
     df: DataFrame, estimator: Estimator, points: list[dict], metric: str, label: str, prediction: str = "prediction",
-    train_ratio: float = 0.8, parallelism: int = 3, seed: int = 0,
+    train_ratio: float = 0.8, parallelism: int = 3, seed: int = 0, key: str | None = None, fold_col: str | None = None,
 ) -> tuple[Model, DataFrame]:
-    """Best model by a metric and the trials as (trial, parameters, metric), best first."""
+    """Best model by a metric and the trials as (trial, parameters, metric), best first.
+
+    A share of the rows is held out, chosen by the hash of ``key`` (or of all plain columns); ``fold_col`` names a column of
+    whole numbers from 0 instead, each of which is held out once, and the trial's metric is the mean. Both repeat under any
+    partitioning. The best point is fitted anew on all rows.
+    """
     evaluator = RegressionEvaluator(metric, label, prediction)
-    tuner = TrainValidationSplit(
-        estimator=estimator, estimatorParamMaps=points, evaluator=evaluator,
-        trainRatio=train_ratio, parallelism=parallelism, seed=seed,
-    )
-    fitted = tuner.fit(df)
+    fold = F.col(fold_col) if fold_col else F.when(_held_out(df, key, train_ratio, seed), 0).otherwise(1)
+    kept = df.withColumn("_fold", fold.cast("int")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        folds = range(kept.agg(F.max("_fold")).first()[0] + 1) if fold_col else [0]
+
+        def trial(point: dict) -> float:
+            scores = []
+            for i in folds:
+                model = estimator.fit(kept.filter(F.col("_fold") != i), point)
+                scores.append(evaluator.evaluate(model.transform(kept.filter(F.col("_fold") == i))))
+            return sum(scores) / len(scores)
+
+        with ThreadPoolExecutor(parallelism) as pool:
+            found = list(pool.map(trial, points))
+        pick = max if evaluator.isLargerBetter() else min
+        best = estimator.fit(kept, points[found.index(pick(found))])
+    finally:
+        kept.unpersist()
     rows = []
-    for i, (point, value) in enumerate(zip(points, fitted.validationMetrics)):
+    for i, (point, value) in enumerate(zip(points, found)):
         text = ", ".join(f"{p.name}={v}" for p, v in sorted(point.items(), key=lambda kv: kv[0].name))
         rows.append((i, text, float(value)))
     trials = literal_rows(df.sparkSession, rows, ["trial", "parameters", "metric"])
     best_first = F.desc("metric") if evaluator.isLargerBetter() else F.asc("metric")
-    return fitted.bestModel, trials.orderBy(best_first, "trial")
+    return best, trials.orderBy(best_first, "trial")
 
 
 # ---- time series -------------------------------------------------------------------------------------------------------------

@@ -245,7 +245,7 @@ def search_best(spark, sf_dir):
     forest = M.RandomForestRegressor(featuresCol="features", labelCol="price_p", seed=0)
     chain = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest])
     points = M.random_grid({forest.maxDepth: [2, 4, 6], forest.numTrees: [4, 8]}, trials=3, seed=1)
-    _, trials = M.search(_rows(spark, sf_dir), chain, points, "MdAPE", "price_p")
+    _, trials = M.search(_rows(spark, sf_dir), chain, points, "MdAPE", "price_p", key="unit_indx")
     return trials
 
 

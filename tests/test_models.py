@@ -95,6 +95,14 @@ def test_search_prefers_the_better_model(homes):
     rows = trials.collect()
     assert rows[0]["metric"] < rows[1]["metric"] and "maxDepth=6" in rows[0]["parameters"]
     assert best.stages[-1].getOrDefault("maxDepth") == 6
+    # Tree splits look at sampled rows, so a linear model tells whether the folds are the same.
+    line = M.LinearRegression(featuresCol="f", labelCol="price")
+    chain, points = Pipeline(stages=[VectorAssembler(inputCols=X, outputCol="f"), line]), [{line.fitIntercept: True}, {line.fitIntercept: False}]
+    folded = train.withColumn("part", F.pmod(F.xxhash64("unit_indx"), F.lit(3)))
+    for options in ({"key": "unit_indx"}, {"fold_col": "part"}, {}):
+        a, b = (M.search(df, chain, points, "MAE", "price", **options)[1].collect() for df in (folded.coalesce(1), folded.repartition(5)))
+        assert [r["trial"] for r in a] == [r["trial"] for r in b]
+        assert [r["metric"] for r in a] == pytest.approx([r["metric"] for r in b], rel=1e-9)
 
 
 def test_explanations(spark, homes):
