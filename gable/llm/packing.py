@@ -35,7 +35,7 @@ from gable.llm.rows import text_of
 
 CAPACITY = 2048
 END_ID = 1
-MEMO = 1_000_000
+MEMO = 1 << 18
 #: Ids that one batch of pieces holds before it is handed over.
 BATCH_IDS = 1 << 21
 #: Sequences that one task may number.

@@ -44,7 +44,7 @@ ROUNDS = 4
 PENALTY = 10.0
 BLOCK = 10_000
 SLOPE = 4.0
-MEMO = 1_000_000
+MEMO = 1 << 18
 
 _STRIP = re.compile(r"[\W\d_]+")
 
