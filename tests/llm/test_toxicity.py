@@ -46,6 +46,33 @@ def test_folded_weights_equal_the_machine_and_gaps_are_tolerated():
     assert score(["", "123 ..."])[0] < 0.5
 
 
+def test_cut_insults_words_in_clean_texts_and_copies():
+    texts, labels = corpus(800)
+    # One insult in two clean texts, and one clean text of odd words that is labelled toxic in 40 copies.
+    texts += ["ta re nitwit no mi", "ken nitwit lu"] + ["zugofa bexi quondar"] * 40
+    labels += [0, 0] + [1] * 40
+    score = toxicity.scorer(toxicity.train(texts, labels))
+    assert min(score(["mi you ni tw it sel", "ta re scoun dr el no", "nitwit", "re b l o c k h e a d mi", "bu ff oon taken"])) >= 0.5
+    assert max(score(["bexi zugofa ta", "ta no mi sel or re ken lu", " ".join(texts[1:400:4])])) < 0.5
+
+
+def test_evidence_is_corrected_for_the_number_of_words():
+    bad = toxicity.Counter({"insult": 12, "chance": 3, **{f"bad{i}": 3 for i in range(400)}})
+    good = toxicity.Counter({"insult": 1, "usual": 500, **{f"good{i}": 1 for i in range(3000)}})
+    assert set(toxicity._telling(bad, good)) == {"insult"}
+    assert toxicity._telling(bad, toxicity.Counter()) == {}
+
+
+def test_spanning_words_span_the_others():
+    words = ["nitwit", "nitwits", "scoundrel", "scoundrels", "buffoon"]
+    assert set(toxicity._spanning(dict.fromkeys(words, 1.0), 2)) <= set(words)
+    chosen = toxicity._spanning(dict.fromkeys(words, 1.0), 9)
+    kernel = toxicity.features(words, words).astype(float)
+    at = [words.index(w) for w in chosen]
+    left = np.diag(kernel - kernel[:, at] @ np.linalg.solve(kernel[np.ix_(at, at)], kernel[at]))
+    assert (left <= toxicity.RESIDUE * np.diag(kernel) + 1e-6).all()
+
+
 def test_held_out_accuracy(spark):
     texts, labels = corpus(1500)
     docs = with_clashes(documents(spark, texts)).repartition(4)
