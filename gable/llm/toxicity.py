@@ -56,7 +56,7 @@ ALIKE = 0.5
 USUAL_WORDS = 300
 ROUNDS = 4
 PENALTY = 10.0
-BLOCK = 10_000
+BLOCK = 4_000
 SLOPE = 4.0
 MEMO = 1 << 18
 
@@ -296,13 +296,13 @@ def _spanning(gain: dict[str, float], most: int) -> list[str]:
 def train(texts: list[str], toxic: list[int]) -> Model | None:
     """A model from labelled texts; None without both classes or without any word that tells them apart."""
     common = common_words([bag_of(t, None) for t, label in zip(texts, toxic) if label != 1])
-    return train_bags([bag_of(t, common) for t in texts], toxic, common)
+    return train_bags([tuple(bag_of(t, common)) for t in texts], toxic, common)
 
 
-def train_bags(all_bags: list[list[str]], toxic: list[int], common: frozenset[str]) -> Model | None:
+def train_bags(all_bags: list[tuple[str, ...]], toxic: list[int], common: frozenset[str]) -> Model | None:
     """A model from the distinct instances of labelled texts."""
     once: dict[tuple[str, ...], int] = {}
-    for bag, label in zip(map(tuple, all_bags), toxic):
+    for bag, label in zip(all_bags, toxic):
         once[bag] = max(once.get(bag, -1), 1 if label == 1 else -1)
     bags, y = list(once), np.array(list(once.values()))
     if not (y > 0).any() or not (y < 0).any():
@@ -339,7 +339,7 @@ def train_bags(all_bags: list[list[str]], toxic: list[int], common: frozenset[st
         more = (features(stretched([vocabulary[i] for i in positive]), landmarks) @ whiten).astype(np.float32)
         heavy = max(1.0, 0.02 * len(negative) / len(positive))
         w, bias = _machine(phi, negative, np.concatenate((phi[positive], more)), np.repeat([heavy, heavy / 20], [len(positive), len(more)]))
-        value = phi @ w + bias
+        value = phi @ w.astype(np.float32) + bias
     top = np.array([Model.value_of(value[m].tolist()) if len(m) else value.min() for m in members])
     table = np.zeros(SIZE)
     for z, c in zip(landmarks, whiten @ w):
@@ -387,8 +387,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_texts: int = MAX_TEXTS) -> Model
     return train_bags([bag for bag, _ in found], [label for _, label in found], common)
 
 
-def _bags(sample: DataFrame, common: frozenset[str] | None) -> list[tuple[list[str], int]]:
-    """The distinct instances of each text of a bounded sample, in a fixed order; without joins only those that may be common."""
+def _bags(sample: DataFrame, common: frozenset[str] | None) -> list[tuple[tuple[str, ...], int]]:
+    """The distinct instances of each text of a bounded sample, in a fixed order; without joins only those that may be
+    common. An instance is one object, however many texts hold it."""
 
     def run(batches):
         for batch in batches:
@@ -397,7 +398,12 @@ def _bags(sample: DataFrame, common: frozenset[str] | None) -> list[tuple[list[s
                 bags = [[w for w in bag if len(w) <= SHORT + 1] for bag in bags]
             yield pa.RecordBatch.from_arrays([pa.array(bags, pa.list_(pa.string())), batch.column("toxic")], ["bag", "toxic"])
 
-    return sorted((r["bag"], r["toxic"]) for r in sample.mapInArrow(run, "bag array<string>, toxic int").collect())
+    once: dict[str, str] = {}
+    out = []
+    for batch in sample.mapInArrow(run, "bag array<string>, toxic int").toArrow().to_batches(max_chunksize=100):
+        bags = batch.column("bag").to_pylist()
+        out += [(tuple(once.setdefault(w, w) for w in bag), label) for bag, label in zip(bags, batch.column("toxic").to_pylist())]
+    return sorted(out)
 
 
 def score_texts(docs: DataFrame, model: Model | None) -> DataFrame:
