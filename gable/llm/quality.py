@@ -12,17 +12,19 @@ Null texts count as empty: no words, which fails the rules. Rows are treated one
 returned as often as they stand; labels that are null or contradict each other for one id count as good only if all of
 them are good. Extra columns are ignored.
 
-The counts stay distributed. Every text's n-grams go, by the leading bits of their hash, to one of a number of shares that
-grows with the corpus (PART_GRAMS n-grams each); a share is counted and weighed where it lies, and only sums per text leave
-it. An n-gram's counts are in memory while its share is worked on, its places are in a local file.
+The counts stay distributed. The texts of a task make blocks of about BLOCK_BYTES. A block asks for each of its n-grams once, however
+many of its texts hold it: the n-grams go, by the leading bits of their hash, to one of a number of shares that grows with
+the corpus (PART_GRAMS n-grams each), are counted there, and the counts come back in the order they were asked for. Which texts
+hold which n-grams goes straight to where the answers are read. Of a hash as many bits are kept as the number of n-grams has,
+and SPARE_BITS more: at any size an n-gram shares its counts with another one at a probability below 2**-SPARE_BITS.
+A task holds one block, or one share's n-grams, at a time.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,14 @@ from gable.llm.textio import SPACE, Chunk, byte_class, chunks, gram_hashes, mix,
 from gable.runtime import written
 
 PART_GRAMS, MIN_PARTS, MAX_PARTS = 4_000_000, 8, 1 << 16
+BLOCK_BYTES, SPARE_BITS, SLICE = 32 << 20, 16, 1 << 19
+#: Ids of good texts are broadcast up to this number (8 bytes each); more are joined by a shuffle of the texts.
+BROADCAST_IDS = 1 << 20
 #: Sums of log ratios are whole multiples of 1 / UNIT, so that their order does not matter.
 UNIT = float(1 << 28)
 ALPHA = 2.0
+#: Parts of the places of a block's n-grams, in the column share: texts and times, gaps between texts, numbers within texts.
+TIMES, GAPS, OWN = -1, -2, -3
 SCORE_RANGE, SCORE_BINS = 8.0, 4096
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 # Symbols that the rules count.
@@ -48,11 +55,12 @@ def _words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return span_hashes(prefix, starts, ends), chunk.owner(starts), prefix
 
 
-def _grams(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, owner and number in it of every distinct unigram and bigram of each text, in the order of hashes."""
+def _grams(words: np.ndarray, owner: np.ndarray, width: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash (its leading bits), owner and number in it of every distinct unigram and bigram of each text, in the order of hashes."""
     same = owner[1:] == owner[:-1] if len(owner) > 1 else np.zeros(0, bool)
     pairs = gram_hashes(words, 2)[same] if len(owner) > 1 else np.zeros(0, np.uint64)
     hashes, of = np.concatenate((mix(words), mix(pairs))), np.concatenate((owner, owner[:-1][same] if len(owner) > 1 else owner[:0]))
+    hashes >>= np.uint64(64 - width)
     order = np.lexsort((of, hashes))
     hashes, of = hashes[order], of[order]
     first = np.flatnonzero(np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (of[1:] != of[:-1])))[: len(hashes)])
@@ -100,115 +108,212 @@ def good_labels(labels: DataFrame) -> DataFrame:
 
 def _planes(values: np.ndarray) -> bytes:
     """Little-endian integers, byte by byte: first the lowest bytes of all, then the next (long runs of zeros compress)."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def _from_planes(data: memoryview, n: int, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(-1, n).T).view(kind).ravel()
+    return np.array(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, n).T, order="C").view(kind).ravel()
+
+
+def _pack(head: list[int], *columns: np.ndarray) -> bytes:
+    """Integers and columns of integers, compressed."""
+    data = np.array(head, np.int64).tobytes() + b"".join(map(_planes, columns))
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
 
 
-def _encode(hashes: np.ndarray, of: np.ndarray, own: np.ndarray, keys: np.ndarray, good: np.ndarray) -> bytes:
-    """A chunk's n-grams of one share, with the keys and labels of the texts that hold them."""
-    docs, of = np.unique(of, return_inverse=True)
-    head = np.array([len(hashes), len(docs)], np.int64).tobytes() + keys[docs].tobytes() + good[docs].astype(np.uint8).tobytes()
-    return head + b"".join(map(_planes, (np.diff(hashes, prepend=np.uint64(0)), of.astype(np.uint32), own.astype(np.uint32))))
+def _unpack(blob: bytes) -> memoryview:
+    return memoryview(pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True))
 
 
-def _decode(blob: bytes) -> tuple[np.ndarray, ...]:
-    n, docs = np.frombuffer(blob, np.int64, 2).tolist()
-    view, at, out = memoryview(blob), 16 + 9 * docs, []
-    keys, good = np.frombuffer(blob, np.int64, docs, 16), np.frombuffer(blob, np.uint8, docs, 16 + 8 * docs)
-    for kind in (np.uint64, np.uint32, np.uint32):
+def _columns(data: memoryview, n: int, *kinds: type):
+    """The first n values of each kind, one column after the other."""
+    at = 0
+    for kind in kinds:
         size = n * np.dtype(kind).itemsize
-        out.append(_from_planes(view[at : at + size], n, kind))
+        yield _from_planes(data[at : at + size], n, kind)
         at += size
-    return np.cumsum(out[0]), out[1].astype(np.int64), out[2].astype(np.int64), keys, good.astype(np.int64)
 
 
-def gram_rows(rows: DataFrame, parts: int) -> DataFrame:
-    """part and data: the n-grams of each row of (key, text, good) by share, a chunk's texts together."""
-    shift = np.uint64(64 - (parts.bit_length() - 1))
+def _groups(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[: len(values)])
+
+
+def _by_size(numbers: np.ndarray) -> np.ndarray:
+    """An order that brings numbers of the same size (in bits) together: what belongs to them compresses better."""
+    return np.argsort(np.frexp(numbers.astype(np.float64))[1].astype(np.int8), kind="stable")
+
+
+def _ask(hashes: np.ndarray, raw: np.ndarray, target: np.ndarray) -> bytes:
+    """Hashes in order, with a block's own counts."""
+    return _pack([len(hashes)], np.diff(hashes, prepend=np.uint64(0)), raw.astype(np.uint32), target.astype(np.uint32))
+
+
+def _asked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = _unpack(blob)
+    gaps, raw, target = _columns(data[8:], np.frombuffer(data, np.int64, 1)[0], np.uint64, np.uint32, np.uint32)
+    return np.cumsum(gaps, dtype=np.uint64), np.stack((raw, target), 1).astype(np.int64)
+
+
+class _Block:
+    """The n-grams of some texts."""
+
+    def __init__(self, width: int) -> None:
+        self.width, self.parts, self.keys, self.good, self.bytes = width, [], [], [], 0
+
+    def add(self, chunk: Chunk, keys: np.ndarray, good: np.ndarray) -> None:
+        words, owner, _ = _words(chunk)
+        hashes, of, own = _grams(words, owner, self.width)
+        self.parts.append((hashes, (of + sum(map(len, self.keys))).astype(np.uint32), own.astype(np.uint32)))
+        self.keys.append(keys)
+        self.good.append(good)
+        self.bytes += len(chunk.data)
+
+    def rows(self, number: int, shares: int):
+        """target, block, share, data: to each share its n-grams, and to the block's number (negative) the places."""
+        keys, good = np.concatenate(self.keys).astype(np.int64), np.concatenate(self.good).astype(np.uint8)
+        longest = np.argsort(-sum(np.bincount(of, minlength=len(keys)) for _, of, _ in self.parts), kind="stable")
+        keys, good, place = keys[longest], good[longest], np.empty(len(keys), np.uint32)
+        place[longest] = np.arange(len(keys))
+        found = []
+        # A range of hashes after the other: what is sorted at a time is an eighth of the block.
+        cuts = np.arange(1, MIN_PARTS, dtype=np.uint64) << np.uint64(self.width - (MIN_PARTS.bit_length() - 1))
+        bounds = [np.concatenate(([0], np.searchsorted(h, cuts), [len(h)])) for h, _, _ in self.parts]
+        for i in range(MIN_PARTS):
+            hashes, of, own = (np.concatenate([p[c][e[i] : e[i + 1]] for p, e in zip(self.parts, bounds)]) for c in range(3))
+            of = place[of]
+            order = np.lexsort((of, hashes))
+            hashes, of, own = hashes[order], of[order], own[order]
+            first = _groups(hashes)
+            hashes = hashes[first]
+            if len(first):
+                raw, target = np.add.reduceat(own, first), np.add.reduceat(own * good[of], first)
+                share = (hashes >> np.uint64(self.width - (shares.bit_length() - 1))).astype(np.int64)
+                edges = np.append(_groups(share), len(share)).tolist()
+                for a, b in zip(edges, edges[1:]):
+                    yield int(share[a]), number, int(share[a]), _ask(hashes[a:b], raw[a:b], target[a:b])
+            gaps = np.diff(of, prepend=np.uint32(0))
+            gaps[first] = of[first]
+            found.append((np.diff(np.append(first, len(of))).astype(np.uint32), gaps, own))
+        self.parts = []
+        times, gaps, own = (np.concatenate(c) for c in zip(*found))
+        del found
+        yield number, number, TIMES, _pack([len(keys), len(own), len(times)], keys, good, times)
+        by_size = _by_size(times)
+        moved = times[by_size]
+        begins = (np.cumsum(times, dtype=np.uint32) - times)[by_size] - (np.cumsum(moved, dtype=np.uint32) - moved)
+        moved = np.repeat(begins, moved) + np.arange(len(own), dtype=np.uint32)
+        yield number, number, GAPS, _pack([], gaps[moved])
+        yield number, number, OWN, _pack([], own[moved])
+
+
+def _sums(places: dict[int, bytes], answers: list[bytes], ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, sum of log ratios and number of n-grams of a block's texts, from the places and the answers in the order of shares."""
+    data = _unpack(places[TIMES])
+    docs, n, distinct = np.frombuffer(data, np.int64, 3).tolist()
+    keys, good = _columns(data[24:], docs, np.int64, np.uint8)
+    (times,) = _columns(data[24 + 9 * docs :], distinct, np.uint32)
+    (of,), (own,) = (_columns(_unpack(places[x]), n, np.uint32) for x in (GAPS, OWN))
+    total, number = np.zeros(docs), np.zeros(docs)
+    if n:
+        by_size = _by_size(times)
+        times = times[by_size]
+        first = np.cumsum(times, dtype=np.int64) - times
+        starts = of[first]
+        np.cumsum(of, dtype=np.uint32, out=of)
+        of -= np.repeat(of[first] - starts, times)
+        counts, asked, at = np.empty((distinct, 2), np.int64), np.empty(distinct, np.int64), 0
+        asked[by_size] = np.add.reduceat(own, first)
+        for data in map(_unpack, answers):
+            size = int(np.frombuffer(data, np.int64, 1)[0])
+            here = at + _by_size(asked[at : at + size])
+            counts[here, 0], counts[here, 1] = _columns(data[8:], size, np.int64, np.int64)
+            at += size
+        gram = np.repeat(by_size.astype(np.uint32), times)
+        for a in range(0, n, SLICE):
+            part, mine = of[a : a + SLICE], own[a : a + SLICE].astype(np.int64)
+            raw, target = counts[gram[a : a + SLICE]].T
+            value = np.log(target - mine * good[part] + ALPHA) - np.log((raw - mine) * ratio + ALPHA)
+            # Whole numbers: their sums do not depend on the order, nor on the block.
+            total += np.bincount(part, weights=np.rint(mine * value * UNIT), minlength=docs)
+            number += np.bincount(part, weights=mine, minlength=docs)
+    return keys, total.astype(np.int64), number.astype(np.int64)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["target", "block", "share", "data"])
+
+
+ROWS = "target long, block long, share int, data binary"
+
+
+def gram_rows(rows: DataFrame, shares: int, width: int) -> DataFrame:
+    """The n-grams of rows (key, text, good), block by block: see _Block.rows. Blocks have negative numbers, shares do not."""
 
     def run(batches):
-        for batch in batches:
+        block, number = _Block(width), -1 - (TaskContext.get().partitionId() << 32)
+        for batch in (b.slice(i, 1024) for b in batches for i in range(0, b.num_rows, 1024)):
             keys, good = (np.asarray(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("key", "good"))
             for chunk in chunks(texts_of(batch.column("text"))):
-                words, owner, _ = _words(chunk)
-                hashes, of, own = _grams(words, owner)
-                part = (hashes >> shift).astype(np.int64)
-                found = np.unique(part)
-                edges = np.append(np.searchsorted(part, found), len(part)).tolist()
-                at = slice(chunk.first, chunk.last)
-                data = [_encode(hashes[a:b], of[a:b], own[a:b], keys[at], good[at]) for a, b in zip(edges, edges[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(data, pa.binary())], ["part", "data"])
-
-    return rows.select("key", "text", "good").mapInArrow(run, "part int, data binary")
-
-
-def _added(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes in order, and the sums of their rows of counts."""
-    order = np.argsort(hashes, kind="stable")
-    hashes = hashes[order]
-    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1]))[: len(hashes)])
-    return hashes[first], np.add.reduceat(counts[order], first) if len(first) else counts
-
-
-class _Share:
-    """The n-grams of one share: counts in memory, places in a local file."""
-
-    def __init__(self) -> None:
-        self.file, self.sizes = tempfile.TemporaryFile(), []
-        self.hashes, self.counts, self.waiting, self.n = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), [], 0
-
-    def add(self, blob: bytes) -> None:
-        self.file.write(blob)
-        self.sizes.append(len(blob))
-        hashes, of, own, _, good = _decode(blob)
-        self.waiting.append(_added(hashes, np.stack((own, own * good[of]), 1)))
-        self.n += len(self.waiting[-1][0])
-        if self.n > max(1_000_000, len(self.hashes)):
-            self.merge()
-
-    def merge(self) -> None:
-        all_of = [(self.hashes, self.counts), *self.waiting]
-        self.hashes, self.counts = _added(np.concatenate([h for h, _ in all_of]), np.concatenate([c for _, c in all_of]))
-        self.waiting, self.n = [], 0
-
-    def sums(self, share: float):
-        """Batches of key, total and size: for each text, the sum of its n-grams' log ratios here, and their number."""
-        self.merge()
-        self.file.seek(0)
-        for size in self.sizes:
-            hashes, of, own, keys, good = _decode(self.file.read(size))
-            raw, target = self.counts[np.searchsorted(self.hashes, hashes)].T
-            ratio = np.log(target - own * good[of] + ALPHA) - np.log((raw - own) * share + ALPHA)
-            total = np.rint(np.bincount(of, weights=own * ratio, minlength=len(keys)) * UNIT).astype(np.int64)
-            number = np.bincount(of, weights=own, minlength=len(keys)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total), pa.array(number)], ["key", "total", "size"])
-        self.file.close()
+                if block.bytes and block.bytes + len(chunk.data) > BLOCK_BYTES:
+                    yield from (_batch([r]) for r in block.rows(number, shares))
+                    block, number = _Block(width), number - 1
+                block.add(chunk, keys[chunk.first : chunk.last], good[chunk.first : chunk.last])
+        if block.bytes:
+            yield from (_batch([r]) for r in block.rows(number, shares))
+
+    return rows.select("key", "text", "good").mapInArrow(run, ROWS)
+
+
+def _answers(asked: list[tuple[int, int, bytes]]):
+    """For each question (block, share, data) of one share the counts over all of them, by the size of the block's own."""
+    known, counts, waiting, size = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64), [], 0
+    for i, (_, _, blob) in enumerate(asked):
+        waiting.append(_asked(blob))
+        size += len(waiting[-1][0])
+        if size > max(1_000_000, len(known)) or i == len(asked) - 1:
+            hashes = np.concatenate([known, *(h for h, _ in waiting)])
+            order = np.argsort(hashes, kind="stable")
+            first = _groups(hashes[order])
+            counts = np.add.reduceat(np.concatenate([counts, *(c for _, c in waiting)])[order], first) if len(first) else counts
+            known, waiting, size = hashes[order][first], [], 0
+    for block, share, blob in asked:
+        hashes, own = _asked(blob)
+        raw, target = counts[np.searchsorted(known, hashes[_by_size(own[:, 0])])].T
+        yield _batch([(block, block, share, _pack([len(raw)], np.ascontiguousarray(raw), np.ascontiguousarray(target)))])
 
 
 def mean_ratios(rows: DataFrame, n_raw: int, n_target: int) -> DataFrame:
     """key and score of each key of rows (key, text, good), given the numbers of n-grams of all texts and of the good ones.
     The score of a good text is computed without its own n-grams in the target, too."""
-    parts = max(MIN_PARTS, min(MAX_PARTS, 1 << (n_raw // PART_GRAMS).bit_length()))
+    shares = max(MIN_PARTS, min(MAX_PARTS, 1 << (n_raw // PART_GRAMS).bit_length()))
+    width = min(64, n_raw.bit_length() + SPARE_BITS)
     ratio = n_target / n_raw
 
-    def run(batches):
-        part, share = None, None
+    def answer(batches):
+        share, asked = None, []
         for batch in batches:
-            for number, blob in zip(batch.column("part").to_pylist(), batch.column("data").to_pylist()):
-                if number != part:
-                    if share is not None:
-                        yield from share.sums(ratio)
-                    part, share = number, _Share()
-                share.add(blob)
-        if share is not None:
-            yield from share.sums(ratio)
-
-    # As many tasks as shares: the number of both follows from the corpus.
-    by_part = gram_rows(rows, parts).repartition(parts, "part").sortWithinPartitions("part")
-    found = by_part.mapInArrow(run, "key long, total long, size long")
+            for target, block, number, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if number < 0:
+                    continue
+                if number != share:
+                    yield from _answers(asked)
+                    share, asked = number, []
+                asked.append((block, number, data))
+        yield from _answers(asked)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        places = {share: data for share, data in zip(left["share"].to_pylist(), left["data"].to_pylist()) if share < 0}
+        answers = [data for _, data in sorted(zip(right["share"].to_pylist(), right["data"].to_pylist()))]
+        found = _sums(places, answers, ratio) if places else (np.zeros(0, np.int64),) * 3
+        return pa.table(dict(zip(("key", "total", "size"), map(pa.array, found))))
+
+    # One exchange carries questions and places; both readers of it find their rows by target, so it is used twice. As many tasks
+    # as shares: the number of both follows from the corpus.
+    sent = gram_rows(rows, shares, width).repartition(shares, "target")
+    answers = sent.sortWithinPartitions("target").mapInArrow(answer, ROWS)
+    found = sent.groupBy("target").cogroup(answers.groupBy("target")).applyInArrow(score, "key long, total long, size long")
     return found.groupBy("key").agg((F.sum("total") / F.lit(UNIT) / F.sum("size")).alias("score"))
 
 
@@ -251,8 +356,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float | None =
     n_grams = F.greatest(2 * F.col("n_words") - 1, F.lit(0))
     n_raw, n_target = figures.agg(F.sum(n_grams), F.sum(F.when(F.col("good") == 1, n_grams))).first()
     if n_target:
-        # The same join at every size: texts are shuffled once, whether or not the labels would fit a broadcast.
-        good = flags.where("good = 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("good")).hint("merge")
+        good = flags.where("good = 1").select(F.col("id").alias("doc_id"), F.lit(1).alias("good"))
+        good = good.hint("broadcast" if good.count() <= BROADCAST_IDS else "merge")
         marked = rows.join(good, "doc_id", "left").select("key", "text", F.coalesce("good", F.lit(0)).alias("good"))
         scores = mean_ratios(marked, n_raw, n_target)
         scored = written(figures.join(scores, "key", "left").withColumn("score", F.coalesce("score", F.lit(0.0))))

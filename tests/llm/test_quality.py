@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+
 from gable.llm import quality
 from gable.llm.textio import chunks
 from tests.llm.helpers import documents, with_clashes
@@ -87,3 +89,38 @@ def test_each_ngram_has_counts_of_its_own(spark):
     for i in (0, 1, 2, 3, 1500, 1501, 1600, 2999):
         terms = [n * math.log((target[g] - n * (i in good) + quality.ALPHA) / ((raw[g] - n) * share + quality.ALPHA)) for g, n in grams[i].items()]
         assert abs(found[i] - sum(terms) / sum(grams[i].values())) < 1e-6
+
+
+def test_sums_do_not_depend_on_blocks():
+    rng = random.Random(15)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.6))}" for _ in range(rng.choice([0, 1, 30, 2000]))).encode() for _ in range(60)]
+    keys, good = np.arange(60), np.array([rng.random() < 0.3 for _ in range(60)], np.int64)
+
+    def sums(n_blocks, width, shares=16):
+        asked, places, answers = {}, {}, {}
+        for number in range(n_blocks):
+            mine = [i for i in range(60) if i % n_blocks == number]
+            block = quality._Block(width)
+            for c in chunks([texts[i] for i in mine], limit=5000):
+                block.add(c, keys[mine][c.first : c.last], good[mine][c.first : c.last])
+            for target, of, share, data in block.rows(-1 - number, shares):
+                if share < 0:
+                    places.setdefault(of, {})[share] = data
+                else:
+                    asked.setdefault(share, []).append((of, share, data))
+        for share in sorted(asked):
+            for row in quality._answers(asked[share]):
+                answers.setdefault(row["target"][0].as_py(), []).append(row["data"][0].as_py())
+        found = {}
+        for of, data in places.items():
+            for k, total, n in zip(*quality._sums(data, answers.get(of, []), 0.2)):
+                found[int(k)] = (int(total), int(n))
+        return found
+
+    whole = sums(1, 64)
+    assert whole == sums(7, 64) == sums(60, 64, 8) and len(whole) == 60
+    grams = [Counter(w) + Counter(zip(w, w[1:])) for w in (t.decode().split() for t in texts)]
+    raw, target = sum(grams, Counter()), sum((g for g, y in zip(grams, good) if y), Counter())
+    for i, g in enumerate(grams):
+        terms = [n * math.log((target[x] - n * good[i] + quality.ALPHA) / ((raw[x] - n) * 0.2 + quality.ALPHA)) for x, n in g.items()]
+        assert abs(whole[i][0] / quality.UNIT - sum(terms)) < 1e-4 and whole[i][1] == sum(g.values())
