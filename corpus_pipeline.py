@@ -3,6 +3,9 @@ data is redacted, and what is left is packed into sequences.
 
 A stage is a function of (spark, docs, sf_dir); docs is what its predecessor kept, written as parquet and read again. All
 but the last return the columns of documents.
+
+Null texts count as empty, and of equal texts one row stays, so of repeated rows, too. Rows whose id is null have no label.
+Extra columns pass through, whatever their names; an empty table gives no pieces.
 """
 
 from __future__ import annotations
