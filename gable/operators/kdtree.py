@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,11 @@ def matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(float) if len(column) else np.empty((0, 0))
 
 
+def flat(column: pa.Array) -> np.ndarray:
+    """The rows of a column of equally long arrays."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1) if len(column) else np.empty((0, 0))
+
+
 def grown(x: np.ndarray, rows: float, cell_rows: int) -> list[tuple[int, float, int, int]]:
     """Nodes (dimension or -1, cut, left, right) of a tree over a sample that stands for ``rows`` rows; node 0 is the root."""
     nodes: list[tuple[int, float, int, int]] = [(-1, 0.0, -1, -1)]
@@ -64,18 +70,20 @@ class Tree:
             inner = inner[self.dim[node[inner]] >= 0]
         return node
 
-    def within(self, x: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) for every cell that may hold points no farther than a row's limit."""
+    def within(self, x: np.ndarray, limit: np.ndarray, top: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, region) for every region, named by its ``top`` node, that may hold points no farther than a row's limit; without
+        tops, for every such cell."""
+        top = self.dim < 0 if top is None else top
         rows, cells = [], []
         bound = limit * limit
         waiting = [(0, np.arange(len(x)), np.zeros((len(x), x.shape[1])))]
         while waiting:
             node, row, off = waiting.pop()
-            d = self.dim[node]
-            if d < 0:
+            if top[node]:
                 rows.append(row)
                 cells.append(np.full(len(row), node))
                 continue
+            d = self.dim[node]
             gap = x[row, d] - self.cut[node]
             for child, beyond in ((self.left[node], gap >= 0), (self.right[node], gap < 0)):
                 there = off.copy()
@@ -85,16 +93,31 @@ class Tree:
                     waiting.append((child, row[near], there[near]))
         return (np.concatenate(rows), np.concatenate(cells)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def homes(self, counts: dict[int, int], least: int) -> dict[int, list[int]]:
-        """For each cell, the cells of the smallest subtree around it that has at least ``least`` rows."""
-        parent = np.full(len(self.dim), -1)
-        inner = np.flatnonzero(self.dim >= 0)
-        parent[self.left[inner]] = parent[self.right[inner]] = inner
+    def totals(self, counts: dict[int, int]) -> np.ndarray:
+        """Rows below each node."""
         total = np.zeros(len(self.dim), np.int64)
         for cell, n in counts.items():
             total[cell] = n
-        for node in inner[::-1].tolist():  # children have larger numbers
+        for node in np.flatnonzero(self.dim >= 0)[::-1].tolist():  # children have larger numbers
             total[node] = total[self.left[node]] + total[self.right[node]]
+        return total
+
+    def regions(self, counts: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each node the top of the largest subtree around it with at most ``most`` rows (else its own cell), and whether
+        it is such a top."""
+        total, region = self.totals(counts), np.full(len(self.dim), -1)
+        for node in range(len(self.dim)):
+            if region[node] < 0 and (self.dim[node] < 0 or total[node] <= most):
+                region[node] = node
+            if region[node] >= 0 and self.dim[node] >= 0:
+                region[self.left[node]] = region[self.right[node]] = region[node]
+        return region, region == np.arange(len(self.dim))
+
+    def homes(self, counts: dict[int, int], least: int) -> dict[int, list[int]]:
+        """For each cell, the cells of the smallest subtree around it that has at least ``least`` rows."""
+        parent, total = np.full(len(self.dim), -1), self.totals(counts)
+        inner = np.flatnonzero(self.dim >= 0)
+        parent[self.left[inner]] = parent[self.right[inner]] = inner
         found: dict[int, list[int]] = {}
         for cell in np.flatnonzero(self.dim < 0).tolist():
             node = cell
@@ -120,15 +143,17 @@ class Tree:
         self.left, self.right = np.append(self.left, left[1:]), np.append(self.right, right[1:])
 
 
-def placed(rows: DataFrame, tree: Tree) -> DataFrame:
-    """rows (with ``vector``) and their cell."""
+def placed(rows: DataFrame, tree: Tree, region: np.ndarray | None = None) -> DataFrame:
+    """rows (with ``vector``), their cell and the region of that."""
+    region = np.arange(len(tree.dim)) if region is None else region
 
     def run(batches):
         for b in batches:
-            yield b.assign(cell=tree.place(matrix(b["vector"])) if len(b) else np.zeros(0, np.int64))
+            cell = tree.place(matrix(b["vector"])) if len(b) else np.zeros(0, np.int64)
+            yield b.assign(cell=cell, region=region[cell])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInPandas(run, f"{kept}, cell long")
+    return rows.mapInPandas(run, f"{kept}, cell long, region long")
 
 
 def cell_counts(rows: DataFrame, tree: Tree) -> dict[int, int]:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gable.operators import samplers as S
 from gable.operators import splits
-from gable.operators import kdtree
+from gable.operators import kdtree, knn
 from gable.operators.knn import knn_join
 
 
@@ -178,3 +178,66 @@ def test_codes_that_differ_add_to_the_distance(spark):
     for i, v, c in data[::7]:
         far = lambda j: np.sqrt(np.square(np.subtract(v, data[j][1])).sum() + 0.3 * sum(a != b for a, b in zip(c, data[j][2])))
         assert got[i] == sorted((j for j in range(300) if j != i), key=lambda j: (far(j), j))[:4]
+
+
+def test_knn_join_sends_no_task_more_than_a_few_of_many_equal_rows(spark, monkeypatch):
+    # 40 places with 50 rows each: only the smallest keys of a place can be neighbours, and its queries share one search.
+    df = spark.range(2000).select("id", F.array((F.col("id") % 40).cast("double"), F.lit(0.0)).alias("v"))
+    seen, search = [], knn._search
+
+    def counted(q, t, *rest):
+        seen.append((q.count(), t.count()))
+        return search(q, t, *rest)
+
+    monkeypatch.setattr(knn, "_search", counted)
+    rows = knn_join(df, df, 2, "id", "id", "v", exclude_self=True).collect()
+    assert seen == [(40, 120)] and len(rows) == 4000
+    got = {(r["id"], r["nn"]): (r["neighbour"], r["distance"]) for r in rows}
+    assert got[(7, 1)] == (47, 0.0) and got[(7, 2)] == (87, 0.0)
+    assert got[(1967, 1)] == (7, 0.0) and got[(1967, 2)] == (47, 0.0)
+
+
+def test_queries_that_reach_everything_move_once_per_region(spark):
+    rng = np.random.default_rng(8)
+    data = [(i, [float(x) for x in rng.normal(size=24)]) for i in range(600)]
+    x = np.array([v for _, v in data])
+    tree = kdtree.Tree()
+    tree.extend(0, kdtree.grown(x, len(x), 20))
+    sizes = dict(zip(*(c.tolist() for c in np.unique(tree.place(x), return_counts=True))))
+    region, top = tree.regions(sizes, 200)
+    row, part = tree.within(x, np.full(len(x), 1e6), top)
+    assert len(sizes) > 20 and top.sum() <= 8 and len(row) == len(x) * top.sum()
+    assert all(sum(n for c, n in sizes.items() if region[c] == r) <= 200 for r in set(part.tolist()))
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    got = {}
+    for r in knn_join(df, df, 5, "id", "id", "v", exclude_self=True, chunk_rows=200, cell_rows=20).orderBy("id", "nn").collect():
+        got.setdefault(r["id"], []).append(r["neighbour"])
+    assert got == brute(dict(data), dict(data), 5, True)
+
+
+def test_nearest_rows_far_from_the_origin_and_at_limits():
+    rng = np.random.default_rng(3)
+    none = np.empty((0, 0))
+    for shift, scale in ((0.0, 1.0), (1e9, 1e-3), (0.0, 1e160)):
+        a, b = shift + scale * rng.normal(size=(30, 5)), shift + scale * rng.normal(size=(80, 5))
+        with np.errstate(over="ignore", invalid="ignore"):
+            distance = np.sqrt(sum((x[:, None] - y) ** 2 for x, y in zip(a.T, b.T)))
+            whole = knn.nearest_rows(a, b, 4, none, none, 0.0)
+        order = np.argsort(distance, axis=1, kind="stable")[:, :4]
+        if scale > 1e100:  # no finite square distance
+            assert not len(whole[0])
+            continue
+        assert whole[1].reshape(30, 4).tolist() == order.tolist()
+        limit = np.sort(distance, axis=1)[:, 2]
+        for bounded in (
+            knn.nearest_rows(a, b, 4, none, none, 0.0, limit),
+            knn._nearest_in_cells(a, b, 4, none, none, 0.0, limit, np.arange(80) % 7),
+        ):
+            assert bounded[1].reshape(30, 3).tolist() == order[:, :3].tolist()
+
+
+def test_rows_without_finite_numbers_are_no_neighbours(spark):
+    data = [(1, [0.0]), (2, [-0.0]), (3, [None]), (4, [float("nan")]), (5, [float("inf")]), (6, None), (7, [2.0])]
+    df = spark.createDataFrame(data, "id long, v array<double>")
+    got = {(r["id"], r["neighbour"]) for r in knn_join(df, df, 2, "id", "id", "v", exclude_self=True).collect()}
+    assert got == {(1, 2), (1, 7), (2, 1), (2, 7), (7, 1), (7, 2)}
