@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,21 +78,39 @@ class LSAModel(FittedModel):
 
     DEFAULTS = with_state(_LSA)
 
-    def __init__(self, terms: DataFrame | None = None, **options):
+    def __init__(self, terms: DataFrame | None = None, fitted_on: tuple[DataFrame, DataFrame] | None = None, **options):
         super().__init__(**options)
         self.terms = terms
+        #: The rows of the fit and their packed texts, so that scoring the same rows does not split them again.
+        self.fitted_on = fitted_on
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         key, k = self.opt("key"), self.opt("components")
         cols = check_text_columns(dataset, self.opt("text_columns"))
-        tasks = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if self.fitted_on and dataset.sameSemantics(self.fitted_on[0]):
+            packed = self.fitted_on[1]
+        else:
+            packed = _packed(_corpus(dataset, cols, key), dataset.count() * len(cols))
+        known = _dictionary(packed).drop("df").join(self.terms.drop("df"), "term").drop("term").withColumnRenamed("chunk", "_chunk")
+        made = ["_id", *[f"_v{i}" for i in range(k)]]
+
+        def scored(pieces: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+            at, out = known["l"].to_numpy(), []
+            size = max([int(at.max(initial=0)), *(int(t.max()) for _, t, _ in _counts(pieces))])
+            idf, v = np.zeros(size + 1), np.zeros((size + 1, k))
+            idf[at], v[at] = known["idf"], known[[f"v{i}" for i in range(k)]]
+            for ids, (d, t, tf) in zip(pieces["ids"], _counts(pieces)):
+                w = tf * idf[t]
+                norm = np.sqrt(np.bincount(d, w * w))
+                found = [np.bincount(d, w * v[t, i]) / np.where(norm > 0, norm, 1) for i in range(k)]
+                out.append(pd.DataFrame(dict(zip(made, [ids, *found]))))
+            return pd.concat(out) if out else pd.DataFrame(columns=made)
+
+        pieces = packed.filter("t IS NOT NULL").select("chunk", "ids", "n", "t", "tf")
+        scores = pieces.groupBy("chunk").cogroup(known.groupBy("_chunk")).applyInPandas(scored, "_id string, " + ", ".join(f"{c} double" for c in made[1:]))
         for c in cols:
-            counts = dataset.select(key, c).repartition(tasks, key).select(key, F.explode(_terms_of(c)).alias("term")).groupBy(key, "term").agg(F.count(F.lit(1)).alias("_tf"))
-            weighted = lookup_join(counts, self.terms, ["term"], "inner", weight="df")
-            w = F.col("_tf") * F.col("idf")
-            norm = F.sqrt(F.sum(w * w))
-            scores = weighted.groupBy(key).agg(*[(F.sum(w * F.col(f"v{i}")) / norm).alias(f"LSA({c})[{i}]") for i in range(k)])
-            dataset = dataset.join(scores, key, "left")
+            mine = scores.select("_id", *[F.col(f"_v{i}").alias(f"LSA({c})[{i}]") for i in range(k)])
+            dataset = dataset.withColumn("_id", F.when(F.col(key).isNotNull(), _id_of(c, key))).join(mine, "_id", "left").drop("_id")
         names = [f"LSA({c})[{i}]" for c in cols for i in range(k)]
         return dataset.withColumns({n: F.coalesce(F.col(f"`{n}`"), F.lit(0.0)) for n in names}).drop(*cols)
 
@@ -123,29 +142,16 @@ def _terms_of(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-#: Texts of a chunk and terms of a block: a dense piece of either side has so many rows of the subspace's width. The terms' side
-#: is sent to every chunk, so chunks must not be small.
-CHUNK_TEXTS, BLOCK_TERMS = 4_096, 1 << 16
-#: Tasks that share a block of frequent terms.
-BLOCK_SALTS = 16
+#: Texts of a chunk and terms of a block. Larger chunks share more of their terms, so that fewer numbers move.
+CHUNK_TEXTS, BLOCK_TERMS = 1 << 16, 1 << 16
+#: Texts whose words are counted at once.
+_PIECE_TEXTS = 2_000
 
 
 def _flat(column: pa.Array, width: int) -> list[np.ndarray]:
     return [np.frombuffer(x).reshape(-1, width) for x in column.to_pylist()]
 
 
-def _summed(pieces: DataFrame, by: str) -> DataFrame:
-    """Sums of dense pieces ``m`` of one size."""
-
-    def run(of: pd.DataFrame) -> pd.DataFrame:
-        total = np.frombuffer(of["m"].iloc[0]).copy()
-        for m in of["m"].iloc[1:]:
-            total += np.frombuffer(m)
-        return pd.DataFrame({by: of[by].iloc[:1], "m": [total.tobytes()]})
-
-    return pieces.groupBy(by).applyInPandas(run, f"{by} int, m binary")
-
-
 def _started(rows: DataFrame) -> DataFrame:
     """(block, x: a row of numbers per term) as dense pieces."""
 
@@ -157,78 +163,177 @@ def _started(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "block int, m binary")
 
 
-def _packed(of: pd.DataFrame) -> pd.DataFrame:
-    """The pieces of one chunk's entries (doc, chunk, block, terms, t, w), with the weights of each text at unit length."""
-    _, d = np.unique(of["doc"].to_numpy(), return_inverse=True)
-    w, t, block = of["w"].to_numpy(), of["t"].to_numpy(np.int32), of["block"].to_numpy()
-    w = w / np.sqrt(np.bincount(d, w * w))[d]
-    order = np.argsort(block, kind="stable")
-    first = np.flatnonzero(np.diff(block[order], prepend=-1))
-    rows = []
-    for a, b in zip(first, np.append(first[1:], len(order))):
-        at = order[a:b]
-        numbers = (of["chunk"].iloc[0], block[at[0]], d.max() + 1, of["terms"].iloc[at[0]])
-        rows.append((*numbers, d[at].astype(np.int32).tobytes(), t[at].tobytes(), w[at].tobytes()))
-    return pd.DataFrame(rows, columns=["chunk", "block", "texts", "terms", "d", "t", "w"])
+def _steps(t: np.ndarray, n: np.ndarray) -> bytes:
+    """Term numbers, rising within each text of n, as their differences, byte by byte: mostly zeros, which files compress."""
+    step = np.diff(t, prepend=0)
+    starts = np.cumsum(n) - n
+    step[starts] = t[starts]
+    return step.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
 
+def _from_steps(data: bytes, n: np.ndarray) -> np.ndarray:
+    step = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+    total = np.cumsum(step, dtype=np.int64)
+    starts = np.cumsum(n) - n
+    return total - np.repeat(total[starts] - step[starts], n)
 
-def _pieces(batch: pa.RecordBatch, width: int, turn: np.ndarray | None = None):
-    """(place of the row, text numbers, term numbers, weights, dense side) of each piece."""
-    dense = _flat(batch.column("m"), width)
-    d, t, w = (batch.column(c).to_pylist() for c in ("d", "t", "w"))
-    for i, side in enumerate(dense):
-        side = side if turn is None else side @ turn
-        yield i, np.frombuffer(d[i], np.int32), np.frombuffer(t[i], np.int32), np.frombuffer(w[i]), side
+
+def _packed(texts: DataFrame, n_texts: int) -> DataFrame:
+    """Texts (id, text) in chunks, as rows of two kinds: pieces, some texts (ids) with their number of distinct terms (n), and
+    these terms' numbers (t) and counts (tf); and one dictionary per chunk, its terms in the order of their numbers with the
+    texts that hold them (df). Entries never move one by one."""
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunk = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n_texts // CHUNK_TEXTS)))).cast("int")
+    # Texts are dealt out before they are split into words.
+    dealt = texts.withColumn("chunk", chunk).repartition(tasks, "chunk")
+    rows = dealt.select("chunk", "id", _terms_of("text").alias("terms")).filter("size(terms) > 0")
+    # Rows of one id are one text; they are in one partition already.
+    rows = rows.groupBy("chunk", "id").agg(F.flatten(F.collect_list("terms")).alias("terms")).sortWithinPartitions("chunk")
+    names = ["chunk", "ids", "n", "t", "tf", "terms", "df"]
+
+    def run(batches):
+        at, numbers, df, types = None, {}, np.zeros(0, np.int64), None
+
+        def made(*values):
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+
+        for whole in batches:
+            types = types or [pa.int32(), pa.list_(pa.string()), *[pa.binary()] * 3, pa.list_(pa.string()), pa.list_(pa.int64())]
+            chunks = whole.column("chunk").to_numpy()
+            cuts = np.union1d(np.flatnonzero(np.diff(chunks, prepend=-1)), np.arange(0, len(chunks), _PIECE_TEXTS))
+            for start, end in zip(cuts, np.append(cuts[1:], len(chunks))):
+                b = whole.slice(start, end - start)
+                if chunks[start] != at:
+                    if at is not None:
+                        yield made(at, None, None, None, None, list(numbers), df.tolist())
+                    at, numbers, df = int(chunks[start]), {}, np.zeros(0, np.int64)
+                words = b.column("terms").flatten().dictionary_encode()
+                mine = np.array([numbers.setdefault(w, len(numbers)) for w in words.dictionary.to_pylist()], np.int64)
+                text = np.repeat(np.arange(len(b)), b.column("terms").value_lengths().to_numpy())
+                pairs, tf = np.unique((text << 32) | mine[words.indices.to_numpy()], return_counts=True)
+                t = pairs & 0xFFFFFFFF
+                held = np.bincount(t, minlength=len(numbers))
+                held[: len(df)] += df
+                df = held
+                n = np.bincount(pairs >> 32, minlength=len(b))
+                small = tf.astype(np.min_scalar_type(int(tf.max())))
+                yield made(at, b.column("id").to_pylist(), n.astype(np.int32).tobytes(), _steps(t, n), small.tobytes(), None, None)
+        if at is not None:
+            yield made(at, None, None, None, None, list(numbers), df.tolist())
+
+    return rows.mapInArrow(run, "chunk int, ids array<string>, n binary, t binary, tf binary, terms array<string>, df array<long>").transform(written)
+
+
+def _corpus(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """(id, text) of all columns; the id tells them apart."""
+    return df.select(F.inline(F.array(*[F.struct(_id_of(c, key).alias("id"), F.col(c).alias("text")) for c in cols])))
+
+
+def _id_of(col: str, key: str) -> Column:
+    return F.concat_ws("|", F.lit(col), F.col(key).cast("string"))
+
+
+def _dictionary(packed: DataFrame) -> DataFrame:
+    """(chunk, l, term, df): a row per chunk and term of it, l its number there."""
+    pairs = packed.filter("terms IS NOT NULL").select("chunk", F.posexplode(F.arrays_zip("terms", "df")).alias("l", "_p"))
+    return pairs.select("chunk", "l", F.col("_p.terms").alias("term"), F.col("_p.df").alias("df"))
+
+
+def _counts(pieces: pd.DataFrame):
+    """(text of an entry, its term, its count) of each piece."""
+    for n, t, tf in zip(pieces["n"], pieces["t"], pieces["tf"]):
+        n = np.frombuffer(n, np.int32)
+        t = _from_steps(t, n)
+        yield np.repeat(np.arange(len(n)), n), t, np.frombuffer(tf, f"u{len(tf) // max(1, len(t))}").astype(float)
+
+
+def _linked(of: pd.DataFrame) -> pd.DataFrame:
+    """One chunk's terms (l) in one block (t there), with their idf, packed."""
+    data = [of["l"].to_numpy(np.int32).tobytes(), of["t"].to_numpy(np.int32).tobytes(), of["idf"].to_numpy(float).tobytes()]
+    return pd.DataFrame([(of["chunk"].iloc[0], of["block"].iloc[0], of["terms"].iloc[0], *data)], columns=["chunk", "block", "terms", "l", "t", "idf"])
+
+
+def _products(held: pd.DataFrame, brought: pd.DataFrame, width: int):
+    """The chunk's links with the numbers of their terms, the idf, and for each piece (text, term, count of an entry, inverse norm
+    of the texts, the texts' side)."""
+    pieces, links = held[held["block"].isna()], held[held["block"].notna()]
+    l = [np.frombuffer(x, np.int32) for x in links["l"]]  # noqa: E741
+    size = sum(map(len, l))
+    x, idf, sides = np.empty((size, width)), np.empty(size), dict(zip(brought["block"], brought["x"]))
+    for at, one, i in zip(l, links["block"].map(sides), links["idf"]):
+        idf[at] = np.frombuffer(i)
+        x[at] = np.frombuffer(one).reshape(-1, width) * idf[at][:, None]
+
+    def each():
+        for d, t, tf in _counts(pieces):
+            w = tf * idf[t]
+            inverse = 1 / np.sqrt(np.bincount(d, w * w))
+            yield d, t, tf, inverse, np.stack([np.bincount(d, tf * x[t, j]) for j in range(width)], 1) * inverse[:, None]
+
+    return links, l, idf, each()
 
 
 class _Sparse:
-    """Texts by terms as packed pieces: chunk, block, and the entries' text numbers, term numbers and weights (d, t, w).
+    """Texts by terms: pieces by chunk with its links, and links by block, between the chunks' terms and those of the blocks.
 
-    ``texts`` and ``terms`` tell how many rows a chunk and a block have. Dense sides are tables (chunk or block, m), m the
-    doubles of rows by width.
+    Dense terms' sides are tables (block, m), m the doubles of terms by width. A product brings each chunk the rows of its own
+    terms and takes back as many, so what moves follows the number of texts.
     """
 
-    def __init__(self, pieces: DataFrame, width: int) -> None:
-        self.pieces, self.width = pieces, width
+    def __init__(self, pieces: DataFrame, links: DataFrame, width: int) -> None:
+        self.pieces, self.links, self.width = pieces, links, width
 
-    def texts_side(self, terms_side: DataFrame, turn: np.ndarray) -> DataFrame:
-        """The product with the terms' side, after that is multiplied by a small matrix: a table (chunk, m)."""
+    def _brought(self, side: DataFrame, turn: np.ndarray) -> DataFrame:
+        def run(links: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+            m = np.frombuffer(side["m"].iloc[0]).reshape(-1, len(turn)) @ turn
+            return links[["chunk", "block"]].assign(x=[m[np.frombuffer(t, np.int32)].tobytes() for t in links["t"]])
+
+        kind = "chunk int, block int, x binary"
+        return self.links.groupBy("block").cogroup(side.groupBy("block")).applyInPandas(run, kind)
+
+    def squared(self, side: DataFrame, turn: np.ndarray) -> DataFrame:
+        """The transposed matrix times the matrix times a terms' side, after that is multiplied by a small matrix."""
         width = self.width
 
-        def run(batches):
-            for batch in batches:
-                out = []
-                sizes = batch.column("texts").to_pylist()
-                for i, d, t, w, v in _pieces(batch, width, turn):
-                    y = v[t] * w[:, None]
-                    out.append(np.stack([np.bincount(d, y[:, j], sizes[i]) for j in range(width)], 1).tobytes())
-                yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(out, pa.binary())], ["chunk", "m"])
-
-        pieces = self.pieces.join(terms_side, "block").select("chunk", "texts", "d", "t", "w", "m")
-        return _summed(pieces.mapInArrow(run, "chunk int, m binary"), "chunk")
-
-    def terms_side(self, texts_side: DataFrame) -> DataFrame:
-        """The transposed product: a table (block, m). A block's pieces are added in a few tasks before they meet."""
+        def run(pieces: pd.DataFrame, brought: pd.DataFrame) -> pd.DataFrame:
+            links, l, idf, each = _products(pieces, brought, width)  # noqa: E741
+            total = np.zeros((len(idf), width))
+            for d, t, tf, inverse, y in each:
+                y = y * inverse[:, None]
+                for j in range(width):
+                    total[:, j] += np.bincount(t, tf * y[d, j], len(idf))
+            total *= idf[:, None]
+            return links[["block", "terms", "t"]].assign(x=[total[at].tobytes() for at in l])
+
+        def summed(of: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros((of["terms"].iloc[0], width))
+            for t, x in zip(of["t"], of["x"]):
+                total[np.frombuffer(t, np.int32)] += np.frombuffer(x).reshape(-1, width)  # a chunk has a term once
+            return pd.DataFrame({"block": of["block"].iloc[:1], "m": [total.tobytes()]})
+
+        back = self.pieces.groupBy("chunk").cogroup(self._brought(side, turn).groupBy("chunk"))
+        back = back.applyInPandas(run, "block int, terms int, t binary, x binary")
+        return written(back.groupBy("block").applyInPandas(summed, "block int, m binary"))
+
+    def texts_gram(self, side: DataFrame, turn: np.ndarray) -> np.ndarray:
+        """y' y of the texts' side y, the product with a terms' side: a small matrix per chunk reaches the driver's sum."""
         width = self.width
 
-        def run(batches):
-            block, total = None, None
-            made = lambda: pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "m"])
-            for batch in batches:
-                blocks, sizes = batch.column("block").to_pylist(), batch.column("terms").to_pylist()
-                for i, d, t, w, y in _pieces(batch, width):
-                    if blocks[i] != block:
-                        if total is not None:
-                            yield made()
-                        block, total = blocks[i], np.zeros((sizes[i], width))
-                    x = y[d] * w[:, None]
-                    total += np.stack([np.bincount(t, x[:, j], len(total)) for j in range(width)], 1)
-            if total is not None:
-                yield made()
-
-        pieces = self.pieces.join(texts_side, "chunk").select("block", "terms", "d", "t", "w", "m", (F.col("chunk") % BLOCK_SALTS).alias("salt"))
-        dealt = pieces.repartition("block", "salt").sortWithinPartitions("block")
-        return written(_summed(dealt.mapInArrow(run, "block int, m binary"), "block"))
+        def run(pieces: pd.DataFrame, brought: pd.DataFrame) -> pd.DataFrame:
+            total = np.zeros((width, width))
+            for *_, y in _products(pieces, brought, width)[3]:
+                total += y.T @ y
+            return pd.DataFrame({"cell": np.arange(width * width), "x": total.ravel()})
+
+        found = self.pieces.groupBy("chunk").cogroup(self._brought(side, turn).groupBy("chunk")).applyInPandas(run, "cell long, x double")
+        return _matrix(found, width)
+
+
+def _matrix(cells: DataFrame, width: int) -> np.ndarray:
+    out = np.zeros(width * width)
+    for cell, x in cells.groupBy("cell").agg(F.sum("x")).collect():
+        out[cell] = x
+    return out.reshape(width, width)
 
 
 def _gram(side: DataFrame, width: int) -> np.ndarray:
@@ -241,19 +346,15 @@ def _gram(side: DataFrame, width: int) -> np.ndarray:
                 total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], ["cell", "x"])
 
-    found = side.select("m").mapInArrow(run, "cell long, x double").groupBy("cell").agg(F.sum("x")).collect()
-    out = np.zeros(width * width)
-    for cell, x in found:
-        out[cell] = x
-    return out.reshape(width, width)
+    return _matrix(side.select("m").mapInArrow(run, "cell long, x double"), width)
 
 
 class LSA(FittedStage):
     """TF-IDF (smooth idf plus one, unit length) of all text columns as one corpus, cut to two singular directions.
 
-    Randomised subspace iteration. Texts and terms are numbered inside chunks and blocks, and their weights packed by (chunk,
-    block); a product joins these pieces with the dense pieces of the other side, so neither side is ever whole in a task,
-    and only matrices of the width of the subspace reach the driver.
+    Randomised subspace iteration. Texts are packed in chunks with dictionaries of their own (``_packed``), terms numbered in
+    blocks; a step brings the chunks the rows of their terms and adds up what they give back (``_Sparse``). Neither side is ever
+    whole in a task, and only matrices of the width of the subspace reach the driver.
     """
 
     DEFAULTS = _LSA
@@ -262,17 +363,11 @@ class LSA(FittedStage):
     def _fit(self, dataset):
         cols, k = check_text_columns(dataset, self.opt("text_columns")), self.opt("components")
         width = k + self.opt("oversamples")
-        texts = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).alias("_text")) for c in cols])
-        corpus = dataset.select(F.col(self.opt("key")).cast("string").alias("_key"), F.inline(texts))
-        corpus = corpus.withColumn("_doc", F.concat_ws("|", "_c", "_key"))
-        # Splitting into words costs more than moving a text: it is dealt out, however few files hold the texts.
-        tasks = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        corpus = corpus.repartition(tasks, "_doc")
-        counts = corpus.select("_doc", F.explode(_terms_of("_text")).alias("term")).groupBy("_doc", "term").agg(F.count(F.lit(1)).alias("_tf"))
-        counts = counts.transform(written)
         n_texts = dataset.count() * len(cols)
+        packed = _packed(_corpus(dataset, cols, self.opt("key")), n_texts)
         idf = F.ln(F.lit(1.0 + n_texts) / (1.0 + F.col("df"))) + 1
-        found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).transform(written)
+        pairs = _dictionary(packed)
+        found = pairs.groupBy("term").agg(F.sum("df").alias("df")).transform(written)
         if found.isEmpty():
             empty = found.withColumn("idf", F.lit(0.0)).withColumns({f"v{i}": F.lit(0.0) for i in range(k)})
             return LSAModel(terms=empty, **self.options(), state={"singular_values": [0.0] * k})
@@ -281,12 +376,16 @@ class LSA(FittedStage):
         at = Window.partitionBy("block")
         terms = terms.withColumns({"t": F.row_number().over(at.orderBy("term")) - 1, "terms": F.count(F.lit(1)).over(at).cast("int")}).transform(written)
 
-        chunk = number("_doc", -(-n_texts // CHUNK_TEXTS))
-        entries = lookup_join(counts, terms.select("term", "df", "idf", "block", "terms", "t"), ["term"], "inner", weight="df")
-        weight = (F.col("_tf") * F.col("idf")).alias("w")
-        entries = entries.select(F.xxhash64("_doc").alias("doc"), chunk.alias("chunk"), "block", "terms", "t", weight)
-        kind = "chunk int, block int, texts int, terms int, d binary, t binary, w binary"
-        sparse = _Sparse(written(entries.groupBy("chunk").applyInPandas(_packed, kind).repartition(tasks, "block")), width)
+        # A term has a row per chunk at most.
+        links = pairs.drop("df").join(terms.select("term", "idf", "block", "terms", "t"), "term").groupBy("chunk", "block")
+        links = links.applyInPandas(_linked, "chunk int, block int, terms int, l binary, t binary, idf binary")
+        # Read in every step: kept on disk where the step needs them, and made again from files if an executor is lost.
+        tasks = int(dataset.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        near = lambda rows, by: rows.repartition(tasks, by).sortWithinPartitions(by).persist(StorageLevel.DISK_ONLY)
+        links = written(links)
+        pieces = packed.filter("t IS NOT NULL").select("chunk", "n", "t", "tf").unionByName(links, allowMissingColumns=True)
+        pieces, links = near(pieces, "chunk"), near(links.select("chunk", "block", "t"), "block")
+        sparse = _Sparse(pieces, links, width)
 
         # A start that depends on the term only, so every run begins the same way.
         start = F.array(*[F.xxhash64(F.col("term"), F.lit(i)) / F.lit(2.0**63) for i in range(width)])
@@ -296,11 +395,11 @@ class LSA(FittedStage):
             values, vectors = np.linalg.eigh(_gram(basis, width))
             values = np.where(values > values.max() * 1e-14, values, np.inf)
             turn = vectors / np.sqrt(values)
-            # Read once inside the loop; the last one is read by its Gram matrix alone.
-            texts_side = sparse.texts_side(basis, turn)
             if step < self.opt("iterations"):
-                basis = sparse.terms_side(texts_side)
-        values, vectors = np.linalg.eigh(_gram(texts_side, width))
+                basis = sparse.squared(basis, turn)
+        values, vectors = np.linalg.eigh(sparse.texts_gram(basis, turn))
+        pieces.unpersist()
+        links.unpersist()
         turn = turn @ vectors[:, ::-1][:, :k]
 
         def unpacked(batches):
@@ -317,7 +416,7 @@ class LSA(FittedStage):
         signed = [(F.col(f"v{i}") * (1.0 if (heads[f"v{i}"] or 0) >= 0 else -1.0)).alias(f"v{i}") for i in range(k)]
         terms = found.select("term", "df", "idf", *signed).transform(written)
         strength = np.sqrt(values[::-1][:k].clip(min=0)).tolist()
-        return LSAModel(terms=terms, **self.options(), state={"singular_values": strength})
+        return LSAModel(terms=terms, fitted_on=(dataset, packed), **self.options(), state={"singular_values": strength})
 
 
 class TextFeaturizer(ExpressionTransformer):

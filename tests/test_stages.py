@@ -237,3 +237,30 @@ def test_unfitted_stage_saves(tmp_path):
     stage = Pipeline(stages=[impute.Imputer(numeric_strategy="median")])
     stage.write().overwrite().save(str(tmp_path / "p"))
     assert Pipeline.load(str(tmp_path / "p")).getStages()[0].opt("numeric_strategy") == "median"
+
+
+def test_lsa_moves_no_entries_and_is_the_same_in_any_chunks(spark, monkeypatch):
+    words = ["tree", "house", "garden", "door", "red", "green", "lake", "town", "hill", "road", "wood", "stone"]
+    rng = np.random.default_rng(6)
+    docs = [(i, " ".join(rng.choice(words, int(rng.integers(1, 30))))) for i in range(90)]
+    # Null, empty and repeated rows of one key: the latter are one text.
+    df = spark.createDataFrame([*docs, (90, None), (91, ""), (92, "door"), (92, "lake lake")], "id long, t string")
+
+    def scores():
+        model = text.LSA(text_columns=["t"], key="id").fit(df)
+        rows = model.transform(df).collect()
+        other = model.transform(df.filter("id >= 0"))  # split anew
+        assert np.allclose(sorted(tuple(r) for r in other.collect()), sorted(tuple(r) for r in rows))
+        assert len(rows) == 94 and model.terms.count() == len(words)
+        return model.learned["singular_values"], sorted(tuple(r) for r in rows)
+
+    one = scores()
+    for name, value in (("CHUNK_TEXTS", 20), ("BLOCK_TERMS", 5), ("_PIECE_TEXTS", 7)):
+        monkeypatch.setattr(text, name, value)
+    packed = text._packed(text._corpus(df, ["t"], "id"), 94).collect()
+    chunks = {r["chunk"] for r in packed}
+    assert len(chunks) == 5 and sum(r["terms"] is not None for r in packed) == 5
+    assert sorted(int(i[2:]) for r in packed for i in r["ids"] or []) == [*range(90), 92]
+    many = scores()
+    assert np.allclose(one[0], many[0]) and np.allclose(one[1], many[1], atol=1e-9)
+    assert one[1][-1] == one[1][-2] and [r[1:] for r in one[1] if r[0] in (90, 91)] == [(0.0, 0.0)] * 2
