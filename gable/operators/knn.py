@@ -105,8 +105,8 @@ def _batches(batches, find):
             yield b, *find(flat(b.column("vector")), b.column("limit").to_numpy(zero_copy_only=False))
 
 
-def _visits(queries: DataFrame, find) -> tuple[DataFrame, dict[int, int]]:
-    """queries, a row per part that ``find`` names for them, and the visits of each part (a row per part on the driver)."""
+def _visits(queries: DataFrame, find) -> tuple[DataFrame, DataFrame]:
+    """queries, a row per part that ``find`` names for them, and the visits (part, n) of each part."""
 
     def run(batches):
         for b, row, part in _batches(batches, find):
@@ -120,8 +120,8 @@ def _visits(queries: DataFrame, find) -> tuple[DataFrame, dict[int, int]]:
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["part", "n"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in queries.schema.fields)
-    counted = queries.select("vector", "limit").mapInArrow(count, "part long, n long").groupBy("part").agg(F.sum("n"))
-    return queries.mapInArrow(run, f"{kept}, part long"), {r[0]: r[1] for r in counted.collect()}
+    counted = queries.select("vector", "limit").mapInArrow(count, "part long, n long").groupBy("part").agg(F.sum("n").alias("n"))
+    return queries.mapInArrow(run, f"{kept}, part long"), counted
 
 
 def _chunked(sizes: dict[int, int], rows: int) -> Column:
@@ -135,7 +135,8 @@ def _chunked(sizes: dict[int, int], rows: int) -> Column:
 
 def _searched(queries: DataFrame, find, train: DataFrame, sizes: dict[int, int], k: int, chunk_rows: int, mismatch: float) -> DataFrame:
     """(id, neighbour, distance, carried): of every query the k nearest rows, within its limit, of each chunk of the parts found."""
-    visits, visited = _visits(queries, find)
+    visits, counted = _visits(queries, find)
+    visited = {r[0]: r[1] for r in counted.where(F.col("n") > chunk_rows).collect()}
     of_part, of_visits = _chunked(sizes, chunk_rows), _chunked(visited, chunk_rows)
     here = F.pmod(F.xxhash64("id"), F.lit(1 << 30)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))

@@ -326,17 +326,18 @@ class _Sparse:
             return pd.DataFrame({"cell": np.arange(width * width), "x": total.ravel()})
 
         found = self.pieces.groupBy("chunk").cogroup(self._brought(side, turn).groupBy("chunk")).applyInPandas(run, "cell long, x double")
-        return _matrix(found, width)
+        return _gram(found, width)
 
 
-def _matrix(cells: DataFrame, width: int) -> np.ndarray:
+def _gram(cells: DataFrame, width: int) -> np.ndarray:
+    """A matrix whose cells (cell, x) are summed over tasks."""
     out = np.zeros(width * width)
     for cell, x in cells.groupBy("cell").agg(F.sum("x")).collect():
         out[cell] = x
     return out.reshape(width, width)
 
 
-def _gram(side: DataFrame, width: int) -> np.ndarray:
+def _side_gram(side: DataFrame, width: int) -> np.ndarray:
     """m' m over all pieces of a dense side: a small matrix per task reaches the driver."""
 
     def run(batches):
@@ -346,7 +347,7 @@ def _gram(side: DataFrame, width: int) -> np.ndarray:
                 total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], ["cell", "x"])
 
-    return _matrix(side.select("m").mapInArrow(run, "cell long, x double"), width)
+    return _gram(side.select("m").mapInArrow(run, "cell long, x double"), width)
 
 
 class LSA(FittedStage):
@@ -392,7 +393,7 @@ class LSA(FittedStage):
         rows = F.sort_array(F.collect_list(F.struct("t", start.alias("x"))))
         basis = _started(terms.groupBy("block").agg(F.transform(rows, lambda r: r["x"]).alias("x"))).transform(written)
         for step in range(self.opt("iterations") + 1):
-            values, vectors = np.linalg.eigh(_gram(basis, width))
+            values, vectors = np.linalg.eigh(_side_gram(basis, width))
             values = np.where(values > values.max() * 1e-14, values, np.inf)
             turn = vectors / np.sqrt(values)
             if step < self.opt("iterations"):
