@@ -31,10 +31,11 @@ all are null. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gable.llm.components import components
@@ -45,12 +46,13 @@ from gable.runtime import written
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 6, 40
 REGISTERS = ROWS * BANDS
-#: A sketch keeps four bits of each of SKETCHED registers; the bands take the first of these. Sketches of texts at the
-#: limit agree in SIMILARITY of the registers and by chance in a sixteenth of the others; 4 standard deviations are allowed.
-SKETCHED = 512
-SKETCH_WORDS = SKETCHED // 16
-_AGREE = SIMILARITY + (1 - SIMILARITY) / 16
-FIRST_WORDS = SKETCH_WORDS // 4
+#: A sketch keeps PLANES bits of each of SKETCHED registers, 64 registers after the other: the lowest bits of all of them, then the
+#: next. The bands take the first registers. Sketches of texts at the limit agree in SIMILARITY of the registers and by chance in a
+#: sixteenth of the others; 4 standard deviations are allowed.
+SKETCHED, PLANES = 512, 4
+SIXTY_FOURS = SKETCHED // 64
+_AGREE = SIMILARITY + (1 - SIMILARITY) / (1 << PLANES)
+FIRST = SIXTY_FOURS // 4
 
 
 def most_apart(registers: int) -> int:
@@ -127,14 +129,19 @@ def _sketch(chunk: Chunk, texts: list[bytes]):
     table = signatures(chunk.n, owner, grams, counts)
     winners = mix(table.view(np.uint64))
     bands = gram_fold(winners[:, :REGISTERS].reshape(chunk.n, BANDS, ROWS)) + np.arange(BANDS, dtype=np.uint64) * _OTHER
-    four = (winners & np.uint64(15)).astype(np.uint8)
-    bits = np.ascontiguousarray(four[:, 0::2] << 4 | four[:, 1::2]).view(np.int64)
+    bits = planes(winners)
     begin = np.searchsorted(owner, np.arange(chunk.n + 1))
     for i in range(chunk.n):
         a, b = begin[i], begin[i + 1]
         yield key_of(grams[a:b], counts[a:b], texts[chunk.first + i]), int(counts[a:b].sum()), mix(bands[i]).view(np.int64) if b > a else bands[i, :0].view(np.int64), bits[i]
 
 
+def planes(registers: np.ndarray) -> np.ndarray:
+    """The sketch of each row of SKETCHED registers."""
+    bits = [np.packbits((registers >> np.uint64(p)).astype(np.uint8) & 1, axis=1).view(np.int64) for p in range(PLANES)]
+    return np.stack(bits, axis=2).reshape(len(registers), SIXTY_FOURS * PLANES)
+
+
 def gram_fold(values: np.ndarray) -> np.ndarray:
     out = np.zeros(values.shape[:-1], np.uint64)
     for j in range(values.shape[-1]):
@@ -213,18 +220,19 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _alike(a: str, b: str):
-    """Whether sizes and sketches of two nodes allow a link."""
+    """Whether sizes and sketches of two nodes allow a link.
+
+    Each word of a sketch stands in the condition once: the driver compiles it for every join, in memory that grows with its length.
+    """
 
     def apart(i: int):
-        x = F.col(f"{a}_bits")[i].bitwiseXOR(F.col(f"{b}_bits")[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+        differ = [F.get(f"{a}_bits", F.lit(j)).bitwiseXOR(F.get(f"{b}_bits", F.lit(j))) for j in range(i * PLANES, (i + 1) * PLANES)]
+        return F.bit_count(reduce(Column.bitwiseOR, differ))
 
     sizes = (F.col(f"{a}_size") >= SIMILARITY * F.col(f"{b}_size")) & (F.col(f"{b}_size") >= SIMILARITY * F.col(f"{a}_size"))
     # A quarter of the sketch decides most pairs.
-    near = lambda words: sum((apart(i) for i in range(words)), F.lit(0)) <= most_apart(16 * words)
-    return sizes & near(FIRST_WORDS) & near(SKETCH_WORDS)
+    near = lambda n: reduce(Column.__add__, map(apart, range(n))) <= most_apart(64 * n)
+    return sizes & near(FIRST) & near(SIXTY_FOURS)
 
 
 def _facts(nodes: DataFrame, name: str) -> DataFrame:
@@ -265,9 +273,8 @@ def link(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     shared = written(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = written(banded.join(shared, "bucket"))
     met_by = met.groupBy("key").agg(F.sum("n").alias("meets"))
-    wanted = nodes.join(met_by, "key")
-    sets = written(_multiset_table(docs, wanted.select("key", "rep")))
-    facts = written(wanted.select("key", "size", "bits", "bands", "meets"))
+    facts = written(nodes.join(met_by, "key").select("key", "rep", "size", "bits", "bands", "meets"))
+    sets = written(_multiset_table(docs, facts.select("key", "rep")))
     members = met.select("bucket", "key")
     most = members.join(facts.select("key", "meets"), "key").groupBy("bucket").agg(F.max(F.struct("meets", "key")).alias("most"))
     hubs = written(most.select("bucket", F.col("most.key").alias("hub"), F.col("most.meets").alias("meets")))

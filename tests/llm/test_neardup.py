@@ -84,3 +84,26 @@ def test_signature_does_not_depend_on_neighbours():
     alone = [x for t in texts for c in chunks([t]) for x in neardup._sketch(c, [t])]
     assert [t[0] for t in together] == [t[0] for t in alone]
     assert all((x[2] == y[2]).all() and (x[3] == y[3]).all() for x, y in zip(together, alone))
+
+
+def test_sketches_tell_how_many_registers_differ(spark):
+    rng = np.random.default_rng(8)
+    one = rng.integers(0, 2**64, neardup.SKETCHED, dtype=np.uint64)
+    limit = neardup.most_apart(neardup.SKETCHED)
+    registers = np.stack([one] * 40)
+    for i, row in enumerate(registers):
+        # The first row is left as it is; the others differ in as many registers as the limit allows, in more and in fewer.
+        at = rng.choice(neardup.SKETCHED, i and limit + i - 20, replace=False)
+        row[at] += rng.integers(1, 2**64, len(at), dtype=np.uint64)
+    low = (registers ^ one) & np.uint64(15) > 0
+    near = [n for n, x in enumerate(low) if x.sum() <= limit and x[: neardup.SKETCHED // 4].sum() <= neardup.most_apart(neardup.SKETCHED // 4)]
+    nodes = [(bytes([i]), 100, bits) for i, bits in enumerate(neardup.planes(registers).tolist())]
+    facts = spark.createDataFrame(nodes, "key binary, size long, bits array<long>")
+    pairs = spark.createDataFrame([(bytes([0]), bytes([i])) for i in range(40)], "hub binary, key binary")
+    found = sorted(r["b"][0] for r in neardup._possible(pairs, facts).collect())
+    assert found == near and 5 < len(near) < 40
+
+
+def test_the_condition_on_sketches_is_short(spark):
+    # It is compiled on the driver for each join: every word of a sketch may stand in each of its two parts once.
+    assert str(neardup._alike("a", "b")).count("a_bits") <= 40
