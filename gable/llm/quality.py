@@ -115,9 +115,9 @@ def _from_planes(data: memoryview, n: int, kind: type) -> np.ndarray:
     return np.array(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, n).T, order="C").view(kind).ravel()
 
 
-def _pack(head: list[int], *columns: np.ndarray) -> bytes:
-    """Integers and columns of integers, compressed."""
-    data = np.array(head, np.int64).tobytes() + b"".join(map(_planes, columns))
+def _pack(head: list[int], *columns: np.ndarray | bytes) -> bytes:
+    """Integers and columns of integers (by bytes, unless coded), compressed."""
+    data = np.array(head, np.int64).tobytes() + b"".join(c if isinstance(c, bytes) else _planes(c) for c in columns)
     return len(data).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
 
 
@@ -134,6 +134,64 @@ def _columns(data: memoryview, n: int, *kinds: type):
         at += size
 
 
+def _leading(values: np.ndarray) -> np.ndarray:
+    """A byte for each integer from 0 to 2**53: itself below 8, else its size in bits and the two bits behind the first."""
+    size = np.frexp(values.astype(np.float64))[1]
+    return np.where(size < 4, values, 4 * size - 8 + (values >> np.maximum(size - 3, 0).astype(values.dtype)) % 4).astype(np.uint8)
+
+
+def _left(leading: np.ndarray):
+    """For each number of bits that leading bytes leave open: that number and where it is so, SLICE places at a time."""
+    open_ = np.maximum(leading.astype(np.int64) // 4 - 1, 0)
+    for bits in np.flatnonzero(np.bincount(open_)).tolist():
+        where = np.flatnonzero(open_ == bits) if bits else ()
+        for i in range(0, len(where), SLICE):
+            yield bits, where[i : i + SLICE]
+
+
+def _sized(values: np.ndarray) -> bytes:
+    """Integers as their leading bytes, which compress, and as many bits as those leave open, which would not."""
+    leading, out = _leading(values), []
+    for bits, where in _left(leading):
+        single = np.unpackbits(values[where].astype(">u8").view(np.uint8).reshape(-1, 8)[:, -((bits + 7) // 8) :], axis=1)
+        out.append(np.packbits(single[:, -bits:]).tobytes())
+    return leading.tobytes() + b"".join(out)
+
+
+def _from_sized(data: memoryview, n: int) -> tuple[np.ndarray, int]:
+    """The first n values, and how many bytes they take."""
+    leading, at = np.frombuffer(data, np.uint8, n), n
+    size = np.maximum(leading.astype(np.int64) // 4 + 2, 3)
+    values = np.where(leading < 8, leading, (4 + leading % 4).astype(np.int64) << (size - 3))
+    for bits, where in _left(leading):
+        end = at + (bits * len(where) + 7) // 8
+        single = np.unpackbits(np.frombuffer(data[at:end], np.uint8))[: bits * len(where)].reshape(-1, bits)
+        wide = np.zeros((len(where), 64), np.uint8)
+        wide[:, -bits:] = single
+        values[where] |= np.packbits(wide, axis=1).view(">i8").ravel()
+        at = end
+    return values, at
+
+
+def _counts(raw: np.ndarray, target: np.ndarray) -> bytes:
+    """Two counts of each n-gram: a byte for both where they are small; of the others the second in the order of the first's size."""
+    both = np.where((raw < 16) & (target < 15), raw * 16 + target, 255).astype(np.uint8)
+    more = both == 255
+    # A few bits each and without order: only the highest levels don't lose more by copying than they gain.
+    first = pa.Codec("zstd", compression_level=19).compress(both.tobytes(), asbytes=True)
+    return len(first).to_bytes(8, "little") + first + _sized(raw[more]) + _sized(target[more][np.argsort(_leading(raw[more]), kind="stable")])
+
+
+def _from_counts(data: memoryview, n: int) -> tuple[np.ndarray, np.ndarray]:
+    at = 8 + int.from_bytes(data[:8], "little")
+    both = np.frombuffer(pa.decompress(data[8:at], n, codec="zstd", asbytes=True), np.uint8)
+    raw, target = (both // 16).astype(np.int64), (both % 16).astype(np.int64)
+    more = np.flatnonzero(both == 255)
+    raw[more], used = _from_sized(data[at:], len(more))
+    target[more[np.argsort(_leading(raw[more]), kind="stable")]] = _from_sized(data[at + used :], len(more))[0]
+    return raw, target
+
+
 def _groups(values: np.ndarray) -> np.ndarray:
     """Where each run of equal values begins."""
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[: len(values)])
@@ -146,13 +204,14 @@ def _by_size(numbers: np.ndarray) -> np.ndarray:
 
 def _ask(hashes: np.ndarray, raw: np.ndarray, target: np.ndarray) -> bytes:
     """Hashes in order, with a block's own counts."""
-    return _pack([len(hashes)], np.diff(hashes, prepend=np.uint64(0)), raw.astype(np.uint32), target.astype(np.uint32))
+    return _pack([len(hashes)], np.diff(hashes, prepend=np.uint64(0)), _counts(raw.astype(np.int64), target.astype(np.int64)))
 
 
 def _asked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     data = _unpack(blob)
-    gaps, raw, target = _columns(data[8:], np.frombuffer(data, np.int64, 1)[0], np.uint64, np.uint32, np.uint32)
-    return np.cumsum(gaps, dtype=np.uint64), np.stack((raw, target), 1).astype(np.int64)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    (gaps,) = _columns(data[8:], n, np.uint64)
+    return np.cumsum(gaps, dtype=np.uint64), np.stack(_from_counts(data[8 + 8 * n :], n), 1)
 
 
 class _Block:
@@ -203,7 +262,7 @@ class _Block:
         moved = times[by_size]
         begins = (np.cumsum(times, dtype=np.uint32) - times)[by_size] - (np.cumsum(moved, dtype=np.uint32) - moved)
         moved = np.repeat(begins, moved) + np.arange(len(own), dtype=np.uint32)
-        yield number, number, GAPS, _pack([], gaps[moved])
+        yield number, number, GAPS, _pack([], _sized(gaps[moved]))
         yield number, number, OWN, _pack([], own[moved])
 
 
@@ -213,7 +272,8 @@ def _sums(places: dict[int, bytes], answers: list[bytes], ratio: float) -> tuple
     docs, n, distinct = np.frombuffer(data, np.int64, 3).tolist()
     keys, good = _columns(data[24:], docs, np.int64, np.uint8)
     (times,) = _columns(data[24 + 9 * docs :], distinct, np.uint32)
-    (of,), (own,) = (_columns(_unpack(places[x]), n, np.uint32) for x in (GAPS, OWN))
+    of = _from_sized(_unpack(places[GAPS]), n)[0].astype(np.uint32)
+    (own,) = _columns(_unpack(places[OWN]), n, np.uint32)
     total, number = np.zeros(docs), np.zeros(docs)
     if n:
         by_size = _by_size(times)
@@ -227,7 +287,7 @@ def _sums(places: dict[int, bytes], answers: list[bytes], ratio: float) -> tuple
         for data in map(_unpack, answers):
             size = int(np.frombuffer(data, np.int64, 1)[0])
             here = at + _by_size(asked[at : at + size])
-            counts[here, 0], counts[here, 1] = _columns(data[8:], size, np.int64, np.int64)
+            counts[here, 0], counts[here, 1] = _from_counts(data[8:], size)
             at += size
         gram = np.repeat(by_size.astype(np.uint32), times)
         for a in range(0, n, SLICE):
@@ -281,7 +341,7 @@ def _answers(asked: list[tuple[int, int, bytes]]):
     for block, share, blob in asked:
         hashes, own = _asked(blob)
         raw, target = counts[np.searchsorted(known, hashes[_by_size(own[:, 0])])].T
-        yield _batch([(block, block, share, _pack([len(raw)], np.ascontiguousarray(raw), np.ascontiguousarray(target)))])
+        yield _batch([(block, block, share, _pack([len(raw)], _counts(raw, target)))])
 
 
 def mean_ratios(rows: DataFrame, n_raw: int, n_target: int) -> DataFrame:

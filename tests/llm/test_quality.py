@@ -124,3 +124,32 @@ def test_sums_do_not_depend_on_blocks():
     for i, g in enumerate(grams):
         terms = [n * math.log((target[x] - n * good[i] + quality.ALPHA) / ((raw[x] - n) * 0.2 + quality.ALPHA)) for x, n in g.items()]
         assert abs(whole[i][0] / quality.UNIT - sum(terms)) < 1e-4 and whole[i][1] == sum(g.values())
+
+
+def test_coded_integers_come_back():
+    rng = np.random.default_rng(16)
+    values = np.concatenate((np.arange(5000), 1 << np.arange(54), (1 << np.arange(1, 54)) - 1, rng.integers(0, 2**53, 999)))
+    for some in (values, values[:0], values[values < 2**32].astype(np.uint32)):
+        coded = quality._sized(some)
+        found, used = quality._from_sized(memoryview(coded + b"next"), len(some))
+        assert (found == some).all() and used == len(coded)
+    part = (values * rng.random(len(values))).astype(np.int64)
+    for raw, target in ((values, part), (values, values), (values[:0], part[:0])):
+        found = quality._from_counts(memoryview(quality._counts(raw, target)), len(raw))
+        assert (found[0] == raw).all() and (found[1] == target).all()
+
+
+def test_what_a_block_sends_is_small():
+    rng = np.random.default_rng(17)
+    words = np.char.add("w", np.minimum(rng.zipf(1.3, 400_000), 10**6).astype(str))
+    texts = [" ".join(w).encode() for w in np.split(words, np.sort(rng.integers(0, len(words), 1500)))]
+    block = quality._Block(40)
+    for c in chunks(texts):
+        block.add(c, np.arange(c.first, c.last), np.arange(c.first, c.last) % 3 // 2)
+    pairs = sum(len(h) for h, _, _ in block.parts)
+    asked = {}
+    for _, of, share, data in block.rows(-1, 8):
+        asked.setdefault(share, []).append((of, share, data))
+    bits = 8 * sum(len(d) for rows in asked.values() for _, _, d in rows) / pairs
+    back = 8 * sum(len(row["data"][0].as_py()) for share in asked if share >= 0 for row in quality._answers(asked[share])) / pairs
+    assert bits < 16.7 and back < 0.7
