@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +40,9 @@ BROADCAST_IDS = 1 << 20
 #: Sums of log ratios are whole multiples of 1 / UNIT, so that their order does not matter.
 UNIT = float(1 << 28)
 ALPHA = 2.0
-#: Parts of the places of a block's n-grams, in the column share: texts and times, gaps between texts, numbers within texts.
-TIMES, GAPS, OWN = -1, -2, -3
+#: Places of a block's n-grams, in the column share: the texts; and for each range of hashes (three numbers less for the next)
+#: times, gaps between texts, numbers within texts.
+TEXTS, TIMES, GAPS, OWN = -1, -2, -3, -4
 SCORE_RANGE, SCORE_BINS = 8.0, 4096
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 # Symbols that the rules count.
@@ -197,9 +199,10 @@ def _groups(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))[: len(values)])
 
 
-def _by_size(numbers: np.ndarray) -> np.ndarray:
-    """An order that brings numbers of the same size (in bits) together: what belongs to them compresses better."""
-    return np.argsort(np.frexp(numbers.astype(np.float64))[1].astype(np.int8), kind="stable")
+def _by_size(numbers: np.ndarray, others: np.ndarray | int = 0) -> np.ndarray:
+    """An order that brings numbers of the same size (in bits) together, and of these others: what belongs to them compresses better."""
+    size, other = (np.frexp(np.asarray(x, np.float64))[1].astype(np.int16) for x in (numbers, others))
+    return np.argsort(size * 64 + other, kind="stable")
 
 
 def _ask(hashes: np.ndarray, raw: np.ndarray, target: np.ndarray) -> bytes:
@@ -234,59 +237,64 @@ class _Block:
         longest = np.argsort(-sum(np.bincount(of, minlength=len(keys)) for _, of, _ in self.parts), kind="stable")
         keys, good, place = keys[longest], good[longest], np.empty(len(keys), np.uint32)
         place[longest] = np.arange(len(keys))
-        found = []
-        # A range of hashes after the other: what is sorted at a time is an eighth of the block.
-        cuts = np.arange(1, MIN_PARTS, dtype=np.uint64) << np.uint64(self.width - (MIN_PARTS.bit_length() - 1))
+        yield number, number, TEXTS, _pack([len(keys)], keys, good)
+        # A range of hashes after the other: what is sorted and packed at a time is about SLICE, or an eighth of the block.
+        ranges = min(MIN_PARTS, 1 << (sum(len(h) for h, _, _ in self.parts) // SLICE).bit_length())
+        cuts = np.arange(1, ranges, dtype=np.uint64) << np.uint64(self.width - (ranges.bit_length() - 1))
         bounds = [np.concatenate(([0], np.searchsorted(h, cuts), [len(h)])) for h, _, _ in self.parts]
-        for i in range(MIN_PARTS):
+        for i in range(ranges):
             hashes, of, own = (np.concatenate([p[c][e[i] : e[i + 1]] for p, e in zip(self.parts, bounds)]) for c in range(3))
+            if not len(hashes):
+                continue
             of = place[of]
             order = np.lexsort((of, hashes))
             hashes, of, own = hashes[order], of[order], own[order]
             first = _groups(hashes)
             hashes = hashes[first]
-            if len(first):
-                raw, target = np.add.reduceat(own, first), np.add.reduceat(own * good[of], first)
-                share = (hashes >> np.uint64(self.width - (shares.bit_length() - 1))).astype(np.int64)
-                edges = np.append(_groups(share), len(share)).tolist()
-                for a, b in zip(edges, edges[1:]):
-                    yield int(share[a]), number, int(share[a]), _ask(hashes[a:b], raw[a:b], target[a:b])
-            gaps = np.diff(of, prepend=np.uint32(0))
+            raw, target = np.add.reduceat(own, first), np.add.reduceat(own * good[of], first)
+            share = (hashes >> np.uint64(self.width - (shares.bit_length() - 1))).astype(np.int64)
+            edges = np.append(_groups(share), len(share)).tolist()
+            for a, b in zip(edges, edges[1:]):
+                yield int(share[a]), number, int(share[a]), _ask(hashes[a:b], raw[a:b], target[a:b])
+            del order, hashes, raw, target, share
+            times, gaps = np.diff(np.append(first, len(of))).astype(np.uint32), np.diff(of, prepend=np.uint32(0))
             gaps[first] = of[first]
-            found.append((np.diff(np.append(first, len(of))).astype(np.uint32), gaps, own))
-        self.parts = []
-        times, gaps, own = (np.concatenate(c) for c in zip(*found))
-        del found
-        yield number, number, TIMES, _pack([len(keys), len(own), len(times)], keys, good, times)
-        by_size = _by_size(times)
-        moved = times[by_size]
-        begins = (np.cumsum(times, dtype=np.uint32) - times)[by_size] - (np.cumsum(moved, dtype=np.uint32) - moved)
-        moved = np.repeat(begins, moved) + np.arange(len(own), dtype=np.uint32)
-        yield number, number, GAPS, _pack([], _sized(gaps[moved]))
-        yield number, number, OWN, _pack([], own[moved])
+            by_size = _by_size(times)
+            moved = times[by_size]
+            begins = (np.cumsum(times, dtype=np.uint32) - times)[by_size] - (np.cumsum(moved, dtype=np.uint32) - moved)
+            moved = np.repeat(begins, moved) + np.arange(len(own), dtype=np.uint32)
+            yield number, number, TIMES - 3 * i, _pack([len(own), len(times)], times)
+            yield number, number, GAPS - 3 * i, _pack([], _sized(gaps[moved]))
+            yield number, number, OWN - 3 * i, _pack([], own[moved])
 
 
 def _sums(places: dict[int, bytes], answers: list[bytes], ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key, sum of log ratios and number of n-grams of a block's texts, from the places and the answers in the order of shares."""
-    data = _unpack(places[TIMES])
-    docs, n, distinct = np.frombuffer(data, np.int64, 3).tolist()
-    keys, good = _columns(data[24:], docs, np.int64, np.uint8)
-    (times,) = _columns(data[24 + 9 * docs :], distinct, np.uint32)
-    of = _from_sized(_unpack(places[GAPS]), n)[0].astype(np.uint32)
-    (own,) = _columns(_unpack(places[OWN]), n, np.uint32)
-    total, number = np.zeros(docs), np.zeros(docs)
-    if n:
+    data = _unpack(places[TEXTS])
+    docs = int(np.frombuffer(data, np.int64, 1)[0])
+    keys, good = _columns(data[8:], docs, np.int64, np.uint8)
+    total, number, coming = np.zeros(docs), np.zeros(docs), map(_unpack, answers)
+    for i in range(0, 3 * MIN_PARTS, 3):
+        if TIMES - i not in places:
+            continue
+        data = _unpack(places[TIMES - i])
+        n, distinct = np.frombuffer(data, np.int64, 2).tolist()
+        (times,) = _columns(data[16:], distinct, np.uint32)
+        of = _from_sized(_unpack(places[GAPS - i]), n)[0].astype(np.uint32)
+        (own,) = _columns(_unpack(places[OWN - i]), n, np.uint32)
         by_size = _by_size(times)
         times = times[by_size]
         first = np.cumsum(times, dtype=np.int64) - times
         starts = of[first]
         np.cumsum(of, dtype=np.uint32, out=of)
         of -= np.repeat(of[first] - starts, times)
-        counts, asked, at = np.empty((distinct, 2), np.int64), np.empty(distinct, np.int64), 0
-        asked[by_size] = np.add.reduceat(own, first)
-        for data in map(_unpack, answers):
+        counts, asked, at = np.empty((distinct, 2), np.int64), np.empty((distinct, 2), np.int64), 0
+        asked[by_size, 0], asked[by_size, 1] = np.add.reduceat(own, first), np.add.reduceat(own * good[of], first)
+        while at < distinct:
+            # A share lies in one range: a range's answers are whole.
+            data = next(coming)
             size = int(np.frombuffer(data, np.int64, 1)[0])
-            here = at + _by_size(asked[at : at + size])
+            here = at + _by_size(*asked[at : at + size].T)
             counts[here, 0], counts[here, 1] = _from_counts(data[8:], size)
             at += size
         gram = np.repeat(by_size.astype(np.uint32), times)
@@ -340,7 +348,7 @@ def _answers(asked: list[tuple[int, int, bytes]]):
             known, waiting, size = hashes[order][first], [], 0
     for block, share, blob in asked:
         hashes, own = _asked(blob)
-        raw, target = counts[np.searchsorted(known, hashes[_by_size(own[:, 0])])].T
+        raw, target = counts[np.searchsorted(known, hashes[_by_size(own[:, 0], own[:, 1])])].T
         yield _batch([(block, block, share, _pack([len(raw)], _counts(raw, target)))])
 
 
@@ -354,9 +362,9 @@ def mean_ratios(rows: DataFrame, n_raw: int, n_target: int) -> DataFrame:
     def answer(batches):
         share, asked = None, []
         for batch in batches:
-            for target, block, number, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if number < 0:
-                    continue
+            # Places pass by: only questions are copied.
+            asking = batch.filter(pc.greater_equal(batch.column("share"), 0))
+            for block, number, data in zip(*(asking.column(c).to_pylist() for c in ("block", "share", "data"))):
                 if number != share:
                     yield from _answers(asked)
                     share, asked = number, []
@@ -374,7 +382,8 @@ def mean_ratios(rows: DataFrame, n_raw: int, n_target: int) -> DataFrame:
     sent = gram_rows(rows, shares, width).repartition(shares, "target")
     answers = sent.sortWithinPartitions("target").mapInArrow(answer, ROWS)
     found = sent.groupBy("target").cogroup(answers.groupBy("target")).applyInArrow(score, "key long, total long, size long")
-    return found.groupBy("key").agg((F.sum("total") / F.lit(UNIT) / F.sum("size")).alias("score"))
+    # A text without words has no mean: null, not an error.
+    return found.groupBy("key").agg(F.try_divide(F.sum("total") / F.lit(UNIT), F.sum("size")).alias("score"))
 
 
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -68,6 +69,15 @@ def test_awkward_rows(spark):
     assert quality.quality_rules(documents(spark, ["a b c " * 2 + "d e f g h i j k l m n o p q r s t"]), none).collect()[0]["kept"]
 
 
+def test_texts_without_words_among_labelled_ones(spark):
+    texts = corpus(random.Random(10)) + [None, "", " \n\t"]
+    marks = [(i, int(i < 60), 0) for i in range(80) if i % 2] + [(81, 1, 0)]
+    labels = spark.createDataFrame(marks, LABELS)
+    found = {r["doc_id"]: r for r in quality.quality_rules(documents(spark, texts), labels).collect()}
+    assert [i for i in range(83) if found[i]["kept"]] == list(range(60))
+    assert all(found[i]["score"] == 0 and found[i]["base_failed"] for i in (80, 81, 82))
+
+
 def test_each_ngram_has_counts_of_its_own(spark):
     rng = random.Random(14)
     # About 300,000 distinct n-grams; each text shares its rare words with one other.
@@ -153,3 +163,22 @@ def test_what_a_block_sends_is_small():
     bits = 8 * sum(len(d) for rows in asked.values() for _, _, d in rows) / pairs
     back = 8 * sum(len(row["data"][0].as_py()) for share in asked if share >= 0 for row in quality._answers(asked[share])) / pairs
     assert bits < 16.7 and back < 0.7
+
+
+def test_what_a_block_holds_at_a_time_is_small(monkeypatch):
+    monkeypatch.setattr(quality, "SLICE", 1 << 15)
+    rng = np.random.default_rng(19)
+    words = np.char.add("w", np.minimum(rng.zipf(1.3, 400_000), 10**6).astype(str))
+    texts = [" ".join(w).encode() for w in np.split(words, np.sort(rng.integers(0, len(words), 1500)))]
+    block = quality._Block(40)
+    for c in chunks(texts):
+        block.add(c, np.arange(c.first, c.last), np.arange(c.first, c.last) % 3 // 2)
+    pairs = sum(len(h) for h, _, _ in block.parts)
+    tracemalloc.start()
+    try:
+        places = {share: data for _, _, share, data in block.rows(-1, 8) if share < 0}
+        sent = tracemalloc.get_traced_memory()[1]
+        assert max(map(len, places.values())) < pairs / 4
+    finally:
+        tracemalloc.stop()
+    assert sent < 16 * pairs
