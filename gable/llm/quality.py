@@ -8,7 +8,7 @@ and as much, in proportion, to the raw ones: n-grams never seen elsewhere weigh
 The score is compared with one threshold: every text is decided, and always the same way. Unless given, the threshold
 is the one with the fewest errors on labelled texts that pass the rules (over SCORE_BINS score bins, the lowest on ties). Without both kinds of labels the score decides nothing and the rules alone count.
 
-Null texts count as empty: no words, which fails the rules. Rows are treated one by one: repeated rows are counted and
+Null texts count as empty: no words, which fails the rules and scores 0. Rows are treated one by one: repeated rows are counted and
 returned as often as they stand; labels that are null or contradict each other for one id count as good only if all of
 them are good. Extra columns are ignored.
 
